@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["reporting"]
+MODULES = ["reporting", "scalars"]
 
 
 def load() -> None:
