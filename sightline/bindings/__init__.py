@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["reporting", "scalars"]
+MODULES = ["reporting", "scalars", "crawl", "tables"]
 
 
 def load() -> None:

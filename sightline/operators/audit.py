@@ -13,33 +13,38 @@ from sightline.operators.quality import missing_from
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 HEADING = r"(?is)<h1[^>]*>(.*?)</h1>"
 META_TAG = r"(?is)<meta\b[^>]*>"
-LINK = r"(?is)<a\b([^>]*)>(.*?)</a>"
 IMAGE = r"(?is)<img\b[^>]*>"
-CANONICAL = r"""(?is)<link\b(?=[^>]*rel\s*=\s*["']?canonical)[^>]*href\s*=\s*["']([^"']*)"""
+LINK_TAG = r"(?is)<link\b[^>]*>"
 ALTERNATE = r"(?is)<link\b[^>]*hreflang\s*=[^>]*>"
 
 
+HIDDEN = [rf"(?is)<{tag}\b.*?</{tag}>" for tag in ("script", "style", "head")]
+
+
 def plain_text(markup: Column) -> Column:
     """Markup without tags, its spaces folded."""
     return F.trim(F.regexp_replace(F.regexp_replace(markup, r"(?s)<[^>]*>", " "), r"\s+", " "))
 
 
 def attribute(tag: Column, name: str) -> Column:
-    found = F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*(?:"([^"]*)"|'([^']*)')""", 1)
-    return F.when(found != "", found)
+    """Quoted value of a tag's attribute; null where it is absent or empty."""
+    return F.nullif(F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*["']([^"']*)["']""", 1), F.lit(""))
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
     """Title, headings, description, canonical and word count of each page."""
     html = F.col("html")
-    body = F.regexp_replace(html, r"(?is)<(script|style|head)\b.*?</\1>", " ")
+    body = html
+    for hidden in HIDDEN:
+        body = F.regexp_replace(body, hidden, " ")
+    canonical = F.filter(F.regexp_extract_all(html, F.lit(LINK_TAG), F.lit(0)), lambda m: m.rlike(r"""(?i)rel\s*=\s*["']?canonical"""))
     headings = F.transform(F.regexp_extract_all(html, F.lit(HEADING), F.lit(1)), plain_text)
     metas = F.filter(F.regexp_extract_all(html, F.lit(META_TAG), F.lit(0)), lambda m: m.rlike(r"""(?i)name\s*=\s*["']?description"""))
     words = plain_text(body)
     return pages.select(
         "page_id", "url", plain_text(F.regexp_extract(html, TITLE, 1)).alias("title"), headings.alias("headings"),
         attribute(F.get(metas, F.lit(0)), "content").alias("description"),
-        F.nullif(F.regexp_extract(html, CANONICAL, 1), F.lit("")).alias("canonical"),
+        attribute(F.get(canonical, F.lit(0)), "href").alias("canonical"),
         F.when(words == "", 0).otherwise(F.size(F.split(words, " "))).alias("words"), F.sha2(words, 256).alias("content_hash"))
 
 

@@ -92,7 +92,8 @@ def page_property(pages: DataFrame, url: str, configs: DataFrame) -> DataFrame:
     sites = configs.where(F.col("site") != "")
     lengths = sites.agg(F.array_sort(F.collect_set(F.length("site"))).alias("l")).scalar()
     first = configs.agg(F.min(F.struct("seq", "site", "property")).alias("c")).scalar()
-    cuts = pages.select(url).distinct().withColumn("_site", F.explode(F.transform(lengths, lambda n: F.substring(F.col(url), F.lit(1), n))))
+    cuts = (pages.select(url).distinct().withColumn("_length", F.explode(lengths))
+            .withColumn("_site", F.substring(F.col(url), F.lit(1), F.col("_length"))).drop("_length"))
     best = (cuts.join(sites.withColumnRenamed("site", "_site"), "_site").groupBy(url)
             .agg(F.min(F.struct("seq", F.col("_site").alias("site"), "property")).alias("_best")))
     found = F.coalesce("_best", first)
@@ -159,15 +160,12 @@ def brand_class(queries: DataFrame, text: str, dictionary: DataFrame) -> DataFra
         return approved.where(F.col("rule") == rule).agg(F.array_sort(F.collect_set(F.struct(
             F.lower("term").alias("term"), "class"))).alias("t")).scalar()
 
-    name = F.lower(F.col(text))
-
     def hit(rule, test):
-        found = F.filter(terms(rule), lambda d: test(d["term"]))
-        return F.when(F.size(found) > 0, F.get(found, F.lit(0))["class"])
+        return F.get(F.filter(F.col(f"_{rule}"), lambda d: test(F.lower(F.col(text)), d["term"])), F.lit(0))["class"]
 
-    classified = queries.select(text).distinct().withColumn("brand_class", F.coalesce(
-        hit("Exact", lambda t: t == name), hit("Contains", lambda t: F.contains(name, t)),
-        hit("Regex", lambda t: F.regexp(name, t)), F.lit("Non-brand")))
+    rules = {"Exact": lambda name, term: name == term, "Contains": F.contains, "Regex": F.regexp}
+    texts = queries.select(text).distinct().withColumns({f"_{rule}": terms(rule) for rule in rules})
+    classified = texts.select(text, F.coalesce(*[hit(rule, test) for rule, test in rules.items()], F.lit("Non-brand")).alias("brand_class"))
     return queries.join(classified, text, "left")
 
 
