@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["reporting", "scalars", "crawl", "tables"]
+MODULES = ["reporting", "scalars", "crawl", "tables", "decisions"]
 
 
 def load() -> None:

@@ -478,7 +478,7 @@ def trend_signal(t):
 @query("C21_trend_conflicts", f"""
 WITH a AS ({signal_sql(PAGE_MONTH, "page", "month", "clicks")}), b AS ({signal_sql(PAGE_MONTH, "page", "month", "impressions")})
 SELECT a.page, a.signal AS search_signal, b.signal AS session_signal,
-  (a.signal = 'INCREASING' AND b.signal = 'DECLINING') OR (a.signal = 'DECLINING' AND b.signal = 'INCREASING') AS conflict
+  a.signal <> 'INSUFFICIENT_HISTORY' AND b.signal <> 'INSUFFICIENT_HISTORY' AND a.signal <> b.signal AS conflict
 FROM a JOIN b ON a.page = b.page""")
 def trend_conflicts(t):
     pages = page_months(t)

@@ -109,7 +109,7 @@ def linked_steps(steps: DataFrame, recommendations: DataFrame) -> DataFrame:
         "status": F.when(F.col("source_ref").isNull(), F.col("status")).otherwise(F.col("_status"))}).drop("_status")
 
 
-SCOPE_FIELDS = ["source", "scope", "entity_ref", "source_population", "methodology", "unit", "timezone", "sample_id"]
+SCOPE_FIELDS = ["source", "scope", "entity_ref", "source_population", "methodology", "timezone"]
 
 
 def compare_sides(observations: DataFrame, scope_fields: list[str] = SCOPE_FIELDS) -> DataFrame:
@@ -194,7 +194,7 @@ def query_entities(snapshots: DataFrame, entities: DataFrame) -> DataFrame:
         (~F.col("_country").eqNullSafe(F.col("country")), "COUNTRY_MISMATCH"))).drop("_text", "_locale", "_country")
 
 
-SAMPLE_SCOPE = ["market", "locale", "platform", "model_scope", "provider", "provider_methodology"]
+SAMPLE_SCOPE = ["market", "locale", "platform", "model_scope"]
 
 
 def sample_scope(observations: DataFrame, samples: DataFrame) -> DataFrame:

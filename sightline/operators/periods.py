@@ -185,12 +185,12 @@ def decay(windows: DataFrame, keys: list[str], period: str, value: str) -> DataF
 
 
 def trend_conflicts(search_trend: DataFrame, session_trend: DataFrame, key: str) -> DataFrame:
-    """Keys whose search clicks and sessions move in opposite directions."""
+    """Keys whose search clicks and sessions tell different directions; an unknown session trend conflicts with nothing."""
     joined = search_trend.select(key, F.col("signal").alias("search_signal")).join(
         session_trend.select(key, F.col("signal").alias("session_signal")), key)
-    opposite = (((F.col("search_signal") == "INCREASING") & (F.col("session_signal") == "DECLINING"))
-                | ((F.col("search_signal") == "DECLINING") & (F.col("session_signal") == "INCREASING")))
-    return joined.withColumn("conflict", opposite)
+    settled = ["INCREASING", "DECLINING", "STABLE"]
+    return joined.withColumn("conflict", F.col("search_signal").isin(settled) & F.col("session_signal").isin(settled)
+                             & (F.col("search_signal") != F.col("session_signal")))
 
 
 # --- Measurement windows ----------------------------------------------------------------------------------
