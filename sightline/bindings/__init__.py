@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["reporting", "scalars", "crawl", "tables", "decisions"]
+MODULES = ["reporting", "scalars", "crawl", "tables", "decisions", "landing"]
 
 
 def load() -> None:

@@ -221,9 +221,8 @@ def support(rows: DataFrame) -> DataFrame:
     def reference(source):
         return F.max(F.when(c("source") == source, c("evidence_id"))).alias(f"{source.lower()}_evidence_ref")
 
-    once = rows.dropDuplicates(["bundle_id", "evidence_id"])
-    return once.groupBy("bundle_id").agg(
-        F.count(F.lit(1)).alias("evidence_count"),
+    return rows.groupBy("bundle_id").agg(
+        F.count_distinct("evidence_id").alias("evidence_count"),
         sum((F.max(F.when(c("source") == name, 1).otherwise(0)) for name in SOURCE_CLASS), F.lit(0)).cast("long").alias("independent_family_count"),
         F.count_if(~c("fresh")).alias("stale_count"), F.count_if(c("conflicting")).alias("conflict_count"),
         reference("AHREFS"), reference("GSC"), reference("SF"), F.sha2(F.concat_ws(",", *words), 256).alias("evidence_signature"))

@@ -45,8 +45,14 @@ def replace_days(rows: DataFrame, table: str, start: str, end: str, sort: list[s
     inside = rows.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     present = {r[0] for r in inside.select("date").distinct().collect()}
     columns = spark.table(table).columns
-    (inside.select(*columns).repartition("date", F.pmod(F.hash(*sort), F.lit(8))).sortWithinPartitions("date", *sort)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table))
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    held = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        (inside.select(*columns).repartition("date", F.pmod(F.hash(*sort), F.lit(8))).sortWithinPartitions("date", *sort)
+         .write.mode("overwrite").insertInto(table))
+    finally:
+        spark.conf.set(setting, held)
     for day in _days(start, end):
         if day not in present:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = DATE '{day.isoformat()}')")
