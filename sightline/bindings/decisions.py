@@ -81,7 +81,7 @@ m AS (SELECT *, CASE k WHEN 'GAP' THEN 'CONTENT_GAP' WHEN 'TECH' THEN 'TECHNICAL
 
 
 def inputs(t):
-    return rules.rule_inputs(bundles(t), evidence(t))
+    return rules.inputs_of(bundles(t), evidence(t))
 
 
 def one_rule(name, rule, condition):
@@ -141,7 +141,7 @@ def full_score(t):
 
 
 SUPPORT_SQL = """
-u AS (SELECT p.bundle_id, COUNT(DISTINCT e.seq) AS evidence_count, COUNT(DISTINCT e.source) AS families, COUNT(e.seq) FILTER (NOT fresh) AS stale, COUNT(e.seq) FILTER (conflicting) AS conflicts
+u AS (SELECT p.bundle_id, COUNT(e.seq) AS evidence_count, COUNT(DISTINCT e.source) AS families, COUNT(e.seq) FILTER (NOT fresh) AS stale, COUNT(e.seq) FILTER (conflicting) AS conflicts
   FROM p LEFT JOIN e ON e.bundle_id = p.bundle_id AND CASE k WHEN 'TECH_WATCH' THEN on_url AND source = 'SF' WHEN 'TECH' THEN on_url WHEN 'QUICK' THEN on_url WHEN 'CTR' THEN on_url AND (source = 'GSC' OR snippet)
     WHEN 'DECAY' THEN on_url AND source IN ('GSC', 'SF') WHEN 'DECAY_SHORT' THEN on_url AND source IN ('GSC', 'SF') WHEN 'STALE' THEN TRUE WHEN 'NOTHING' THEN fresh ELSE FALSE END GROUP BY 1),
 v AS (SELECT p.*, evidence_count, families, stale, conflicts, conflicts = 0 AND (stale > 0 OR missing <> '' OR families < 2 OR NOT confirmed) AS weak FROM p JOIN u ON u.bundle_id = p.bundle_id)"""

@@ -413,13 +413,13 @@ def prompt_observations(t):
     kind, user = C("event_type"), C("user_id")
     fields = {f: F.lit("x") for f in joins.SAMPLE_SCOPE}
     rows = t.events.select(
-        "event_id", user.alias("prompt_id"), NONE.alias("topic_id"), F.lit("S").alias("sample_id"), F.lit("v1").alias("sample_version"), F.when(C("event_id") % 20 == 0, 2).otherwise(1).alias("sample_revision"), *[v.alias(f) for f, v in fields.items()],
+        "event_id", user.alias("prompt_id"), NONE.alias("topic_id"), (user % 4).alias("sample_id"), F.lit("v1").alias("sample_version"), F.when(C("event_id") % 20 == 0, 2).otherwise(1).alias("sample_revision"), *[v.alias(f) for f, v in fields.items()],
         F.when(kind == "purchase", "https://own.example/").alias("owned_url"), F.when(kind == "view", "https://cite.example/").alias("citation_url"), F.when(kind == "click", F.concat(F.lit("D"), user % 2, F.lit(".example"))).alias("competitor_domain"),
         NONE.alias("citation_state"), NONE.alias("mention_state"), C("value").alias("visibility_value"), F.when(kind == "error", "FAILED").otherwise("READY").alias("freshness_state"), F.lit("SUCCESS").alias("collection_status"),
         *[F.to_date("ts").alias(n) for n in ("period_start", "period_end", "as_of")])
     users = t.events.select(user.alias("prompt_id")).distinct()
     prompts = users.where("prompt_id % 10 <> 0").withColumn("topic_refs", F.array(F.lit("T1")))
-    samples = t.events.agg(F.max(F.lit("S")).alias("sample_id")).select("sample_id", F.lit("v1").alias("sample_version"), F.lit(1).alias("revision"), *[v.alias(f) for f, v in fields.items()])
+    samples = t.events.select((user % 4).alias("sample_id")).distinct().select("sample_id", F.lit("v1").alias("sample_version"), F.lit(1).alias("revision"), *[v.alias(f) for f, v in fields.items()])
     known = users.agg(F.max(F.lit("https://own.example/")).alias("normalized_url")).withColumn("url_id", F.lit("URL_1"))
     rivals = users.agg(F.max(F.lit("d0.example")).alias("domain")).withColumn("competitor_id", F.lit("C0"))
     out = normalise.prompt_observations(rows, prompts, samples, known, rivals).select("event_id", "problem", "citation_state", "visibility_value", "unknown_domain")

@@ -6,11 +6,11 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 
 # Full-width ASCII (U+FF01..U+FF5E) and the ideographic space fold to plain ASCII.
-_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
+_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "\u3000"
 _PLAIN = "".join(chr(c) for c in range(0x21, 0x7F)) + " "
+_FOLD = str.maketrans(_WIDE, _PLAIN)
 NON_ASCII = r"[^\x00-\x7F]"
-# Every character Python's str.split() treats as white space.
-SPACE_RUN = r"[\s\x1c-\x1f\x85   -     　]+"
+ASCII_SPACE_RUN = r"[\s\x1c-\x1f]+"
 
 
 @F.pandas_udf("string")
@@ -19,6 +19,14 @@ def compose_and_fold(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFC", v).casefold())
 
 
+@F.pandas_udf("string")
+def fold_unicode_text(values: pd.Series) -> pd.Series:
+    """Width, composition, Unicode white space and case of texts that are not plain ASCII."""
+    def fold(v):
+        return None if v is None else " ".join(unicodedata.normalize("NFC", v.translate(_FOLD)).split()).casefold()
+    return values.map(fold)
+
+
 @F.pandas_udf("string")
 def to_ascii_host(values: pd.Series) -> pd.Series:
     """ASCII form of an international host name; null where it has none."""
@@ -37,12 +45,10 @@ def fold_width(text: Column) -> Column:
 def norm_text(text: Column) -> Column:
     """Identity form of a text; null where nothing is left.
 
-    Only rows that still hold non-ASCII characters after width folding carry text to the Arrow function.
+    Plain ASCII rows stay inside the JVM; only the others carry their text to the Arrow function.
     """
-    spaced = F.regexp_replace(fold_width(text), SPACE_RUN, " ")
-    clean = F.btrim(spaced, F.lit(" "))
-    folded = F.coalesce(compose_and_fold(F.when(clean.rlike(NON_ASCII), clean)), F.lower(clean))
-    return F.when(clean != "", folded)
+    plain = F.lower(F.btrim(F.regexp_replace(text, ASCII_SPACE_RUN, " "), F.lit(" ")))
+    return F.nullif(F.coalesce(fold_unicode_text(F.when(text.rlike(NON_ASCII), text)), plain), F.lit(""))
 
 
 def norm_host(host: Column) -> Column:

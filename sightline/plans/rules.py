@@ -51,57 +51,75 @@ def scoped_evidence(bundles: DataFrame, evidence: DataFrame) -> DataFrame:
         "conflicting": F.coalesce("conflict", F.lit(False)) | (F.upper("freshness_state") == "CONFLICTING")}).drop("_topic")
 
 
-def click_history(scoped: DataFrame) -> DataFrame:
-    """Window count, means of the last two windows and the two before, and the two named windows of each bundle.
+CELL = ["source", "on_topic", "on_url", "fresh", "conflicting", "severe", "snippet_issue"]
+
+
+def evidence_cells(scoped: DataFrame) -> DataFrame:
+    """Evidence of a bundle folded into its few distinct kinds of record.
 
-    Only the last four windows of a bundle are ranked; ``row_number`` prunes to four per bundle before the shuffle.
+    Everything the rules, the score and the pins need is a sum, a maximum or a first value by ``seq`` over these
+    cells, so evidence is scanned and shuffled once, combined on the map side; a bundle holding very much evidence
+    leaves each partition as a few dozen rows.
     """
-    rows = scoped.where("on_topic AND on_url AND source = 'GSC'").select("bundle_id", "seq", F.posexplode("windows").alias("pos", "w"))
-    flat = rows.select("bundle_id", "seq", "pos", "w.*")
-    place = F.struct("seq", "pos")
+    c = F.col
+    pin = F.sha2(F.concat_ws("|", "evidence_id", "revision", "content_hash"), 256)
+
+    def first(value, usable):
+        return F.min(F.when(usable, F.struct("seq", value)))
+
+    def window(role):
+        return F.get(F.filter("windows", lambda w: w["role"] == role), F.lit(0))
 
-    def named(role):
-        return F.min_by(F.struct("impressions", "ctr", "position"), F.when(F.col("role") == role, place))
+    search = c("impressions").isNotNull() & c("position").isNotNull()
+    return scoped.groupBy("bundle_id", *CELL).agg(
+        F.count(F.lit(1)).alias("n"), F.max("evidence_id").alias("reference"), F.sum(F.greatest(F.size("windows"), F.lit(0))).alias("windows"),
+        first(c("volume").alias("v"), c("volume").isNotNull()).alias("volume"), first(c("impressions").alias("v"), c("impressions").isNotNull()).alias("impressions"),
+        first(c("position").alias("v"), c("position").isNotNull()).alias("position"), first(F.struct("impressions", "position", "ctr", "coverage").alias("v"), search).alias("search"),
+        first(c("attainability_band").alias("v"), c("attainability_band").between(0, 4)).alias("attainability"), first(c("execution_band").alias("v"), c("execution_band").between(0, 4)).alias("execution"),
+        *[first(window(r).alias("v"), window(r).isNotNull()).alias(r) for r in ("current", "previous")],
+        *[F.sum(F.conv(F.substring(pin, 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)")).alias(f"w{i}") for i in range(8)])
 
-    totals = flat.groupBy("bundle_id").agg(F.count(F.lit(1)).alias("n_windows"), named("current").alias("now"), named("previous").alias("before"))
-    latest = Window.partitionBy("bundle_id").orderBy(F.desc("period_end"), F.desc("seq"), F.desc("pos"))
-    tail = flat.withColumn("rn", F.row_number().over(latest)).where("rn <= 4")
-    means = tail.groupBy("bundle_id").agg(
-        F.count("clicks").alias("known_clicks"), F.avg(F.when(F.col("rn") <= 2, F.col("clicks"))).alias("recent"),
-        F.avg(F.when(F.col("rn") > 2, F.col("clicks"))).alias("baseline"))
-    return totals.join(means, "bundle_id")
+
+def click_history(scoped: DataFrame) -> DataFrame:
+    """Mean clicks of the last two windows and of the two before them; ``row_number`` prunes to four before the shuffle."""
+    rows = scoped.where("on_topic AND on_url AND source = 'GSC'").select("bundle_id", "seq", F.posexplode("windows").alias("pos", "w"))
+    latest = Window.partitionBy("bundle_id").orderBy(F.desc("w.period_end"), F.desc("seq"), F.desc("pos"))
+    tail = rows.withColumn("rn", F.row_number().over(latest)).where("rn <= 4")
+    return tail.groupBy("bundle_id").agg(
+        F.count("w.clicks").alias("known_clicks"), F.avg(F.when(F.col("rn") <= 2, F.col("w.clicks"))).alias("recent"),
+        F.avg(F.when(F.col("rn") > 2, F.col("w.clicks"))).alias("baseline"))
 
 
-def rule_inputs(bundles: DataFrame, evidence: DataFrame) -> DataFrame:
+def rule_inputs(bundles: DataFrame, cells: DataFrame, history: DataFrame) -> DataFrame:
     """One row of rule inputs per bundle."""
-    scoped = scoped_evidence(bundles, evidence)
     c = F.col
     here = c("on_topic") & c("on_url")
 
-    def first(column, source, condition=F.lit(True)):
-        usable = here & (c("source") == source) & c(column).isNotNull() & condition
-        return F.min_by(column, F.when(usable, c("seq")))
-
-    demand = c("source").isin("AHREFS", "GSC")
-    counts = scoped.groupBy("bundle_id").agg(
-        F.count_if(here & (c("source") == "SF")).alias("n_sf"), F.count_if(here & (c("source") == "AHREFS")).alias("n_ahrefs"),
-        F.count_if(here & (c("source") == "GSC")).alias("n_gsc"), F.count_if(here & (c("source") == "SF") & c("severe")).alias("n_severe"),
-        F.count_if(here & (c("source") == "SF") & c("snippet_issue")).alias("n_snippet"),
-        F.count_if(here & (demand | (c("source") == "SF")) & ~c("fresh")).alias("n_not_fresh"),
-        F.count_if(c("on_topic") & c("fresh")).alias("n_fresh"),
-        first("volume", "AHREFS").alias("volume"), first("impressions", "GSC").alias("impressions"), first("position", "GSC").alias("position"),
-        F.min_by("volume", F.when(c("on_url") & (c("source") == "AHREFS") & c("volume").isNotNull(), c("seq"))).alias("score_volume"),
-        F.min_by(F.struct("impressions", "position", "ctr", "coverage"), F.when(
-            c("on_url") & (c("source") == "GSC") & c("impressions").isNotNull() & c("position").isNotNull(), c("seq"))).alias("score_search"),
-        F.min_by("attainability_band", F.when(c("attainability_band").between(0, 4), c("seq"))).alias("attainability"),
-        F.min_by("execution_band", F.when(c("on_url") & (c("source") == "SF") & c("execution_band").between(0, 4), c("seq"))).alias("execution"))
-    joined = bundles.join(counts, "bundle_id", "left").join(click_history(scoped), "bundle_id", "left")
-    zero = [n for n in counts.columns if n.startswith("n_")] + ["n_windows"]
+    def total(condition, column="n"):
+        return F.coalesce(F.sum(F.when(condition, c(column))), F.lit(0))
+
+    def first(column, condition):
+        return F.min(F.when(condition, c(column)))["v"]
+
+    sf, ahrefs, gsc = (c("source") == name for name in ("SF", "AHREFS", "GSC"))
+    counts = cells.groupBy("bundle_id").agg(
+        total(here & sf).alias("n_sf"), total(here & ahrefs).alias("n_ahrefs"), total(here & gsc).alias("n_gsc"), total(here & sf & c("severe")).alias("n_severe"),
+        total(here & sf & c("snippet_issue")).alias("n_snippet"), total(here & (sf | ahrefs | gsc) & ~c("fresh")).alias("n_not_fresh"), total(c("on_topic") & c("fresh")).alias("n_fresh"),
+        total(here & gsc, "windows").alias("n_windows"), first("current", here & gsc).alias("now"), first("previous", here & gsc).alias("before"),
+        first("volume", here & ahrefs).alias("volume"), first("impressions", here & gsc).alias("impressions"), first("position", here & gsc).alias("position"),
+        first("volume", c("on_url") & ahrefs).alias("score_volume"), first("search", c("on_url") & gsc).alias("score_search"),
+        first("attainability", F.lit(True)).alias("attainability"), first("execution", c("on_url") & sf).alias("execution"))
+    joined = bundles.join(counts, "bundle_id", "left").join(history, "bundle_id", "left")
     return joined.withColumns({
-        **{n: F.coalesce(n, F.lit(0)) for n in zero},
+        **{n: F.coalesce(n, F.lit(0)) for n in counts.columns if n.startswith("n_")},
         "target_url": F.when(F.size("existing_urls") > 0, F.array_sort("existing_urls")[0])})
 
 
+def inputs_of(bundles: DataFrame, evidence: DataFrame) -> DataFrame:
+    scoped = scoped_evidence(bundles, evidence)
+    return rule_inputs(bundles, evidence_cells(scoped), click_history(scoped))
+
+
 # --- Rules ------------------------------------------------------------------------------------------------
 
 def decision(kind: str, action: str, rule: str, selection: str, required=(), missing: Column | None = None,
@@ -187,22 +205,22 @@ def evaluate(inputs: DataFrame) -> DataFrame:
     wanted = F.col("requested_type")
     ruled = [F.when(wanted.isNull() | (wanted == name), rule()) for name, rule in RULES]
     chosen = F.when(wanted == "CONTENT_GAP", content_gap()).otherwise(F.coalesce(*ruled, fallback()))
-    gap = F.col("d.opportunity_type") == "CONTENT_GAP"
-    return inputs.withColumn("d", chosen).select("*", "d.*").withColumns({
+    gap = F.col("opportunity_type") == "CONTENT_GAP"
+    # A generator keeps the optimizer from copying the whole rule expression into every field taken from it.
+    return inputs.select("*", F.inline(F.array(chosen))).withColumns({
         "policy_gaps": F.when(gap, texts(*POLICY_GAPS)).otherwise(texts()),
         "target_url": F.when(~gap, F.col("target_url")),
-        "review_at": F.when(F.col("needs_review_date"), F.date_add(F.to_date("decision_at"), REVIEW_DAYS))}).drop("d", "needs_review_date")
+        "review_at": F.when(F.col("needs_review_date"), F.date_add(F.to_date("decision_at"), REVIEW_DAYS))}).drop("needs_review_date")
 
 
 # --- Evidence behind a decision ---------------------------------------------------------------------------
 
-def selected(decisions: DataFrame, scoped: DataFrame) -> DataFrame:
-    """The evidence each decision rests on, one row per record."""
+def support(decisions: DataFrame, cells: DataFrame) -> DataFrame:
+    """Counts, source pins and an order-free signature of the evidence each decision rests on."""
     c = F.col
     chosen = c("selection")
     url = c("on_topic") & c("on_url")
-    rows = scoped.join(decisions.select("bundle_id", "selection"), "bundle_id")
-    return rows.where(
+    rows = cells.join(decisions.select("bundle_id", "selection"), "bundle_id").where(
         F.when(chosen == "SF", url & (c("source") == "SF"))
         .when(chosen == "SF_AHREFS_GSC", url & c("source").isin("SF", "AHREFS", "GSC"))
         .when(chosen == "GSC_SNIPPET", url & ((c("source") == "GSC") | ((c("source") == "SF") & c("snippet_issue"))))
@@ -211,20 +229,14 @@ def selected(decisions: DataFrame, scoped: DataFrame) -> DataFrame:
         .when(chosen == "TOPIC", c("on_topic")).when(chosen == "TOPIC_FRESH", c("on_topic") & c("fresh"))
         .otherwise(False))
 
-
-def support(rows: DataFrame) -> DataFrame:
-    """Counts, source pins and an order-free signature of each bundle's selected evidence."""
-    c = F.col
-    pin = F.sha2(F.concat_ws("|", "evidence_id", "revision", "content_hash"), 256)
-    words = [F.sum(F.conv(F.substring(pin, 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)")).cast("string") for i in range(8)]
-
     def reference(source):
-        return F.max(F.when(c("source") == source, c("evidence_id"))).alias(f"{source.lower()}_evidence_ref")
+        return F.max(F.when(c("source") == source, c("reference"))).alias(f"{source.lower()}_evidence_ref")
 
+    words = [F.sum(f"w{i}").cast("string") for i in range(8)]
     return rows.groupBy("bundle_id").agg(
-        F.count_distinct("evidence_id").alias("evidence_count"),
+        F.sum("n").alias("evidence_count"),
         sum((F.max(F.when(c("source") == name, 1).otherwise(0)) for name in SOURCE_CLASS), F.lit(0)).cast("long").alias("independent_family_count"),
-        F.count_if(~c("fresh")).alias("stale_count"), F.count_if(c("conflicting")).alias("conflict_count"),
+        F.coalesce(F.sum(F.when(~c("fresh"), c("n"))), F.lit(0)).alias("stale_count"), F.coalesce(F.sum(F.when(c("conflicting"), c("n"))), F.lit(0)).alias("conflict_count"),
         reference("AHREFS"), reference("GSC"), reference("SF"), F.sha2(F.concat_ws(",", *words), 256).alias("evidence_signature"))
 
 
@@ -287,9 +299,10 @@ def candidates(bundles: DataFrame, evidence: DataFrame, stored: DataFrame | None
     ``stored`` is the candidate log.  Unchanged input keeps its revision; changed input takes the next one.
     """
     c = F.col
-    inputs = rule_inputs(bundles, evidence)
-    decisions = evaluate(inputs)
-    backing = support(selected(decisions, scoped_evidence(bundles, evidence)))
+    scoped = scoped_evidence(bundles, evidence)
+    cells = evidence_cells(scoped)
+    decisions = evaluate(rule_inputs(bundles, cells, click_history(scoped)))
+    backing = support(decisions, cells)
     joined = decisions.join(backing, "bundle_id", "left").withColumns({
         n: F.coalesce(n, F.lit(0).cast("long")) for n in ("evidence_count", "independent_family_count", "stale_count", "conflict_count")})
     augmented = joined.withColumn("missing_roles", F.array_sort(F.array_union(
