@@ -8,8 +8,14 @@ from sightline.plans import diagnostics, outcomes, reports, review, rules, valid
 from sightline.schemas import SOURCE_CLASS
 
 C = F.col
-NONE = F.lit(None).cast("string")
-EMPTY = F.array().cast("array<string>")
+
+
+def none():
+    return F.lit(None).cast("string")
+
+
+def empty():
+    return F.array().cast("array<string>")
 
 
 def joined(*columns):
@@ -24,7 +30,7 @@ def bundles(t):
     return t.part.select(
         key.alias("bundle_id"), F.concat(F.lit("P"), "p_size").alias("project_scope_id"), F.concat(F.lit("T"), key).alias("topic_id"), F.lit("INFORMATIONAL").alias("search_intent"),
         F.when(key % 10 == 9, "CONTENT_GAP").when(key % 10 == 8, "CONTENT_DECAY").alias("requested_type"), F.lit("2002-01-01T00:00:00Z").alias("decision_at"),
-        F.lit("2001-12").alias("evaluation_period"), F.when(key % 4 == 3, EMPTY).otherwise(F.array(F.concat(F.lit("u"), key))).alias("existing_urls"),
+        F.lit("2001-12").alias("evaluation_period"), F.when(key % 4 == 3, empty()).otherwise(F.array(F.concat(F.lit("u"), key))).alias("existing_urls"),
         (key % 3 != 0).alias("mapping_confirmed"), (key % 5 != 0).alias("mapping_approved"), (key % 2 == 0).alias("alternatives_addressed"))
 
 
@@ -38,8 +44,8 @@ def evidence(t):
     issue = F.struct(F.when(line % 2 == 0, "TITLE").otherwise("H1").alias("type"), F.when(C("l_quantity") > 49, "HIGH").otherwise("LOW").alias("severity"))
     return t.lineitem.select(
         C("l_partkey").alias("bundle_id"), seq.alias("seq"), seq.cast("string").alias("evidence_id"), F.lit(1).alias("revision"), F.md5(seq.cast("string")).alias("content_hash"),
-        F.when(source == 0, "AHREFS").when(gsc, "GSC").otherwise("SF").alias("source"), F.when(order % 7 != 0, F.concat(F.lit("T"), "l_partkey")).alias("topic_id"), EMPTY.alias("topic_refs"),
-        F.when(order % 11 == 0, F.array(F.lit("other"))).when(order % 11 < 6, F.array(F.concat(F.lit("u"), "l_partkey"))).otherwise(EMPTY).alias("urls"),
+        F.when(source == 0, "AHREFS").when(gsc, "GSC").otherwise("SF").alias("source"), F.when(order % 7 != 0, F.concat(F.lit("T"), "l_partkey")).alias("topic_id"), empty().alias("topic_refs"),
+        F.when(order % 11 == 0, F.array(F.lit("other"))).when(order % 11 < 6, F.array(F.concat(F.lit("u"), "l_partkey"))).otherwise(empty()).alias("urls"),
         F.when(order % 37 == 0, "STALE").otherwise("READY").alias("freshness_state"), F.lit("SUCCESS").alias("collection_status"), (order % 41 == 0).alias("conflict"),
         F.when((source == 0) & (line != 7), C("l_extendedprice") / 30).alias("volume"), F.when(gsc, F.floor(C("l_extendedprice") / 20)).cast("double").alias("impressions"),
         F.when(gsc, C("l_quantity")).alias("position"), F.when(gsc & (line != 3), C("l_discount")).alias("ctr"), F.lit("COMPLETE_WITHIN_SCOPE").alias("coverage"),
@@ -197,15 +203,15 @@ SELECT k AS candidate, array_to_string(list_filter([CASE WHEN cites > resolved T
   stale AND NOT settled AS warned FROM o""")
 def validated(t):
     cites, context = citations(t)
-    key, none = C("o_orderkey"), F.lit(None).cast("int")
+    key, absent = C("o_orderkey"), F.lit(None).cast("int")
     proposals = t.orders.select(
-        key.alias("candidate"), key.cast("string").alias("candidate_id"), F.lit(1).alias("revision"), NONE.cast("int").alias("supersedes_revision"), F.lit("2001-12").alias("period"), F.lit("h").alias("content_hash"), F.lit("h").alias("expected_hash"),
+        key.alias("candidate"), key.cast("string").alias("candidate_id"), F.lit(1).alias("revision"), none().cast("int").alias("supersedes_revision"), F.lit("2001-12").alias("period"), F.lit("h").alias("content_hash"), F.lit("h").alias("expected_hash"),
         F.lit("2001-12-30").alias("created_at"), F.lit("2001-12-31").alias("updated_at"), F.when(key % 4 == 0, "VALIDATED").otherwise("CANDIDATE").alias("status"), F.lit("UPDATE_EXISTING").alias("recommended_action"),
         F.array(F.lit("u")).alias("existing_urls"), F.lit("u").alias("target_url"), F.array(F.lit("demand")).alias("required_roles"), F.array(F.lit("traction")).alias("missing_roles"), F.lit(False).alias("declares_conflict"),
-        F.lit(4).alias("evidence_count"), F.lit(3).alias("independent_family_count"), F.lit("existing").alias("score_profile"), F.lit(2).alias("demand_score"), *[none.alias(f"{d}_score") for d in ("traction", "business", "attainability", "geo", "execution")],
-        F.when(key % 5 == 0, 11).otherwise(10).alias("score_lower_bound"), F.lit(90).alias("score_upper_bound"), none.alias("opportunity_score"), F.lit("LOW").alias("confidence"), F.lit("INSUFFICIENT_EVIDENCE").alias("validation_state"),
-        F.lit("2002-01-28").alias("review_at"), NONE.alias("measurement_plan_ref"), F.lit(True).alias("mapping_confirmed"), F.lit(True).alias("alternatives_addressed"), F.lit(False).alias("business_overlay_approved"),
-        F.lit(False).alias("review_authenticated"), NONE.alias("review_decision"), none.alias("reviewed_revision"), NONE.alias("reviewed_hash"), F.lit(False).alias("scope_approved"))
+        F.lit(4).alias("evidence_count"), F.lit(3).alias("independent_family_count"), F.lit("existing").alias("score_profile"), F.lit(2).alias("demand_score"), *[absent.alias(f"{d}_score") for d in ("traction", "business", "attainability", "geo", "execution")],
+        F.when(key % 5 == 0, 11).otherwise(10).alias("score_lower_bound"), F.lit(90).alias("score_upper_bound"), absent.alias("opportunity_score"), F.lit("LOW").alias("confidence"), F.lit("INSUFFICIENT_EVIDENCE").alias("validation_state"),
+        F.lit("2002-01-28").alias("review_at"), none().alias("measurement_plan_ref"), F.lit(True).alias("mapping_confirmed"), F.lit(True).alias("alternatives_addressed"), F.lit(False).alias("business_overlay_approved"),
+        F.lit(False).alias("review_authenticated"), none().alias("review_decision"), absent.alias("reviewed_revision"), none().alias("reviewed_hash"), F.lit(False).alias("scope_approved"))
     out = validate.validate(proposals, cites, context, "2001-12-31")
     return out.select("candidate", F.array_join("errors", ",").alias("errors"), (F.size("warnings") > 0).alias("warned"))
 
@@ -288,7 +294,7 @@ d AS (SELECT p_partkey AS p, CASE WHEN b1 <> 0 THEN (f1 - b1) / abs(b1) END AS d
 def planned_metrics(t):
     tables = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(r).alias("role")) for m, r in (("clicks", "primary"), ("impressions", "support"), ("errors", "guardrail"))])
     return t.part.select(C("p_partkey").alias("track_id"), F.inline(tables), F.lit(0.1).alias("target_delta"), F.lit(0.05).alias("tolerance"), F.lit(1).alias("minimum_sample"), F.lit("RELATIVE_DELTA").alias("method"),
-                         F.lit("INCREASE").alias("direction"), F.lit("MAX_INCREASE").alias("guard_direction"), F.lit(0.5).alias("max_delta"), F.lit("PAGE_LEVEL").alias("plan_scope"), NONE.alias("attribution_contract"))
+                         F.lit("INCREASE").alias("direction"), F.lit("MAX_INCREASE").alias("guard_direction"), F.lit(0.5).alias("max_delta"), F.lit("PAGE_LEVEL").alias("plan_scope"), none().alias("attribution_contract"))
 
 
 def observed_sides(t):
@@ -323,12 +329,12 @@ def review_tables(t):
     key = C("o_orderkey")
     stored = t.orders.select(
         key.alias("candidate_id"), F.lit(1).alias("revision"), F.md5(key.cast("string")).alias("content_hash"), F.when(key % 7 != 0, 70).alias("score"), F.when(C("o_orderpriority") == "5-LOW", "LOW").otherwise("HIGH").alias("confidence"),
-        F.lit("PASS").alias("validation_state"), EMPTY.alias("missing_roles"), EMPTY.alias("policy_gaps"), F.when(key % 11 == 0, F.array(F.lit("X"))).otherwise(EMPTY).alias("conflicts"), F.when(key % 13 == 0, "STALE").otherwise("READY").alias("freshness_state"),
+        F.lit("PASS").alias("validation_state"), empty().alias("missing_roles"), empty().alias("policy_gaps"), F.when(key % 11 == 0, F.array(F.lit("X"))).otherwise(empty()).alias("conflicts"), F.when(key % 13 == 0, "STALE").otherwise("READY").alias("freshness_state"),
         F.lit("SERP_VALIDATED").alias("serp_status"), F.lit("sig").alias("evidence_signature"))
     reviews = t.orders.select(
         key.alias("review_id"), F.lit(1).alias("revision"), key.alias("candidate_id"), F.lit(1).alias("candidate_revision"), F.when(key % 5 == 0, "moved").otherwise(F.md5(key.cast("string"))).alias("candidate_hash"),
-        F.when(C("o_orderstatus") == "F", "REJECT").otherwise("APPROVE").alias("decision"), F.lit("UAT").alias("target_env"), F.lit("UAT_RECS").alias("destination_id"), NONE.alias("conflict_adjudication_ref"), F.lit("sig").alias("reviewed_signature"),
-        F.lit("REASON_1").alias("reason_code"), F.when(key % 17 == 0, "bad id").otherwise("REV_1").alias("reviewer_id"), F.lit("2001-01-01").alias("created_at"), F.lit("2001-01-02").alias("decision_at"), NONE.alias("notes"), NONE.alias("preview_hash"))
+        F.when(C("o_orderstatus") == "F", "REJECT").otherwise("APPROVE").alias("decision"), F.lit("UAT").alias("target_env"), F.lit("UAT_RECS").alias("destination_id"), none().alias("conflict_adjudication_ref"), F.lit("sig").alias("reviewed_signature"),
+        F.lit("REASON_1").alias("reason_code"), F.when(key % 17 == 0, "bad id").otherwise("REV_1").alias("reviewer_id"), F.lit("2001-01-01").alias("created_at"), F.lit("2001-01-02").alias("decision_at"), none().alias("notes"), none().alias("preview_hash"))
     return stored, reviews
 
 

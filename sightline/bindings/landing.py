@@ -11,7 +11,10 @@ from sightline.sources import landing, normalise, sinks
 from sightline.streaming import jobs
 
 C = F.col
-NONE = F.lit(None).cast("string")
+
+
+def none():
+    return F.lit(None).cast("string")
 VALUE = "array<struct<value:string>>"
 
 
@@ -90,7 +93,7 @@ def refused_envelopes(t):
 def calls(t):
     key = C("o_orderkey")
     text = F.when(key % 5 == 0, "Internal error: try again").when(key % 7 == 0, " ").otherwise(F.to_json(F.struct(C("o_custkey").alias("clicks"), C("o_orderstatus").alias("site"))))
-    return t.orders.select(key.alias("call_id"), F.lit("search").alias("name"), F.lit("{}").alias("args"), text.alias("text"), (key % 11 == 0).alias("is_error"), NONE.alias("error"))
+    return t.orders.select(key.alias("call_id"), F.lit("search").alias("name"), F.lit("{}").alias("args"), text.alias("text"), (key % 11 == 0).alias("is_error"), none().alias("error"))
 
 
 BODY = T.StructType([T.StructField("clicks", T.LongType()), T.StructField("site", T.StringType())])
@@ -159,7 +162,7 @@ def vitals_results(t):
     stats = t.events.groupBy("user_id", "event_type").agg(F.max("value").alias("v"), F.min(F.to_date("ts")).alias("a"), F.max(F.to_date("ts")).alias("b"))
     metric = F.struct(F.lit("largest_contentful_paint").alias("metric"), F.round(C("v") * 40, 2).cast("string").alias("p75"), F.array(C("v") / 500, C("v") / 1000).alias("histogram"))
     layout = F.struct(F.lit("cumulative_layout_shift").alias("metric"), F.when(C("user_id") % 4 == 0, "").otherwise((F.floor("v") / 400).cast("string")).alias("p75"), F.array(C("v") / 500).alias("histogram"))
-    return stats.select(C("user_id").alias("origin"), C("event_type").alias("form_factor"), NONE.alias("error"), F.struct(part(C("a")).alias("first"), part(C("b")).alias("last")).alias("period"),
+    return stats.select(C("user_id").alias("origin"), C("event_type").alias("form_factor"), none().alias("error"), F.struct(part(C("a")).alias("first"), part(C("b")).alias("last")).alias("period"),
                         F.when(C("user_id") >= 10, F.array(metric, layout)).alias("metrics"))
 
 
@@ -286,7 +289,7 @@ def backfilled(t):
 SELECT c_custkey AS config_key, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE 'default' END AS value, 'todo' AS status FROM customer""")
 def merged_config(t):
     template = t.customer.select(C("c_custkey").alias("config_key"), F.lit("default").alias("value"), F.lit("todo").alias("status"))
-    existing = t.customer.select(C("c_custkey").alias("config_key"), F.when(C("c_custkey") % 2 == 0, C("c_mktsegment")).otherwise(" ").alias("value"), NONE.alias("status"))
+    existing = t.customer.select(C("c_custkey").alias("config_key"), F.when(C("c_custkey") % 2 == 0, C("c_mktsegment")).otherwise(" ").alias("value"), none().alias("status"))
     return landing.merged_config(template, existing, ["value", "status"]).select("config_key", "value", "status")
 
 
@@ -330,8 +333,8 @@ def business_actuals(t):
                             F.lit("Leads").alias("row_label"), F.array(F.lit("TW")).alias("allowed_segments"), F.lit("raw_only").alias("formula_policy"))
     rows = t.orders.select(
         key.alias("row_no"), C("o_orderpriority").alias("metric"), F.lit(" Leads ").alias("metric_label"), F.lit("2026").alias("source_tab"), F.when(key % 7 == 0, 8).otherwise(7).alias("source_row"), F.chr(64 + month.cast("int")).alias("source_column"),
-        F.when(key % 11 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM")).alias("period"), F.when(key % 5 == 0, "about 7").when(key % 3 == 0, "n/a").otherwise(F.format_number("o_custkey", 0)).alias("actual"), NONE.alias("target"),
-        F.when(key % 13 == 0, "JP").otherwise("TW").alias("segment"), F.lit("book-1").alias("source_reference"), NONE.alias("formula"))
+        F.when(key % 11 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM")).alias("period"), F.when(key % 5 == 0, "about 7").when(key % 3 == 0, "n/a").otherwise(F.format_number("o_custkey", 0)).alias("actual"), none().alias("target"),
+        F.when(key % 13 == 0, "JP").otherwise("TW").alias("segment"), F.lit("book-1").alias("source_reference"), none().alias("formula"))
     return normalise.business_actuals(rows, mapping, "2001-12-31", "book-1").select("row_no", "value", "candidate_status", "problem")
 
 
@@ -340,7 +343,7 @@ def keyword_input(t):
     name = F.when(C("l_linenumber") != 7, F.concat(F.lit("k"), "l_suppkey"))
     return t.lineitem.select(
         (C("l_orderkey") * 1000000 + C("l_linenumber") * 100000 + C("l_suppkey")).alias("seq"), F.when(keyword, "organic_keywords").otherwise("organic_competitors").alias("endpoint"), F.lit("TW").alias("country"), C("l_partkey").cast("string").alias("target"),
-        F.lit("2001-12-01").cast("date").alias("date"), F.when(keyword, name).alias("keyword"), F.when(~keyword, name).alias("competitor_domain"), NONE.alias("competitor_url"), NONE.alias("best_position_url"), C("l_linenumber").alias("best_position"),
+        F.lit("2001-12-01").cast("date").alias("date"), F.when(keyword, name).alias("keyword"), F.when(~keyword, name).alias("competitor_domain"), none().alias("competitor_url"), none().alias("best_position_url"), C("l_linenumber").alias("best_position"),
         C("l_extendedprice").alias("volume"), C("l_extendedprice").alias("volume_target"), F.lit(3).alias("keyword_difficulty"), F.lit(1).alias("sum_traffic"), F.when(C("l_tax") == 0.08, -1).otherwise(1).alias("traffic"))
 
 
@@ -413,9 +416,9 @@ def prompt_observations(t):
     kind, user = C("event_type"), C("user_id")
     fields = {f: F.lit("x") for f in joins.SAMPLE_SCOPE}
     rows = t.events.select(
-        "event_id", user.alias("prompt_id"), NONE.alias("topic_id"), (user % 4).alias("sample_id"), F.lit("v1").alias("sample_version"), F.when(C("event_id") % 20 == 0, 2).otherwise(1).alias("sample_revision"), *[v.alias(f) for f, v in fields.items()],
+        "event_id", user.alias("prompt_id"), none().alias("topic_id"), (user % 4).alias("sample_id"), F.lit("v1").alias("sample_version"), F.when(C("event_id") % 20 == 0, 2).otherwise(1).alias("sample_revision"), *[v.alias(f) for f, v in fields.items()],
         F.when(kind == "purchase", "https://own.example/").alias("owned_url"), F.when(kind == "view", "https://cite.example/").alias("citation_url"), F.when(kind == "click", F.concat(F.lit("D"), user % 2, F.lit(".example"))).alias("competitor_domain"),
-        NONE.alias("citation_state"), NONE.alias("mention_state"), C("value").alias("visibility_value"), F.when(kind == "error", "FAILED").otherwise("READY").alias("freshness_state"), F.lit("SUCCESS").alias("collection_status"),
+        none().alias("citation_state"), none().alias("mention_state"), C("value").alias("visibility_value"), F.when(kind == "error", "FAILED").otherwise("READY").alias("freshness_state"), F.lit("SUCCESS").alias("collection_status"),
         *[F.to_date("ts").alias(n) for n in ("period_start", "period_end", "as_of")])
     users = t.events.select(user.alias("prompt_id")).distinct()
     prompts = users.where("prompt_id % 10 <> 0").withColumn("topic_refs", F.array(F.lit("T1")))

@@ -18,11 +18,10 @@ def fold_sql(column):
 
 
 @query("H1_norm_text", f"""
-SELECT doc_id, md5({fold_sql('text')}) AS text_md5, length({fold_sql('text')}) AS chars FROM documents WHERE trim(text) <> ''""")
+SELECT doc_id, md5(nullif({fold_sql('text')}, '')) AS text_md5, length(nullif({fold_sql('text')}, '')) AS chars FROM documents""")
 def norm_text(t):
     folded = text.norm_text(F.col("text"))
-    return t.documents.select("doc_id", folded.alias("n")).where("n IS NOT NULL").select(
-        "doc_id", F.md5("n").alias("text_md5"), F.char_length("n").cast("long").alias("chars"))
+    return t.documents.select("doc_id", F.md5(folded).alias("text_md5"), F.char_length(folded).cast("long").alias("chars"))
 
 
 J1_ROWS = "SELECT doc_id, md5(replace(lower(nfc_normalize(text)), 'ß', 'ss')) AS folded FROM documents WHERE regexp_matches(text, '[^\\x00-\\x7F]')"

@@ -1,33 +1,38 @@
 """Text and domain identity: width folding, composition, whitespace, case folding."""
 
+import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Full-width ASCII (U+FF01..U+FF5E) and the ideographic space fold to plain ASCII.
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "\u3000"
 _PLAIN = "".join(chr(c) for c in range(0x21, 0x7F)) + " "
 _FOLD = str.maketrans(_WIDE, _PLAIN)
+_HAS_WIDE = re.compile("[\uff01-\uff5e\u3000]")
 NON_ASCII = r"[^\x00-\x7F]"
 ASCII_SPACE_RUN = r"[\s\x1c-\x1f]+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def compose_and_fold(values: pd.Series) -> pd.Series:
     """Canonical composition and full case folding, which Spark SQL has no expression for."""
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFC", v).casefold())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_unicode_text(values: pd.Series) -> pd.Series:
     """Width, composition, Unicode white space and case of texts that are not plain ASCII."""
     def fold(v):
-        return None if v is None else " ".join(unicodedata.normalize("NFC", v.translate(_FOLD)).split()).casefold()
+        if v is None:
+            return None
+        narrow = v.translate(_FOLD) if _HAS_WIDE.search(v) else v
+        return " ".join(unicodedata.normalize("NFC", narrow).split()).casefold()
     return values.map(fold)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def to_ascii_host(values: pd.Series) -> pd.Series:
     """ASCII form of an international host name; null where it has none."""
     def encode(host):

@@ -52,32 +52,37 @@ def scoped_evidence(bundles: DataFrame, evidence: DataFrame) -> DataFrame:
 
 
 CELL = ["source", "on_topic", "on_url", "fresh", "conflicting", "severe", "snippet_issue"]
+# Values of which a rule wants the first in evidence order; those of one group come from one record.
+FIRSTS = {"volume": ["volume"], "impressions": ["impressions"], "position": ["position"],
+          "search": ["impressions", "position", "ctr", "complete"], "attainability": ["attainability_band"], "execution": ["execution_band"],
+          "current": ["current_impressions", "current_ctr", "current_position"], "previous": ["previous_impressions", "previous_ctr", "previous_position"]}
 
 
 def evidence_cells(scoped: DataFrame) -> DataFrame:
     """Evidence of a bundle folded into its few distinct kinds of record.
 
-    Everything the rules, the score and the pins need is a sum, a maximum or a first value by ``seq`` over these
-    cells, so evidence is scanned and shuffled once, combined on the map side; a bundle holding very much evidence
-    leaves each partition as a few dozen rows.
+    Everything the rules, the score and the signature need is a sum or a first value by ``seq`` over these cells,
+    so evidence is scanned and shuffled once, combined on the map side; a bundle holding very much evidence leaves
+    each partition as a few dozen rows.  All buffers are plain numbers, which keeps the aggregation hash-based.
     """
     c = F.col
-    pin = F.sha2(F.concat_ws("|", "evidence_id", "revision", "content_hash"), 256)
-
-    def first(value, usable):
-        return F.min(F.when(usable, F.struct("seq", value)))
 
     def window(role):
         return F.get(F.filter("windows", lambda w: w["role"] == role), F.lit(0))
 
-    search = c("impressions").isNotNull() & c("position").isNotNull()
-    return scoped.groupBy("bundle_id", *CELL).agg(
-        F.count(F.lit(1)).alias("n"), F.max("evidence_id").alias("reference"), F.sum(F.greatest(F.size("windows"), F.lit(0))).alias("windows"),
-        first(c("volume").alias("v"), c("volume").isNotNull()).alias("volume"), first(c("impressions").alias("v"), c("impressions").isNotNull()).alias("impressions"),
-        first(c("position").alias("v"), c("position").isNotNull()).alias("position"), first(F.struct("impressions", "position", "ctr", "coverage").alias("v"), search).alias("search"),
-        first(c("attainability_band").alias("v"), c("attainability_band").between(0, 4)).alias("attainability"), first(c("execution_band").alias("v"), c("execution_band").between(0, 4)).alias("execution"),
-        *[first(window(r).alias("v"), window(r).isNotNull()).alias(r) for r in ("current", "previous")],
-        *[F.sum(F.conv(F.substring(pin, 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)")).alias(f"w{i}") for i in range(8)])
+    flat = scoped.withColumns({r: window(r) for r in ("current", "previous")}).withColumns({
+        **{f"{r}_{m}": c(f"{r}.{m}") for r in ("current", "previous") for m in ("impressions", "ctr", "position")},
+        "complete": F.coalesce(c("coverage") == "COMPLETE_WITHIN_SCOPE", F.lit(False))})
+    usable = {"volume": c("volume").isNotNull(), "impressions": c("impressions").isNotNull(), "position": c("position").isNotNull(),
+              "search": c("impressions").isNotNull() & c("position").isNotNull(), "attainability": c("attainability_band").between(0, 4),
+              "execution": c("execution_band").between(0, 4), "current": c("current").isNotNull(), "previous": c("previous").isNotNull()}
+    firsts = [x for name, values in FIRSTS.items() for x in (
+        F.min(F.when(usable[name], c("seq"))).alias(f"{name}_seq"),
+        *[F.min_by(v, F.when(usable[name], c("seq"))).alias(f"{name}__{v}") for v in values])]
+    pin = ["evidence_id", "revision", "content_hash"]
+    return flat.groupBy("bundle_id", *CELL).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.greatest(F.size("windows"), F.lit(0))).alias("windows"), *firsts,
+        F.sum(F.xxhash64(*pin).cast("decimal(38,0)")).alias("w0"), F.sum(F.xxhash64(F.lit("pin"), *pin).cast("decimal(38,0)")).alias("w1"))
 
 
 def click_history(scoped: DataFrame) -> DataFrame:
@@ -98,8 +103,12 @@ def rule_inputs(bundles: DataFrame, cells: DataFrame, history: DataFrame) -> Dat
     def total(condition, column="n"):
         return F.coalesce(F.sum(F.when(condition, c(column))), F.lit(0))
 
-    def first(column, condition):
-        return F.min(F.when(condition, c(column)))["v"]
+    def first(name, condition):
+        values = FIRSTS[name]
+        whole = F.min(F.when(condition & c(f"{name}_seq").isNotNull(), F.struct(f"{name}_seq", *[f"{name}__{v}" for v in values])))
+        if len(values) == 1:
+            return whole[f"{name}__{values[0]}"]
+        return F.when(whole.isNotNull(), F.struct(*[whole[f"{name}__{v}"].alias(v.removeprefix(f"{name}_")) for v in values]))
 
     sf, ahrefs, gsc = (c("source") == name for name in ("SF", "AHREFS", "GSC"))
     counts = cells.groupBy("bundle_id").agg(
@@ -215,12 +224,12 @@ def evaluate(inputs: DataFrame) -> DataFrame:
 
 # --- Evidence behind a decision ---------------------------------------------------------------------------
 
-def support(decisions: DataFrame, cells: DataFrame) -> DataFrame:
-    """Counts, source pins and an order-free signature of the evidence each decision rests on."""
+def selected(decisions: DataFrame, rows: DataFrame) -> DataFrame:
+    """The evidence, or the cells of it, that each decision rests on."""
     c = F.col
     chosen = c("selection")
     url = c("on_topic") & c("on_url")
-    rows = cells.join(decisions.select("bundle_id", "selection"), "bundle_id").where(
+    return rows.join(decisions.select("bundle_id", "selection"), "bundle_id").where(
         F.when(chosen == "SF", url & (c("source") == "SF"))
         .when(chosen == "SF_AHREFS_GSC", url & c("source").isin("SF", "AHREFS", "GSC"))
         .when(chosen == "GSC_SNIPPET", url & ((c("source") == "GSC") | ((c("source") == "SF") & c("snippet_issue"))))
@@ -229,15 +238,24 @@ def support(decisions: DataFrame, cells: DataFrame) -> DataFrame:
         .when(chosen == "TOPIC", c("on_topic")).when(chosen == "TOPIC_FRESH", c("on_topic") & c("fresh"))
         .otherwise(False))
 
-    def reference(source):
-        return F.max(F.when(c("source") == source, c("reference"))).alias(f"{source.lower()}_evidence_ref")
 
-    words = [F.sum(f"w{i}").cast("string") for i in range(8)]
+def support(decisions: DataFrame, cells: DataFrame) -> DataFrame:
+    """Counts and an order-free signature of the evidence each decision rests on."""
+    c = F.col
+    rows = selected(decisions, cells)
+    words = [F.sum(w).cast("string") for w in ("w0", "w1")]
     return rows.groupBy("bundle_id").agg(
         F.sum("n").alias("evidence_count"),
         sum((F.max(F.when(c("source") == name, 1).otherwise(0)) for name in SOURCE_CLASS), F.lit(0)).cast("long").alias("independent_family_count"),
         F.coalesce(F.sum(F.when(~c("fresh"), c("n"))), F.lit(0)).alias("stale_count"), F.coalesce(F.sum(F.when(c("conflicting"), c("n"))), F.lit(0)).alias("conflict_count"),
-        reference("AHREFS"), reference("GSC"), reference("SF"), F.sha2(F.concat_ws(",", *words), 256).alias("evidence_signature"))
+        F.sha2(F.concat_ws(",", *words), 256).alias("evidence_signature"))
+
+
+def source_references(decisions: DataFrame, scoped: DataFrame) -> DataFrame:
+    """One pin per source family behind each decision: the last evidence id in order."""
+    rows = selected(decisions, scoped)
+    return rows.groupBy("bundle_id").agg(*[
+        F.max(F.when(F.col("source") == s, F.col("evidence_id"))).alias(f"{s.lower()}_evidence_ref") for s in ("AHREFS", "GSC", "SF")])
 
 
 # --- Score and confidence ---------------------------------------------------------------------------------
@@ -265,7 +283,7 @@ def candidate_score(decisions: DataFrame) -> DataFrame:
     none = F.lit(None).cast("int")
     profile = F.when(F.col("recommended_action") == "CREATE_NEW", "new").otherwise("existing")
     return score(decisions, profile, {
-        "demand": volume_band(F.col("score_volume")), "traction": traction_band(s["impressions"], s["position"], s["ctr"], s["coverage"]),
+        "demand": volume_band(F.col("score_volume")), "traction": traction_band(s["impressions"], s["position"], s["ctr"], F.when(s["complete"], "COMPLETE_WITHIN_SCOPE")),
         "business": none, "attainability": F.col("attainability"), "geo": none, "execution": F.col("execution")})
 
 
