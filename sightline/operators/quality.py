@@ -269,10 +269,13 @@ def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     Both sides are counted per distinct row before they meet, so equal rows do not travel.
     """
     columns = left.columns
-    tagged = left.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).withColumn("m", F.lit(0).cast("long")).unionByName(
-        right.select(*columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("m")).withColumn("n", F.lit(0).cast("long")))
-    both = tagged.groupBy(*columns).agg(F.sum("n").alias("left_rows"), F.sum("m").alias("right_rows"))
-    return both.where("left_rows <> right_rows")
+
+    def counted(rows, mine, other):
+        return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(mine)).withColumn(other, F.lit(0).cast("long"))
+
+    both = counted(left, "_left", "_right").unionByName(counted(right.select(*columns), "_right", "_left"))
+    sums = both.groupBy(*columns).agg(F.sum("_left").alias("left_rows"), F.sum("_right").alias("right_rows"))
+    return sums.where("left_rows <> right_rows")
 
 
 def missing_from(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
