@@ -3,7 +3,9 @@
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from sightline.operators.ordered import row_numbers
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
@@ -46,6 +48,13 @@ VIEWS = {
 }
 
 
+def revision_log(orders: DataFrame) -> DataFrame:
+    """The ``revision_log`` view without a window over the customer, who may hold very many orders."""
+    rows = orders.select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("record"), F.to_date("o_orderdate").alias("as_of"),
+                         F.col("o_orderstatus").alias("status"), F.floor("o_totalprice").alias("value"))
+    return row_numbers(rows, "as_of", "record", "revision", keys=["id"])
+
+
 class Tables:
     """Lazy access to the parquet tables of one data folder and to the views over them."""
 
@@ -55,6 +64,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name == "revision_log":
+            return revision_log(self.orders)
         if name in VIEWS:
             return self.sql(VIEWS[name])
         raise AttributeError(name)

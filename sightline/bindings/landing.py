@@ -41,7 +41,7 @@ def behaviour_rows(t):
     day = F.date_format("ts", "yyyyMMdd")
     dims = F.array(cell(day), cell(F.lit("h.example")), cell(C("user_id")), cell(C("event_type")))
     metrics = F.array(cell(F.when(C("event_id") % 5 == 0, "(none)").otherwise(C("event_id").cast("string"))), cell(F.round("value", 2)))
-    pages = t.events.groupBy("user_id", F.to_date("ts")).agg(F.collect_list(F.struct(dims.alias("dimension_values"), metrics.alias("metric_values"))).alias("rows")).select(
+    pages = t.events.groupBy("user_id", F.to_date("ts"), F.floor(C("event_id") / 1000)).agg(F.collect_list(F.struct(dims.alias("dimension_values"), metrics.alias("metric_values"))).alias("rows")).select(
         F.lit("s").alias("site"), F.lit("p").alias("property"), "rows")
     out = landing.behaviour_rows(pages)
     return out.select("date", "channel", C("landing_page").cast("long").alias("page"), "sessions", "engaged")
@@ -114,7 +114,7 @@ def bad_calls(t):
 @query("A6_json_rows", "SELECT o_custkey, o_orderkey AS page, CAST(floor(o_totalprice) AS BIGINT) AS clicks FROM orders")
 def json_rows(t):
     row = F.struct(C("o_orderkey").alias("page"), F.floor("o_totalprice").alias("clicks"))
-    documents = t.orders.groupBy("o_custkey", "o_orderstatus").agg(F.to_json(F.struct(F.struct(F.collect_list(row).alias("rows")).alias("search"))).alias("payload")).drop("o_orderstatus")
+    documents = t.orders.groupBy("o_custkey", F.floor(C("o_orderkey") / 100).alias("part")).agg(F.to_json(F.struct(F.struct(F.collect_list(row).alias("rows")).alias("search"))).alias("payload")).drop("part")
     return landing.json_rows(documents, "payload", "$.search.rows", {"page": "long", "clicks": "long"})
 
 
@@ -126,8 +126,8 @@ def json_path(t):
 # --- Crawl files ------------------------------------------------------------------------------------------
 
 def overview(t):
-    """Each customer's orders as a sectioned overview file, one section per order status."""
-    spans = t.orders.select(C("o_custkey").alias("crawl_id"), "o_orderstatus", "o_orderkey", "o_totalprice")
+    """Every hundred orders as a sectioned overview file, one section per order status."""
+    spans = t.orders.select(F.floor(C("o_orderkey") / 100).alias("crawl_id"), "o_orderstatus", "o_orderkey", "o_totalprice")
     heads = spans.select("crawl_id", "o_orderstatus").distinct().select("crawl_id", C("o_orderstatus").alias("s"), F.lit(-1).cast("long").alias("k"), C("o_orderstatus").alias("line"))
     metric = F.concat(F.lit("Label "), "o_orderkey", F.lit(',"'), F.format_number(F.floor("o_totalprice"), 0), F.lit('",'), (C("o_orderkey") % 100).cast("string"), F.lit("%,10,URLs"))
     body = spans.select("crawl_id", C("o_orderstatus").alias("s"), C("o_orderkey").alias("k"), metric.alias("line"))
@@ -136,12 +136,12 @@ def overview(t):
 
 
 @query("A7_crawl_overview", """
-SELECT o_custkey AS crawl_id, o_orderstatus AS section, 'Label ' || o_orderkey AS label, CAST(floor(o_totalprice) AS BIGINT) AS count, round((o_orderkey % 100) / 100.0::DOUBLE, 6) AS share FROM orders""")
+SELECT o_orderkey // 100 AS crawl_id, o_orderstatus AS section, 'Label ' || o_orderkey AS label, CAST(floor(o_totalprice) AS BIGINT) AS count, round((o_orderkey % 100) / 100.0::DOUBLE, 6) AS share FROM orders""")
 def crawl_overview(t):
     return rounded(landing.crawl_overview(overview(t)).select("crawl_id", "section", "label", "count", "share"), "share")
 
 
-@query("E12_section_fill", "SELECT o_custkey AS crawl_id, o_orderstatus AS section, COUNT(*) AS lines FROM orders GROUP BY 1, 2")
+@query("E12_section_fill", "SELECT o_orderkey // 100 AS crawl_id, o_orderstatus AS section, COUNT(*) AS lines FROM orders GROUP BY 1, 2")
 def section_fill(t):
     return landing.crawl_overview(overview(t)).groupBy("crawl_id", "section").agg(F.count(F.lit(1)).alias("lines"))
 
@@ -184,7 +184,7 @@ def vitals_missing(t):
 @query("A9_vitals_history", "SELECT user_id AS origin, event_type AS form_factor, 'lcp' AS metric, CAST(ts AS DATE) AS last_day, round(value, 6) AS p75 FROM events")
 def vitals_history(t):
     day = F.struct(F.year("ts").alias("year"), F.month("ts").alias("month"), F.day("ts").alias("day"))
-    arrays = t.events.groupBy(C("user_id").alias("origin"), C("event_type").alias("form_factor"), F.to_date("ts")).agg(
+    arrays = t.events.groupBy(C("user_id").alias("origin"), C("event_type").alias("form_factor"), F.to_date("ts"), F.floor(C("event_id") / 1000)).agg(
         F.collect_list(F.struct(C("value").cast("string").alias("v"), day.alias("d"))).alias("a"))
     shaped = arrays.select("origin", "form_factor", F.lit("lcp").alias("metric"), F.transform("a", lambda x: x["v"]).alias("p75s"), F.transform("a", lambda x: x["d"]).alias("last_days"))
     return rounded(landing.vitals_history(shaped), "p75")
@@ -401,9 +401,9 @@ def page_states(t):
 
 
 @query("K21_sample_errors", """
-SELECT o_custkey AS sample_id, COUNT(DISTINCT o_orderkey) AS population, CASE WHEN bool_or(o_orderkey % 9 = 0) THEN 'UNMAPPED_PROMPT' END AS problem FROM orders GROUP BY 1""")
+SELECT o_orderkey // 50 AS sample_id, COUNT(DISTINCT o_orderkey) AS population, CASE WHEN bool_or(o_orderkey % 9 = 0) THEN 'UNMAPPED_PROMPT' END AS problem FROM orders GROUP BY 1""")
 def sample_errors(t):
-    samples = t.orders.groupBy(C("o_custkey").alias("sample_id")).agg(F.collect_list(C("o_orderkey").cast("string")).alias("prompt_ids")).withColumns({
+    samples = t.orders.groupBy(F.floor(C("o_orderkey") / 50).alias("sample_id")).agg(F.collect_list(C("o_orderkey").cast("string")).alias("prompt_ids")).withColumns({
         "sample_version": F.lit("v1"), "status": F.lit("ACTIVE"), "effective_from": F.lit("2001-01-01").cast("date"), "effective_to": F.lit(None).cast("date")})
     prompts = t.orders.where("o_orderkey % 9 <> 0").select(C("o_orderkey").cast("string").alias("prompt_id"))
     return normalise.sample_errors(samples, prompts).select("sample_id", "population", "problem")

@@ -12,6 +12,8 @@ from sightline.functions.numbers import finite, fixed, ratio
 from sightline.operators import ordered
 
 MAX_BINS = 16
+GRID_PARTS = 32
+SMALL_LIMIT = 100
 
 
 # --- Distributions ----------------------------------------------------------------------------------------
@@ -87,7 +89,8 @@ def _additive(rows: DataFrame, category: str, value: str, group: str | None = No
 def _leaders(peaks: DataFrame, category: str, value: str, limit: int, preserve: list[str]) -> DataFrame:
     """The categories that keep their own row: preserved ones, then the largest, one place left for "Other"."""
     chosen = peaks.withColumn("_kept", F.when(F.col(category).isin(list(preserve)), 0).otherwise(1))
-    return chosen.orderBy("_kept", F.desc(value), category).limit(limit - 1).select(F.col(category).alias("_leader"))
+    leaders = chosen.orderBy("_kept", F.desc(value), category).limit(limit - 1).select(F.col(category).alias("_leader"))
+    return F.broadcast(leaders) if limit <= SMALL_LIMIT else leaders
 
 
 def top_categories(rows: DataFrame, category: str, value: str, limit: int = 7, preserve: list[str] = ()) -> DataFrame:
@@ -100,7 +103,7 @@ def top_categories(rows: DataFrame, category: str, value: str, limit: int = 7, p
     if len(set(preserve)) >= limit:
         return rows.select(category, value)
     leaders = _leaders(rows, category, value, limit, preserve)
-    marked = rows.join(F.broadcast(leaders), rows[category] == leaders["_leader"], "left")
+    marked = rows.join(leaders, F.col(category) == F.col("_leader"), "left")
     label = F.when(foldable & F.col("_leader").isNull(), "Other").otherwise(F.col(category))
     return marked.groupBy(label.alias(category)).agg(F.sum(value).alias(value))
 
@@ -111,7 +114,7 @@ def top_series(rows: DataFrame, group: str, category: str, value: str, limit: in
     size = peaks.agg(F.count(F.lit(1)).alias("n")).scalar()
     foldable = F.coalesce(_additive(rows, category, value, group), F.lit(False)) & (size > limit)
     leaders = _leaders(peaks, category, value, limit, preserve)
-    marked = rows.join(F.broadcast(leaders), rows[category] == leaders["_leader"], "left")
+    marked = rows.join(leaders, F.col(category) == F.col("_leader"), "left")
     label = F.when(foldable & F.col("_leader").isNull(), "Other").otherwise(F.col(category))
     return marked.groupBy(group, label.alias(category)).agg(F.sum(value).alias(value))
 
@@ -148,7 +151,7 @@ def heatmap(rows: DataFrame, x: str, y: str, value: str, gaps: bool = False) ->
     """Every x with every y that occurs, a missing cell being null or zero, with an intensity on 0..1.
 
     The zero-based scale gives way to the observed range when all values lie close together at the top.
-    The y axis of a chart is short; it rides along as one array instead of a join of the two axes.
+    The grid itself is the result asked for; it is laid out by parts of the y axis, so no axis is held in one place.
     """
     cells = rows.groupBy(x, y).agg(F.sum(value).alias("value"))
     present = cells.agg(F.min("value").alias("low"), F.max("value").alias("high")).select(
@@ -157,8 +160,9 @@ def heatmap(rows: DataFrame, x: str, y: str, value: str, gaps: bool = False) ->
     top, bottom = F.greatest(high, F.lit(0.0)), F.least(low, F.lit(0.0))
     compressed = (low > 0) & (top > low) & (low / top > 0.7)
     minimum = F.when(compressed, low).otherwise(bottom)
-    axis = cells.agg(F.array_sort(F.collect_set(y)).alias("axis")).scalar()
-    grid = cells.select(x).distinct().withColumn(y, F.explode(axis))
+    columns = cells.select(x).distinct().withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(GRID_PARTS - 1))))
+    lines = cells.select(y).distinct().withColumn("_part", F.pmod(F.hash(y), F.lit(GRID_PARTS)))
+    grid = columns.join(lines, "_part").drop("_part")
     blank = F.lit(None).cast("double") if gaps else F.lit(0.0)
     return grid.join(cells, [x, y], "left").select(
         x, y, F.coalesce(F.col("value").cast("double"), blank).alias("value"), F.col("value").isNull().alias("missing"),

@@ -148,24 +148,36 @@ def issue_demand(issues: DataFrame, demand: DataFrame, keys: list[str]) -> tuple
     return issues.join(wanted, keys, "left_semi"), issues.join(wanted, keys, "left_anti")
 
 
+MAX_PATTERNS = 1000
+
+
 def brand_class(queries: DataFrame, text: str, dictionary: DataFrame) -> DataFrame:
     """Class of each distinct query text by an approved dictionary: exact, then contained, then pattern terms.
 
-    ``dictionary`` is a reviewed list of terms; it travels as one array per rule, and a text is tested against
-    the array in place, so there is no product of texts and terms.  A text nothing matches is Non-brand.
+    Exact terms join on the text.  Contained terms join on the substrings a text has in the lengths the terms have,
+    so neither rule needs a product or a bound.  Patterns can only be tried one by one; they travel as one array,
+    and more than a thousand of them stop the job.  A text nothing matches is Non-brand.
     """
-    approved = dictionary.where("status = 'Approved'")
-
-    def terms(rule):
-        return approved.where(F.col("rule") == rule).agg(F.array_sort(F.collect_set(F.struct(
-            F.lower("term").alias("term"), "class"))).alias("t")).scalar()
-
-    def hit(rule, test):
-        return F.get(F.filter(F.col(f"_{rule}"), lambda d: test(F.lower(F.col(text)), d["term"])), F.lit(0))["class"]
-
-    rules = {"Exact": lambda name, term: name == term, "Contains": F.contains, "Regex": F.regexp}
-    texts = queries.select(text).distinct().withColumns({f"_{rule}": terms(rule) for rule in rules})
-    classified = texts.select(text, F.coalesce(*[hit(rule, test) for rule, test in rules.items()], F.lit("Non-brand")).alias("brand_class"))
+    approved = dictionary.where("status = 'Approved'").select("rule", F.lower("term").alias("term"), "class")
+    texts = queries.select(text).distinct().withColumn("_name", F.lower(F.col(text)))
+
+    def of(rule):
+        return approved.where(F.col("rule") == rule).groupBy("term").agg(F.min("class").alias("class"))
+
+    exact = texts.join(of("Exact").select(F.col("term").alias("_name"), F.col("class").alias("_exact")), "_name").select(text, "_exact")
+    contained = of("Contains")
+    lengths = contained.agg(F.collect_set(F.length("term")).alias("l")).scalar()
+    pieces = (texts.withColumn("_length", F.explode(lengths)).where(F.length("_name") >= F.col("_length"))
+              .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_name") - F.col("_length") + 1)))
+              .select(text, F.substring(F.col("_name"), F.col("_at"), F.col("_length")).alias("term")))
+    inside = pieces.join(contained, "term").groupBy(text).agg(F.min(F.struct("term", "class"))["class"].alias("_inside"))
+    patterns = of("Regex").agg(F.array_sort(F.collect_set(F.struct("term", "class"))).alias("p"))
+    checked = patterns.select(F.when(F.size("p") <= MAX_PATTERNS, F.col("p")).otherwise(
+        F.raise_error(F.lit("too many pattern terms")).cast(patterns.schema["p"].dataType)).alias("p")).scalar()
+    tried = texts.withColumn("_patterns", checked).select(text, F.get(F.filter(
+        "_patterns", lambda d: F.regexp(F.lower(F.col(text)), d["term"])), F.lit(0))["class"].alias("_pattern"))
+    classified = tried.join(exact, text, "left").join(inside, text, "left").select(
+        text, F.coalesce("_exact", "_inside", "_pattern", F.lit("Non-brand")).alias("brand_class"))
     return queries.join(classified, text, "left")
 
 
