@@ -1,13 +1,16 @@
 """Exact order statistics that never pull a whole group, or a whole table, into one task.
 
 A plain ``window`` without partitions (or over one hot key) sorts everything in a single task.  Here the
-order column is cut into equal-width slices, slice totals are accumulated in a small window, and only the
+order column is cut into slices of its range, slice totals are accumulated in a small window, and only the
 rows of one slice are sorted together.  Slices depend on the data alone, so a retried task sees the same ones.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICES = 1024
+TAIL = 1e12
 
 
 def _numeric(column: Column, kind: str) -> Column:
@@ -19,7 +22,7 @@ def _numeric(column: Column, kind: str) -> Column:
 
 
 def _sliced(df: DataFrame, keys: list[str], order: str, slices: int) -> DataFrame:
-    """Add ``_slice``, the equal-width slice of ``order`` within its group."""
+    """Add ``_slice``, the slice of ``order``'s range within its group."""
     position = _numeric(F.col(order), dict(df.dtypes)[order])
     edges = (df.groupBy(*keys) if keys else df.groupBy(F.lit(0).alias("_all"))).agg(
         F.min(position).alias("_low"), F.max(position).alias("_high"))
@@ -30,8 +33,10 @@ def _sliced(df: DataFrame, keys: list[str], order: str, slices: int) -> DataFram
         placed = df
         low, high = edges.select("_low").scalar(), edges.select("_high").scalar()
     part = F.coalesce(F.try_divide(position - low, high - low), F.lit(0.0))
-    return placed.withColumn("_slice", F.least(F.floor(part * slices), F.lit(slices - 1)).cast("int")).drop(
-        "_low", "_high")
+    # Half linear, half logarithmic: both rise with the value, so order is kept, and a long tail does not
+    # leave nearly all values in the first slice.
+    spread = (part + F.log1p(part * TAIL) / math.log1p(TAIL)) / 2
+    return placed.withColumn("_slice", F.least(F.floor(spread * slices), F.lit(slices - 1)).cast("int")).drop("_low", "_high")
 
 
 def before_value(df: DataFrame, order: str, amount: Column, keys: list[str] = (), descending: bool = False,

@@ -82,3 +82,12 @@ def test_top_categories_refuses_what_it_cannot_sum(spark):
     assert {r.c: r.v for r in total([]).collect()} == {"c0": 0.0, "c9": 9.0, "c8": 8.0, "Other": 28.0}
     for bad in ([("x", -1.0)], [("Other", 1.0)], [("c1", 1.0)], [("", 1.0)], [("x", None)]):
         assert "Other" not in {r.c for r in total(bad).collect()} - {"Other" if bad[0][0] == "Other" else None}
+
+
+def test_long_tail_is_spread_over_slices(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(rng.lognormal(0, 4, 4000))], "id long, v double")
+    sizes = [r["count"] for r in ordered._sliced(df, [], "v", 1024).groupBy("_slice").count().collect()]
+    assert max(sizes) < 400
+    got = [r.id for r in ordered.row_numbers(df, "v", "id").orderBy("row_number").collect()]
+    assert got == [r.id for r in df.orderBy("v", "id").collect()]
