@@ -3,12 +3,17 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sightline.llm import byte_bpe, exact_dedup, parity_join, sharding
+from sightline.llm import byte_bpe, exact_dedup, parity_join, sharding, warc
 from sightline.llm.common import digest_text, one_space, table
 
 TOKENIZER, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_warc(spark, folder):
+    """Every page written to archives and read back."""
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def op2_exact_dedup(spark, folder):
     groups = exact_dedup.exact_groups(table(spark, folder, "documents"), hash_all=True)
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("full_hash")).alias("text_sha256"))
@@ -31,7 +36,7 @@ def op10_byte_bpe(spark, folder):
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op5_ngram_jaccard, op8_sharding, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op5_ngram_jaccard, op8_sharding, op10_byte_bpe)}
 ORACLES = {
     "op2_exact_dedup": r"""
         WITH folded AS (SELECT doc_id, regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
