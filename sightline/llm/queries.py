@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sightline.llm import byte_bpe, exact_dedup, parity_join, sharding, warc
+from sightline.llm import byte_bpe, decontaminate, exact_dedup, parity_join, sharding, warc
 from sightline.llm.common import digest_text, one_space, table
 
 TOKENIZER, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -23,6 +23,11 @@ def op5_ngram_jaccard(spark, folder):
     return parity_join.near_groups(table(spark, folder, "documents"))
 
 
+def op7_decontamination(spark, folder):
+    """Documents that hold a passage of the benchmark, by item."""
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_sharding(spark, folder):
     return sharding.shard_documents(table(spark, folder, "documents"))
 
@@ -36,7 +41,7 @@ def op10_byte_bpe(spark, folder):
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op5_ngram_jaccard, op8_sharding, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op5_ngram_jaccard, op7_decontamination, op8_sharding, op10_byte_bpe)}
 ORACLES = {
     "op2_exact_dedup": r"""
         WITH folded AS (SELECT doc_id, regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
