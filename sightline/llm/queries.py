@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sightline.llm import byte_bpe, decontaminate, exact_dedup, parity_join, sharding, warc
+from sightline.llm import byte_bpe, decontaminate, exact_dedup, language_id, parity_join, sharding, warc
 from sightline.llm.common import digest_text, one_space, table
 
 TOKENIZER, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -19,6 +19,10 @@ def op2_exact_dedup(spark, folder):
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("full_hash")).alias("text_sha256"))
 
 
+def op4_language_id(spark, folder):
+    return language_id.identify(table(spark, folder, "documents"))
+
+
 def op5_ngram_jaccard(spark, folder):
     return parity_join.near_groups(table(spark, folder, "documents"))
 
@@ -41,7 +45,7 @@ def op10_byte_bpe(spark, folder):
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op5_ngram_jaccard, op7_decontamination, op8_sharding, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op4_language_id, op5_ngram_jaccard, op7_decontamination, op8_sharding, op10_byte_bpe)}
 ORACLES = {
     "op2_exact_dedup": r"""
         WITH folded AS (SELECT doc_id, regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
