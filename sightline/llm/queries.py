@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sightline.llm import byte_bpe, decontaminate, exact_dedup, language_id, parity_join, sharding, warc
+from sightline.llm import byte_bpe, decontaminate, exact_dedup, language_id, parity_join, personal_data, sharding, warc
 from sightline.llm.common import digest_text, one_space, table
 
 TOKENIZER, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -36,6 +36,10 @@ def op8_sharding(spark, folder):
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def op9_personal_data(spark, folder):
+    return personal_data.summary(personal_data.personal_spans(table(spark, folder, "documents")))
+
+
 def op10_byte_bpe(spark, folder):
     """Ids and the bytes they stand for, as counts and digests."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -45,7 +49,7 @@ def op10_byte_bpe(spark, folder):
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op4_language_id, op5_ngram_jaccard, op7_decontamination, op8_sharding, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op4_language_id, op5_ngram_jaccard, op7_decontamination, op8_sharding, op9_personal_data, op10_byte_bpe)}
 ORACLES = {
     "op2_exact_dedup": r"""
         WITH folded AS (SELECT doc_id, regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
