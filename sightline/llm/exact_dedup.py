@@ -1,6 +1,6 @@
 """Exact duplicates by progressive refinement: length, then prefix hash, then full hash."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sightline.llm.common import one_space, settle
 
@@ -8,6 +8,10 @@ from sightline.llm.common import one_space, settle
 PREFIX_CHARS = 256
 
 
+def full_hash(text: Column) -> Column:
+    return F.unhex(F.sha2(F.encode(text, "UTF-8"), 256))
+
+
 def exact_groups(docs: DataFrame, prefix_chars: int = PREFIX_CHARS, hash_all: bool = False) -> DataFrame:
     """Groups of documents whose texts are equal after folding white space.
 
@@ -30,8 +34,7 @@ def exact_groups(docs: DataFrame, prefix_chars: int = PREFIX_CHARS, hash_all: bo
     rows = (base.select("doc_id", "_text", size.alias("_size"), prefix.alias("_prefix"))
             .join(survivors, ["_size", "_prefix"], "left"))
     shared = F.coalesce("_shared", F.lit(False))
-    full = F.unhex(F.sha2(F.encode("_text", "UTF-8"), 256))
-    hashed = settle(rows.select("doc_id", "_size", shared.alias("_shared"), F.when(shared | F.lit(hash_all), full).alias("full_hash")))
+    hashed = settle(rows.select("doc_id", "_size", shared.alias("_shared"), F.when(shared | F.lit(hash_all), full_hash(F.col("_text"))).alias("full_hash")))
 
     groups = (hashed.where("_shared").groupBy("full_hash", F.col("_size").alias("_of_size"))
               .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")).drop("_of_size"))
@@ -42,7 +45,9 @@ def exact_groups(docs: DataFrame, prefix_chars: int = PREFIX_CHARS, hash_all: bo
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of equal texts: the one with the smallest id, once if it is repeated."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    stays = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
-    return stays.dropDuplicates(["doc_id"])
+    """``docs`` with one document of each group of equal texts: the one with the smallest id, once if it is repeated.
+    Of texts that only rows without an id have, one row stays."""
+    kept = exact_groups(docs, hash_all=True).where("kept").select(F.col("doc_id").alias("_id"), F.col("full_hash").alias("_hash")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), full_hash(one_space(F.col("text"))).alias("own_hash"))
+    stays = rows.join(kept, F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_hash") == F.col("_hash")), "left_semi")
+    return stays.dropDuplicates(["own_id", "own_hash"]).select("row.*")

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sightline.llm import byte_bpe, decontaminate, exact_dedup, language_id, parity_join, personal_data, sharding, warc
+from sightline.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, licences, parity_join, personal_data, sharding, warc
 from sightline.llm.common import digest_text, one_space, table
 
 TOKENIZER, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -19,6 +19,10 @@ def op2_exact_dedup(spark, folder):
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("full_hash")).alias("text_sha256"))
 
 
+def op3_html_text(spark, folder):
+    return html_text.page_texts(table(spark, folder, "pages"))
+
+
 def op4_language_id(spark, folder):
     return language_id.identify(table(spark, folder, "documents"))
 
@@ -27,6 +31,10 @@ def op5_ngram_jaccard(spark, folder):
     return parity_join.near_groups(table(spark, folder, "documents"))
 
 
+def op6_licences(spark, folder):
+    return licences.scan(table(spark, folder, "documents"))
+
+
 def op7_decontamination(spark, folder):
     """Documents that hold a passage of the benchmark, by item."""
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -49,8 +57,9 @@ def op10_byte_bpe(spark, folder):
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op4_language_id, op5_ngram_jaccard, op7_decontamination, op8_sharding, op9_personal_data, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op3_html_text, op4_language_id, op5_ngram_jaccard, op6_licences, op7_decontamination, op8_sharding, op9_personal_data, op10_byte_bpe)}
 ORACLES = {
+    "op6_licences": licences.scan_sql(),
     "op2_exact_dedup": r"""
         WITH folded AS (SELECT doc_id, regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, MIN(doc_id) OVER (PARTITION BY t) AS keep_id, COUNT(*) OVER (PARTITION BY t) AS group_size,
