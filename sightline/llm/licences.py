@@ -36,8 +36,9 @@ RULES = {
     "by-by-reference": ("CC-BY-4.0", ["by-reference"]),
     "bsd-in-full": ("BSD-2-Clause", ["bsd-permission", "bsd-source", "bsd-binary"]),
 }
-#: A sentence ends at these marks before white space or the end, and at each line end.
-SENTENCE_END = r"[.!?:]+([ \t\r\n]|\z)"
+#: A sentence ends at these marks before white space or the end.  It is also tried up to each line end, since a notice
+#: often stands on a line of its own; a wrapped sentence is tried as a whole.
+SENTENCE_END, ENDED = r"[.!?]+([ \t\r\n]|\z)", "\x01"
 
 
 def plain(sentence: str) -> str:
@@ -51,10 +52,17 @@ def cue() -> str:
 
 
 def sentences(docs: DataFrame) -> DataFrame:
-    """The normalised sentences of texts that may hold a known one: ``row``, ``doc_id``, ``at`` (from 0), ``sentence``."""
+    """The normalised sentences of texts that may hold a known one: ``row``, ``doc_id``, ``at`` (the piece in
+    which it starts, from 0), ``sentence``."""
     likely = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").where(F.col("text").rlike(cue()))
-    cut = likely.select("row", "doc_id", F.posexplode(F.split(F.regexp_replace("text", SENTENCE_END, "\n"), "\n")).alias("at", "_sentence"))
-    return cut.select("row", "doc_id", "at", F.trim(F.regexp_replace(F.lower("_sentence"), "[^a-z0-9]+", " ")).alias("sentence"))
+    cut = likely.select("row", "doc_id", F.posexplode(F.split(F.regexp_replace("text", SENTENCE_END, f"{ENDED}\n"), "\n")).alias("at", "_line"))
+    words = F.trim(F.regexp_replace(F.lower("_line"), "[^a-z0-9]+", " "))
+    lines = cut.select("row", "doc_id", "at", words.alias("sentence"), (F.col("_line").endswith(ENDED) | (words == "")).alias("_ends"))
+    before = Window.partitionBy("row").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    wrapped = (lines.withColumn("_nth", F.coalesce(F.sum(F.col("_ends").cast("int")).over(before), F.lit(0)))
+               .where("sentence <> ''").groupBy("row", "doc_id", "_nth").agg(F.array_sort(F.collect_list(F.struct("at", "sentence"))).alias("_lines")).where("size(_lines) > 1")
+               .select("row", "doc_id", F.col("_lines")[0]["at"].alias("at"), F.trim(F.array_join(F.col("_lines.sentence"), " ")).alias("sentence")))
+    return lines.select("row", "doc_id", "at", "sentence").unionByName(wrapped)
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -87,9 +95,13 @@ def scan_sql() -> str:
     steps = ", ".join(f"({quoted(rule)}, {quoted(licence)}, {k}, {quoted(name)}, {len(names)})" for rule, (licence, names) in RULES.items() for k, name in enumerate(names))
     return rf"""
         WITH known(name, sentence) AS (VALUES {known}), steps(rule, licence, step, name, steps) AS (VALUES {steps}),
-        cut AS (SELECT doc_id, string_split(regexp_replace(text, '{SENTENCE_END}', chr(10), 'g'), chr(10)) AS parts FROM documents),
+        cut AS (SELECT doc_id, string_split(regexp_replace(text, '{SENTENCE_END}', chr(1) || chr(10), 'g'), chr(10)) AS parts FROM documents),
         each AS (SELECT doc_id, UNNEST(parts) AS part, UNNEST(range(len(parts))) AS pos FROM cut),
-        found AS (SELECT doc_id, pos, name, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY pos) AS nth
-                  FROM each JOIN known ON known.sentence = trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')))
+        lines AS (SELECT doc_id, pos, trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) AS sentence, ends_with(part, chr(1)) AS marked FROM each),
+        counted AS (SELECT *, COALESCE(SUM(CASE WHEN marked OR sentence = '' THEN 1 ELSE 0 END)
+                        OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS grp FROM lines),
+        every_one AS (SELECT doc_id, pos, sentence FROM lines UNION ALL
+                      SELECT doc_id, MIN(pos), trim(string_agg(sentence, ' ' ORDER BY pos)) FROM counted WHERE sentence <> '' GROUP BY doc_id, grp HAVING COUNT(*) > 1),
+        found AS (SELECT doc_id, pos, name, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY pos) AS nth FROM every_one JOIN known USING (sentence))
         SELECT doc_id, licence, rule, MIN(pos) AS first_sentence, MAX(pos) AS last_sentence
         FROM found JOIN steps USING (name) GROUP BY doc_id, licence, rule, steps, nth - step HAVING COUNT(*) = steps"""
