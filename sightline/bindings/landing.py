@@ -48,9 +48,9 @@ def behaviour_rows(t):
 
 
 def envelopes(t):
-    """One daily behaviour envelope per site and day, channels from two event types; some are broken on purpose."""
-    daily = t.events.where(C("event_type").isin("view", "click")).select(
-        (C("user_id") % 3).alias("site"), F.to_date("ts").alias("day"), F.when(C("event_type") == "view", "Organic Search").otherwise("AI Assistant").alias("channel"), "value")
+    """One daily behaviour envelope per site and day, channels from all event types; some are broken on purpose."""
+    daily = t.events.select(
+        (C("user_id") % 97).alias("site"), F.to_date("ts").alias("day"), F.when(C("event_type").isin("view", "signup", "purchase"), "Organic Search").otherwise("AI Assistant").alias("channel"), "value")
     groups = daily.groupBy("site", "day", "channel").agg(F.count(F.lit(1)).alias("sessions"), F.count_if(C("value") > 30).alias("engaged"))
 
     def cells(*parts):
@@ -71,7 +71,7 @@ def envelopes(t):
     return landed, scope
 
 
-ENVELOPE_SQL = """g AS (SELECT user_id % 3 AS site, CAST(ts AS DATE) AS d, event_type, COUNT(*) AS s, COUNT(*) FILTER (value > 30) AS e FROM events WHERE event_type IN ('view', 'click') GROUP BY 1, 2, 3),
+ENVELOPE_SQL = """g AS (SELECT user_id % 97 AS site, CAST(ts AS DATE) AS d, CASE WHEN event_type IN ('view', 'signup', 'purchase') THEN 'view' ELSE 'click' END AS event_type, COUNT(*) AS s, COUNT(*) FILTER (value > 30) AS e FROM events GROUP BY 1, 2, 3),
 n AS (SELECT *, COUNT(*) OVER (PARTITION BY site, d) = 2 AS complete FROM g)"""
 
 
@@ -394,8 +394,8 @@ def result_rows(t):
 
 @query("K20_page_states", """
 WITH l AS (SELECT l_orderkey AS k, COUNT(*) AS n, COUNT(DISTINCT l_linenumber) AS d FROM lineitem GROUP BY 1)
-SELECT o_orderkey AS snapshot_id, CASE WHEN d < n THEN 'DUPLICATE_RANK' END AS problem, CASE WHEN o_orderkey % 13 = 0 OR n IS NULL THEN 'FAILED' WHEN n > 30 THEN 'PARTIAL' ELSE 'SUCCESS' END AS collection_status,
-  CASE WHEN o_orderkey % 13 = 0 OR n IS NULL THEN 'FAILED' ELSE 'READY' END AS freshness_state, CASE WHEN o_orderkey % 13 = 0 OR n IS NULL THEN 0 ELSE LEAST(n, 30) END AS observed_results FROM orders LEFT JOIN l ON l.k = o_orderkey""")
+SELECT o_orderkey AS snapshot_id, CASE WHEN d < n THEN 'DUPLICATE_RANK' END AS problem, CASE WHEN o_orderkey % 13 = 0 OR n IS NULL THEN 'FAILED' ELSE 'SUCCESS' END AS collection_status,
+  CASE WHEN o_orderkey % 13 = 0 OR n IS NULL THEN 'FAILED' ELSE 'READY' END AS freshness_state, CASE WHEN o_orderkey % 13 = 0 OR n IS NULL THEN 0 ELSE n END AS observed_results FROM orders LEFT JOIN l ON l.k = o_orderkey""")
 def page_states(t):
     return normalise.result_page_states(landed_pages(t)).select("snapshot_id", "problem", "collection_status", "freshness_state", "observed_results")
 

@@ -235,17 +235,13 @@ def distribution_bars(t):
 
 
 def user_paths(t):
-    """First three event types of every user, with the number of events as amount."""
-    ranked = t.events.select("user_id", "event_type", F.row_number().over(
-        charts.Window.partitionBy("user_id").orderBy("event_id")).alias("rn")).where("rn <= 3")
-    return ranked.groupBy("user_id").agg(*[
-        F.max(F.when(F.col("rn") == i, F.col("event_type"))).alias(f"s{i}") for i in (1, 2, 3)],
-        F.count(F.lit(1)).alias("amount"))
+    """Every event with the two that follow it on the same day of its user, as a path of three stages."""
+    order = charts.Window.partitionBy("user_id", F.to_date("ts")).orderBy("event_id")
+    return t.events.select(F.col("event_type").alias("s1"), *[F.lead("event_type", i).over(order).alias(f"s{i + 1}") for i in (1, 2)], F.lit(1).cast("long").alias("amount"))
 
 
-PATHS_SQL = """p AS (SELECT user_id, MAX(CASE WHEN rn = 1 THEN event_type END) AS s1, MAX(CASE WHEN rn = 2 THEN event_type END) AS s2,
-    MAX(CASE WHEN rn = 3 THEN event_type END) AS s3, COUNT(*) AS amount
-  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events) WHERE rn <= 3 GROUP BY 1)"""
+PATHS_SQL = """p AS (SELECT event_type AS s1, LEAD(event_type) OVER w AS s2, LEAD(event_type, 2) OVER w AS s3, 1 AS amount
+  FROM events WINDOW w AS (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id))"""
 
 
 @query("D20_sankey", f"""
@@ -355,15 +351,14 @@ def search_rollup(t):
     return rounded(facts.search_rollup(t.search_daily), "ctr")
 
 
-WATERFALL_SQL = f"""w AS (SELECT site, month, CAST(SUBSTR(month, 6, 2) AS INTEGER) AS seq,
+WATERFALL_SQL = f"""w AS (SELECT site || SUBSTR(month, 1, 4) AS site, CAST(SUBSTR(month, 6, 2) AS INTEGER) AS seq,
     CASE WHEN SUBSTR(month, 6, 2) = '01' THEN 'Opening balance' ELSE month END AS label, CAST(SUM(clicks) AS DOUBLE) AS v
-  FROM (SELECT *, {MONTH} AS month FROM search_daily WHERE day BETWEEN DATE '1999-01-01' AND DATE '1999-12-31') GROUP BY 1, 2)"""
+  FROM (SELECT *, {MONTH} AS month FROM search_daily) GROUP BY site, month)"""
 
 
 def site_waterfall(t):
-    year = t.search_daily.where(F.col("day").between(F.lit("1999-01-01").cast("date"), F.lit("1999-12-31").cast("date")))
-    rows = year.groupBy("site", month_key(F.col("day")).alias("month")).agg(F.sum("clicks").cast("double").alias("v")).select(
-        "site", F.substring("month", 6, 2).cast("int").alias("seq"),
+    rows = t.search_daily.groupBy("site", month_key(F.col("day")).alias("month")).agg(F.sum("clicks").cast("double").alias("v")).select(
+        F.concat("site", F.substring("month", 1, 4)).alias("site"), F.substring("month", 6, 2).cast("int").alias("seq"),
         F.when(F.substring("month", 6, 2) == "01", "Opening balance").otherwise(F.col("month")).alias("label"), "v")
     return charts.waterfall(rows, "site", "seq", "label", "v", derive_ending=True)
 
@@ -675,9 +670,9 @@ def zoom_rows(t):
     return periods.zoom_rows(t.reviewed, "period", "1998-05-01", "1998-03-01")
 
 
-@query("B21_chart_columns", "SELECT period, CAST(clicks AS BIGINT) AS clicks, site FROM reviewed WHERE channel = 'all'")
+@query("B21_chart_columns", "SELECT period, CAST(clicks AS BIGINT) AS clicks, site FROM reviewed")
 def chart_columns(t):
-    return charts.chart_columns(t.reviewed.where("channel = 'all'"), ["period", "clicks"], ["site", "note"])
+    return charts.chart_columns(t.reviewed, ["period", "clicks"], ["site", "note"])
 
 
 @query("B22_bar_issues", """
@@ -687,9 +682,9 @@ def bar_issues(t):
     return charts.bar_issues(t.lineitem, "l_tax", "l_discount", ["l_quantity", "l_extendedprice"], "l_discount")
 
 
-@query("B23_filter_choices", "SELECT DISTINCT period AS choice FROM reviewed WHERE site = 'A' AND period <> 'all'")
+@query("B23_filter_choices", "SELECT DISTINCT period AS choice FROM reviewed WHERE period <> 'all'")
 def filter_choices(t):
-    return periods.filter_choices(t.reviewed.where("site = 'A'"), "period")
+    return periods.filter_choices(t.reviewed, "period")
 
 
 @query("C22_heatmap", f"""

@@ -47,6 +47,17 @@ def norm_url(t):
     return t.pages.select("page_id", urls.norm_url(F.col("url")).alias("normalized_url"))
 
 
+URL_EDGES = [("http://h.example:080/a", "http://h.example/a"), ("https://h.example:99999/a", None), ("http://[2001:DB8::1]:81/x", "http://[2001:db8::1]:81/x"),
+             ("http://@h.example/", "http://h.example/"), ("http://u@h.example/", None), ("http://a..b.example/", None), ("http://" + "a" * 70 + ".example/", None), ("https://h.example.:443", "https://h.example/")]
+
+
+@query("H2_url_edges", "SELECT o_orderkey, " + "CASE o_orderkey % 8 " + " ".join(
+    f"WHEN {k} THEN " + (f"'{want}'" if want else "NULL") for k, (_, want) in enumerate(URL_EDGES)) + " END AS url FROM orders")
+def url_edges(t):
+    url = F.element_at(F.array(*[F.lit(u) for u, _ in URL_EDGES]), (F.col("o_orderkey") % 8 + 1).cast("int"))
+    return t.orders.select("o_orderkey", urls.norm_url(url).alias("url"))
+
+
 @query("H3_without_tracking", f"WITH {URL_SQL} SELECT page_id, kept, personal FROM n")
 def without_tracking(t):
     part = urls.url_part(F.col("url"), 4)
@@ -99,6 +110,15 @@ def content_hash(t):
         rows, ["l_returnflag", "l_quantity", "l_extendedprice", "nothing"]).alias("content_hash"))
 
 
+@query("H8_number_text", """
+WITH n AS (SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN l_extendedprice * 1000 + 0.5 WHEN 1 THEN l_quantity / 65536 / 4096 WHEN 2 THEN l_quantity * 1e15 ELSE -l_quantity / 16384 END AS v FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN v = floor(v) THEN CAST(CAST(v AS BIGINT) AS VARCHAR) ELSE CAST(v AS VARCHAR) END AS text FROM n""")
+def number_text(t):
+    kind, size, price = F.col("l_linenumber") % 4, F.col("l_quantity"), F.col("l_extendedprice")
+    value = F.when(kind == 0, price * 1000 + 0.5).when(kind == 1, size / 65536 / 4096).when(kind == 2, size * 1e15).otherwise(-size / 16384)
+    return t.lineitem.select("l_orderkey", "l_linenumber", hashing.json_number(value).alias("text"))
+
+
 @query("H9_strict_parse", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 2 THEN CAST(o_orderdate AS DATE) END AS day,
   CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate + INTERVAL 2 HOUR AS TIMESTAMP) END AS instant FROM orders""")

@@ -157,9 +157,9 @@ def concatenate(t):
 @query("G2_missing_members", """
 SELECT user_id, array_to_string(list_filter(['error', 'purchase', 'view'], lambda x: NOT list_contains(s, x)), ',') AS missing,
   CASE WHEN len(list_filter(['error', 'purchase', 'view'], lambda x: NOT list_contains(s, x))) > 0 THEN 'Partial' ELSE 'Ready' END AS data_status
-FROM (SELECT user_id, list(DISTINCT event_type) AS s FROM events WHERE value > 20 GROUP BY 1)""")
+FROM (SELECT user_id, list(DISTINCT event_type) AS s FROM (SELECT (user_id * 7 + value::INTEGER) // 10 AS user_id, event_type FROM events) GROUP BY 1)""")
 def missing_members(t):
-    df = quality.missing_members(t.events.where("value > 20"), "user_id", "event_type", ["view", "purchase", "error"])
+    df = quality.missing_members(t.events.select(F.floor((C("user_id") * 7 + F.rint("value").cast("int")) / 10).alias("user_id"), "event_type"), "user_id", "event_type", ["view", "purchase", "error"])
     return df.withColumn("missing", F.array_join("missing", ","))
 
 
@@ -215,11 +215,11 @@ def sorted_facts(t):
 
 
 @query("F2_table_order", """
-SELECT o_orderkey, round(o_totalprice, 2) AS price FROM orders WHERE o_orderkey % 5 <> 0 ORDER BY 2 DESC NULLS LAST, 1 LIMIT 50""")
+SELECT o_orderkey, round(o_totalprice, 2) AS price FROM orders WHERE o_orderkey % 5 <> 0 UNION ALL SELECT o_orderkey, round(o_totalprice, 2) FROM orders WHERE o_orderkey % 5 = 0""")
 def table_order(t):
     cell = F.when(C("o_orderkey") % 5 == 0, " ").otherwise(F.concat(F.lit("$"), F.format_number("o_totalprice", 2)))
     rows = t.orders.select("o_orderkey", "o_totalprice", cell.alias("cell"))
-    return rows.orderBy(*ranking.table_order("cell", descending=True), "o_orderkey").limit(50).select("o_orderkey", F.round("o_totalprice", 2).alias("price"))
+    return rows.orderBy(*ranking.table_order("cell", descending=True), "o_orderkey").select("o_orderkey", F.round("o_totalprice", 2).alias("price"))
 
 
 @query("F3_calendar_key", """
@@ -322,15 +322,20 @@ def revision_log(t):
 
 
 @query("E8_chain_violations", """
-WITH l AS (SELECT id, revision, CASE WHEN record % 50 = 0 THEN revision + 1 ELSE revision END AS r, record FROM revision_log),
-k AS (SELECT *, COUNT(*) OVER (PARTITION BY id, r) AS copies FROM l),
-p AS (SELECT k.*, EXISTS (SELECT 1 FROM l x WHERE x.id = k.id AND x.r = k.r - 1) AS linked FROM k)
-SELECT id, r AS revision, CASE WHEN copies > 1 THEN 'DUPLICATE_REVISION' ELSE 'REVISION_GAP' END AS code FROM p WHERE copies > 1 OR (r > 1 AND NOT linked)""")
+WITH l AS (SELECT id, CASE WHEN record % 50 = 0 THEN revision + 1 ELSE revision END AS r, CAST(record AS VARCHAR) AS record, CASE WHEN record % 31 = 0 THEN as_of - 4000 ELSE as_of END AS day FROM revision_log),
+s AS (SELECT id, r, COUNT(*) AS copies, MIN(record) AS first, MIN(day) AS first_day FROM l GROUP BY 1, 2),
+p AS (SELECT l.*, s.copies, b.first AS prior, b.first_day AS prior_day, CASE WHEN l.record::BIGINT % 23 = 0 THEN 'other' ELSE b.first END AS named
+  FROM l JOIN s ON s.id = l.id AND s.r = l.r LEFT JOIN s b ON b.id = l.id AND b.r = l.r - 1),
+v AS (SELECT id, r AS revision, CASE WHEN copies > 1 THEN 'DUPLICATE_REVISION' WHEN r > 1 AND prior IS NULL THEN 'REVISION_GAP' WHEN r = 1 AND named IS NOT NULL THEN 'INVALID_SUPERSEDES'
+    WHEN r > 1 AND named IS DISTINCT FROM prior THEN 'BROKEN_CHAIN' WHEN day < prior_day THEN 'AS_OF_WENT_BACK' END AS code FROM p)
+SELECT * FROM v WHERE code IS NOT NULL""")
 def chain_violations(t):
     log = revision_log(t).withColumn("revision", C("revision") + F.when(C("record_id").cast("long") % 50 == 0, 1).otherwise(0))
     ids = log.groupBy("id", "revision").agg(F.min("record_id").alias("_prior")).select("id", (C("revision") + 1).alias("revision"), "_prior")
-    linked = log.join(ids, ["id", "revision"], "left").withColumnRenamed("_prior", "supersedes_id")
-    return revisions.chain_violations(linked, ["id"], "record_id", "supersedes_id", "as_of").where("code IN ('DUPLICATE_REVISION', 'REVISION_GAP')")
+    number = C("record_id").cast("long")
+    linked = log.join(ids, ["id", "revision"], "left").withColumns({
+        "supersedes_id": F.when(number % 23 == 0, "other").otherwise(C("_prior")), "as_of": F.when(number % 31 == 0, F.date_sub("as_of", 4000)).otherwise(C("as_of"))})
+    return revisions.chain_violations(linked, ["id"], "record_id", "supersedes_id", "as_of")
 
 
 @query("E9_latest", "SELECT id, CAST(MAX(revision) AS BIGINT) AS revision, ARG_MAX(status, revision) AS status, ARG_MAX(value, revision) AS value FROM revision_log GROUP BY 1")
@@ -376,37 +381,44 @@ def log_integrity(t):
 
 
 def kpi_history(t):
-    """First order of each month and priority as the stored snapshot, the second as a candidate."""
-    rows = snapshots(t).where("source = 'Excel Actual'")
-    keyed = revisions.snapshot_hashes(rows)
-    order = F.row_number().over(joins.Window.partitionBy("logical_key").orderBy("o_orderkey"))
-    return keyed.withColumn("place", order).where("place <= 2")
-
-
-@query("K15_snapshot_plan", """
-WITH k AS (SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m') || CASE WHEN o_orderkey % 7 = 0 THEN '*' ELSE '' END || o_orderpriority AS k FROM orders WHERE o_orderkey % 11 <> 0),
-r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY o_orderkey) AS place FROM k), o AS (SELECT * FROM r WHERE place <= 2),
-f AS (SELECT k, o_orderkey AS first FROM o WHERE place = 1)
-SELECT c.o_orderkey, CASE c.o_orderkey % 3 WHEN 0 THEN 'SKIP' WHEN 1 THEN 'REVISE' ELSE 'REJECT_NEEDS_SUPERSEDES' END AS decision,
-  CASE WHEN c.o_orderkey % 3 = 1 THEN 2 END AS revision FROM o c JOIN f ON f.k = c.k WHERE c.place = 2""")
-def snapshot_plan(t):
-    rows = kpi_history(t)
-    stored = rows.where("place = 1").withColumns({"revision": F.lit(1), "snapshot_id": F.concat(F.lit("snap_"), C("o_orderkey").cast("string"))})
-    ids = stored.select("logical_key", C("snapshot_id").alias("_tip"), C("content_hash").alias("_hash"))
+    """The first order of each month and priority is stored, all others are candidates; other sources have no history.
+
+    Of the candidates a third repeat the stored content; of those that name a predecessor the second names the first.
+    """
+    keyed = revisions.snapshot_hashes(snapshots(t))
+    by_key = joins.Window.partitionBy("logical_key")
     case = C("o_orderkey") % 3
-    batch = rows.where("place = 2").join(ids, "logical_key").withColumns({
-        "content_hash": F.when(case == 0, C("_hash")).otherwise(C("content_hash")),
-        "supersedes_snapshot_id": F.when(case == 1, C("_tip"))}).drop("_tip", "_hash")
-    return revisions.snapshot_plan(stored, batch).select("o_orderkey", "decision", "revision")
+    rows = keyed.withColumns({"place": F.row_number().over(by_key.orderBy("o_orderkey")), "nth": F.row_number().over(joins.Window.partitionBy("logical_key", case).orderBy("o_orderkey"))})
+    known = C("source") == "Excel Actual"
+    stored = rows.where(known & (C("place") == 1)).withColumns({"revision": F.lit(1), "snapshot_id": F.concat(F.lit("snap_"), C("o_orderkey").cast("string"))})
+    tips = stored.select("logical_key", C("snapshot_id").alias("_tip"), C("content_hash").alias("_hash"), (C("o_orderkey") % 3 == 1).alias("_one"))
+    batch = rows.where(~known | (C("place") > 1)).join(tips, "logical_key", "left")
+    nth = C("nth") - F.when(C("_one"), 1).otherwise(0)
+    first = batch.where((case == 1) & (nth == 1)).select("logical_key", revisions.snapshot_id(C("logical_key"), C("content_hash"), F.lit(2), C("_tip")).alias("_next"))
+    batch = batch.join(first, "logical_key", "left").withColumns({
+        "content_hash": F.when((case == 0) & known, C("_hash")).otherwise(C("content_hash")),
+        "supersedes_snapshot_id": F.when((case == 1) & known, F.when(nth == 2, C("_next")).otherwise(C("_tip")))})
+    return stored.drop("place", "nth"), batch.drop("_tip", "_hash", "_one", "_next", "place", "nth")
+
+
+HISTORY_SQL = """k AS (SELECT o_orderkey, o_orderkey % 11 = 0 AS fresh, CASE WHEN o_orderkey % 11 = 0 THEN 'U' ELSE '' END || strftime(o_orderdate, '%Y-%m') || CASE WHEN o_orderkey % 7 = 0 THEN '*' ELSE '' END || o_orderpriority AS k FROM orders),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY o_orderkey) AS place FROM k),
+b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k, o_orderkey % 3 ORDER BY o_orderkey) AS nth FROM r WHERE fresh OR place > 1),
+d AS (SELECT o_orderkey, CASE WHEN fresh AND place = 1 THEN 'NEW' WHEN NOT fresh AND o_orderkey % 3 = 0 THEN 'SKIP' WHEN NOT fresh AND o_orderkey % 3 = 1 AND nth <= 2 THEN 'REVISE' ELSE 'REJECT_NEEDS_SUPERSEDES' END AS decision,
+  CASE WHEN fresh AND place = 1 THEN 1 WHEN NOT fresh AND o_orderkey % 3 = 1 AND nth <= 2 THEN nth + 1 END AS revision FROM b)"""
+
+
+@query("K15_snapshot_plan", f"WITH {HISTORY_SQL} SELECT * FROM d")
+def snapshot_plan(t):
+    return revisions.snapshot_plan(*kpi_history(t), ["o_orderkey"]).select("o_orderkey", "decision", "revision")
 
 
-@query("K15_seal", """
-WITH k AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') || CASE WHEN o_orderkey % 7 = 0 THEN '*' ELSE '' END || o_orderpriority AS k FROM orders WHERE o_orderkey % 11 <> 0)
-SELECT COUNT(*) AS sealed, COUNT(*) AS ids FROM (SELECT k, MIN(o_orderkey) FROM k GROUP BY 1)""")
+@query("K15_seal", f"WITH {HISTORY_SQL} SELECT o_orderkey, revision, TRUE AS pinned, decision = 'REVISE' AS linked FROM d WHERE revision IS NOT NULL")
 def seal(t):
-    first = kpi_history(t).where("place = 1")
-    plan = revisions.snapshot_plan(first.limit(0).withColumns({"revision": F.lit(1), "snapshot_id": F.lit("")}), first)
-    return revisions.seal(plan).agg(F.count(F.lit(1)).alias("sealed"), F.count_distinct("snapshot_id").alias("ids"))
+    """Every accepted candidate has an id of its own, made of its key, content, place and predecessor."""
+    sealed = revisions.seal(revisions.snapshot_plan(*kpi_history(t), ["o_orderkey"]))
+    copies = sealed.groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("_copies"))
+    return sealed.join(copies, "snapshot_id").select("o_orderkey", "revision", (C("snapshot_id").rlike("^snap_[0-9a-f]{64}$") & (C("_copies") == 1)).alias("pinned"), C("supersedes_snapshot_id").isNotNull().alias("linked"))
 
 
 @query("K16_report_rows", """

@@ -57,10 +57,10 @@ def norm_text(text: Column) -> Column:
 
 
 def norm_host(host: Column) -> Column:
-    """Lower-case ASCII host without a trailing dot; null for a malformed one."""
+    """Lower-case ASCII host without a trailing dot; null for one with an empty label or one of over 63 characters."""
     ascii_host = F.when(host.rlike(NON_ASCII), to_ascii_host(F.when(host.rlike(NON_ASCII), host))).otherwise(host)
     clean = F.rtrim(F.lower(ascii_host), F.lit("."))
-    return F.when((clean != "") & ~clean.rlike(r"^\.|\s"), clean)
+    return F.when((clean != "") & ~ascii_host.rlike(r"^\.|\.\.|\s|[^.]{64}"), clean)
 
 
 def norm_domain(text: Column) -> Column:

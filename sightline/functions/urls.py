@@ -38,13 +38,18 @@ def norm_url(url: Column) -> Column:
     """Identity of an http(s) URL, or null when it has none.
 
     Scheme and host fold to lower case, a default port, the fragment and tracking parameters go; path case,
-    trailing slashes and other parameters stay.  User info, white space and personal parameters disqualify.
+    trailing slashes and other parameters stay.  User info, white space, ports past 65535 and personal parameters
+    disqualify.  A numeric IPv6 host stays in its brackets.
     """
     raw = F.trim(url)
-    scheme, authority = F.lower(url_part(raw, 1)), url_part(raw, 2)
+    scheme, whole = F.lower(url_part(raw, 1)), url_part(raw, 2)
+    user, authority = F.regexp_extract(whole, "^(.*)@", 1), F.regexp_replace(whole, "^.*@", "")
     path, query = url_part(raw, 3), url_part(raw, 4)
-    port = F.regexp_extract(authority, r":(\d*)$", 1)
-    host = norm_host(F.regexp_replace(authority, r":\d*$", ""))
+    digits = F.regexp_replace(F.regexp_extract(authority, r":(\d*)$", 1), "^0+(?=.)", "")
+    port = F.when(F.length(digits) > 5, F.lit(None).cast("string")).when((digits == "") | (digits.try_cast("int") <= 65535), digits)
+    name = F.regexp_replace(authority, r":\d*$", "")
+    numeric = name.rlike(r"^\[[0-9A-Fa-f]*:[0-9A-Fa-f:.]*\]$")
+    host = F.when(numeric, F.lower(name)).otherwise(norm_host(name))
     default_port = ((port == "") | ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443")))
     kept = without_tracking(query)
     built = F.concat(
@@ -52,8 +57,8 @@ def norm_url(url: Column) -> Column:
         F.when(default_port, "").otherwise(F.concat(F.lit(":"), port)),
         F.when(path == "", "/").otherwise(path),
         F.when(kept == "", "").otherwise(F.concat(F.lit("?"), kept)))
-    usable = (scheme.isin("http", "https") & ~authority.contains("@") & ~raw.rlike(r"[\s\x00-\x1f]")
-              & ~host.contains(":") & ~has_personal_param(query))
+    usable = (scheme.isin("http", "https") & user.isin("", ":") & ~raw.rlike(r"[\s\x00-\x1f]")
+              & (numeric | ~host.rlike(r"[:\[\]]")) & ~has_personal_param(query))
     return F.when(usable, built)
 
 

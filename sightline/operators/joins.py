@@ -148,15 +148,16 @@ def issue_demand(issues: DataFrame, demand: DataFrame, keys: list[str]) -> tuple
     return issues.join(wanted, keys, "left_semi"), issues.join(wanted, keys, "left_anti")
 
 
-MAX_PATTERNS = 1000
+#: Pattern terms that travel together as one array; more of them are tried in several arrays.
+PATTERNS_AT_ONCE = 1000
 
 
 def brand_class(queries: DataFrame, text: str, dictionary: DataFrame) -> DataFrame:
     """Class of each distinct query text by an approved dictionary: exact, then contained, then pattern terms.
 
     Exact terms join on the text.  Contained terms join on the substrings a text has in the lengths the terms have,
-    so neither rule needs a product or a bound.  Patterns can only be tried one by one; they travel as one array,
-    and more than a thousand of them stop the job.  A text nothing matches is Non-brand.
+    so neither rule needs a product or a bound.  Patterns can only be tried one by one; they travel in arrays of
+    bounded size, as many as it takes.  The first pattern in order decides.  A text nothing matches is Non-brand.
     """
     approved = dictionary.where("status = 'Approved'").select("rule", F.lower("term").alias("term"), "class")
     texts = queries.select(text).distinct().withColumn("_name", F.lower(F.col(text)))
@@ -171,11 +172,15 @@ def brand_class(queries: DataFrame, text: str, dictionary: DataFrame) -> DataFra
               .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_name") - F.col("_length") + 1)))
               .select(text, F.substring(F.col("_name"), F.col("_at"), F.col("_length")).alias("term")))
     inside = pieces.join(contained, "term").groupBy(text).agg(F.min(F.struct("term", "class"))["class"].alias("_inside"))
-    patterns = of("Regex").agg(F.array_sort(F.collect_set(F.struct("term", "class"))).alias("p"))
-    checked = patterns.select(F.when(F.size("p") <= MAX_PATTERNS, F.col("p")).otherwise(
-        F.raise_error(F.lit("too many pattern terms")).cast(patterns.schema["p"].dataType)).alias("p")).scalar()
-    tried = texts.withColumn("_patterns", checked).select(text, F.get(F.filter(
-        "_patterns", lambda d: F.regexp(F.lower(F.col(text)), d["term"])), F.lit(0))["class"].alias("_pattern"))
+    patterns = of("Regex").select(F.struct("term", "class").alias("p"))
+    blocks = -(-patterns.count() // PATTERNS_AT_ONCE)
+    tried, firsts = texts, []
+    for k in range(blocks):
+        block = patterns.where(F.pmod(F.xxhash64("p"), F.lit(blocks)) == k).agg(F.array_sort(F.collect_list("p")).alias("p")).scalar()
+        tried = tried.withColumn(f"_patterns{k}", block)
+        firsts.append(F.get(F.filter(f"_patterns{k}", lambda d: F.regexp(F.lower(F.col(text)), d["term"])), F.lit(0)))
+    first = F.array_min(F.array_compact(F.array(*firsts)))["class"] if firsts else F.lit(None).cast("string")
+    tried = tried.select(text, first.alias("_pattern"))
     classified = tried.join(exact, text, "left").join(inside, text, "left").select(
         text, F.coalesce("_exact", "_inside", "_pattern", F.lit("Non-brand")).alias("brand_class"))
     return queries.join(classified, text, "left")

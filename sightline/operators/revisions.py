@@ -89,24 +89,45 @@ def snapshot_id(logical_key: Column, content_hash: Column, revision: Column, sup
         json_text(logical_key), json_text(content_hash), json_number(revision), json_text(supersedes)]), 256))
 
 
-def snapshot_plan(history: DataFrame, candidates: DataFrame) -> DataFrame:
+def snapshot_plan(history: DataFrame, candidates: DataFrame, order: list[str] = ()) -> DataFrame:
     """Decide each candidate against the tip of its key: SKIP, NEW, REVISE or one of the rejections.
 
-    Candidates carry ``logical_key``, ``content_hash``, ``as_of_date``, ``supersedes_snapshot_id``.
+    Candidates carry ``logical_key``, ``content_hash``, ``as_of_date``, ``supersedes_snapshot_id``.  Candidates of one
+    batch see one another: what is accepted becomes the tip of its key, so a repeat of it is a SKIP and a candidate
+    that names its id is the next REVISE.  Of several that fit one tip the first by ``order`` (then by content) is
+    accepted.  There is one round for each link of the longest chain; every round is a minimum per key and a join.
     """
+    names, place = candidates.columns, F.struct(*order, "content_hash", "supersedes_snapshot_id")
     tips = latest(history, ["logical_key"]).select(
         "logical_key", F.col("content_hash").alias("_hash"), F.col("snapshot_id").alias("_tip"),
-        F.col("as_of_date").alias("_as_of"), F.col("revision").alias("_revision"))
-    joined = candidates.join(tips, "logical_key", "left")
-    known = F.col("_tip").isNotNull()
-    decision = (F.when(known & (F.col("content_hash") == F.col("_hash")), "SKIP")
-                .when(known & ~F.col("supersedes_snapshot_id").eqNullSafe(F.col("_tip")), "REJECT_NEEDS_SUPERSEDES")
-                .when(known & (F.col("as_of_date") < F.col("_as_of")), "REJECT_OLDER_OBSERVATION")
-                .when(~known & F.col("supersedes_snapshot_id").isNotNull(), "REJECT_UNKNOWN_PREDECESSOR")
-                .when(known, "REVISE").otherwise("NEW"))
-    return joined.withColumn("decision", decision).withColumn(
-        "revision", F.when(F.col("decision").isin("NEW", "REVISE"), F.coalesce("_revision", F.lit(0)) + 1)).drop(
-        "_hash", "_tip", "_as_of", "_revision")
+        F.col("as_of_date").alias("_as_of"), F.col("revision").cast("long").alias("_revision"))
+    rest = candidates.withColumn("_row", F.monotonically_increasing_id())
+    if candidates.sparkSession.sparkContext.getCheckpointDir():
+        rest = rest.checkpoint()  # row numbers stay what they are when a task is run again
+    done, known, older = None, F.col("_tip").isNotNull(), F.col("as_of_date") < F.col("_as_of")
+    named = F.col("supersedes_snapshot_id").eqNullSafe(F.col("_tip"))
+    repeats = known & (F.col("content_hash") == F.col("_hash"))
+    while True:
+        joined = rest.join(tips, "logical_key", "left")
+        fits = named & ~F.coalesce(repeats | older, F.lit(False))
+        first = joined.where(fits).groupBy("logical_key").agg(F.min_by("_row", F.struct(place, "_row")).alias("_first"))
+        decision = F.when(repeats, "SKIP").when(known & named & older, "REJECT_OLDER_OBSERVATION").when(F.col("_row") == F.col("_first"), F.when(known, "REVISE").otherwise("NEW"))
+        decided = joined.join(first, "logical_key", "left").withColumns({
+            "decision": decision, "revision": F.when(decision.isin("NEW", "REVISE"), F.coalesce("_revision", F.lit(0)) + 1)})
+        if rest.sparkSession.sparkContext.getCheckpointDir():
+            decided = decided.checkpoint()
+        settled = decided.where("decision IS NOT NULL").select(*names, "decision", "revision")
+        done = settled if done is None else done.unionByName(settled)
+        rest = decided.where("decision IS NULL").select(*names, "_row")
+        new = decided.where("decision IN ('NEW', 'REVISE')").select(
+            "logical_key", F.col("content_hash").alias("_hash"), snapshot_id(F.col("logical_key"), F.col("content_hash"), F.col("revision"), F.col("supersedes_snapshot_id")).alias("_tip"),
+            F.col("as_of_date").alias("_as_of"), F.col("revision").alias("_revision"))
+        if new.isEmpty():
+            break
+        tips = tips.join(new.select("logical_key"), "logical_key", "left_anti").unionByName(new)
+    left = rest.join(tips, "logical_key", "left")
+    why = F.when(known, "REJECT_NEEDS_SUPERSEDES").otherwise("REJECT_UNKNOWN_PREDECESSOR")
+    return done.unionByName(left.select(*names, why.alias("decision"), F.lit(None).cast("long").alias("revision")))
 
 
 def seal(plan: DataFrame) -> DataFrame:

@@ -98,7 +98,7 @@ def preview_rows(candidates: DataFrame, dataset: str, cap: int = 20) -> DataFram
     grouped = candidates.withColumns({"group_id": preview_group(F.upper("opportunity_type"), F.upper("recommended_action")),
                                       "uat_id": preview_id(dataset, F.col("candidate_id"), F.col("revision"))})
     screen = ranking.ranked_candidates(grouped.select("candidate_id", "revision", "score"), cap).select("candidate_id", "revision", F.lit(True).alias("_first"))
-    return grouped.join(F.broadcast(screen), ["candidate_id", "revision"], "left").withColumn(
+    return grouped.join(screen, ["candidate_id", "revision"], "left").withColumn(
         "first_screen", F.coalesce("_first", F.lit(False))).drop("_first")
 
 

@@ -110,9 +110,9 @@ def transcript_calls(results: DataFrame, body_schema: T.DataType) -> tuple[DataF
     """
     shaped = T.StructType([*body_schema.fields, T.StructField("_corrupt", T.StringType())])
     parsed = results.withColumn("body", F.from_json("text", shaped, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
-    note = (F.when(F.col("error").isNotNull(), F.col("error")).when(F.col("is_error"), F.substring("text", 1, 300))
+    note = (F.when(F.col("error").isNotNull(), F.col("error")).when(F.col("is_error"), F.col("text"))
             .when(F.col("body").isNull() | F.col("body._corrupt").isNotNull(),
-                  F.when(F.trim("text") == "", "empty response").otherwise(F.substring(F.trim("text"), 1, 300))))
+                  F.when(F.trim("text") == "", "empty response").otherwise(F.trim("text"))))
     noted = parsed.withColumn("note", note)
     return noted.where("note IS NULL").drop("note"), noted.where("note IS NOT NULL").select("call_id", "name", "args", "note")
 

@@ -1,6 +1,6 @@
 """Provider rows as evidence: business actuals, keyword database, result pages, AI prompts, behaviour."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sightline import schemas
 from sightline.functions import dates, hashing, labels, numbers
@@ -104,16 +104,17 @@ def run_status(manifest: DataFrame) -> DataFrame:
 
 # --- Result pages -----------------------------------------------------------------------------------------
 
-MAX_RESULTS = 30
+#: Results of a page that a reader is shown first; later ones are marked, not dropped.
+FIRST_RESULTS = 30
 
 
 def result_rows(snapshots: DataFrame, owned: DataFrame, competitors: DataFrame, registry: DataFrame) -> DataFrame:
-    """Organic results of every snapshot as rows with page identity, owner and type, at most thirty per snapshot.
+    """Organic results of every snapshot as rows with page identity, owner and type; ``beyond_cap`` marks late ranks.
 
     ``snapshots``: ``snapshot_id, organic_results array<{rank, url, title, snippet, result_type}>``.
     """
     flat = snapshots.select("snapshot_id", F.inline("organic_results"))
-    kept = flat.withColumn("_place", F.row_number().over(Window.partitionBy("snapshot_id").orderBy("rank"))).where(F.col("_place") <= MAX_RESULTS).drop("_place")
+    kept = flat.withColumn("beyond_cap", F.coalesce(F.col("rank") > FIRST_RESULTS, F.lit(False)))
     known = F.lower("result_type").isin(list(labels.PAGE_TYPES))
     named = kept.withColumns({"normalized_url": norm_url(F.col("url")), "domain": F.rtrim(host_of(F.col("url")), F.lit(".")),
                               "result_type": F.when(known, F.lower("result_type")).otherwise("unknown")})
@@ -134,11 +135,11 @@ def result_page_states(snapshots: DataFrame) -> DataFrame:
             (~c("freshness_state").isin(schemas.FRESHNESS_STATES), "INVALID_FRESHNESS_STATE"), (~c("collection_status").isin(schemas.COLLECTION_STATES), "INVALID_COLLECTION_STATUS"),
             (F.exists(ranks, lambda r: F.coalesce(r < 1, F.lit(True))), "INVALID_RANK"), (F.size(F.array_distinct(ranks)) != size, "DUPLICATE_RANK"),
             (F.exists(results, lambda r: norm_url_shape(r["url"])), "INVALID_RESULT_URL")),
-        "truncated": F.coalesce(size > MAX_RESULTS, F.lit(False)) & ~failed,
-        "collection_status": F.when(failed, c("collection_status")).when(none, "FAILED").when(size > MAX_RESULTS, "PARTIAL").when(
+        "beyond_cap": F.coalesce(size > FIRST_RESULTS, F.lit(False)) & ~failed,
+        "collection_status": F.when(failed, c("collection_status")).when(none, "FAILED").when(
             (size == 0) & (c("collection_status") == "SUCCESS"), "PARTIAL").otherwise(c("collection_status")),
         "freshness_state": F.when(failed, c("freshness_state")).when(none, "FAILED").when((size == 0) & (c("collection_status") == "SUCCESS"), "PARTIAL").otherwise(c("freshness_state")),
-        "observed_results": F.when(failed | none, 0).otherwise(F.least(size, F.lit(MAX_RESULTS)))}).drop("organic_results")
+        "observed_results": F.when(failed | none, 0).otherwise(size)}).drop("organic_results")
 
 
 def norm_url_shape(url):

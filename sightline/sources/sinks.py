@@ -31,7 +31,7 @@ def _days(start: str, end: str) -> list[datetime.date]:
 
 def create_daily_table(rows: DataFrame, table: str, path: str, sort: list[str]) -> None:
     """A table partitioned by ``date``, rows sorted within each file so that page and query filters skip data."""
-    (rows.repartition("date", F.pmod(F.hash(*sort), F.lit(8))).sortWithinPartitions("date", *sort)
+    (rows.hint("rebalance", "date").sortWithinPartitions("date", *sort)
      .write.mode("overwrite").option("path", path).partitionBy("date").saveAsTable(table))
 
 
@@ -39,7 +39,7 @@ def replace_days(rows: DataFrame, table: str, start: str, end: str, sort: list[s
     """Replace the days of a range by new rows, whether or not a day has any; all other days stay as they are.
 
     Only the partitions of the range are rewritten (dynamic overwrite); a day that lost all its rows is dropped.
-    A day is split over eight tasks, so one large day is not one task.
+    Files follow the size of a day: a large one is split over several tasks.
     """
     spark = rows.sparkSession
     inside = rows.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
@@ -49,7 +49,7 @@ def replace_days(rows: DataFrame, table: str, start: str, end: str, sort: list[s
     held = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
     try:
-        (inside.select(*columns).repartition("date", F.pmod(F.hash(*sort), F.lit(8))).sortWithinPartitions("date", *sort)
+        (inside.select(*columns).hint("rebalance", "date").sortWithinPartitions("date", *sort)
          .write.mode("overwrite").insertInto(table))
     finally:
         spark.conf.set(setting, held)

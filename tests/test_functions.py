@@ -88,3 +88,9 @@ def test_sensitive_text(spark):
     got = [tuple(r) for r in df.select(text.has_email(F.col("v")), text.has_phone(F.col("v")), text.has_secret(F.col("v"))).collect()]
     assert got == [(True, False, False), (False, True, False), (False, False, True), (False, False, False), (False, False, False), (False, False, False)]
     assert values(spark, ["Authorization: Basic dXNlcjpwdw==", "fine"], text.redact) == ["[REDACTED]", "fine"]
+
+
+@pytest.mark.parametrize("value, text", [(12345678.5, "12345678.5"), (0.00012, "0.00012"), (1.2e-05, "1.2e-05"), (1e-07, "1e-07"), (5.0, "5"), (-0.5, "-0.5"), (1e16, "10000000000000000"), (-1.5e-10, "-1.5e-10"), (123456789.25, "123456789.25"), (None, "null"), (0.0, "0"), (4e18, "4000000000000000000")])
+def test_json_number(spark, value, text):
+    df = spark.createDataFrame([(value,)], "v double")
+    assert df.select(hashing.json_number(F.col("v"))).first()[0] == text

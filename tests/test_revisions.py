@@ -83,3 +83,18 @@ def test_idempotency_conflicts_inside_a_batch(spark):
     ledger = spark.createDataFrame([("b", "1")], "idempotency_key string, semantic_hash string")
     got = revisions.idempotency(ops, ledger).groupBy("idempotency_key").agg(F.collect_set("decision").alias("d"))
     assert {r.idempotency_key: r.d for r in got.collect()} == {"a": ["IDEMPOTENCY_CONFLICT"], "b": ["ALREADY_APPLIED"], "c": ["NEW"]}
+
+
+def test_snapshot_plan_within_one_batch(spark):
+    """Repeats of a new row are one NEW and SKIPs; linked revisions of one batch are accepted in order."""
+    history = spark.createDataFrame([], "logical_key string, content_hash string, snapshot_id string, as_of_date date, revision int")
+    schema = "n int, logical_key string, content_hash string, supersedes_snapshot_id string, as_of_date string"
+    first = revisions.snapshot_id(*(F.lit(x) for x in ("k", "h1")), F.lit(1), F.lit(None).cast("string"))
+    one = spark.range(1).select(first).first()[0]
+    two = spark.range(1).select(revisions.snapshot_id(F.lit("k"), F.lit("h2"), F.lit(2), F.lit(one))).first()[0]
+    rows = [(1, "k", "h1", None, "2024-01-05"), (2, "k", "h1", None, "2024-01-05"), (3, "k", "h2", one, "2024-01-06"), (4, "k", "h3", two, "2024-01-07"), (5, "k", "h4", one, "2024-01-08"),
+            (6, "k", "h5", None, "2024-01-08"), (7, "new", "x", "snap_0", "2024-01-05"), (8, "old", "a", None, "2024-01-05"), (9, "old", "b", None, "2024-01-05")]
+    batch = spark.createDataFrame(rows, schema).withColumn("as_of_date", F.to_date("as_of_date")).repartition(3)
+    plan = {r.n: (r.decision, r.revision) for r in revisions.snapshot_plan(history, batch, ["n"]).collect()}
+    assert plan == {1: ("NEW", 1), 2: ("SKIP", None), 3: ("REVISE", 2), 4: ("REVISE", 3), 5: ("REJECT_NEEDS_SUPERSEDES", None), 6: ("REJECT_NEEDS_SUPERSEDES", None),
+                    7: ("REJECT_UNKNOWN_PREDECESSOR", None), 8: ("NEW", 1), 9: ("REJECT_NEEDS_SUPERSEDES", None)}
