@@ -11,8 +11,9 @@ A band's sketch is cut anew by several independent hash partitions until there a
 blocks than that uses the first ``BLOCKS``.  A linked pair disagrees in a given block with chance at most 1 - 1/e, so
 it is missed by all with chance below 2e-13, which is the only way a link can be lost.
 
-Within a block's group no pairs are listed.  Each set is compared with one leader of its groups first; what that joins
-is one class.  Only members of different classes are compared further.  Sets of which at least three quarters of the
+Within a block's group no pairs are listed.  Each set is compared with the nearest of its groups' leaders first; what
+that joins is one class.  Sets outside of a group's largest class are compared with the nearest of other leaders, drawn
+from those classes, ``STARS`` times.  Only then are members of different classes compared with one another.  Sets of which at least three quarters of the
 blocks are in groups of at most ``COMMON`` are compared in those groups alone, where they meet every partner (chance of
 a miss below 3e-10): so a passage that very many documents share, which fills a few blocks of each, makes no pairs.
 """
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sightline.llm import shingles
 from sightline.llm.common import settle
 
-BLOCKS, COMMON = 64, 48
+BLOCKS, COMMON, STARS = 64, 48, 1
 #: Least similarity, as a ratio of whole numbers.
 AT_LEAST = (75, 100)
 SKETCH_WORDS = 16
@@ -98,12 +99,16 @@ def profiles(docs: DataFrame, at_least: tuple[int, int]) -> DataFrame:
     return rows.mapInArrow(run, _PROFILE)
 
 
+def apart() -> Column:
+    """Hamming distance of the sketches of ``a`` and ``b``."""
+    return sum((F.bit_count(F.col(f"a_s{k}").bitwiseXOR(F.col(f"b_s{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
+
+
 def may_link(at_least: tuple[int, int]) -> Column:
     """What the sizes and sketches of ``a`` and ``b`` allow: never false for a linked pair."""
     low, high = at_least
-    apart = sum((F.bit_count(F.col(f"a_s{k}").bitwiseXOR(F.col(f"b_s{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
     a, b = F.col("a_n"), F.col("b_n")
-    return (F.least(a, b) * high >= F.greatest(a, b) * low) & (apart * (high + low) <= (a + b) * (high - low))
+    return (F.least(a, b) * high >= F.greatest(a, b) * low) & (apart() * (high + low) <= (a + b) * (high - low))
 
 
 def side(nodes: DataFrame, name: str, *more: str) -> DataFrame:
@@ -119,6 +124,13 @@ def set_hash(own: np.ndarray) -> int:
     return int(shingles.combine(both[None])[0].astype(np.int64))
 
 
+def nearest(stars: DataFrame, nodes: DataFrame, at_least: tuple[int, int]) -> DataFrame:
+    """Of the pairs (a, b), for each b the one whose sketches are least apart, if any may link."""
+    both = stars.distinct().join(side(nodes, "b"), "b").join(side(nodes, "a"), "a").where(may_link(at_least))
+    best = both.groupBy("b").agg(F.min_by(F.struct("a", "a_doc", "b_doc"), F.struct(apart(), "a")).alias("best"))
+    return best.select("b", "best.a", "best.a_doc", "best.b_doc")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, at_least: tuple[int, int]) -> DataFrame:
     """The ``pairs`` (a, a_doc, b, b_doc) whose sets are similar enough, by their ``texts`` (_id, _text).  Where rows
     of different texts share an id, only the text that has the pair's set counts."""
@@ -133,28 +145,28 @@ def verified(pairs: DataFrame, texts: DataFrame, at_least: tuple[int, int]) -> D
                 part = batch.slice(start, 64)
                 x, x_first = shingles.shingles(part.column("a_text"))
                 y, y_first = shingles.shingles(part.column("b_text"))
-                good = []
+                good = np.zeros(part.num_rows, bool)
                 for k, (a, b) in enumerate(zip(part.column("a").to_pylist(), part.column("b").to_pylist())):
                     one, two = np.unique(x[x_first[k]:x_first[k + 1]]), np.unique(y[y_first[k]:y_first[k + 1]])
                     common = len(np.intersect1d(one, two, assume_unique=True))
-                    if (set_hash(one), set_hash(two)) == (a, b) and common * high >= (len(one) + len(two) - common) * low:
-                        good.append((a, b))
-                yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in good], pa.int64()) for i in (0, 1)], ["a", "b"])
+                    good[k] = (set_hash(one), set_hash(two)) == (a, b) and common * high >= (len(one) + len(two) - common) * low
+                yield part.select(["a", "a_doc", "b", "b_doc"]).filter(pa.array(good))
 
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
+    return both.select("a", "a_doc", "b", "b_doc", "a_text", "b_text").mapInArrow(run, "a long, a_doc long, b long, b_doc long")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``node`` and ``label`` of each node that has a link: the smallest ``doc_id`` that its links reach.
+def components(links: DataFrame) -> DataFrame:
+    """``node`` and ``label`` of each node that has a link (a, a_doc, b, b_doc): the smallest id that its links reach.
 
     Labels go along links to the neighbours and then to the node that bears the label, until none changes; every
     round is a written table.
     """
-    both = settle(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = settle(both.select(F.col("a").alias("node")).distinct().join(nodes.select("node", "doc_id"), "node")
-                    .select("node", "doc_id", F.col("doc_id").alias("label")))
+    there = links.select("a", "a_doc", "b", "b_doc")
+    both = there.unionByName(there.select(F.col("b").alias("a"), F.col("b_doc").alias("a_doc"), F.col("a").alias("b"), F.col("a_doc").alias("b_doc")))
+    label = F.least("b_doc", F.min("a_doc"))
+    labels = settle(both.groupBy(F.col("b").alias("node"), "b_doc").agg(label.alias("label")).withColumnRenamed("b_doc", "doc_id"))
     while True:
-        heard = (both.join(labels.select(F.col("node").alias("a"), "label"), "a")
+        heard = (both.select("a", "b").join(labels.select(F.col("node").alias("a"), "label"), "a")
                  .groupBy(F.col("b").alias("node")).agg(F.min("label").alias("heard")))
         spread = settle(labels.join(heard, "node").select("node", "doc_id", F.col("label").alias("was"), F.least("label", "heard").alias("label")))
         of = spread.groupBy(F.col("doc_id").alias("label")).agg(F.min("label").alias("further"))
@@ -183,33 +195,37 @@ def near_groups(docs: DataFrame, at_least: tuple[int, int] = AT_LEAST) -> DataFr
     groups = settle(keys.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("leader")).where("members > 1"))
     met = settle(keys.join(groups, "key"))
 
-    stars = met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    near = (stars.join(side(nodes, "b"), "b").join(side(nodes, "a"), "a").where(may_link(at_least)))
-    best = near.groupBy("b").agg(F.min_by(F.struct("a", "a_doc", "b_doc"), F.struct(F.abs(F.col("a_n") - F.col("b_n")), "a")).alias("best"))
-    pairs = best.select("b", "best.a", "best.a_doc", "best.b_doc")
     shared = met.select("node").distinct().join(nodes.select("node", F.col("doc_id").alias("_id")), "node").select("_id").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
     texts = settle(texts.join(shared, "_id", "left_semi"))
-    links = settle(verified(pairs, texts, at_least))
-    labels = components(nodes, links)
+    links = settle(verified(nearest(met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")), nodes, at_least), texts, at_least))
+    common = met.groupBy("node").agg(F.count(F.when(F.col("members") > COMMON, 1)).alias("common"))
+    common = common.join(nodes.select("node", F.size("keys").alias("blocks")), "node")
+    met = settle(met.join(common, "node").where((F.col("members") <= COMMON) | (F.col("common") * 4 > F.col("blocks"))).select("key", "node"))
 
     # sets that are still in different classes, wherever they share a group
-    classes = settle(nodes.withColumn("blocks", F.size("keys")).drop("keys").join(labels, "node", "left")
-                     .withColumn("label", F.coalesce("label", "doc_id")))
-    common = met.groupBy("node").agg(F.count(F.when(F.col("members") > COMMON, 1)).alias("common"))
-    left = met.join(classes.select("node", "label", "blocks").join(common, "node"), "node")
-    left = left.where((F.col("members") <= COMMON) | (F.col("common") * 4 > F.col("blocks"))).select("key", "node", "label")
-    sizes = left.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = settle(sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"))
-                   .where("labels > 1").select("key", F.col("top.label").alias("major")))
-    left = settle(left.join(mixed, "key"))
+    for step in range(STARS + 1):
+        labels = components(links)
+        classes = settle(nodes.drop("keys").join(labels, "node", "left").withColumn("label", F.coalesce("label", "doc_id")))
+        left = met.join(classes.select("node", "label"), "node")
+        sizes = left.groupBy("key", "label").agg(F.count("*").alias("n"), F.max_by("node", F.xxhash64("node", "key", F.lit(step))).alias("one"))
+        mixed = settle(sizes.groupBy("key").agg(F.max(F.struct("n", "label", "one")).alias("top"), F.count("*").alias("labels"))
+                       .where("labels > 1").select("key", F.col("top.label").alias("major"), F.col("top.one").alias("leader")))
+        left = settle(left.join(mixed, "key"))
+        if step == STARS:
+            break
+        stars = left.where("label <> major").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+        more = settle(verified(nearest(stars, nodes, at_least), texts, at_least))
+        if more.isEmpty():
+            break
+        links = settle(links.union(more))
     a = side(classes, "a", "label").join(left.where("label <> major").select("key", F.col("node").alias("a")), "a")
     b = side(classes, "b", "label").join(left.select("key", F.col("node").alias("b"), (F.col("label") == F.col("major")).alias("b_major")), "b")
     rest = (a.join(b, (a["key"] == b["key"]) & (F.col("a_label") != F.col("b_label")) & (F.col("b_major") | (F.col("a") < F.col("b"))) & may_link(at_least))
             .select("a", "a_doc", "b", "b_doc").distinct())
     more = settle(verified(rest, texts, at_least))
     if not more.isEmpty():
-        labels = components(nodes, links.union(more))
+        labels = components(links.union(more))
     final = settle(nodes.select("node", "doc_id").join(labels, "node", "left").select("node", F.coalesce("label", "doc_id").alias("label")))
     return (rows.select("doc_id", "n_shingles", "node").join(final, "node", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id")))
