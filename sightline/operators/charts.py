@@ -12,7 +12,6 @@ from sightline.functions.numbers import finite, fixed, ratio
 from sightline.operators import ordered
 
 MAX_BINS = 16
-GRID_PARTS = 32
 
 
 # --- Distributions ----------------------------------------------------------------------------------------
@@ -146,10 +145,10 @@ def pivot(rows: DataFrame, x: str, series: str, values: list[str], value: str) -
 
 
 def heatmap(rows: DataFrame, x: str, y: str, value: str, gaps: bool = False) -> DataFrame:
-    """Every x with every y that occurs, a missing cell being null or zero, with an intensity on 0..1.
+    """The cells of every y over the whole x axis, a missing one being null or zero, with an intensity on 0..1.
 
+    ``x`` is a calendar axis (months, days), which each line spans from its own generator; no two tables are crossed.
     The zero-based scale gives way to the observed range when all values lie close together at the top.
-    The grid itself is the result asked for; it is laid out by parts of the y axis, so no axis is held in one place.
     """
     cells = rows.groupBy(x, y).agg(F.sum(value).alias("value"))
     present = cells.agg(F.min("value").alias("low"), F.max("value").alias("high")).select(
@@ -158,9 +157,8 @@ def heatmap(rows: DataFrame, x: str, y: str, value: str, gaps: bool = False) ->
     top, bottom = F.greatest(high, F.lit(0.0)), F.least(low, F.lit(0.0))
     compressed = (low > 0) & (top > low) & (low / top > 0.7)
     minimum = F.when(compressed, low).otherwise(bottom)
-    columns = cells.select(x).distinct().withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(GRID_PARTS - 1))))
-    lines = cells.select(y).distinct().withColumn("_part", F.pmod(F.hash(y), F.lit(GRID_PARTS)))
-    grid = columns.join(lines, "_part").drop("_part")
+    axis = cells.select(x).distinct().agg(F.collect_list(x).alias("axis")).scalar()
+    grid = cells.select(y).distinct().withColumn("_axis", axis).select(F.explode("_axis").alias(x), y)
     blank = F.lit(None).cast("double") if gaps else F.lit(0.0)
     return grid.join(cells, [x, y], "left").select(
         x, y, F.coalesce(F.col("value").cast("double"), blank).alias("value"), F.col("value").isNull().alias("missing"),

@@ -1,5 +1,7 @@
 """Reporting periods: windows, presets, reviewed-row filters, trends and period-over-period comparisons."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sightline.functions.dates import month_start
@@ -145,6 +147,19 @@ def monthly_series(monthly: DataFrame, key: str, months: int = 6) -> DataFrame:
     return kept.withColumn("gap", F.coalesce(F.add_months(before, 1) < month_start(F.col("month")), F.lit(False)))
 
 
+def newest(rows: DataFrame, keys: list[str], period: str, count: int) -> DataFrame:
+    """The newest rows of each key, numbered in ``rn``; tasks drop all but ``count`` of a key before they are shuffled."""
+    order = Window.partitionBy(*keys).orderBy(F.desc(period))
+    return rows.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= count)
+
+
+def _same_keys(counts: DataFrame, latest: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key on both sides; keys may be null."""
+    renamed = latest.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return counts.join(renamed, same).drop(*[f"_{k}" for k in keys])
+
+
 def trend_signal(rows: DataFrame, keys: list[str], period: str, value: str) -> DataFrame:
     """Direction of the last two periods per key.
 
@@ -153,12 +168,11 @@ def trend_signal(rows: DataFrame, keys: list[str], period: str, value: str) -> D
     """
     per_period = rows.groupBy(*keys, period).agg(
         F.max(value).alias("value"), (F.min(value) != F.max(value)).alias("clash"))
-    order = Window.partitionBy(*keys).orderBy(F.desc(period))
-    ranked = per_period.withColumn("rn", F.row_number().over(order))
-    folded = ranked.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("periods"), F.coalesce(F.bool_or("clash"), F.lit(False)).alias("clash"),
+    counts = per_period.groupBy(*keys).agg(F.count(F.lit(1)).alias("periods"), F.coalesce(F.bool_or("clash"), F.lit(False)).alias("clash"))
+    latest = newest(per_period, keys, period, 2).groupBy(*keys).agg(
         F.max(F.when(F.col("rn") == 1, F.col("value"))).alias("current"),
         F.max(F.when(F.col("rn") == 2, F.col("value"))).alias("previous"))
+    folded = _same_keys(counts, latest, keys)
     return folded.select(*keys, "periods", "current", "previous", F.when(F.col("clash"), "CONFLICT")
                          .when(F.col("periods") < 2, "INSUFFICIENT_HISTORY")
                          .when(F.col("current").isNull() | F.col("previous").isNull(), "UNKNOWN")
@@ -168,16 +182,15 @@ def trend_signal(rows: DataFrame, keys: list[str], period: str, value: str) -> D
 
 def decay(windows: DataFrame, keys: list[str], period: str, value: str) -> DataFrame:
     """Decay verdict per key from its last four of at least six windows."""
-    order = Window.partitionBy(*keys).orderBy(F.desc(period))
-    ranked = windows.withColumn("rn", F.row_number().over(order))
 
     def mean(low, high):
         inside = F.col("rn").between(low, high)
         full = F.count(F.when(inside, F.col(value))) == high - low + 1
         return F.when(full, F.avg(F.when(inside, F.col(value))))
 
-    folded = ranked.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("windows"), mean(1, 2).alias("recent"), mean(3, 4).alias("baseline"))
+    counts = windows.groupBy(*keys).agg(F.count(F.lit(1)).alias("windows"))
+    latest = newest(windows, keys, period, 4).groupBy(*keys).agg(mean(1, 2).alias("recent"), mean(3, 4).alias("baseline"))
+    folded = _same_keys(counts, latest, keys)
     fallen = (F.col("baseline") > 0) & (F.col("recent") <= F.col("baseline") * DECAY_KEEP)
     return folded.withColumn("verdict", F.when(F.col("windows") < DECAY_WINDOWS, "MONITOR_SHORT_HISTORY")
                              .when(F.col("recent").isNull() | F.col("baseline").isNull(), "MONITOR_INCOMPLETE")
@@ -224,18 +237,15 @@ def window_totals(anchors: DataFrame, daily: DataFrame, key: str, value: str) ->
 def previous_window(current: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:
     """As-of join: the value of the latest history window that ends strictly before the current one begins.
 
-    Both sides are stacked and ordered per key, so the work is one shuffle and no range join.
+    ``current`` has one row per key; earlier windows meet it by key and fold to their maximum on the map side, so a
+    key with a long history is never sorted in one task.
     """
-    marks = current.select(*keys, F.col("first_day").alias("_at"), F.lit(1).alias("_side"),
-                           F.struct(*current.columns).alias("_row"),
-                           F.lit(None).cast(history.select(F.struct("p75", "last_day")).schema[0].dataType).alias("_seen"))
-    past = history.where(F.col("p75").isNotNull()).select(
-        *keys, F.col("last_day").alias("_at"), F.lit(2).alias("_side"),
-        F.lit(None).cast(marks.schema["_row"].dataType).alias("_row"), F.struct("p75", "last_day").alias("_seen"))
-    order = Window.partitionBy(*keys).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    joined = marks.unionByName(past).withColumn("_last", F.last("_seen", ignorenulls=True).over(order))
-    return joined.where(F.col("_side") == 1).select(
-        "_row.*", F.col("_last.p75").alias("previous_p75"), F.col("_last.last_day").alias("previous_end"))
+    begins = current.select(*keys, F.col("first_day").alias("_begins"))
+    past = history.where(F.col("p75").isNotNull()).select(*keys, "p75", "last_day")
+    last = (past.join(begins, keys).where(F.col("last_day") < F.col("_begins")).groupBy(*keys)
+            .agg(F.max(F.struct("last_day", "p75")).alias("_last")))
+    return current.join(last, keys, "left").select(
+        *current.columns, F.col("_last.p75").alias("previous_p75"), F.col("_last.last_day").alias("previous_end"))
 
 
 def vitals_trend(current: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:
