@@ -142,6 +142,22 @@ def preferred_copies(rows: DataFrame, keys: list[str], priority: str, failed: Da
     return alive.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min_by(whole, F.col(priority)).alias("_row")).select("_row.*")
 
 
+#: Tasks over which the rows of one key are spread.
+SPREAD = 16
+
+
+def join_spread(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """Inner join of many ``rows`` with one row per ``key``, a key's rows being spread over several tasks.
+
+    A fold by ``key`` that follows has to exchange its partial results, so a key that holds a third of all rows is
+    never folded row by row in one task.
+    """
+    hashable = [name for name, kind in rows.dtypes if "map<" not in kind and kind != "void"]
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(SPREAD)).cast("int"))
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return salted.join(copies, [key, "_salt"]).drop("_salt")
+
+
 def issue_demand(issues: DataFrame, demand: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Severe issues that meet search demand, and those that do not."""
     wanted = demand.select(*keys).distinct()

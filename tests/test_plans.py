@@ -147,3 +147,24 @@ def test_preview_caps_the_first_screen_only(spark):
     assert rows.count() == 300 and {r.candidate_id for r in rows.where("first_screen").collect()} == {str(i) for i in sorted((i for i in range(300) if i % 3), reverse=True)[:20]}
     with pytest.raises(ValueError):
         reports.preview_rows(df, "D", cap=101)
+
+
+def test_a_hot_key_is_folded_in_parts(spark):
+    """A third of the evidence on one bundle: the join deals it out over many tasks, and folds meet as partial results."""
+    from sightline.operators.joins import SPREAD, join_spread
+    rows = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS bundle_id", "id AS v", "CAST(NULL AS STRING) AS nothing")
+    groups = spark.range(30_000).selectExpr("id AS bundle_id", "id % 7 AS target")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = join_spread(rows, groups, "bundle_id")
+        tasks = joined.where("bundle_id = 0").selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()
+        folded = joined.groupBy("bundle_id").count()
+        plan = folded._jdf.queryExecution().toString()
+        assert joined.count() == 30_000 and folded.where("bundle_id = 0").first()["count"] == 10_000
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(tasks) >= 5 and max(r["count"] for r in tasks) <= 5000 and SPREAD > 1
+    assert "partial_count" in plan and plan.index("HashAggregate") < plan.index("partial_count") < plan.index("SortMergeJoin")
