@@ -61,6 +61,19 @@ for _name, _section in (("L2_title_issues", "Page Titles"), ("L3_description_iss
     query(_name, f"WITH {FACTS}, {ISSUES} SELECT * FROM issues WHERE section = '{_section}'")(only(_section))
 
 
+@query("L3_description_labels", """
+WITH d AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN repeat('long words ', 20) || page_id WHEN 1 THEN 'short ' || page_id WHEN 2 THEN 'The same description, of seventy characters or more, on two pages each: ' || page_id // 8 END AS description FROM pages)
+SELECT page_id, CASE WHEN description IS NULL THEN 'Missing' WHEN length(description) > 155 THEN 'Over 155 Characters' ELSE 'Below 70 Characters' END AS label FROM d WHERE description IS NULL OR length(description) > 155 OR length(description) < 70
+UNION ALL SELECT page_id, 'Duplicate' FROM d WHERE description IN (SELECT description FROM d GROUP BY 1 HAVING COUNT(*) > 1)""")
+def description_labels(t):
+    page = F.col("page_id")
+    text = (F.when(page % 4 == 0, F.concat(F.lit("long words " * 20), page)).when(page % 4 == 1, F.concat(F.lit("short "), page))
+            .when(page % 4 == 2, F.concat(F.lit("The same description, of seventy characters or more, on two pages each: "), F.floor(page / 8))))
+    meta = F.coalesce(F.concat(F.lit('<meta name="description" content="'), text, F.lit('">')), F.lit(""))
+    facts = audit.page_facts(t.pages.select("page_id", "url", F.concat(meta, "html").alias("html")))
+    return audit.page_issues(facts).unionByName(audit.shared_value_issues(facts)).where("section = 'Meta Description'").drop("section")
+
+
 @query("L4_shared_values", f"WITH {FACTS}, {SHARED} SELECT * FROM shared")
 def shared_values(t):
     return audit.shared_value_issues(audit.page_facts(t.pages))
@@ -153,14 +166,15 @@ def security_issues(t):
 
 
 
-@query("L11_inlinks", """
-WITH n AS (SELECT page_id, url, lead(url) OVER (PARTITION BY page_id % 7 ORDER BY page_id) AS target FROM pages),
-p AS (SELECT target AS url, COUNT(DISTINCT page_id) AS sources, COUNT(*) AS links FROM n WHERE target <> url GROUP BY 1)
-SELECT pages.page_id, pages.url, coalesce(sources, 0) AS sources, coalesce(links, 0) AS links,
-  CASE WHEN sources IS NULL THEN 'ORPHAN' WHEN sources = 1 THEN 'WEAK' ELSE 'LINKED' END AS state FROM pages LEFT JOIN p ON p.url = pages.url""")
+@query("L11_inlinks", f"""
+WITH {LINKS}, f AS (SELECT page_id, MIN(target) AS url FROM targets GROUP BY 1),
+p AS (SELECT target AS url, COUNT(DISTINCT page_id) AS sources, COUNT(*) AS links FROM targets WHERE target <> url GROUP BY 1)
+SELECT f.page_id, f.url, coalesce(sources, 0) AS sources, coalesce(links, 0) AS links,
+  CASE WHEN sources IS NULL THEN 'ORPHAN' WHEN sources = 1 THEN 'WEAK' ELSE 'LINKED' END AS state FROM f LEFT JOIN p ON p.url = f.url""")
 def inlinks(t):
-    chained = t.pages.alias("a").join(t.pages.select((F.col("page_id") - 7).alias("page_id"), F.col("url").alias("target")), "page_id")
-    return audit.inlinks(t.pages, chained.select("page_id", "url", "target", F.lit(True).alias("internal")))
+    """The links in the markup, towards the first page that each page links to."""
+    found = audit.links(t.pages)
+    return audit.inlinks(found.groupBy("page_id").agg(F.min("target").alias("url")), found)
 
 
 @query("L12_anchor_mix", f"""
