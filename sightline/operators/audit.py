@@ -32,7 +32,8 @@ def attribute(tag: Column, name: str) -> Column:
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
-    """Title, headings, description, canonical and word count of each page."""
+    """Title, headings, description, canonical and word count of each page; the generator keeps each part from being
+    worked out again wherever it is used."""
     html = F.col("html")
     body = html
     for hidden in HIDDEN:
@@ -40,12 +41,13 @@ def page_facts(pages: DataFrame) -> DataFrame:
     canonical = F.filter(F.regexp_extract_all(html, F.lit(LINK_TAG), F.lit(0)), lambda m: m.rlike(r"""(?i)rel\s*=\s*["']?canonical"""))
     headings = F.transform(F.regexp_extract_all(html, F.lit(HEADING), F.lit(1)), plain_text)
     metas = F.filter(F.regexp_extract_all(html, F.lit(META_TAG), F.lit(0)), lambda m: m.rlike(r"""(?i)name\s*=\s*["']?description"""))
-    words = plain_text(body)
-    return pages.select(
-        "page_id", "url", plain_text(F.regexp_extract(html, TITLE, 1)).alias("title"), headings.alias("headings"),
+    read = pages.select("page_id", "url", F.inline(F.array(F.struct(
+        plain_text(F.regexp_extract(html, TITLE, 1)).alias("title"), headings.alias("headings"),
         attribute(F.get(metas, F.lit(0)), "content").alias("description"),
-        attribute(F.get(canonical, F.lit(0)), "href").alias("canonical"),
-        F.when(words == "", 0).otherwise(F.size(F.split(words, " "))).alias("words"), F.sha2(words, 256).alias("content_hash"))
+        attribute(F.get(canonical, F.lit(0)), "href").alias("canonical"), plain_text(body).alias("_text")))))
+    return read.select(
+        "page_id", "url", "title", "headings", "description", "canonical",
+        F.when(F.col("_text") == "", 0).otherwise(F.size(F.split("_text", " "))).alias("words"), F.sha2("_text", 256).alias("content_hash"))
 
 
 def _issue(rows: DataFrame, section: str, label: str) -> DataFrame:
