@@ -206,6 +206,16 @@ def box_plots(t):
     return rounded(df, *df.columns[1:])
 
 
+@query("D16_summarised_boxes", """
+SELECT l_shipmode_key AS part, low AS minimum, q1 AS lower_quartile, mid AS median, q3 AS upper_quartile, high AS maximum, q3 - q1 AS spread
+FROM (SELECT l_suppkey AS l_shipmode_key, MIN(l_quantity) AS low, MIN(l_quantity) + 1 AS q1, MIN(l_quantity) + 2 AS mid, MAX(l_quantity) + 3 AS q3, MAX(l_quantity) + 4 AS high FROM lineitem GROUP BY 1)""")
+def summarised_boxes(t):
+    ready = t.lineitem.groupBy(F.col("l_suppkey").alias("part")).agg(
+        F.min("l_quantity").alias("minimum"), (F.min("l_quantity") + 1).alias("lower_quartile"), (F.min("l_quantity") + 2).alias("median"),
+        (F.max("l_quantity") + 3).alias("upper_quartile"), (F.max("l_quantity") + 4).alias("maximum"))
+    return charts.summarised_box_plots(ready)
+
+
 @query("D17_top_categories", """
 WITH v AS (SELECT CAST(l_partkey AS VARCHAR) AS page, CAST(SUM(l_quantity) AS BIGINT) AS clicks FROM lineitem GROUP BY 1),
 r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY CASE WHEN page = '7' THEN 0 ELSE 1 END, clicks DESC, page) AS rn FROM v)

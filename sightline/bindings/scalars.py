@@ -266,6 +266,14 @@ def format_values(t):
     return t.orders.select("o_orderkey", numbers.format_percent(F.col("o_custkey") / 8).alias("percent"), numbers.format_currency(F.col("o_custkey") * 3).alias("money"))
 
 
+@query("H26_compact", """
+WITH v AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 4 THEN NULL ELSE o_custkey * power(1000, o_orderkey % 4) END AS v FROM orders)
+SELECT o_orderkey, CASE WHEN v IS NULL THEN '—' WHEN v >= 1e9 THEN format('{:,.1f}', v / 1e9) || 'B' WHEN v >= 1e6 THEN format('{:,.1f}', v / 1e6) || 'M' WHEN v >= 1e3 THEN format('{:,.1f}', v / 1e3) || 'K' ELSE format('{:,.0f}', v) END AS text FROM v""")
+def compact_values(t):
+    value = F.when(F.col("o_orderkey") % 5 == 4, None).otherwise(F.col("o_custkey") * F.pow(F.lit(1000.0), F.col("o_orderkey") % 4))
+    return t.orders.select("o_orderkey", numbers.format_compact(value).alias("text"))
+
+
 @query("H27_date_parts", "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS compact, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS part FROM orders")
 def date_parts(t):
     return t.orders.select("o_orderkey", dates.compact_date(F.date_format("o_orderdate", "yyyyMMdd")).alias("compact"), dates.date_part_text(F.col("o_orderdate")).alias("part"))

@@ -114,6 +114,36 @@ def sensitive_flags(t):
     return quality.sensitive_flags(t.documents, ["text"]).select("doc_id", "has_secret", "has_email", "has_phone")
 
 
+@query("B16_sensitive_names", """
+SELECT CASE o_orderkey % 4 WHEN 0 THEN 'api_key' WHEN 1 THEN 'email' WHEN 2 THEN 'access_token' ELSE 'clicks' END AS name, COUNT(*) AS rows,
+  CASE o_orderkey % 4 WHEN 0 THEN 'SECRET_REJECTED' WHEN 1 THEN 'PII_REJECTED' WHEN 2 THEN 'SECRET_REJECTED' END AS code FROM orders GROUP BY 1, 3""")
+def sensitive_names(t):
+    """The verdict on each key that landed records carry, with the number of records that carry it."""
+    names = ["api_key", "email", "access_token", "clicks"]
+    keys = t.orders.select(F.element_at(F.array(*[F.lit(n) for n in names]), (C("o_orderkey") % 4 + 1).cast("int")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("rows"))
+    wide = t.orders.select(*[F.lit(0).alias(n) for n in names])
+    code = F.lit(None).cast("string")
+    for name, verdict in quality.sensitive_columns(wide):
+        code = F.when(C("name") == name, verdict).otherwise(code)
+    return keys.withColumn("code", code)
+
+
+@query("B17_dropped_keys", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'clicks' ELSE 'clicks,site' END AS keys FROM orders""")
+def dropped_keys(t):
+    third = F.when(C("o_orderkey") % 3 == 0, "client_secret").otherwise("site")
+    values = F.create_map(F.lit("clicks"), C("o_orderstatus"), F.lit("access_token"), C("o_orderpriority"), third, C("o_orderstatus"))
+    return t.orders.select("o_orderkey", F.array_join(F.array_sort(F.map_keys(text.drop_sensitive_keys(values))), ",").alias("keys"))
+
+
+@query("B18_normal_forms", """
+SELECT p_partkey, 'INVALID_NORMALIZED_VALUE' AS code FROM part WHERE p_partkey % 5 = 0""")
+def normal_forms(t):
+    stored = F.when(C("p_partkey") % 5 == 0, F.concat(C("p_name"), F.lit("!"))).otherwise(F.lower("p_name"))
+    rows = t.part.select("p_partkey", F.upper("p_name").alias("raw"), stored.alias("stored"))
+    return registry.normal_form_errors(rows, "raw", "stored", "text").select("p_partkey", "code")
+
+
 @query("B17_redacted", f"""
 SELECT doc_id, md5(CASE WHEN regexp_matches(text, '{text.CREDENTIAL}') THEN '[REDACTED]' ELSE text END) AS text_md5 FROM documents""")
 def redacted(t):
@@ -186,6 +216,14 @@ def distinct_by_hash(t):
     return quality.distinct_by_hash(t.part.select("p_brand", "p_type"), ["p_brand", "p_type"])
 
 
+@query("G6_schema_difference", """
+SELECT l_returnflag, COUNT(*) AS rows, 'l_batch' AS missing, 'l_comment' AS unexpected FROM lineitem GROUP BY 1""")
+def schema_difference(t):
+    rows = t.lineitem.select(*t.lineitem.columns, F.lit("").alias("l_comment")) if "l_comment" not in t.lineitem.columns else t.lineitem
+    found = quality.schema_difference(rows, [*[c for c in t.lineitem.columns if c != "l_comment"], "l_batch"])
+    return rows.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("rows")).withColumns({k: F.lit(",".join(v)) for k, v in found.items()})
+
+
 @query("G7_same_set", """
 SELECT o_orderkey, o_orderkey % 3 <> 0 AS same FROM orders""")
 def same_set(t):
