@@ -64,7 +64,8 @@ def snapshot_errors(t):
 
 @query("B13_scope_errors", """
 SELECT c_custkey AS query_id, array_to_string(list_filter([CASE WHEN c_nationkey % 5 = 0 THEN 'SCOPE_NOT_APPROVED' END, CASE WHEN c_nationkey % 4 = 0 THEN 'COUNTRY_SCOPE_MISMATCH' END,
-  CASE WHEN c_custkey % 3 = 2 THEN 'TARGET_OUTSIDE_SCOPE' END], lambda e: e IS NOT NULL), ',') AS errors FROM customer""")
+  CASE WHEN c_custkey % 3 = 2 THEN 'TARGET_OUTSIDE_SCOPE' END, CASE WHEN c_custkey % 3 = 0 AND c_nationkey % 7 = 0 THEN 'TARGET_EXCLUDED' END,
+  CASE WHEN c_mktsegment NOT IN (SELECT p_name FROM part) AND c_custkey % 10 = 1 THEN 'CAPABILITY_MISSING' END, CASE WHEN c_custkey % 13 = 0 THEN 'ESTIMATE_CLASSIFICATION_CONFLICT' END], lambda e: e IS NOT NULL), ',') AS errors FROM customer""")
 def scope_errors(t):
     nation = C("n_nationkey")
     scope = t.nation.select(nation.alias("project"), F.when(nation % 5 == 0, "PROPOSED").otherwise("APPROVED").alias("approval_state"),
@@ -73,8 +74,11 @@ def scope_errors(t):
     host = F.concat(F.lit("nation_"), C("c_nationkey").cast("string"), F.lit(".com"))
     case = C("c_custkey") % 3
     queries = t.customer.select(C("c_custkey").alias("query_id"), C("c_nationkey").alias("project"), F.lit("TW").alias("country"),
-                                F.when(case == 0, host).when(case == 1, F.concat(F.lit("Blog.A."), host)).otherwise(F.concat(F.lit("x"), host)).alias("target_host"))
-    return flags(quality.scope_errors(queries, scope)).select("query_id", "errors")
+                                F.when(case == 0, host).when(case == 1, F.concat(F.lit("Blog.A."), host)).otherwise(F.concat(F.lit("x"), host)).alias("target_host"),
+                                (C("c_custkey") % 13 != 0).alias("estimation_flag"))
+    excluded = t.nation.where("n_nationkey % 7 = 0").select(nation.alias("project"), F.concat(F.lit("NATION_"), nation.cast("string"), F.lit(".com")).alias("excluded_host"))
+    required = t.customer.where("c_custkey % 10 = 1").select(C("c_custkey").alias("query_id"), C("c_mktsegment").alias("capability"))
+    return flags(quality.scope_errors(queries, scope, excluded, required, t.part.select(C("p_name").alias("capability")))).select("query_id", "errors")
 
 
 @query("B14_is_fresh", """

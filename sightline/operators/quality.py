@@ -50,11 +50,14 @@ def exclusions(spark) -> DataFrame:
     return spark.createDataFrame(schemas.CRAWL_EXCLUSIONS, "finding string, reason string")
 
 
-def scope_errors(queries: DataFrame, scope: DataFrame) -> DataFrame:
+def scope_errors(queries: DataFrame, scope: DataFrame, excluded: DataFrame | None = None, required: DataFrame | None = None,
+                 available: DataFrame | None = None) -> DataFrame:
     """Error codes of keyword-database queries against their project's approved scope.
 
     The scope holds one row per (project, allowed host).  A target fits when one of its own parent domains is
-    allowed, so the suffix test is an equality join on the domains a host contains.
+    allowed, so the suffix test is an equality join on the domains a host contains.  ``excluded`` (project,
+    excluded_host) forbids targets by name; ``required`` (query_id, capability) must be ``available`` (capability).
+    Where queries have an ``estimation_flag``, it must be set.
     """
     heads = scope.groupBy("project").agg(
         F.max("approval_state").alias("approval_state"), F.max("approval_ref").alias("approval_ref"),
@@ -68,13 +71,24 @@ def scope_errors(queries: DataFrame, scope: DataFrame) -> DataFrame:
               .join(allowed, ["project", "_parent"], "left_semi").select("query_id").distinct()
               .withColumn("_within", F.lit(True)))
     joined = queries.join(heads, "project", "left").join(within, "query_id", "left")
+    more = []
+    if excluded is not None:
+        named = excluded.select("project", F.lower("excluded_host").alias("_host")).distinct().withColumn("_excluded", F.lit(True))
+        joined = joined.withColumn("_host", F.lower("target_host")).join(named, ["project", "_host"], "left").drop("_host")
+        more.append((F.col("_excluded").isNotNull(), "TARGET_EXCLUDED"))
+    if required is not None:
+        lacking = required if available is None else required.join(available.select("capability"), "capability", "left_anti")
+        joined = joined.join(lacking.select("query_id").distinct().withColumn("_lacking", F.lit(True)), "query_id", "left")
+        more.append((F.col("_lacking").isNotNull(), "CAPABILITY_MISSING"))
+    if "estimation_flag" in queries.columns:
+        more.append((~F.coalesce("estimation_flag", F.lit(False)), "ESTIMATE_CLASSIFICATION_CONFLICT"))
     return joined.withColumn("errors", codes(
         (F.coalesce("approval_state", F.lit("")) != "APPROVED", "SCOPE_NOT_APPROVED"),
         (blank("approval_ref"), "SCOPE_APPROVAL_REF_MISSING"),
         (~F.coalesce(F.col("environment").isin("preview", "uat"), F.lit(False)), "PRODUCTION_ENVIRONMENT_BLOCKED"),
         (F.col("scope_country") != F.col("country"), "COUNTRY_SCOPE_MISMATCH"),
-        ((F.col("hosts") > 0) & F.col("_within").isNull(), "TARGET_OUTSIDE_SCOPE"))).drop(
-        "approval_state", "approval_ref", "environment", "scope_country", "hosts", "_within")
+        ((F.col("hosts") > 0) & F.col("_within").isNull(), "TARGET_OUTSIDE_SCOPE"), *more)).drop(
+        "approval_state", "approval_ref", "environment", "scope_country", "hosts", "_within", "_excluded", "_lacking")
 
 
 def free_text(rows: DataFrame, needle: str) -> DataFrame:
