@@ -640,11 +640,15 @@ def linked_steps(t):
 
 @query("C14_compare_sides", """
 WITH s AS (SELECT l_partkey, l_suppkey, SUM(l_quantity) FILTER (l_linestatus = 'O') AS b, SUM(l_quantity) FILTER (l_linestatus = 'F') AS f FROM lineitem GROUP BY 1, 2)
-SELECT l_partkey AS track_id, l_suppkey AS metric, b AS baseline_value, f AS follow_up_value, CASE WHEN b IS NULL THEN 'MISSING_BASELINE' WHEN f IS NULL THEN 'MISSING_FOLLOW_UP' WHEN l_suppkey % 3 = 0 THEN 'SCOPE_MISMATCH' END AS mismatch FROM s""")
+SELECT l_partkey AS track_id, l_suppkey AS metric, b AS baseline_value, f AS follow_up_value, CASE WHEN b IS NULL THEN 'MISSING_BASELINE' WHEN f IS NULL THEN 'MISSING_FOLLOW_UP' WHEN l_suppkey % 3 = 0 THEN 'SCOPE_MISMATCH'
+  WHEN l_partkey % 4 = 0 AND l_suppkey % 7 = 0 THEN 'SAMPLE_REVISION_MISMATCH' WHEN l_partkey % 4 = 0 AND l_suppkey % 7 = 1 THEN 'SAMPLE_REVISION_MISSING' WHEN l_partkey % 4 = 1 AND l_suppkey % 7 = 2 THEN 'SNAPSHOT_NOT_A_PERIOD' END AS mismatch FROM s""")
 def compare_sides(t):
     observed = t.lineitem.groupBy(C("l_partkey").alias("track_id"), C("l_suppkey").alias("metric"), "l_linestatus").agg(F.sum("l_quantity").alias("value"))
     sides = observed.select("track_id", "metric", F.when(C("l_linestatus") == "O", "baseline").otherwise("follow_up").alias("side"), "value",
-                            F.when((C("metric") % 3 == 0) & (C("l_linestatus") == "O"), "SITE").otherwise("PAGE").alias("scope"))
+                            F.when((C("metric") % 3 == 0) & (C("l_linestatus") == "O"), "SITE").otherwise("PAGE").alias("scope"),
+                            F.element_at(F.array(F.lit("WORKDUO"), F.lit("SERP"), F.lit("GSC"), F.lit("GA4")), (C("track_id") % 4 + 1).cast("int")).alias("source"), F.lit("v1").alias("sample_version"),
+                            F.when(C("metric") % 7 == 1, None).when((C("metric") % 7 == 0) & (C("l_linestatus") == "O"), 2).otherwise(1).alias("sample_revision"),
+                            F.when((C("metric") % 7 == 2) & (C("l_linestatus") == "O"), "2024-01-31").otherwise("2024-02-29").alias("period_end"))
     return joins.compare_sides(sides).select("track_id", "metric", "baseline_value", "follow_up_value", "mismatch")
 
 

@@ -109,11 +109,17 @@ def linked_steps(steps: DataFrame, recommendations: DataFrame) -> DataFrame:
         "status": F.when(F.col("source_ref").isNull(), F.col("status")).otherwise(F.col("_status"))}).drop("_status")
 
 
+# Sources whose observations belong to a sample of AI answers.
+SAMPLED_SOURCES = ["GEO", "WORKDUO"]
 SCOPE_FIELDS = ["source", "scope", "entity_ref", "source_population", "methodology", "timezone"]
 
 
 def compare_sides(observations: DataFrame, scope_fields: list[str] = SCOPE_FIELDS) -> DataFrame:
-    """Baseline beside follow-up per (track, metric), with the first reason they cannot be compared."""
+    """Baseline beside follow-up per (track, metric), with the first reason they cannot be compared.
+
+    Observations of AI-answer samples must come from one known version and revision of their sample; two result-page
+    snapshots of different days are no periods that could be compared.
+    """
     fields = [f for f in scope_fields if f in observations.columns]
 
     def side(name):
@@ -123,8 +129,14 @@ def compare_sides(observations: DataFrame, scope_fields: list[str] = SCOPE_FIELD
 
     both = side("baseline").join(side("follow_up"), ["track_id", "metric"], "full")
     same = [(~F.col(f"baseline_{f}").eqNullSafe(F.col(f"follow_up_{f}")), f"{f.upper()}_MISMATCH") for f in fields]
-    version = ([(~F.col("baseline_sample_version").eqNullSafe(F.col("follow_up_sample_version")), "SAMPLE_VERSION_MISMATCH")]
-               if "sample_version" in observations.columns else [])
+    version = []
+    if {"source", "sample_version", "sample_revision"} <= set(observations.columns):
+        sampled = F.coalesce(F.col("baseline_source").isin(SAMPLED_SOURCES), F.lit(False))
+        pairs = [(F.col(f"baseline_{f}"), F.col(f"follow_up_{f}")) for f in ("sample_version", "sample_revision")]
+        version += [(sampled & reduce(lambda x, y: x | y, [~b.eqNullSafe(f) for b, f in pairs]), "SAMPLE_REVISION_MISMATCH"),
+                    (sampled & reduce(lambda x, y: x | y, [b.isNull() for b, _ in pairs]), "SAMPLE_REVISION_MISSING")]
+    if {"source", "period_end"} <= set(observations.columns):
+        version.append(((F.col("baseline_source") == "SERP") & (F.col("baseline_period_end") != F.col("follow_up_period_end")), "SNAPSHOT_NOT_A_PERIOD"))
     return both.withColumn("mismatch", first_code(
         (F.col("baseline_value").isNull(), "MISSING_BASELINE"), (F.col("follow_up_value").isNull(), "MISSING_FOLLOW_UP"),
         *same, *version))

@@ -36,7 +36,7 @@ def comparisons(plans: DataFrame, observations: DataFrame) -> DataFrame:
     """Every planned metric of every track with its status, delta and verdict; the first obstacle decides the status.
 
     ``observations``: ``track_id, side, metric, source, value, status, freshness_state, sample_size, scope`` and the
-    optional scope fields.
+    optional scope fields; plans may bind a ``plan_population``.
     """
     c = F.col
     paired = plans.join(compare_sides(observations), ["track_id", "metric"], "left")
@@ -47,6 +47,8 @@ def comparisons(plans: DataFrame, observations: DataFrame) -> DataFrame:
     def small(side):
         return c(f"{side}_sample_size") < c("minimum_sample")
 
+    population = ([(c("baseline_source_population") != c("plan_population"), "SOURCE_POPULATION_MISMATCH")]
+                  if "plan_population" in plans.columns and "source_population" in observations.columns else [])
     absent = c("baseline_status").isNull() | c("follow_up_status").isNull()
     obstacle = first_code(
         (absent, "MISSING"),
@@ -55,7 +57,7 @@ def comparisons(plans: DataFrame, observations: DataFrame) -> DataFrame:
         (either("status", UNUSABLE) | either("freshness_state", ["STALE", "FAILED", "NOT_AVAILABLE", "MISSING"])
          | c("baseline_value").isNull() | c("follow_up_value").isNull(), "INSUFFICIENT_DATA"),
         (small("baseline") | small("follow_up"), "INSUFFICIENT_SAMPLE"), (c("mismatch").isNotNull(), "SCOPE_MISMATCH"),
-        (c("baseline_scope") != c("plan_scope"), "MEASUREMENT_SCOPE_MISMATCH"))
+        (c("baseline_scope") != c("plan_scope"), "MEASUREMENT_SCOPE_MISMATCH"), *population)
     change = F.when(c("obstacle").isNull(), delta(c("baseline_value"), c("follow_up_value"), c("method")))
     return paired.withColumn("obstacle", obstacle).withColumn("delta", change).withColumns({
         "met": F.when(c("obstacle").isNull(), target_met(c("delta"), c("direction"), c("target_delta"), c("tolerance"))),

@@ -168,3 +168,13 @@ def test_a_hot_key_is_folded_in_parts(spark):
             spark.conf.set(k, v)
     assert len(tasks) >= 5 and max(r["count"] for r in tasks) <= 5000 and SPREAD > 1
     assert "partial_count" in plan and plan.index("HashAggregate") < plan.index("partial_count") < plan.index("SortMergeJoin")
+
+
+def test_samples_snapshots_and_populations(spark):
+    """Sample revisions count for AI-answer sources only; snapshots of two days are no period."""
+    from sightline.operators.joins import compare_sides
+    rows = [("geo", "WORKDUO", "v1", 1, 1), ("drift", "WORKDUO", "v1", 1, 2), ("unknown", "GEO", "v1", None, None), ("search", "GSC", "v1", 1, 2), ("page", "SERP", "v1", 1, 1)]
+    flat = [(k, "m", side, 1.0, source, version, rev, day) for k, source, version, *revs in rows for side, rev, day in (("baseline", revs[0], "2024-01-31"), ("follow_up", revs[1], "2024-02-29"))]
+    df = spark.createDataFrame(flat, "track_id string, metric string, side string, value double, source string, sample_version string, sample_revision int, period_end string")
+    assert {r.track_id: r.mismatch for r in compare_sides(df).collect()} == {
+        "geo": None, "drift": "SAMPLE_REVISION_MISMATCH", "unknown": "SAMPLE_REVISION_MISSING", "search": None, "page": "SNAPSHOT_NOT_A_PERIOD"}
