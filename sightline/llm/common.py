@@ -1,4 +1,4 @@
-"""What the corpus operators share: table access, the shared working folder, and joins that hot keys cannot stop."""
+"""What the corpus operators share: table access, the shared working folder, normalised text."""
 
 import tempfile
 import uuid
@@ -15,11 +15,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def work_folder(spark: SparkSession) -> str:
     """A new name below the folder that driver and executors share; only where none is set (tests) one is made."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         shared = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(shared)
-        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/corpus-{uuid.uuid4().hex}"
 
 
@@ -39,12 +38,3 @@ def one_space(text: Column) -> Column:
 
 def digest_text(text: Column) -> Column:
     return F.sha2(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 256)
-
-
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Join ``rows`` with one row per ``key``.
-
-    ``groups`` must be dealt out by more than ``key`` alone (aggregated by a second column too): then both sides are
-    exchanged for this join only, and adaptive execution may split the partition of a hot key.
-    """
-    return rows.join(groups, key, how)
