@@ -13,7 +13,7 @@ import pyarrow as pa
 WORDS = 5
 SEED = 0x5EED
 #: Bytes of text that are shingled at once; one longer text goes alone.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
