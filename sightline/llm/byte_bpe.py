@@ -9,6 +9,7 @@ many at a time, one row of a numpy array each; long ones one by one.
 import base64
 import re
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -17,8 +18,8 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 NONE = np.iinfo(np.int32).max
-#: Longest piece, in bytes, that is merged together with others.
-SHORT = 32
+#: Widths of the trees in which pieces of at most so many bytes are merged together with others.
+WIDTHS = (8, 16, 32)
 #: Entries after which a task's memory of merged pieces starts anew, and bytes of text per step.
 MEMORY, STEP_BYTES = 1 << 19, 1 << 22
 #: A blank beside other white space: only there can a blank belong to a longer run.
@@ -31,7 +32,6 @@ class Ranks:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
             self.ids = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.tokens = {rank: token for token, rank in self.ids.items()}
         self.pattern = regex.compile(pattern)
         self.byte = np.array([self.ids.get(bytes([b]), -1) for b in range(256)], np.int64)
         if (self.byte < 0).any():
@@ -48,8 +48,8 @@ class Ranks:
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.ranks[at], NONE)
 
-    def merge_long(self, piece: bytes) -> list[int]:
-        """Ids of one piece."""
+    def merge_long(self, piece: bytes) -> bytes:
+        """Ids of one piece, as little-endian int32."""
         n = len(piece)
         width = 1 << max(1, (n - 1).bit_length())
         ids = self.byte[np.frombuffer(piece, np.uint8)].tolist()
@@ -89,15 +89,16 @@ class Ranks:
         while i < n:
             out.append(ids[i])
             i = after[i]
-        return out
+        return np.array(out, "<i4").tobytes()
 
-    def merge_short(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece of at most ``SHORT`` bytes, every piece with a tree of its own."""
-        width, count = SHORT, len(pieces)
+    def merge_short(self, pieces: list[bytes], width: int) -> list[bytes]:
+        """Ids of each piece of at most ``width`` bytes, every piece with a tree of its own."""
+        count = len(pieces)
         size = np.fromiter(map(len, pieces), np.int64, count)
         raw = np.zeros((count, width + 1), np.uint8)
         raw[np.arange(width + 1) < size[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
         ids, place = self.byte[raw], np.arange(width + 1)
+        alive = place < size[:, None]
         after = np.broadcast_to(place + 1, ids.shape).copy()
         before = np.broadcast_to(place - 1, ids.shape).copy()
         tree = np.full((count, 2 * width), NONE, np.int32)
@@ -122,7 +123,7 @@ class Ranks:
             i = k - width
             j = after[live, i]
             beyond = after[live, j]
-            ids[live, i], after[live, i] = low, beyond
+            ids[live, i], after[live, i], alive[live, j] = low, beyond, False
             put(live, j, np.full(live.size, NONE, np.int32))
             there = beyond < size[live]
             right = np.full(live.size, NONE, np.int32)
@@ -133,23 +134,19 @@ class Ranks:
             there = h >= 0
             put(live[there], h[there], self.pair_ranks(ids[live[there], h[there]], low[there].astype(np.int64)))
             live = live[tree[live, 1] != NONE]
-        out = [[] for _ in pieces]
-        at = np.zeros(count, np.int64)
-        live = np.nonzero(size > 0)[0]
-        while live.size:
-            for row, token in zip(live.tolist(), ids[live, at[live]].tolist()):
-                out[row].append(token)
-            at[live] = after[live, at[live]]
-            live = live[at[live] < size[live]]
-        return out
-
-    def merge(self, pieces: list[bytes]) -> list[list[int]]:
-        out: list = [[self.ids[p]] if p in self.ids else None for p in pieces]
-        short = [k for k, p in enumerate(pieces) if out[k] is None and len(p) <= SHORT]
-        for start in range(0, len(short), 1 << 14):
-            some = short[start:start + (1 << 14)]
-            for k, ids in zip(some, self.merge_short([pieces[k] for k in some])):
-                out[k] = ids
+        joined, ends = ids[alive].astype("<i4").tobytes(), np.cumsum(alive.sum(1) * 4).tolist()
+        return [joined[a:b] for a, b in zip([0, *ends], ends)]
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        out: list = [self.ids[p].to_bytes(4, "little") if p in self.ids else None for p in pieces]
+        above = 0
+        for width in WIDTHS:
+            short = [k for k, p in enumerate(pieces) if out[k] is None and above < len(p) <= width]
+            above = width
+            for start in range(0, len(short), 1 << 14):
+                some = short[start:start + (1 << 14)]
+                for k, ids in zip(some, self.merge_short([pieces[k] for k in some], width)):
+                    out[k] = ids
         return [ids if ids is not None else self.merge_long(p) for ids, p in zip(out, pieces)]
 
 
@@ -166,7 +163,7 @@ class Encoder:
             missing = units
         split = [self.ranks.pattern.findall(blank + u) for u in missing]
         pieces = list({p for some in split for p in some})
-        ids = {p: np.array(x, "<i4").tobytes() for p, x in zip(pieces, self.ranks.merge([p.encode() for p in pieces]))}
+        ids = dict(zip(pieces, self.ranks.merge([p.encode() for p in pieces])))
         memory.update((u, b"".join(map(ids.__getitem__, some))) for u, some in zip(missing, split))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -187,6 +184,18 @@ class Encoder:
         return [b"".join(chain(map(plain, head), map(after_blank, tail))) for head, tail in zip(heads, tails)]
 
 
+@cache
+def encoder_of(path: str, pattern: str) -> Encoder:
+    """One encoder for all tasks of a worker process."""
+    return Encoder(Ranks(path, pattern))
+
+
+@cache
+def tokens_of(path: str) -> dict[int, bytes]:
+    with open(path, "rb") as lines:
+        return {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, lines)}
+
+
 def steps(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of about ``STEP_BYTES`` characters."""
     start = size = 0
@@ -209,7 +218,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Ranks(path, pattern))
+        encoder = encoder_of(path, pattern)
         for batch in batches:
             texts = batch.column(text).to_pylist()
             for start, end in steps(texts):
@@ -222,7 +231,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     return rows.mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with the bytes ``decoded`` for which the array ``ids`` stands.  Null arrays, like empty ones, give no
     bytes; an id that the file lacks is an error.  Other columns, ``ids`` among them, pass through."""
     keep = [c for c in df.columns if c != decoded]
@@ -230,7 +239,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: st
     schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField(decoded, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = Ranks(path, pattern).tokens.__getitem__
+        token = tokens_of(path).__getitem__
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

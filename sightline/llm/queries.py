@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sightline.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, licences, parity_join, personal_data, sharding, warc
-from sightline.llm.common import digest_text, one_space, table
+from sightline.llm.common import table
 
 TOKENIZER, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
@@ -51,7 +51,7 @@ def op9_personal_data(spark, folder):
 def op10_byte_bpe(spark, folder):
     """Ids and the bytes they stand for, as counts and digests."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    both = byte_bpe.decode(byte_bpe.encode(docs, TOKENIZER, PATTERN), TOKENIZER, PATTERN)
+    both = byte_bpe.decode(byte_bpe.encode(docs, TOKENIZER, PATTERN), TOKENIZER)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), ","), "UTF-8"), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

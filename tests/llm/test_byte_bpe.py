@@ -29,7 +29,10 @@ def test_short_and_long_merges_agree():
     ranks, _ = encoding()
     rng = random.Random(5)
     pieces = [bytes(rng.randrange(97, 101) for _ in range(rng.randrange(1, 33))) for _ in range(500)] + [bytes(range(k, k + 20)) for k in range(0, 230, 7)]
-    assert ranks.merge_short(pieces) == [ranks.merge_long(p) for p in pieces]
+    want = [ranks.merge_long(p) for p in pieces]
+    assert ranks.merge_short(pieces, 32) == want == ranks.merge(pieces)
+    short = [p for p in pieces if len(p) <= 8]
+    assert short and ranks.merge_short(short, 8) == [ranks.merge_long(p) for p in short]
 
 
 def test_memory_is_bounded(monkeypatch):
@@ -55,9 +58,9 @@ def test_whole_table_against_tiktoken(spark):
 
 def test_nulls_repeats_clashing_names_and_empty_tables(spark):
     docs = documents(spark, [None, "", "a b", "a b", "long " * 30_000], [1, 2, 3, 3, None])
-    both = byte_bpe.decode(byte_bpe.encode(docs, PATH, PATTERN), PATH, PATTERN)
+    both = byte_bpe.decode(byte_bpe.encode(docs, PATH, PATTERN), PATH)
     assert sorted(both.columns) == sorted([c for c in docs.columns if c != "text"])
     got = sorted((bytes(r.decoded).decode(), len(r.ids)) for r in both.collect())
     assert [t for t, _ in got] == sorted(["", "", "a b", "a b", "long " * 30_000]) and got[0] == ("", 0)
-    assert byte_bpe.decode(byte_bpe.encode(documents(spark, []), PATH, PATTERN), PATH, PATTERN).count() == 0
+    assert byte_bpe.decode(byte_bpe.encode(documents(spark, []), PATH, PATTERN), PATH).count() == 0
     assert public_tokenizers.path("byte_bpe_multi_50k.tiktoken") == PATH
