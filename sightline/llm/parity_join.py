@@ -13,25 +13,26 @@ it is missed by all with chance below 2e-13, which is the only way a link can be
 
 Within a block's group no pairs are listed.  Each set is compared with the nearest of its groups' leaders first; what
 that joins is one class.  Sets outside of a group's largest class are compared with the nearest of other leaders, drawn
-from those classes, ``STARS`` times.  Only then are members of different classes compared with one another.  Sets of which at least three quarters of the
-blocks are in groups of at most ``COMMON`` are compared in those groups alone, where they meet every partner (chance of
-a miss below 3e-10): so a passage that very many documents share, which fills a few blocks of each, makes no pairs.
+from those classes, ``STARS`` times.  Only then are members of different classes compared with one another.  A linked
+pair agrees in at least 0.35 of a band's blocks on average, hence in no more than ``SPARE`` of them with chance below
+1e-9.  So in each band a set leaves the ``SPARE`` commonest of its groups, where they have more than ``COMMON`` members:
+by one order of all groups, the rarest that a linked pair shares is left by neither.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sightline.llm import shingles
 from sightline.llm.common import settle
 
-BLOCKS, COMMON, STARS = 64, 48, 1
+BLOCKS, COMMON, SPARE, STARS = 64, 48, 2, 1
 #: Least similarity, as a ratio of whole numbers.
 AT_LEAST = (75, 100)
 SKETCH_WORDS = 16
-_PROFILE = "row long, doc_id long, n_shingles long, node long, keys array<long>, " + ", ".join(f"s{k} long" for k in range(SKETCH_WORDS))
+_PROFILE = "row long, doc_id long, n_shingles long, node long, keys array<long>, lower int, " + ", ".join(f"s{k} long" for k in range(SKETCH_WORDS))
 
 
 def blocks_of(band: int, at_least: tuple[int, int]) -> int:
@@ -73,26 +74,29 @@ def sketch_of(found: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, at_least: tuple[int, int]) -> DataFrame:
-    """Per row: size of its set, ``node`` (a hash of the set), band keys and a short sketch."""
+    """Per row: size of its set, ``node`` (a hash of the set), band keys, how many of them are of its own band, and a
+    short sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, end in shingles.chunks(batch.column("text")):
                 part = batch.slice(start, end - start)
                 found, first = shingles.shingles(part.column("text"))
-                sizes, nodes, keys, sketches = [], [], [], []
+                sizes, nodes, keys, lower, sketches = [], [], [], [], []
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
                     own = np.unique(found[a:b])
                     sizes.append(len(own))
                     nodes.append(set_hash(own))
-                    keys.append(np.concatenate([np.zeros(0, np.uint64), *(band_keys(own, band, at_least) for band in bands_of(len(own), at_least))]))
+                    banded = [band_keys(own, band, at_least) for band in bands_of(len(own), at_least)]
+                    keys.append(np.concatenate([np.zeros(0, np.uint64), *banded]))
+                    lower.append(len(banded[0]) if banded else 0)
                     sketches.append(sketch_of(own))
                 sketch = np.array(sketches, np.int64)
                 offsets = pa.array(np.cumsum([0, *map(len, keys)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64))),
+                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64))), pa.array(lower, pa.int32()),
                      *(pa.array(np.ascontiguousarray(sketch[:, k])) for k in range(SKETCH_WORDS))],
-                    ["row", "doc_id", "n_shingles", "node", "keys", *(f"s{k}" for k in range(SKETCH_WORDS))])
+                    ["row", "doc_id", "n_shingles", "node", "keys", "lower", *(f"s{k}" for k in range(SKETCH_WORDS))])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
@@ -191,7 +195,7 @@ def near_groups(docs: DataFrame, at_least: tuple[int, int] = AT_LEAST) -> DataFr
     first = own.groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("first"))
     nodes = settle(own.join(first.select(F.col("first.row").alias("row")), "row", "left_semi").drop("row"))
 
-    keys = nodes.select(F.explode("keys").alias("key"), "node")
+    keys = nodes.select("node", "lower", F.posexplode("keys").alias("at", "key")).select("key", "node", (F.col("at") >= F.col("lower")).alias("upper"))
     groups = settle(keys.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("leader")).where("members > 1"))
     met = settle(keys.join(groups, "key"))
 
@@ -199,14 +203,14 @@ def near_groups(docs: DataFrame, at_least: tuple[int, int] = AT_LEAST) -> DataFr
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
     texts = settle(texts.join(shared, "_id", "left_semi"))
     links = settle(verified(nearest(met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")), nodes, at_least), texts, at_least))
-    common = met.groupBy("node").agg(F.count(F.when(F.col("members") > COMMON, 1)).alias("common"))
-    common = common.join(nodes.select("node", F.size("keys").alias("blocks")), "node")
-    met = settle(met.join(common, "node").where((F.col("members") <= COMMON) | (F.col("common") * 4 > F.col("blocks"))).select("key", "node"))
+    commonest = Window.partitionBy("node", "upper").orderBy(F.desc("members"), F.desc("key"))
+    common = met.where(F.col("members") > COMMON).withColumn("nth", F.row_number().over(commonest)).where(F.col("nth") > SPARE)
+    met = settle(met.where(F.col("members") <= COMMON).select("key", "node").unionByName(common.select("key", "node")))
 
     # sets that are still in different classes, wherever they share a group
     for step in range(STARS + 1):
         labels = components(links)
-        classes = settle(nodes.drop("keys").join(labels, "node", "left").withColumn("label", F.coalesce("label", "doc_id")))
+        classes = settle(nodes.drop("keys", "lower").join(labels, "node", "left").withColumn("label", F.coalesce("label", "doc_id")))
         left = met.join(classes.select("node", "label"), "node")
         sizes = left.groupBy("key", "label").agg(F.count("*").alias("n"), F.max_by("node", F.xxhash64("node", "key", F.lit(step))).alias("one"))
         mixed = settle(sizes.groupBy("key").agg(F.max(F.struct("n", "label", "one")).alias("top"), F.count("*").alias("labels"))

@@ -74,6 +74,21 @@ def test_hot_groups_passages_and_odd_rows(spark):
     assert got == classes(dict(zip(ids, texts)))
 
 
+def test_documents_that_extend_a_text_with_many_near_copies(spark):
+    rng = random.Random(4)
+    texts = []
+    for size, longest in ((376, 500), (760, 1010), (1520, 2020)):                                 # just below a power of two
+        base = [f"t{size}x{k}" for k in range(size + 4)]
+        texts += [" ".join(base)] + [edited(rng, " ".join(base), rng.choice([0.003, 0.01])) for _ in range(60)]
+        low = longest - longest // 50
+        for k in range(6):
+            more = rng.randrange(low, longest + 1) - size
+            texts.append(" ".join(base + [f"e{size}x{k}x{j}" for j in range(more)]))
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    assert result(parity_join.near_groups(documents(spark, texts, ids))) == classes(dict(zip(ids, texts)))
+
+
 def test_drop_near_keeps_one_of_each_group_and_rows_without_id(spark):
     base = " ".join(f"b{k}" for k in range(100))
     docs = documents(spark, [base, base + " x", "other", None, "", base], [4, 3, 9, 7, 8, None])
