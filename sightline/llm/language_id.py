@@ -173,7 +173,8 @@ def fit(labelled: DataFrame) -> Model:
 
     low = sample.mapInArrow(cosines, "kind long, score double").where("score > 0").groupBy("kind").agg(F.percentile("score", F.lit(LOW_SHARE)).alias("low"))
     known = {r.kind: r.low * SLACK for r in low.collect()}
-    least = [known.get(k, min(known.values(), default=0.0)) for k in range(CLASSES)]
+    # a class that no sample reaches takes the bar of the nearest that one does, of two the shorter
+    least = [known[min(known, key=lambda other: (abs(other - k), other))] if known else 0.0 for k in range(CLASSES)]
     model.least = np.minimum.accumulate(np.array(least)[::-1])[::-1]  # a longer text is never held to less
     return model
 

@@ -1,4 +1,6 @@
+import random
 import zlib
+from base64 import b64encode
 
 from helpers import documents
 from sightline.llm import language_id, queries
@@ -26,6 +28,20 @@ def test_labels_of_held_out_rows_teach_nothing(spark):
     assert rows[0] == rows[1]
 
 
+def test_unseen_languages_and_scripts_are_rejected(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    rng = random.Random(1)
+    finnish = "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä "
+    russian = "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства "
+    chinese = "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待" * 6
+    letters = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(50))
+    base64 = b64encode(rng.randbytes(200)).decode()
+    texts = [finnish * 2, russian * 2, chinese, letters, base64]
+    assert model.predict(texts)[2].tolist() == [True] * 5
+    assert (model.least[8:] >= 0.1).all() and (model.least[1:] >= model.least[:-1]).all()
+
+
 def texts_of(spark):
     en, de = "the and with that thing from there ", "der und nicht eine schule straße größer "
     texts = [(en * (k % 7 + 1), "en") for k in range(40)] + [(de * (k % 7 + 1), "de") for k in range(40)]
