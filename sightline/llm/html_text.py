@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame, functions as F
 # Element names by the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = set("head script style template noscript title iframe noembed noframes object audio video canvas svg math datalist".split())
+HIDDEN = set("head script style template noscript title iframe noembed noframes object audio video canvas datalist".split())
+#: What leaves an open head open, and what svg and math hold besides what they show.
+HEAD_CONTENT = set("head title meta link base basefont bgsound script style template noscript noframes".split())
+UNSHOWN = {"svg": set("desc defs metadata symbol clippath mask marker pattern".split()), "math": {"annotation", "annotation-xml"}}
 PARAGRAPHS = set("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset hr".split())
 BLOCKS = PARAGRAPHS | set("address article aside body details dd div dt footer form header hgroup html legend li main nav section summary tr caption center figcaption option tbody thead tfoot".split())
 #: What a start tag ends before it opens, and what such an end may not go beyond.
@@ -43,7 +46,13 @@ def tree(page: str) -> Node:
     stack, at, last = [root], 0, page.rfind(">") + 1
     opened: Counter = Counter()
 
+    def end_head() -> None:
+        if stack[-1].tag == "head":
+            opened[stack.pop().tag] -= 1
+
     def text(part: str) -> None:
+        if part.strip(" \t\r\n\f"):
+            end_head()
         if part:
             stack[-1].children.append(part)
 
@@ -79,6 +88,8 @@ def tree(page: str) -> Node:
                 start("p", {})
             end({tag}, SCOPE - {tag} if tag != "table" else {"html"})
             continue
+        if tag not in HEAD_CONTENT:
+            end_head()
         if tag in BLOCKS:
             end({"p"}, SCOPE)
         if tag in CLOSES:
@@ -88,7 +99,13 @@ def tree(page: str) -> Node:
         if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
             start("tr", {})
         attrs = {k.lower(): html.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(inner)}
+        foreign = [kind for kind in UNSHOWN if opened[kind] > 0]
+        if any(tag in UNSHOWN[kind] for kind in foreign):
+            attrs["hidden"] = ""
         start(tag, attrs)
+        if inner.endswith("/") and (foreign or tag in UNSHOWN) and stack[-1].tag == tag:
+            opened[stack.pop().tag] -= 1
+            continue
         if tag in RAW:
             close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             text(page[at:close.start() if close else len(page)] if tag not in ("textarea", "title") else html.unescape(page[at:close.start() if close else len(page)]))
@@ -182,7 +199,7 @@ def visible_text(page: str) -> str:
                 pre -= 1
             elif tag == "dd":
                 out.indent -= 3
-            if tag in BLOCKS:
+            if tag in BLOCKS or tag == "text":  # a text of an svg stands alone
                 out.stop(tag in PARAGRAPHS and not (tag in ("ul", "ol") and lists))
             continue
         if hidden(step):
@@ -194,7 +211,7 @@ def visible_text(page: str) -> str:
         if tag == "img":
             out.add(step.attrs.get("alt", ""))
             continue
-        if tag in BLOCKS:
+        if tag in BLOCKS or tag == "text":
             out.stop(tag in PARAGRAPHS and not (tag in ("ul", "ol") and lists))
         if tag in ("ul", "ol"):
             lists.append([0] if tag == "ol" else None)

@@ -28,6 +28,18 @@ def test_layout(page, text):
     assert html_text.visible_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><p>Text<p>more", "Text\n\nmore"),
+    ("<head><meta charset=utf-8><title>T</title>\n<style>p{}</style> Bare <b>text</b>", "Bare text"),
+    ("<head><script>x</script><noscript>no</noscript><div>a</div>b", "a\nb"),
+    ("<head><title>T</title></head><body>a", "a"), ("<head><title>T</title><body>a", "a"),
+    ("a <svg><title>no</title><defs><text>no</text></defs><path d='x'/><defs/><text>Sales</text><text>2020</text></svg> b", "a\nSales\n2020\nb"),
+    ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>.", "x=2."),
+])
+def test_head_without_end_and_foreign_text(page, text):
+    assert html_text.visible_text(page) == text
+
+
 def test_hostile_pages_end_soon():
     assert html_text.visible_text("<div>" * 30_000 + "x" + "</div>" * 30_000) == "x"
     assert html_text.visible_text("<p><i>" * 20_000 + "x").strip() == "x"
