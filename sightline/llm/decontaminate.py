@@ -142,7 +142,7 @@ def matches(texts: pa.Array, items: Items) -> Iterator[tuple[int, int, tuple[flo
 
 def item_blocks(benchmark: DataFrame) -> Iterator[tuple[list[int], list[str]]]:
     """The benchmark in blocks of about ``ITEMS`` items; ids that repeat, and equal texts, are items of their own."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL AND item_id IS NOT NULL").distinct()
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL").distinct()
     blocks = -(-rows.count() // ITEMS)
     for k in range(blocks):
         found = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
@@ -156,7 +156,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``item_id``, ``start_word``, ``n_words`` and ``similarity`` of the best window, the first of equals, one row per pair.
     Null and empty texts, on either side, match nothing; items of fewer than five words are one shingle.  Items are
     taken in blocks that a task can hold, each against all documents.  Repeated rows of documents each give their rows;
-    a null ``doc_id`` is carried.  Without documents or items the result is empty.
+    a null ``doc_id`` is carried, and so is a null ``item_id``, whose item is searched for by its text.  Without documents or items the result is empty.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     found = None

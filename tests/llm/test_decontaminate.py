@@ -103,3 +103,10 @@ def test_empty_tables_and_repeats(spark):
     assert decontaminate.leaks(docs, bench.where("false")).count() == 0
     assert decontaminate.drop_leaks(docs, bench.where("false")).count() == 2
     assert pa.array(["a"]).type == pa.string()
+
+
+def test_items_without_id_are_searched_for(spark):
+    bench = spark.createDataFrame([(None, "a b c d e f g h"), (2, None)], "item_id long, text string")
+    docs = documents(spark, ["x a b c d e f g h", "quite other words than those of the item"], [3, 4])
+    assert [tuple(r) for r in decontaminate.leaks(docs, bench).collect()] == [(3, None, 1, 8, 1.0)]
+    assert [r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()] == [4]
