@@ -85,7 +85,7 @@ ORACLES = {
     "op11_filter_audit": r"""
         WITH texts AS (
             SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS t, MIN(doc_id) OVER (PARTITION BY COALESCE(text, '')) AS least,
-                   list_filter(string_split_regex(COALESCE(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words FROM documents),
+                   regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
         flags AS (
             SELECT part, doc_id, CASE WHEN len(words) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
                    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END

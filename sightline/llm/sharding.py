@@ -6,54 +6,61 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 PARTS = 1024
 
 
-def even_tree(shards: int, regions: int = 2, racks: int = 2) -> dict:
-    """region -> rack -> {shard: weight} with ``shards`` shards of weight 1 dealt out in order."""
+def tree_of(shards: int, of_rack: int = 4, of_region: int = 2) -> dict:
+    """region -> rack -> {shard: weight} for so many shards of weight 1, a function of their number alone.
+
+    Racks hold ``of_rack`` shards and regions ``of_region`` racks, filled in order: one shard more is one leaf more in the
+    last rack, or opens the next rack or region, and changes no weight but those on its own path.
+    """
     tree: dict = {}
     for shard in range(shards):
-        region, rack = shard * regions // shards, shard * regions * racks // shards % racks
-        tree.setdefault(f"region{region}", {}).setdefault(f"rack{rack}", {})[shard] = 1.0
+        rack = shard // of_rack
+        tree.setdefault(f"region{rack // of_region}", {}).setdefault(f"rack{rack % of_region}", {})[shard] = 1.0
     return tree
 
 
-def grown(tree: dict, shard: int, weight: float = 1.0) -> dict:
-    """``tree`` with one more shard in a region of its own: no old subtree changes its weight, so none gains a row."""
-    return tree | {f"region-of-{shard}": {"rack0": {shard: weight}}}
-
-
-def weight_of(node) -> float:
-    return sum(map(weight_of, node.values())) if isinstance(node, dict) else float(node)
-
-
-def drawn(children: dict, path: str, key: Column) -> Column:
-    """The child with the smallest exponential draw -ln(u)/weight; u depends on the child's path and the key only, so
-    raising one child's weight moves keys into that child alone, and each moves with chance in proportion."""
+def leaf_draws(tree: dict, key: Column) -> list[tuple[tuple, Column]]:
+    """Path and draw -ln(u)/weight of every leaf with a weight; u depends on its path and the key only."""
     draws = []
-    for name, node in children.items():
-        bits = F.shiftrightunsigned(F.xxhash64(F.lit(f"{path}/{name}"), key), 11)
-        unit = (bits.cast("double") + 0.5) / F.lit(float(1 << 53))
-        if weight_of(node) > 0:
-            draws.append(F.struct((-F.log(unit) / F.lit(weight_of(node))).alias("draw"), F.lit(str(name)).alias("name")))
-    return F.array_min(F.array(*draws))["name"]
+    for region, racks in tree.items():
+        for rack, shards in racks.items():
+            for shard, weight in shards.items():
+                if weight > 0:
+                    bits = F.shiftrightunsigned(F.xxhash64(F.lit(f"{region}/{rack}/{shard}"), key), 11)
+                    draws.append(((region, rack, str(shard)), -F.log((bits.cast("double") + 0.5) / F.lit(float(1 << 53))) / F.lit(float(weight))))
+    return draws
 
 
 def place(df: DataFrame, tree: dict, key: Column, prefix: str = "level") -> DataFrame:
-    """``df`` with columns ``<prefix>0..2``: the region, rack and shard (as strings) in which ``key`` lands."""
-    nodes = {(): tree}
+    """``df`` with columns ``<prefix>0..2``: the region, rack and shard (as strings) in which ``key`` lands.
+
+    A node's draw is the least of its children's, so it is exponential with the sum of their weights: at each level a key
+    goes down to the child with the least draw, in proportion to weight.  If the weight of a leaf rises, only the draws on
+    its path can fall, so keys move into the subtrees on that path alone and end in that leaf; if it sinks, only its own keys
+    leave it.
+    """
+    leaves = leaf_draws(tree, key)
+    df = df.withColumn("_draws", F.array(*[draw for _, draw in leaves]))
+    chosen: list[str] = []
     for level in range(3):
-        at = [F.col(f"{prefix}{i}") for i in range(level)]
+        children: dict[tuple, list[int]] = {}
+        for k, (path, _) in enumerate(leaves):
+            children.setdefault(path[:level + 1], []).append(k)
+        groups: dict[tuple, list[Column]] = {}
+        for path, held in children.items():
+            of_leaves = [F.get("_draws", F.lit(k)) for k in held]
+            draw = of_leaves[0] if len(held) == 1 else F.least(*of_leaves)
+            groups.setdefault(path[:-1], []).append(F.struct(draw.alias("draw"), F.lit(path[-1]).alias("name")))
         choice = None
-        for path, children in nodes.items():
-            here = drawn(children, "/".join(map(str, path)), key)
-            if not path:
-                choice = here
-                break
+        for parent, options in groups.items():
+            here = F.array_min(F.array(*options))["name"]
             test = F.lit(True)
-            for column, name in zip(at, path):
-                test = test & (column == F.lit(str(name)))
+            for column, name in zip(chosen, parent):
+                test = test & (F.col(column) == name)
             choice = F.when(test, here) if choice is None else choice.when(test, here)
-        df = df.withColumn(f"{prefix}{level}", choice)
-        nodes = {(*path, name): node for path, children in nodes.items() for name, node in children.items() if isinstance(node, dict)}
-    return df
+        chosen.append(f"{prefix}{level}")
+        df = df.withColumn(chosen[-1], choice)
+    return df.drop("_draws")
 
 
 def with_slots(df: DataFrame, shard: str, order: list[str]) -> DataFrame:
@@ -76,16 +83,14 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
 
     Takes ``doc_id`` and ``text``; other columns are ignored.  Returns ``doc_id``, ``size`` (UTF-8 bytes of the text
     plus 1; a null text has none), ``text_crc32``, ``law``, ``region``, ``rack``, ``shard``, ``slot`` and
-    ``grown_shard``: the shard with one more of them, which differs only for rows that the new shard takes.
+    ``grown_shard``: the ``shard`` that a call with one more of them gives, which differs only for rows that the new one takes.
     Repeated rows share a shard and get slots of their own, and so do rows without an id, which count as one key.
     Copies of a text are dealt out by their ids, so no group of copies loads one shard.  Empty tables give no rows.
     """
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     rows = docs.select("doc_id", (F.length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    tree = even_tree(shards)
-    rows = place(rows, tree, key)
-    rows = place(rows, grown(tree, shards), key, "grown")
+    rows = place(place(rows, tree_of(shards), key), tree_of(shards + 1), key, "grown")
     rows = rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("level0").alias("region"), F.col("level1").alias("rack"),
                        F.col("level2").cast("int").alias("shard"), F.col("grown2").cast("int").alias("grown_shard"))
     return with_slots(rows, "shard", ["doc_id", "text_crc32", "size"])

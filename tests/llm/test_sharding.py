@@ -27,7 +27,7 @@ def test_shards_sizes_slots_and_growth(spark):
 
 def test_weights_move_rows_only_into_what_gained(spark):
     keys = spark.range(20_000).select(F.col("id").cast("string").alias("k"))
-    tree = sharding.even_tree(16)
+    tree = sharding.tree_of(16)
     heavier = {r: {k: dict(v) for k, v in racks.items()} for r, racks in tree.items()}
     heavier["region0"]["rack0"][0] = 3.0
     both = sharding.place(sharding.place(keys, tree, F.col("k")), heavier, F.col("k"), "new")
@@ -43,6 +43,22 @@ def test_weights_move_rows_only_into_what_gained(spark):
             assert r.level2 == r.new2
 
 
+def test_growing_is_the_same_as_starting_larger(spark):
+    keys = spark.range(3000).select(F.col("id").cast("string").alias("k"))
+    before = None
+    for n in range(1, 42):
+        placed = {r.k: (r.level0, r.level1, int(r.level2)) for r in sharding.place(keys, sharding.tree_of(n), F.col("k")).collect()}
+        if before:
+            moved = [k for k in placed if placed[k] != before[k]]
+            assert all(placed[k][2] == n - 1 for k in moved) and abs(len(moved) - 3000 / n) < 5 * (3000 / n) ** 0.5
+        before = placed
+    assert len({p[:2] for p in before.values()}) == 11 and len({p[0] for p in before.values()}) == 6
+    docs = documents(spark, ["x"] * 200, list(range(200)))
+    for n in (1, 4, 8, 15, 16, 23):
+        grown = {r.doc_id: r.grown_shard for r in sharding.shard_documents(docs, n).collect()}
+        assert grown == {r.doc_id: r.shard for r in sharding.shard_documents(docs, n + 1).collect()}
+
+
 def test_nulls_repeats_and_empty(spark):
     docs = documents(spark, [None, "", "x", "x", "y" * 100_000, "z"], [1, 2, 3, 3, None, None])
     rows = sharding.shard_documents(docs).collect()
