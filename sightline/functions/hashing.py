@@ -15,21 +15,29 @@ def json_number(value: Column) -> Column:
     """JSON atom of a numeric column: its shortest digits, as an integer where it is whole, with an exponent only
     below 0.0001.  Whole doubles past the range of a long are padded with zeros."""
     number = value.cast("double")
+    whole = number == F.rint(number)
+    small = whole & (F.abs(number) < 9.2e18)
     shown = number.cast("string")
+    # most numbers are whole or have few digits; only the others go through the digits one by one
+    brief = (F.length(shown) < 17) & ~shown.contains("E")
+    return (F.when(value.isNull(), "null").when(small, number.cast("long").cast("string")).when(brief, shown)
+            .otherwise(long_number(number, shown)))
+
+
+def long_number(number: Column, shown: Column) -> Column:
+    """JSON atom of a double with an exponent or very many digits."""
     # some Java versions print 17 digits where 16 tell the number
     long = F.length(F.regexp_replace(shown, r"^[-0.]+|E.*$|\.", "")) >= 17
     short = F.format_string("%.15e", number)
     text = F.when(long & (short.try_cast("double") == number), F.upper(short)).otherwise(shown)
     part = lambda k: F.regexp_extract(text, r"^(-?)([0-9])\.([0-9]+)E([+-]?[0-9]+)$", k)
     sign, digits, power = part(1), F.concat(part(2), F.regexp_replace(part(3), "0+$", "")), part(4).try_cast("int")
-    whole = number == F.rint(number)
     plain = (F.when(power < -4, F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(""),
                                          F.lit("e-"), F.lpad(F.abs(power).cast("string"), 2, "0")))
              .when(power < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits))
              .when(F.length(digits) <= power + 1, F.rpad(digits, power + 1, "0"))
              .otherwise(F.concat(F.substr(digits, F.lit(1), power + 1), F.lit("."), F.substr(digits, power + 2))))
-    return (F.when(value.isNull(), "null").when(whole & (F.abs(number) < 9.2e18), number.cast("long").cast("string"))
-            .when(text.contains("E"), F.concat(sign, plain)).otherwise(text))
+    return F.when(text.contains("E"), F.concat(sign, plain)).otherwise(text)
 
 
 def json_array(atoms: list[Column]) -> Column:

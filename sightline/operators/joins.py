@@ -158,14 +158,14 @@ def preferred_copies(rows: DataFrame, keys: list[str], priority: str, failed: Da
 SPREAD = 16
 
 
-def join_spread(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+def join_spread(rows: DataFrame, groups: DataFrame, key: str, by: list[str]) -> DataFrame:
     """Inner join of many ``rows`` with one row per ``key``, a key's rows being spread over several tasks.
 
-    A fold by ``key`` that follows has to exchange its partial results, so a key that holds a third of all rows is
-    never folded row by row in one task.
+    ``by`` names the plain columns that tell a key's rows apart; the salt is made of them alone, since it is copied into
+    every condition that the optimizer infers from the join.  A fold by ``key`` that follows has to exchange its partial
+    results, so a key that holds a third of all rows is never folded row by row in one task.
     """
-    hashable = [name for name, kind in rows.dtypes if "map<" not in kind and kind != "void"]
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(SPREAD)).cast("int"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("int"))
     copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     return salted.join(copies, [key, "_salt"]).drop("_salt")
 

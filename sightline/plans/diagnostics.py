@@ -31,7 +31,7 @@ def behaviour(targets: DataFrame, evidence: DataFrame) -> DataFrame:
     """
     c = F.col
     asked = targets.select("candidate_id", c("url_id").alias("_url"), "expected_channel", "quality_scope", "decision_day")
-    rows = join_spread(evidence, asked, "candidate_id")
+    rows = join_spread(evidence, asked, "candidate_id", ["metric", "period_end"])
     page = c("quality_scope") == "PAGE_LEVEL"
     problem = (F.when((c("source") != "GA4") | (c("source_class") != SOURCE_CLASS["GA4"]), "GA4_SOURCE_CLASS_MISMATCH")
                .when(page & ~c("url_id").eqNullSafe(c("_url")), "GA4_URL_JOIN_MISMATCH")
@@ -90,7 +90,7 @@ def result_page(validations: DataFrame, snapshots: DataFrame, results: DataFrame
     collection_status, as_of, features``; ``results``: ``snapshot_id, result_type, owned, competitor_id, match_state``.
     """
     c = F.col
-    rows = join_spread(snapshots, validations.select("candidate_id", "decision_day"), "candidate_id")
+    rows = join_spread(snapshots, validations.select("candidate_id", "decision_day"), "candidate_id", ["seq"])
     fresh = is_fresh(F.lit("SERP"), c("freshness_state"), c("collection_status"), c("as_of"), c("decision_day"), collections=("SUCCESS",))
     judged = rows.withColumns({"fresh": fresh, "accepted": fresh & c("scope_ok")})
     chosen = judged.groupBy("candidate_id").agg(
@@ -136,7 +136,7 @@ def visibility(targets: DataFrame, observations: DataFrame) -> DataFrame:
     freshness_state, collection_status, as_of``.
     """
     c = F.col
-    rows = join_spread(observations, targets.select("candidate_id", "decision_day"), "candidate_id")
+    rows = join_spread(observations, targets.select("candidate_id", "decision_day"), "candidate_id", ["as_of", "mention_state", "owned_url_id", "competitor_id"])
     usable = (c("mapping_state") == "MAPPED") & (c("scope_state") == "OK")
     fresh = is_fresh(F.lit("WORKDUO"), c("freshness_state"), c("collection_status"), c("as_of"), c("decision_day"))
     now = c("usable") & c("fresh")

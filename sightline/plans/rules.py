@@ -43,7 +43,7 @@ def scoped_evidence(bundles: DataFrame, evidence: DataFrame) -> DataFrame:
                | (F.col("topic_id").isNull() & (F.size(refs) == 0)))
     fresh = (F.upper("freshness_state") == "READY") & F.upper(F.coalesce("collection_status", F.lit("SUCCESS"))).isin("SUCCESS", "READY")
     issues = F.coalesce("issues", F.array().cast("array<struct<type:string,severity:string>>"))
-    return join_spread(evidence, asked, "bundle_id").withColumns({
+    return join_spread(evidence, asked, "bundle_id", ["seq"]).withColumns({
         "on_topic": F.coalesce(topical, F.lit(False)), "on_url": url_matches(F.col("urls"), F.col("target_url")),
         "fresh": F.coalesce(fresh, F.lit(False)), "source": F.upper("source"),
         "severe": F.exists(issues, lambda i: F.upper(i["severity"]).isin(SEVERE)),

@@ -158,7 +158,7 @@ def test_a_hot_key_is_folded_in_parts(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = join_spread(rows, groups, "bundle_id")
+        joined = join_spread(rows, groups, "bundle_id", ["v"])
         tasks = joined.where("bundle_id = 0").selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()
         folded = joined.groupBy("bundle_id").count()
         plan = folded._jdf.queryExecution().toString()
