@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["reporting", "scalars", "crawl", "tables", "decisions", "landing"]
+MODULES = ["reporting", "scalars", "crawl", "tables", "decisions", "discovery", "landing"]
 
 
 def load() -> None:

@@ -8,6 +8,7 @@ from sightline.bindings.scalars import URL_SQL
 from sightline.functions import text
 from sightline.operators import joins, quality, ranking, registry, revisions
 from sightline.operators.charts import rounded
+from sightline.operators.graph import settled
 
 C = F.col
 
@@ -426,7 +427,7 @@ def kpi_history(t):
 
     Of the candidates a third repeat the stored content; of those that name a predecessor the second names the first.
     """
-    keyed = revisions.snapshot_hashes(snapshots(t))
+    keyed = settled(revisions.snapshot_hashes(snapshots(t)), "snapshots")
     by_key = joins.Window.partitionBy("logical_key")
     case = C("o_orderkey") % 3
     rows = keyed.withColumns({"place": F.row_number().over(by_key.orderBy("o_orderkey")), "nth": F.row_number().over(joins.Window.partitionBy("logical_key", case).orderBy("o_orderkey"))})

@@ -24,20 +24,32 @@ def json_number(value: Column) -> Column:
             .otherwise(long_number(number, shown)))
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` takes it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def long_number(number: Column, shown: Column) -> Column:
     """JSON atom of a double with an exponent or very many digits."""
     # some Java versions print 17 digits where 16 tell the number
     long = F.length(F.regexp_replace(shown, r"^[-0.]+|E.*$|\.", "")) >= 17
-    short = F.format_string("%.15e", number)
-    text = F.when(long & (short.try_cast("double") == number), F.upper(short)).otherwise(shown)
-    part = lambda k: F.regexp_extract(text, r"^(-?)([0-9])\.([0-9]+)E([+-]?[0-9]+)$", k)
-    sign, digits, power = part(1), F.concat(part(2), F.regexp_replace(part(3), "0+$", "")), part(4).try_cast("int")
-    plain = (F.when(power < -4, F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(""),
-                                         F.lit("e-"), F.lpad(F.abs(power).cast("string"), 2, "0")))
-             .when(power < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits))
-             .when(F.length(digits) <= power + 1, F.rpad(digits, power + 1, "0"))
-             .otherwise(F.concat(F.substr(digits, F.lit(1), power + 1), F.lit("."), F.substr(digits, power + 2))))
-    return F.when(text.contains("E"), F.concat(sign, plain)).otherwise(text)
+    short = F.when(long, F.format_string("%.15e", number))
+    text = F.when(short.try_cast("double") == number, F.upper(short)).otherwise(shown)
+
+    def plain(parts):
+        sign, digits, power = parts["sign"], parts["digits"], parts["power"]
+        point = F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise("")
+        return F.concat(sign, F.when(power < -4, F.concat(F.substring(digits, 1, 1), point, F.lit("e-"), F.lpad(F.abs(power).cast("string"), 2, "0")))
+                        .when(power < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits))
+                        .when(F.length(digits) <= power + 1, F.rpad(digits, power + 1, "0"))
+                        .otherwise(F.concat(F.substr(digits, F.lit(1), power + 1), F.lit("."), F.substr(digits, power + 2))))
+
+    def whole(text):
+        part = lambda k: F.regexp_extract(text, r"^(-?)([0-9])\.([0-9]+)E([+-]?[0-9]+)$", k)
+        parts = F.struct(part(1).alias("sign"), F.concat(part(2), F.regexp_replace(part(3), "0+$", "")).alias("digits"), part(4).try_cast("int").alias("power"))
+        return F.when(text.contains("E"), bound(parts, plain)).otherwise(text)
+
+    return bound(text, whole)
 
 
 def json_array(atoms: list[Column]) -> Column:

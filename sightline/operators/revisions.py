@@ -1,9 +1,10 @@
 """Append-only revision logs: chain checks, latest revisions, append plans, pins, idempotency."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sightline.functions.dates import mature_on
 from sightline.functions.hashing import json_array, json_number, json_text, row_hash
+from sightline.operators.graph import chain_ends, settled
 from sightline.operators.quality import first_code
 from sightline.schemas import SNAPSHOT_CONTENT, SNAPSHOT_KEY
 
@@ -53,21 +54,21 @@ def append_plan(log: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
 
     IDEMPOTENT: the same revision with the same hash; REVISION_CONFLICT: another hash; REVISION_GAP: not one past
     the tip; INVALID_SUPERSEDES: the predecessor is not named, or one is named by a first revision; APPEND.
-    Revisions of one batch may follow one another.  Everything is decided by joins on (key, revision) and one
-    minimum per key, the first revision that cannot be appended; no key's batch is sorted in one task.
+    Revisions of one batch may follow one another.  Log and batch are folded once to (key, revision); everything else is
+    decided by joins with that table and one minimum per key, the first revision that cannot be appended.
     """
     rows = batch.dropDuplicates([*keys, "revision", "content_hash"])
-    stored = log.select(*keys, "revision", F.col("content_hash").alias("_stored"))
-    tips = log.groupBy(*keys).agg(F.max("revision").alias("_tip"))
-    slots = rows.groupBy(*keys, "revision").agg(F.count(F.lit(1)).alias("_twins"))
-    below = slots.select(*keys, (F.col("revision") + 1).alias("revision"), F.lit(True).alias("_below"))
+    both = log.select(*keys, "revision", F.col("content_hash").alias("_stored"), F.lit(None).cast("string").alias("_new")).unionByName(
+        rows.select(*keys, "revision", F.lit(None).cast("string").alias("_stored"), F.col("content_hash").alias("_new")))
+    slots = settled(both.groupBy(*keys, "revision").agg(F.min("_stored").alias("_stored"), F.count("_new").alias("_twins")))
+    tips = slots.groupBy(*keys).agg(F.max(F.when(F.col("_stored").isNotNull(), F.col("revision"))).alias("_tip"))
+    below = slots.where("_twins > 0").select(*keys, (F.col("revision") + 1).alias("revision"), F.lit(True).alias("_below"))
     named = F.when(F.col("revision") == 1, F.col("supersedes_revision").isNull()).otherwise(
         F.coalesce(F.col("supersedes_revision") == F.col("revision") - 1, F.lit(False)))
     linked = (F.col("revision") == F.coalesce("_tip", F.lit(0)) + 1) | (
         F.col("_below").isNotNull() & (F.col("revision") > F.coalesce("_tip", F.lit(0))))
-    marked = (rows.join(stored, [*keys, "revision"], "left").join(tips, keys, "left")
-              .join(slots, [*keys, "revision"]).join(below, [*keys, "revision"], "left")
-              .withColumns({"_named": named, "_linked": linked}))
+    marked = settled(rows.join(slots, [*keys, "revision"]).join(tips, keys).join(below, [*keys, "revision"], "left")
+                     .withColumns({"_named": named, "_linked": linked}))
     unfit = F.col("_stored").isNull() & ~(F.col("_named") & F.col("_linked") & (F.col("_twins") == 1))
     breaks = marked.groupBy(*keys).agg(F.min(F.when(unfit, F.col("revision"))).alias("_break"))
     decision = (F.when(F.col("_stored") == F.col("content_hash"), "IDEMPOTENT")
@@ -95,39 +96,82 @@ def snapshot_plan(history: DataFrame, candidates: DataFrame, order: list[str] =
     Candidates carry ``logical_key``, ``content_hash``, ``as_of_date``, ``supersedes_snapshot_id``.  Candidates of one
     batch see one another: what is accepted becomes the tip of its key, so a repeat of it is a SKIP and a candidate
     that names its id is the next REVISE.  Of several that fit one tip the first by ``order`` (then by content) is
-    accepted.  There is one round for each link of the longest chain; every round is a minimum per key and a join.
+    accepted; of equal rows one is, and the others repeat it.
+
+    An id holds its revision, so a chain cannot be followed before revisions are known.  They are guessed: those who name
+    the same predecessor form a link, and the links of a key are numbered in order.  Where a link names an id that the
+    guess gives to the accepted candidate of another link, the guess was right; pointer doubling then finds the links that
+    hang on the stored tip, however many there are.  A link that is in no chain shifts the numbers behind it; it costs two further
+    passes, after which it is numbered last.
     """
-    names, place = candidates.columns, F.struct(*order, "content_hash", "supersedes_snapshot_id")
-    tips = latest(history, ["logical_key"]).select(
-        "logical_key", F.col("content_hash").alias("_hash"), F.col("snapshot_id").alias("_tip"),
-        F.col("as_of_date").alias("_as_of"), F.col("revision").cast("long").alias("_revision"))
-    rest = candidates.withColumn("_row", F.monotonically_increasing_id())
-    if candidates.sparkSession.sparkContext.getCheckpointDir():
-        rest = rest.checkpoint()  # row numbers stay what they are when a task is run again
-    done, known, older = None, F.col("_tip").isNotNull(), F.col("as_of_date") < F.col("_as_of")
-    named = F.col("supersedes_snapshot_id").eqNullSafe(F.col("_tip"))
-    repeats = known & (F.col("content_hash") == F.col("_hash"))
+    names, needed = candidates.columns, ["logical_key", "content_hash", "supersedes_snapshot_id", "as_of_date"]
+    rows = settled(candidates.withColumn("_entry", F.sha2(F.to_json(F.struct(*names)), 256)))
+    place = F.struct(*order, *needed[1:], "_entry").alias("_order")
+    entries = settled(rows.groupBy("_entry", *dict.fromkeys([*needed, *order])).agg(F.count(F.lit(1)).alias("_copies")).select("_entry", "_copies", *needed, place))
+    stored = settled(latest(history, ["logical_key"]).select(
+        "logical_key", F.col("snapshot_id").alias("_tip"), F.col("content_hash").alias("_hash"), F.col("as_of_date").alias("_as_of"), F.col("revision").cast("long").alias("_revision")))
+    tips, accepted = stored.withColumn("_at", F.lit(None).cast(entries.schema["_order"].dataType)), []
     while True:
-        joined = rest.join(tips, "logical_key", "left")
-        fits = named & ~F.coalesce(repeats | older, F.lit(False))
-        first = joined.where(fits).groupBy("logical_key").agg(F.min_by("_row", F.struct(place, "_row")).alias("_first"))
-        decision = F.when(repeats, "SKIP").when(known & named & older, "REJECT_OLDER_OBSERVATION").when(F.col("_row") == F.col("_first"), F.when(known, "REVISE").otherwise("NEW"))
-        decided = joined.join(first, "logical_key", "left").withColumns({
-            "decision": decision, "revision": F.when(decision.isin("NEW", "REVISE"), F.coalesce("_revision", F.lit(0)) + 1)})
-        if rest.sparkSession.sparkContext.getCheckpointDir():
-            decided = decided.checkpoint()
-        settled = decided.where("decision IS NOT NULL").select(*names, "decision", "revision")
-        done = settled if done is None else done.unionByName(settled)
-        rest = decided.where("decision IS NULL").select(*names, "_row")
-        new = decided.where("decision IN ('NEW', 'REVISE')").select(
-            "logical_key", F.col("content_hash").alias("_hash"), snapshot_id(F.col("logical_key"), F.col("content_hash"), F.col("revision"), F.col("supersedes_snapshot_id")).alias("_tip"),
-            F.col("as_of_date").alias("_as_of"), F.col("revision").alias("_revision"))
-        if new.isEmpty():
+        step = accepted_links(entries, tips, first=not accepted)
+        if step.isEmpty():
             break
-        tips = tips.join(new.select("logical_key"), "logical_key", "left_anti").unionByName(new)
-    left = rest.join(tips, "logical_key", "left")
-    why = F.when(known, "REJECT_NEEDS_SUPERSEDES").otherwise("REJECT_UNKNOWN_PREDECESSOR")
-    return done.unionByName(left.select(*names, why.alias("decision"), F.lit(None).cast("long").alias("revision")))
+        accepted.append(step)
+        newest = step.groupBy("logical_key").agg(F.max_by(F.struct("_tip", "_hash", "_as_of", "_revision", "_at"), "_revision").alias("_t")).select("logical_key", "_t.*")
+        tips = settled(newest)
+    taken = accepted[0] if accepted else step
+    for part in accepted[1:]:
+        taken = taken.unionByName(part)
+    every = stored.unionByName(taken.select(*stored.columns))
+    at = every.select("logical_key", F.col("_tip").alias("supersedes_snapshot_id"), F.col("_as_of").alias("_named"))
+    contents = every.select("logical_key", F.col("_hash").alias("content_hash")).distinct().withColumn("_repeat", F.lit(True))
+    keys = every.select("logical_key").distinct().withColumn("_known", F.lit(True))
+    first = stored.select("logical_key", F.lit(True).alias("_stored"))
+    decided = (entries.join(taken.select("logical_key", "_entry", F.col("_revision").alias("revision")), ["logical_key", "_entry"], "left")
+               .join(contents, ["logical_key", "content_hash"], "left").join(at, ["logical_key", "supersedes_snapshot_id"], "left")
+               .join(keys, "logical_key", "left").join(first, "logical_key", "left"))
+    c = F.col
+    decision = (F.when(c("revision").isNotNull(), F.when((c("revision") > 1) | c("_stored").isNotNull(), "REVISE").otherwise("NEW"))
+                .when(c("_repeat"), "SKIP").when(c("as_of_date") < c("_named"), "REJECT_OLDER_OBSERVATION")
+                .when(c("_known"), "REJECT_NEEDS_SUPERSEDES").otherwise("REJECT_UNKNOWN_PREDECESSOR"))
+    found = decided.select("_entry", "_copies", decision.alias("decision"), "revision")
+    single = rows.join(found.where("_copies = 1"), "_entry").select(*names, "decision", "revision")
+    # of equal rows one is what was decided for them; those beside an accepted one repeat it
+    several = rows.join(found.where("_copies > 1"), "_entry").dropDuplicates(["_entry"]).withColumn("_copy", F.explode(F.sequence(F.lit(1), c("_copies").cast("int"))))
+    repeated = c("revision").isNotNull() & (c("_copy") > 1)
+    return single.unionByName(several.select(*names, F.when(repeated, "SKIP").otherwise(c("decision")).alias("decision"), F.when(~repeated, c("revision")).alias("revision")))
+
+
+def accepted_links(entries: DataFrame, tips: DataFrame, first: bool) -> DataFrame:
+    """The candidates accepted on top of ``tips`` as far as guessed revisions hold: ``logical_key, _entry`` and what makes
+    them tips.  A key without a tip can only begin in the ``first`` pass."""
+    c = F.col
+    link = ["logical_key", "_link"]
+    rows = entries.join(tips, "logical_key", "left" if first else "inner").withColumns({
+        "_link": F.coalesce("supersedes_snapshot_id", F.lit("")), "_root": c("supersedes_snapshot_id").eqNullSafe(c("_tip"))})
+    links = rows.groupBy(*link).agg(F.min("_order").alias("_order"), F.max("_root").alias("_root"), F.max(c("_order") < c("_at")).alias("_passed"))
+    active = links.where("_root").select("logical_key")
+    # those who name nothing can only begin a key
+    numbered = links.where("_root OR _link <> ''").join(active, "logical_key", "left_semi").withColumn("_place", F.row_number().over(
+        Window.partitionBy("logical_key").orderBy(F.desc("_root"), "_passed", "_order"))).select(*link, "_place")
+    guess = F.coalesce("_revision", F.lit(0)) + c("_place")
+    placed = settled(rows.join(numbered, link).withColumn("_guess", guess).withColumn(
+        "_id", snapshot_id(c("logical_key"), c("content_hash"), c("_guess"), c("supersedes_snapshot_id"))))
+    # what each link follows: the stored tip, or a candidate to which the guess gives the id that it names
+    ids = placed.groupBy("logical_key", "_id").agg(F.min_by(F.struct(c("_link").alias("_parent"), c("content_hash").alias("_hash"), c("as_of_date").alias("_as_of"), (c("_guess") + 1).alias("_next")), "_order").alias("_p"))
+    named = placed.where("NOT _root").select(*link).distinct().join(ids.select("logical_key", c("_id").alias("_link"), "_p.*"), link)
+    below = named.unionByName(placed.where("_root").select(*link, F.lit(None).cast("string").alias("_parent"), "_hash", "_as_of", c("_guess").alias("_next")).distinct())
+    fits = placed.select(*link, "_entry", "_order", "_id", "content_hash", "as_of_date", "_guess").join(below, link).where(
+        (c("_guess") == c("_next")) & (c("_hash").isNull() | ((c("content_hash") != c("_hash")) & (c("as_of_date") >= c("_as_of")))))
+    best = settled(fits.groupBy(*link).agg(F.min_by(F.struct("_entry", "_id", "content_hash", "as_of_date", "_guess", "_parent", "_order"), "_order").alias("_b")).select(*link, "_b.*"))
+    node = lambda name: F.concat_ws("|", "logical_key", name)
+    above = best.select("logical_key", c("_link").alias("_parent"), c("_id").alias("_link"))
+    hanging = best.where("_parent IS NOT NULL").join(above, ["logical_key", "_parent", "_link"], "left_semi")
+    roots = best.where("_parent IS NULL")
+    if not hanging.isEmpty():
+        ends = chain_ends(hanging.select(node("_link").alias("node"), node("_parent").alias("next")))
+        reached = ends.join(roots.select(node("_link").alias("end")), "end", "left_semi").select("node")
+        roots = roots.unionByName(hanging.withColumn("node", node("_link")).join(reached, "node", "left_semi").select(*roots.columns))
+    return settled(roots.select("logical_key", c("_id").alias("_tip"), c("content_hash").alias("_hash"), c("as_of_date").alias("_as_of"), c("_guess").alias("_revision"), "_entry", c("_order").alias("_at")))
 
 
 def seal(plan: DataFrame) -> DataFrame:

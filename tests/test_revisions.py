@@ -98,3 +98,33 @@ def test_snapshot_plan_within_one_batch(spark):
     plan = {r.n: (r.decision, r.revision) for r in revisions.snapshot_plan(history, batch, ["n"]).collect()}
     assert plan == {1: ("NEW", 1), 2: ("SKIP", None), 3: ("REVISE", 2), 4: ("REVISE", 3), 5: ("REJECT_NEEDS_SUPERSEDES", None), 6: ("REJECT_NEEDS_SUPERSEDES", None),
                     7: ("REJECT_UNKNOWN_PREDECESSOR", None), 8: ("NEW", 1), 9: ("REJECT_NEEDS_SUPERSEDES", None)}
+
+
+def test_a_chain_of_thousands_in_one_batch(spark, monkeypatch):
+    """Rounds grow with the logarithm of the chain; names of unknown predecessors and equal rows do not break it."""
+    import hashlib
+    import json
+    calls = []
+    held = revisions.settled
+    monkeypatch.setattr(revisions, "settled", lambda df, *a: calls.append(1) or held(df, *a))
+    rows, before = [(0, "hot", "stray", "snap_none", "2024-01-01")], None
+    for k in range(1, 3001):
+        rows.append((k, "hot", f"h{k}", before, "2024-01-05"))
+        before = "snap_" + hashlib.sha256(json.dumps(["hot", f"h{k}", k, before], separators=(",", ":")).encode()).hexdigest()
+    rows += [(3001, "hot", "h3000", None, "2024-01-06"), (7, "twin", "x", None, "2024-01-05"), (7, "twin", "x", None, "2024-01-05")]
+    history = spark.createDataFrame([], "logical_key string, content_hash string, snapshot_id string, as_of_date date, revision int")
+    batch = spark.createDataFrame(rows, "n int, logical_key string, content_hash string, supersedes_snapshot_id string, as_of_date string").withColumn("as_of_date", F.to_date("as_of_date")).repartition(5)
+    got = revisions.snapshot_plan(history, batch, ["n"]).collect()
+    assert len(got) == len(rows) and sorted((r.decision, r.revision) for r in got if r.logical_key == "twin") == [("NEW", 1), ("SKIP", None)]
+    plan = {r.n: (r.decision, r.revision) for r in got if r.logical_key == "hot"}
+    assert plan[0] == ("REJECT_NEEDS_SUPERSEDES", None) and plan[3001] == ("SKIP", None) and plan[1] == ("NEW", 1)
+    assert all(plan[k] == ("REVISE", k) for k in range(2, 3001)) and len(calls) < 40
+
+
+def test_what_an_earlier_tip_held_may_come_back(spark):
+    history = spark.createDataFrame([("k", "a", "s1", D(2024, 1, 1), 1)], "logical_key string, content_hash string, snapshot_id string, as_of_date date, revision int")
+    two = spark.range(1).select(revisions.snapshot_id(F.lit("k"), F.lit("b"), F.lit(2), F.lit("s1"))).first()[0]
+    rows = [(1, "k", "b", "s1", D(2024, 1, 2)), (2, "k", "a", two, D(2024, 1, 3)), (3, "k", "a", None, D(2024, 1, 3)), (4, "k", "c", two, D(2024, 1, 1))]
+    batch = spark.createDataFrame(rows, "n int, logical_key string, content_hash string, supersedes_snapshot_id string, as_of_date date")
+    plan = {r.n: (r.decision, r.revision) for r in revisions.snapshot_plan(history, batch, ["n"]).collect()}
+    assert plan == {1: ("REVISE", 2), 2: ("REVISE", 3), 3: ("SKIP", None), 4: ("REJECT_OLDER_OBSERVATION", None)}
