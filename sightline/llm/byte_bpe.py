@@ -14,14 +14,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 NONE = np.iinfo(np.int32).max
 #: Widths of the trees in which pieces of at most so many bytes are merged together with others.
 WIDTHS = (8, 16, 32)
-#: Entries after which a task's memory of merged pieces starts anew, and bytes of text per step.
-MEMORY, STEP_BYTES = 1 << 19, 1 << 22
+#: Bytes of merged units that a worker process remembers at most, and characters of text per step.
+MEMORY, STEP_BYTES = 128 << 20, 1 << 22
+#: What a unit costs beside its own characters and ids: two objects, and its place in a dictionary.
+ENTRY = 220
 #: A blank beside other white space: only there can a blank belong to a longer run.
 LONGER_BLANK = re.compile(r" [\t-\r \x85\xa0  -     　]|[\t-\r\x85\xa0  -     　] ")
 
@@ -150,38 +153,66 @@ class Ranks:
         return [ids if ids is not None else self.merge_long(p) for ids, p in zip(out, pieces)]
 
 
+class Memory:
+    """Ids of units, in two generations of at most half of ``MEMORY`` bytes each.
+
+    A unit found in the old generation moves to the young one; when that is full it becomes the old one, so what is used
+    again stays and the rest goes.
+    """
+
+    def __init__(self):
+        self.young, self.old, self.size = {}, {}, 0
+
+    def put(self, unit: str, ids: bytes) -> None:
+        cost = ENTRY + 4 * len(unit) + len(ids)
+        if self.size + cost > MEMORY // 2:
+            self.young, self.old, self.size = {}, self.young, 0
+            if cost > MEMORY // 2:
+                return
+        self.young[unit] = ids
+        self.size += cost
+
+    def known(self, units: set[str]) -> dict[str, bytes]:
+        """The ids of those of the units that are remembered."""
+        old = self.old
+        found = {u: self.young[u] for u in units.intersection(self.young)}
+        for unit in units.difference(found).intersection(old) if old else ():
+            found[unit] = old[unit]
+            self.put(unit, old[unit])
+        return found
+
+
 class Encoder:
-    """Whole texts to little-endian int32 ids.  What lies between two single blanks is merged once and remembered."""
+    """Whole texts to little-endian int32 ids.  What lies between two single blanks is merged once and remembered; a unit
+    that follows a blank is remembered with it."""
 
     def __init__(self, ranks: Ranks):
-        self.ranks, self.plain, self.after_blank = ranks, {}, {}
-
-    def learn(self, memory: dict[str, bytes], units: set[str], blank: str) -> None:
-        missing = units.difference(memory)
-        if len(memory) + len(missing) > MEMORY:
-            memory.clear()
-            missing = units
-        split = [self.ranks.pattern.findall(blank + u) for u in missing]
+        self.ranks, self.memory = ranks, Memory()
+
+    def learn(self, units: set[str]) -> dict[str, bytes]:
+        """Ids of all the units, merged now or remembered."""
+        known = self.memory.known(units)
+        missing = units.difference(known)
+        split = [self.ranks.pattern.findall(u) for u in missing]
         pieces = list({p for some in split for p in some})
         ids = dict(zip(pieces, self.ranks.merge([p.encode() for p in pieces])))
-        memory.update((u, b"".join(map(ids.__getitem__, some))) for u, some in zip(missing, split))
+        for unit, some in zip(missing, split):
+            known[unit] = made = b"".join(map(ids.__getitem__, some))
+            self.memory.put(unit, made)
+        return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """No piece of the pattern spans a blank but at its front, unless that blank touches other white space: texts
-        without such blanks are cut at each blank, which goes to the unit behind it; others are cut by the pattern."""
-        heads, tails = [], []
+        without such blanks are cut before each blank; others are cut by the pattern."""
+        cuts = []
         for text in texts:
             if LONGER_BLANK.search(text):
-                heads.append(self.ranks.pattern.findall(text))
-                tails.append([])
+                cuts.append(self.ranks.pattern.findall(text))
             else:
                 first, *rest = text.split(" ")
-                heads.append([first])
-                tails.append(rest)
-        self.learn(self.plain, set(chain.from_iterable(heads)), "")
-        self.learn(self.after_blank, set(chain.from_iterable(tails)), " ")
-        plain, after_blank = self.plain.__getitem__, self.after_blank.__getitem__
-        return [b"".join(chain(map(plain, head), map(after_blank, tail))) for head, tail in zip(heads, tails)]
+                cuts.append([first, *map(" ".__add__, rest)])
+        ids = self.learn(set(chain.from_iterable(cuts))).__getitem__
+        return [b"".join(map(ids, cut)) for cut in cuts]
 
 
 @cache
@@ -196,37 +227,45 @@ def tokens_of(path: str) -> dict[int, bytes]:
         return {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, lines)}
 
 
-def steps(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of about ``STEP_BYTES`` characters."""
-    start = size = 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size >= STEP_BYTES or k + 1 == len(texts):
+def steps(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``STEP_BYTES`` characters."""
+    start = total = 0
+    for k, size in enumerate(sizes):
+        total += size
+        if total >= STEP_BYTES or k + 1 == len(sizes):
             yield start, k + 1
-            start, size = k + 1, 0
+            start, total = k + 1, 0
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with ``ids``, an array of token ids, in place of the column ``text``.
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``df`` with ``ids``, an array of token ids, in place of the column ``text``; if ``decoded`` is named, also with the
+    bytes that these ids stand for, in the same pass over the rows.
 
     Each match of ``pattern`` is encoded separately by the ranks in the file ``path``, which every worker can read;
-    there are no special tokens.  Null and empty texts have no ids.  Other columns pass through unchanged, except one
-    that is itself called ``ids``, which is replaced.  Repeated rows are encoded each; an empty table stays empty.
+    there are no special tokens.  Null and empty texts have no ids.  Other columns pass through unchanged, except those
+    that are themselves called ``ids`` or ``decoded``, which are replaced.  Repeated rows are encoded each; an empty table
+    stays empty.
     """
-    keep = [c for c in df.columns if c not in (text, ids)]
+    added = [ids] if decoded is None else [ids, decoded]
+    keep = [c for c in df.columns if c not in (text, *added)]
     rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias(text))
-    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    kinds = (T.ArrayType(T.IntegerType()), T.BinaryType())
+    schema = T.StructType([*(df.schema[c] for c in keep), *(T.StructField(c, kind) for c, kind in zip(added, kinds))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, pattern)
+        token = tokens_of(path).__getitem__ if decoded else None
         for batch in batches:
-            texts = batch.column(text).to_pylist()
-            for start, end in steps(texts):
-                found = encoder.encode(texts[start:end])
+            sizes = pc.utf8_length(batch.column(text)).to_numpy(zero_copy_only=False).tolist()
+            for start, end in steps(sizes):
+                part = batch.slice(start, end - start)
+                found = encoder.encode(part.column(text).to_pylist())
                 offsets = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
                 values = pa.array(np.frombuffer(b"".join(found), "<i4"))
-                part = batch.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.ListArray.from_arrays(pa.array(offsets), values)], [*keep, ids])
+                made = [pa.ListArray.from_arrays(pa.array(offsets), values)]
+                if decoded:
+                    made.append(pa.array([b"".join(map(token, np.frombuffer(x, "<i4").tolist())) for x in found], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *made], [*keep, *added])
 
     return rows.mapInArrow(run, schema)
 

@@ -52,7 +52,7 @@ def op9_personal_data(spark, folder):
 def op10_byte_bpe(spark, folder):
     """Ids and the bytes they stand for, as counts and digests."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    both = byte_bpe.decode(byte_bpe.encode(docs, TOKENIZER, PATTERN), TOKENIZER)
+    both = byte_bpe.encode(docs, TOKENIZER, PATTERN, decoded="decoded")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), ","), "UTF-8"), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

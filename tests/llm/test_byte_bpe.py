@@ -35,13 +35,20 @@ def test_short_and_long_merges_agree():
     assert short and ranks.merge_short(short, 8) == [ranks.merge_long(p) for p in short]
 
 
-def test_memory_is_bounded(monkeypatch):
+def test_memory_is_bounded_in_bytes(monkeypatch):
+    """Whatever comes by, the remembered units stay below the bound, and a text that outlasts it is still right."""
+    import sys
     ranks, other = encoding()
-    monkeypatch.setattr(byte_bpe, "MEMORY", 4)
-    encoder = byte_bpe.Encoder(ranks)
-    for text in ("a b c d", "e f g h i j", "a z"):
-        encoder.encode([text])
-        assert len(encoder.after_blank) <= 5
+    monkeypatch.setattr(byte_bpe, "MEMORY", 60_000)
+    encoder, rng = byte_bpe.Encoder(ranks), random.Random(8)
+    import numpy as np
+    for turn in range(40):
+        text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 30))) for _ in range(60)) + " often seen words" + " y" * (turn % 3) + "z" * 300 * turn
+        assert np.frombuffer(encoder.encode([text])[0], "<i4").tolist() == other.encode_ordinary(text)
+        held = [(u, x) for some in (encoder.memory.young, encoder.memory.old) for u, x in some.items()]
+        assert sum(sys.getsizeof(u) + sys.getsizeof(x) for u, x in held) < 60_000
+    assert " often" in encoder.memory.young and " seen" in encoder.memory.young
+    assert byte_bpe.MEMORY < 200 << 20
 
 
 def test_whole_table_against_tiktoken(spark):
@@ -63,4 +70,7 @@ def test_nulls_repeats_clashing_names_and_empty_tables(spark):
     got = sorted((bytes(r.decoded).decode(), len(r.ids)) for r in both.collect())
     assert [t for t, _ in got] == sorted(["", "", "a b", "a b", "long " * 30_000]) and got[0] == ("", 0)
     assert byte_bpe.decode(byte_bpe.encode(documents(spark, []), PATH, PATTERN), PATH).count() == 0
+    once = byte_bpe.encode(docs, PATH, PATTERN, decoded="decoded")
+    assert sorted((bytes(r.decoded).decode(), len(r.ids)) for r in once.collect()) == got
+    assert byte_bpe.encode(documents(spark, []), PATH, PATTERN, decoded="decoded").count() == 0
     assert public_tokenizers.path("byte_bpe_multi_50k.tiktoken") == PATH
