@@ -486,7 +486,7 @@ def append_revisions(t):
     full = t.revision_log.select("id", C("revision").cast("long").alias("revision"), "status", F.md5(F.concat_ws("|", "status", "value")).alias("content_hash"), F.when(C("revision") > 1, C("revision") - 1).cast("long").alias("supersedes_revision"))
     half = full.groupBy("id").agg(F.ceil(F.max("revision") / 2).alias("_tip"))
     log, incoming = sinks.shared_folder(t.spark, "log"), sinks.shared_folder(t.spark, "incoming")
-    full.join(half, "id").where("revision <= _tip").drop("_tip").write.parquet(log)
+    jobs.create_revision_log(full.join(half, "id").where("revision <= _tip").drop("_tip"), log, ["id"])
     full.write.parquet(incoming)
     jobs.append_revisions(jobs.landed_stream(t.spark, incoming, "*.parquet"), log, ["id"], sinks.shared_folder(t.spark, "log-checkpoint")).awaitTermination()
     return t.spark.read.parquet(log).select("id", "revision", "status")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sightline import schemas
 from sightline.functions.urls import host_of, single_slash_path
+from sightline.operators.graph import chain_ends
 from sightline.operators.quality import missing_from
 
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
@@ -117,6 +118,22 @@ def links(pages: DataFrame) -> DataFrame:
     return rows.withColumn("target", target).withColumn("internal", host_of(F.col("target")) == host_of(F.col("url"))).drop("tag")
 
 
+def redirect_ends(status: DataFrame) -> DataFrame:
+    """``url, hops, final_url, final_status, state`` of every redirect, followed to its end.
+
+    ``status``: ``url, http_status, location``.  ``state`` is REDIRECT (one hop), CHAIN (several), LOOP (no end), BROKEN (the
+    end is an error) or UNKNOWN_END (the end was not crawled).  Pointers are doubled, so a chain takes as many rounds as the
+    logarithm of its length, and a target of very many redirects is met by partial results.
+    """
+    moved = status.where("http_status BETWEEN 300 AND 399 AND location IS NOT NULL")
+    ends = chain_ends(moved.select(F.col("url").alias("node"), F.col("location").alias("next")))
+    codes = status.groupBy(F.col("url").alias("end")).agg(F.min("http_status").alias("final_status"))
+    joined = ends.join(codes, "end", "left")
+    state = (F.when(F.col("looped"), "LOOP").when(F.col("final_status").isNull(), "UNKNOWN_END").when(F.col("final_status") >= 400, "BROKEN")
+             .when(F.col("hops") > 1, "CHAIN").otherwise("REDIRECT"))
+    return joined.select(F.col("node").alias("url"), "hops", F.col("end").alias("final_url"), "final_status", state.alias("state"))
+
+
 def link_status_issues(link_rows: DataFrame, status: DataFrame) -> DataFrame:
     """Pages with internal links to redirects, or external links to client or server errors."""
     targets = status.select(F.col("url").alias("target"), "http_status")

@@ -180,11 +180,28 @@ def issue_demand(issues: DataFrame, demand: DataFrame, keys: list[str]) -> tuple
 PATTERNS_AT_ONCE = 1000
 
 
+#: Characters of a pattern's literal part by which texts are found.
+LITERAL = 6
+
+
+def required_literal(pattern: Column) -> Column:
+    """The longest literal part without which a pattern cannot match; empty where none is sure.
+
+    Only plain concatenations are read: with alternatives, groups, classes, escapes or flags no part is sure.  A character
+    before ``?``, ``*`` or a count may be absent and ends the part.
+    """
+    plain = ~pattern.rlike(r"[|()\[\]\\]")
+    pieces = F.split(F.regexp_replace(F.regexp_replace(pattern, r".(?:[?*]|\{[^}]*\})[?+]?", "\n"), r"[.^$+{}]", "\n"), "\n")
+    longest = F.reduce(pieces, F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
+    return F.when(plain & (F.length(longest) >= 2), longest).otherwise("")
+
+
 def brand_class(queries: DataFrame, text: str, dictionary: DataFrame) -> DataFrame:
     """Class of each distinct query text by an approved dictionary: exact, then contained, then pattern terms.
 
     Exact terms join on the text.  Contained terms join on the substrings a text has in the lengths the terms have,
-    so neither rule needs a product or a bound.  Patterns can only be tried one by one; they travel in arrays of
+    so neither rule needs a product or a bound.  A pattern that no text can match without some literal part meets, by the
+    start of that part, only the texts that have it.  Other patterns can only be tried one by one; they travel in arrays of
     bounded size, as many as it takes.  The first pattern in order decides.  A text nothing matches is Non-brand.
     """
     approved = dictionary.where("status = 'Approved'").select("rule", F.lower("term").alias("term"), "class")
@@ -200,15 +217,23 @@ def brand_class(queries: DataFrame, text: str, dictionary: DataFrame) -> DataFra
               .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_name") - F.col("_length") + 1)))
               .select(text, F.substring(F.col("_name"), F.col("_at"), F.col("_length")).alias("term")))
     inside = pieces.join(contained, "term").groupBy(text).agg(F.min(F.struct("term", "class"))["class"].alias("_inside"))
-    patterns = of("Regex").select(F.struct("term", "class").alias("p"))
+    ruled = of("Regex").withColumn("_literal", required_literal(F.col("term"))).withColumn("_start", F.substring("_literal", 1, LITERAL))
+    keyed = ruled.where("_literal <> ''")
+    starts = keyed.agg(F.collect_set(F.length("_start")).alias("l")).scalar()
+    seen = (texts.withColumn("_length", F.explode(starts)).where(F.length("_name") >= F.col("_length"))
+            .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_name") - F.col("_length") + 1)))
+            .select(text, "_name", F.substring(F.col("_name"), F.col("_at"), F.col("_length")).alias("_start")).distinct())
+    fitting = seen.join(keyed, "_start").where(F.contains("_name", F.col("_literal")) & F.regexp("_name", F.col("term")))
+    matched = fitting.groupBy(text).agg(F.min(F.struct("term", "class")).alias("_matched"))
+    patterns = ruled.where("_literal = ''").select(F.struct("term", "class").alias("p"))
     blocks = -(-patterns.count() // PATTERNS_AT_ONCE)
     tried, firsts = texts, []
     for k in range(blocks):
         block = patterns.where(F.pmod(F.xxhash64("p"), F.lit(blocks)) == k).agg(F.array_sort(F.collect_list("p")).alias("p")).scalar()
         tried = tried.withColumn(f"_patterns{k}", block)
         firsts.append(F.get(F.filter(f"_patterns{k}", lambda d: F.regexp(F.lower(F.col(text)), d["term"])), F.lit(0)))
-    first = F.array_min(F.array_compact(F.array(*firsts)))["class"] if firsts else F.lit(None).cast("string")
-    tried = tried.select(text, first.alias("_pattern"))
+    first = F.array_min(F.array_compact(F.array(F.col("_matched"), *firsts)))["class"]
+    tried = tried.join(matched, text, "left").select(text, first.alias("_pattern"))
     classified = tried.join(exact, text, "left").join(inside, text, "left").select(
         text, F.coalesce("_exact", "_inside", "_pattern", F.lit("Non-brand")).alias("brand_class"))
     return queries.join(classified, text, "left")

@@ -59,17 +59,48 @@ def replace_days(rows: DataFrame, table: str, start: str, end: str, sort: list[s
     spark.catalog.refreshTable(table)
 
 
+def within(table: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``table`` inside the ranges that the keys of ``batch`` span.
+
+    The ends reach the scan as literals, so files and row groups beyond them are skipped by their statistics.
+    """
+    plain = [k for k, kind in batch.dtypes if k in keys and not kind.startswith(("array", "map", "struct", "binary", "variant"))]
+    if not plain:
+        return table
+    ends = batch.agg(*[f(k).alias(f"{n}_{i}") for i, k in enumerate(plain) for n, f in (("low", F.min), ("high", F.max))]).first()
+    for i, k in enumerate(plain):
+        if ends[f"low_{i}"] is None:
+            continue
+        kind = batch.schema[k].dataType
+        table = table.where(F.col(k).between(F.lit(ends[f"low_{i}"]).cast(kind), F.lit(ends[f"high_{i}"]).cast(kind)) | F.col(k).isNull())
+    return table
+
+
 def plan_append(stored: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFrame:
-    """Candidates the table does not hold yet, each key once."""
-    return candidates.dropDuplicates(keys).join(stored.select(*keys), keys, "left_anti")
+    """Candidates the table does not hold yet, each key once: of several with one key the least in its other columns.
+
+    Stored keys are first cut down to those of the batch, in which a batch that is small enough goes to the table's tasks
+    and otherwise a filter made of its keys does; the table is never exchanged for keys that the batch does not have.
+    """
+    others = [c for c in candidates.columns if c not in keys]
+    if others:
+        first = candidates.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row")).select(*keys, "_row.*").select(*candidates.columns)
+    else:
+        first = candidates.dropDuplicates(keys)
+    present = stored.select(*keys).join(first.select(*keys), keys, "left_semi").distinct()
+    return first.join(present, keys, "left_anti")
 
 
 def append_if_new(candidates: DataFrame, path: str, keys: list[str]) -> dict[str, int]:
-    """Append the new rows of a batch and read the table back; a replayed batch appends nothing.
+    """Append the new rows of a batch and read them back; a replayed batch appends nothing.
 
-    The plan is written to a staging table first, so what is appended and what is compared are the same rows.
+    The batch and the plan are written to staging tables first, so what is appended and what is compared are the same rows.
+    Plan and read-back look only at the part of the table that the batch's keys span; row counts come from file footers.
     """
     spark = candidates.sparkSession
+    batch_path, staging = shared_folder(spark, "batch"), shared_folder(spark, "append")
+    candidates.write.parquet(batch_path)
+    batch = spark.read.schema(candidates.schema).parquet(batch_path)
     try:
         stored = spark.read.schema(candidates.schema).parquet(path)
         before = stored.count()
@@ -77,8 +108,7 @@ def append_if_new(candidates: DataFrame, path: str, keys: list[str]) -> dict[str
         if "PATH_NOT_FOUND" not in str(error):
             raise
         stored, before = spark.createDataFrame([], candidates.schema), 0
-    staging = shared_folder(spark, "append")
-    plan_append(stored, candidates, keys).write.parquet(staging)
+    plan_append(within(stored, batch, keys), batch, keys).write.parquet(staging)
     planned = spark.read.schema(candidates.schema).parquet(staging)
     added = planned.count()
     if added:
@@ -90,7 +120,7 @@ def append_if_new(candidates: DataFrame, path: str, keys: list[str]) -> dict[str
 def verify_append(actual: DataFrame, planned: DataFrame, keys: list[str], expected_rows: int) -> dict[str, object]:
     """Read-back check: the row count, and every planned row present exactly once with equal content."""
     rows = actual.count()
-    found = actual.join(planned.select(*keys), keys, "left_semi")
+    found = within(actual, planned, keys).join(planned.select(*keys), keys, "left_semi")
     different = multiset_difference(found, planned).limit(1).count()
     if rows != expected_rows or different:
         raise ValueError("read-back differs from the append plan; do not replay it blindly")

@@ -51,21 +51,48 @@ def replace_pulls(stream: DataFrame, table: str, sort: list[str], checkpoint: st
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+#: Parts of a revision log; a key's revisions lie in one of them.
+PARTS = 256
+
+
+def log_part(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int")
+
+
+def create_revision_log(rows: DataFrame, path: str, keys: list[str]) -> None:
+    """A log whose files are parted by key, so that a micro-batch reads only the parts of its own keys."""
+    rows.withColumn("_part", log_part(keys)).repartition("_part").write.partitionBy("_part").parquet(path)
+
+
+def own_parts(log: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The parts of a log in which keys of ``batch`` lie: at most ``PARTS`` numbers go to the driver, and the scan skips the
+    files of all others."""
+    touched = [r[0] for r in batch.select(log_part(keys).alias("p")).distinct().collect()]
+    return log.where(F.col("_part").isin(touched))
+
+
 def append_revisions(stream: DataFrame, path: str, keys: list[str], checkpoint: str,
                      rejected: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
     """Append the acceptable revisions of every micro-batch to a log; replays are no-ops, the rest is handed on.
 
-    ``path`` holds the log as parquet and must exist.  The decided batch is written once, so the rows appended and
-    the rows handed on come from one decision.
+    ``path`` holds the log as parquet and must exist; of one made by ``create_revision_log`` only the parts of the batch's
+    keys are read, one that is not parted is read whole.  Of stored rows only key, revision and hash are read.  The decided
+    batch is written once, so the rows appended and the rows handed on come from one decision.
     """
     spark = stream.sparkSession
     schema = spark.read.parquet(path).schema
+    parted = "_part" in schema.fieldNames()
 
     def write(batch: DataFrame, batch_id: int) -> None:
         decided_path = shared_folder(spark, f"decided-{batch_id}")
-        append_plan(spark.read.schema(schema).parquet(path), batch, keys).write.parquet(decided_path)
+        log = spark.read.schema(schema).parquet(path)
+        append_plan(own_parts(log, batch, keys) if parted else log, batch, keys).write.parquet(decided_path)
         decided = spark.read.parquet(decided_path)
-        decided.where("decision = 'APPEND'").drop("decision").select(*schema.fieldNames()).write.mode("append").parquet(path)
+        fresh = decided.where("decision = 'APPEND'")
+        if parted:
+            fresh = fresh.withColumn("_part", log_part(keys)).repartition("_part")
+        writer = fresh.select(*schema.fieldNames()).write.mode("append")
+        (writer.partitionBy("_part") if parted else writer).parquet(path)
         if rejected:
             rejected(decided.where("decision NOT IN ('APPEND', 'IDEMPOTENT')"))
 

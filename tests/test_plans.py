@@ -178,3 +178,19 @@ def test_samples_snapshots_and_populations(spark):
     df = spark.createDataFrame(flat, "track_id string, metric string, side string, value double, source string, sample_version string, sample_revision int, period_end string")
     assert {r.track_id: r.mismatch for r in compare_sides(df).collect()} == {
         "geo": None, "drift": "SAMPLE_REVISION_MISMATCH", "unknown": "SAMPLE_REVISION_MISSING", "search": None, "page": "SNAPSHOT_NOT_A_PERIOD"}
+
+
+def test_dictionaries_with_very_many_patterns(spark):
+    """Patterns with a sure literal meet only texts that have it; the first that matches decides, as if each were tried."""
+    import re
+    from sightline.operators.joins import brand_class, required_literal
+    sure = {"shop.*line": "shop", "colou?r set": "r set", "^blue+ sky$": "blue", "a{2}bcd": "bcd", "x|shopline": "", "(shop)line": "", "shop\\d": "", "ab*": "", "[ab]cdef": "", "plain words": "plain words", ".*": ""}
+    found = spark.createDataFrame([(p,) for p in sure], "p string").select("p", required_literal(__import__("pyspark").sql.functions.col("p")).alias("l"))
+    assert {r.p: r.l for r in found.collect()} == sure
+    terms = [(f"brand{k}.*x?$", "Regex", f"class{k % 5}", "Approved") for k in range(3000)] + [("^(pre|post) ", "Regex", "grouped", "Approved"), ("brand7", "Regex", "short", "Candidate")]
+    texts = [f"some brand{k} thing" for k in range(0, 4000, 37)] + ["pre word", "none", "BRAND12 end", "brand12x"]
+    df = spark.createDataFrame([(x,) for x in texts], "q string")
+    got = {r.q: r.brand_class for r in brand_class(df, "q", spark.createDataFrame(terms, "term string, rule string, class string, status string")).collect()}
+    for x in texts:
+        fits = sorted((t, c) for t, rule, c, status in terms if status == "Approved" and re.search(t, x.lower()))
+        assert got[x] == (fits[0][1] if fits else "Non-brand"), x

@@ -152,3 +152,39 @@ def test_sliding_stream_equals_batch(spark):
     batch = events.groupBy(F.window("ts", "7 days", "1 day"), "event_type").agg(F.count(F.lit(1)).alias("n")).where(
         F.col("window.end") <= F.lit(events.agg(F.max("ts")).first()[0] - datetime.timedelta(days=1))).select(F.to_date("window.start").alias("first_day"), F.to_date("window.end").alias("end_day"), "event_type", "n")
     assert quality.multiset_difference(spark.read.parquet(out), batch).count() == 0
+
+
+def test_append_reads_only_the_span_of_its_keys(spark):
+    path = sinks.shared_folder(spark, "span")
+    for k in range(6):
+        spark.range(k * 1000, k * 1000 + 1000).withColumn("h", F.lit("x")).coalesce(1).write.mode("append").parquet(path)
+    batch = spark.range(2500, 2600).withColumn("h", F.lit("y"))
+    near = sinks.within(spark.read.parquet(path), batch, ["id"])
+    assert near.count() == 100 and "GreaterThanOrEqual(id,2500)" in near._jdf.queryExecution().executedPlan().toString()
+    assert sinks.append_if_new(batch, path, ["id"])["appended"] == 0 and sinks.append_if_new(batch, path, ["id", "h"])["appended"] == 100
+    assert sinks.append_if_new(batch.where("false"), path, ["id", "h"]) == {"before": 6100, "appended": 0, "rows": 6100, "status": "PASS"}
+
+
+def test_of_equal_keys_the_same_row_is_appended_whatever_the_order(spark):
+    rows = [(k % 7, f"v{k}", k) for k in range(70)]
+    for parts in (1, 3, 8):
+        path = sinks.shared_folder(spark, "choice")
+        assert sinks.append_if_new(spark.createDataFrame(rows[::-1] if parts == 3 else rows, "id int, v string, n int").repartition(parts), path, ["id"])["appended"] == 7
+        assert {(r.id, r.v) for r in spark.read.parquet(path).collect()} == {(k, min(v for i, v, _ in rows if i == k)) for k in range(7)}
+
+
+def test_a_micro_batch_reads_only_the_parts_of_its_keys(spark):
+    log, incoming = sinks.shared_folder(spark, "parted"), sinks.shared_folder(spark, "parted-in")
+    schema = "id string, revision int, content_hash string, supersedes_revision int"
+    stored = spark.createDataFrame([(f"k{i}", 1, f"h{i}", None) for i in range(400)], schema)
+    jobs.create_revision_log(stored, log, ["id"])
+    batch = spark.createDataFrame([("k7", 2, "new", 1), ("k8", 1, "h8", None)], schema)
+    own = jobs.own_parts(spark.read.parquet(log), batch, ["id"])
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_part" in plan.replace("isnotnull(_part#", "") and own.select(F.input_file_name()).distinct().count() <= 2
+    for rows in ([("k7", 3, "late", 2)], [("k7", 2, "new", 1), ("k8", 1, "h8", None), ("new", 1, "n", None)], [("k7", 3, "late", 2), ("k7", 2, "new", 1)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(incoming)
+        jobs.append_revisions(jobs.landed_stream(spark, incoming, "*.parquet"), log, ["id"], incoming + "-checkpoint").awaitTermination()
+    got = spark.read.parquet(log)
+    assert got.count() == 403 and sorted(r.revision for r in got.where("id = 'k7'").collect()) == [1, 2, 3]
+    assert got.where("id = 'new'").count() == 1
