@@ -165,10 +165,10 @@ class Memory:
 
     def put(self, unit: str, ids: bytes) -> None:
         cost = ENTRY + 4 * len(unit) + len(ids)
+        if cost > MEMORY // 2:
+            return
         if self.size + cost > MEMORY // 2:
             self.young, self.old, self.size = {}, self.young, 0
-            if cost > MEMORY // 2:
-                return
         self.young[unit] = ids
         self.size += cost
 
