@@ -22,7 +22,7 @@ NONE = np.iinfo(np.int32).max
 #: Widths of the trees in which pieces of at most so many bytes are merged together with others.
 WIDTHS = (8, 16, 32)
 #: Bytes of merged units that a worker process remembers at most, and characters of text per step.
-MEMORY, STEP_BYTES = 128 << 20, 1 << 22
+MEMORY, STEP_BYTES = 48 << 20, 1 << 20
 #: What a unit costs beside its own characters and ids: two objects, and its place in a dictionary.
 ENTRY = 220
 #: A blank beside other white space: only there can a blank belong to a longer run.

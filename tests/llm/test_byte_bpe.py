@@ -48,7 +48,7 @@ def test_memory_is_bounded_in_bytes(monkeypatch):
         held = [(u, x) for some in (encoder.memory.young, encoder.memory.old) for u, x in some.items()]
         assert sum(sys.getsizeof(u) + sys.getsizeof(x) for u, x in held) < 60_000
     assert all(u in encoder.memory.young or u in encoder.memory.old for u in (" often", " seen", " words"))
-    assert byte_bpe.MEMORY < 200 << 20
+    assert byte_bpe.MEMORY <= 64 << 20
 
 
 def test_whole_table_against_tiktoken(spark):
