@@ -124,10 +124,10 @@ def link_status(t):
 @query("L6_redirect_ends", """
 WITH RECURSIVE s AS (SELECT page_id AS url, CASE WHEN page_id % 16 <> 0 THEN page_id - 1 WHEN page_id % 64 = 48 THEN page_id + 5 WHEN page_id % 64 = 32 THEN -1 END AS location,
   CASE WHEN page_id % 16 <> 0 OR page_id % 64 IN (48, 32) THEN 301 WHEN page_id % 64 = 16 THEN 404 ELSE 200 END AS code FROM pages),
-w(url, at, hops) AS (SELECT url, location, 1 FROM s WHERE location IS NOT NULL UNION ALL SELECT w.url, s.location, hops + 1 FROM w JOIN s ON s.url = w.at AND s.location IS NOT NULL WHERE hops < 100),
-e AS (SELECT url, MAX(hops) AS hops, ARG_MAX(at, hops) AS at FROM w GROUP BY 1)
-SELECT CAST(e.url AS VARCHAR) AS url, CASE WHEN hops < 100 THEN hops END AS hops, CASE WHEN hops < 100 THEN CAST(at AS VARCHAR) END AS final_url, CASE WHEN hops < 100 THEN s.code END AS final_status,
-  CASE WHEN hops >= 100 THEN 'LOOP' WHEN s.code IS NULL THEN 'UNKNOWN_END' WHEN s.code >= 400 THEN 'BROKEN' WHEN hops > 1 THEN 'CHAIN' ELSE 'REDIRECT' END AS state FROM e LEFT JOIN s ON s.url = at""")
+w(url, here, hops) AS (SELECT url, location, 1 FROM s WHERE location IS NOT NULL UNION ALL SELECT w.url, s.location, hops + 1 FROM w JOIN s ON s.url = w.here AND s.location IS NOT NULL WHERE hops < 100),
+e AS (SELECT url, MAX(hops) AS hops, ARG_MAX(here, hops) AS here FROM w GROUP BY 1)
+SELECT CAST(e.url AS VARCHAR) AS url, CASE WHEN hops < 100 THEN hops END AS hops, CASE WHEN hops < 100 THEN CAST(here AS VARCHAR) END AS final_url, CASE WHEN hops < 100 THEN s.code END AS final_status,
+  CASE WHEN hops >= 100 THEN 'LOOP' WHEN s.code IS NULL THEN 'UNKNOWN_END' WHEN s.code >= 400 THEN 'BROKEN' WHEN hops > 1 THEN 'CHAIN' ELSE 'REDIRECT' END AS state FROM e LEFT JOIN s ON s.url = here""")
 def redirect_ends(t):
     """Sixteen pages in a row redirect to the one before; the first of each row is an end, an error, a loop or a page that was not crawled."""
     key = F.col("page_id")

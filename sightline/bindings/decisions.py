@@ -218,6 +218,19 @@ def validated(t):
 
 # --- Diagnostics ------------------------------------------------------------------------------------------
 
+def behaviour_of(t, **more):
+    kind = C("event_type")
+    daily = t.events.groupBy("user_id", "event_type", F.to_date("ts").alias("day")).agg(F.max("value").alias("value"))
+    rows = daily.select(
+        C("user_id").alias("candidate_id"), F.lit("GA4").alias("source"), F.lit(SOURCE_CLASS["GA4"]).alias("source_class"), F.lit("URL_1").alias("url_id"), F.lit("https://a.example/").alias("normalized_url"),
+        F.when(kind == "error", "Direct").otherwise("Organic Search").alias("channel"), F.when(kind == "view", "sessions").when(kind == "click", "engagement_rate").when(kind == "purchase", "event_count").otherwise("users").alias("metric"),
+        "value", C("day").alias("period_end"), C("day").alias("as_of"), F.lit("READY").alias("freshness_state"), F.lit("SUCCESS").alias("collection_status"), F.lit("CTA_INTERACTION").alias("event_classification"))
+    targets = t.events.select(C("user_id").alias("candidate_id")).distinct().select(
+        "candidate_id", F.lit("URL_1").alias("url_id"), F.lit("Organic Search").alias("expected_channel"), F.lit("PAGE_LEVEL").alias("quality_scope"), F.lit("2024-01-31").cast("date").alias("decision_day"),
+        F.lit(2.0).alias("gsc_current"), F.lit(1.0).alias("gsc_previous"))
+    return diagnostics.behaviour(targets.withColumns(more) if more else targets, rows)
+
+
 @query("K11_behaviour", """
 WITH e AS (SELECT user_id, event_type, CAST(ts AS DATE) AS d, MAX(value) AS v FROM events GROUP BY 1, 2, 3),
 j AS (SELECT *, event_type = 'error' AS wrong, d BETWEEN DATE '2024-01-24' AND DATE '2024-01-31' AS fresh, CASE event_type WHEN 'view' THEN 'sessions' WHEN 'click' THEN 'engagement_rate' WHEN 'purchase' THEN 'event_count' ELSE 'users' END AS m FROM e),
@@ -229,16 +242,23 @@ SELECT f.user_id AS candidate_id, coalesce(a.s, 'INSUFFICIENT_HISTORY') AS traff
   CASE WHEN wrong OR a.s IN ('DECLINING', 'STABLE') THEN 'CONFLICTING_GA4_EVIDENCE' WHEN stale OR b.s IS NULL OR accepted = 0 OR a.s IS NULL OR cur = 0 THEN 'INSUFFICIENT_GA4_EVIDENCE' WHEN b.s = 'DECLINING' THEN 'QUALITY_MIXED' ELSE 'QUALITY_HEALTHY' END AS status
 FROM f LEFT JOIN t a ON a.user_id = f.user_id AND a.m = 'sessions' LEFT JOIN t b ON b.user_id = f.user_id AND b.m = 'engagement_rate'""")
 def behaviour(t):
-    kind = C("event_type")
-    daily = t.events.groupBy("user_id", "event_type", F.to_date("ts").alias("day")).agg(F.max("value").alias("value"))
-    rows = daily.select(
-        C("user_id").alias("candidate_id"), F.lit("GA4").alias("source"), F.lit(SOURCE_CLASS["GA4"]).alias("source_class"), F.lit("URL_1").alias("url_id"), F.lit("https://a.example/").alias("normalized_url"),
-        F.when(kind == "error", "Direct").otherwise("Organic Search").alias("channel"), F.when(kind == "view", "sessions").when(kind == "click", "engagement_rate").when(kind == "purchase", "event_count").otherwise("users").alias("metric"),
-        "value", C("day").alias("period_end"), C("day").alias("as_of"), F.lit("READY").alias("freshness_state"), F.lit("SUCCESS").alias("collection_status"), F.lit("CTA_INTERACTION").alias("event_classification"))
-    targets = t.events.select(C("user_id").alias("candidate_id")).distinct().select(
-        "candidate_id", F.lit("URL_1").alias("url_id"), F.lit("Organic Search").alias("expected_channel"), F.lit("PAGE_LEVEL").alias("quality_scope"), F.lit("2024-01-31").cast("date").alias("decision_day"),
-        F.lit(2.0).alias("gsc_current"), F.lit(1.0).alias("gsc_previous"))
-    return diagnostics.behaviour(targets, rows).withColumns(joined("missing")).select("candidate_id", "traffic_signal", "engagement_signal", "missing", "status")
+    return behaviour_of(t).withColumns(joined("missing")).select("candidate_id", "traffic_signal", "engagement_signal", "missing", "status")
+
+
+@query("K11_types", """
+WITH e AS (SELECT user_id, event_type, CAST(ts AS DATE) AS d, MAX(value) AS v FROM events GROUP BY 1, 2, 3),
+j AS (SELECT *, event_type = 'error' AS wrong, d BETWEEN DATE '2024-01-24' AND DATE '2024-01-31' AS fresh, CASE event_type WHEN 'view' THEN 'sessions' WHEN 'click' THEN 'engagement_rate' WHEN 'purchase' THEN 'event_count' ELSE 'users' END AS m FROM e),
+n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, m ORDER BY d DESC) AS rn FROM j WHERE NOT wrong AND fresh),
+f AS (SELECT user_id, COUNT(*) FILTER (NOT wrong) AS accepted, COUNT(*) FILTER (NOT wrong AND fresh) AS cur, coalesce(bool_or(NOT wrong AND NOT fresh), FALSE) AS stale, coalesce(bool_or(wrong), FALSE) AS wrong FROM j GROUP BY 1),
+t AS (SELECT user_id, m, CASE WHEN COUNT(*) < 2 THEN 'INSUFFICIENT_HISTORY' WHEN MAX(v) FILTER (rn = 1) > MAX(v) FILTER (rn = 2) THEN 'INCREASING' WHEN MAX(v) FILTER (rn = 1) < MAX(v) FILTER (rn = 2) THEN 'DECLINING' ELSE 'STABLE' END AS s FROM n GROUP BY 1, 2),
+s AS (SELECT f.user_id, f.user_id % 6 = 0 AS external, a.s AS traffic, b.s AS engagement, g.s IS NOT NULL OR EXISTS (SELECT 1 FROM n WHERE n.user_id = f.user_id AND n.m = 'event_count') AS cta,
+  CASE WHEN wrong OR a.s IN ('DECLINING', 'STABLE') THEN 'CONFLICTING_GA4_EVIDENCE' WHEN stale OR b.s IS NULL OR accepted = 0 OR a.s IS NULL OR cur = 0 THEN 'INSUFFICIENT_GA4_EVIDENCE' WHEN b.s = 'DECLINING' THEN 'QUALITY_MIXED' ELSE 'QUALITY_HEALTHY' END AS status FROM f LEFT JOIN t a ON a.user_id = f.user_id AND a.m = 'sessions' LEFT JOIN t b ON b.user_id = f.user_id AND b.m = 'engagement_rate' LEFT JOIN t g ON g.user_id = f.user_id AND g.m = 'event_count'),
+v AS (SELECT user_id, external, traffic, engagement, cta, CASE WHEN external THEN 'CONFLICTING_GA4_EVIDENCE' ELSE status END AS status, (SELECT SUM(v) FROM n WHERE n.user_id = s.user_id AND n.m = 'event_count') AS events FROM s)
+SELECT user_id AS candidate_id, external AS unresolved, array_to_string(list_sort(list_filter([status, CASE WHEN traffic = 'DECLINING' THEN 'TRAFFIC_DECLINING' END, CASE WHEN engagement = 'DECLINING' THEN 'ENGAGEMENT_DECLINING' END,
+  CASE WHEN engagement = 'STABLE' THEN 'ENGAGEMENT_STABLE' END, CASE WHEN cta AND events > 0 THEN 'CTA_SIGNAL_PRESENT' WHEN cta THEN 'CTA_SIGNAL_WEAK' END], lambda x: x IS NOT NULL)), ',') AS types FROM v""")
+def behaviour_types(t):
+    out = behaviour_of(t, external_figures=C("candidate_id") % 6 == 0)
+    return out.select("candidate_id", F.array_contains("conflicts", "AI_ASSISTANT_ATTRIBUTION_UNRESOLVED").alias("unresolved"), F.array_join("types", ",").alias("types"))
 
 
 @query("K12_result_page", """
@@ -323,6 +343,26 @@ def tracked(t):
     return out.select("track_id", "tracking_status", "outcome_state")
 
 
+@query("K14_input_errors", """
+WITH t AS (SELECT o_orderkey AS track_id, o_orderkey % 8 AS k, o_orderkey % 5 AS m FROM orders),
+e AS (SELECT *, CASE WHEN k = 0 THEN 'INVALID_CHECKPOINT' WHEN m = 1 THEN 'BASELINE_EVIDENCE_HASH_MISMATCH' WHEN k IN (1, 2, 3) THEN 'INCOMPLETE_PERIOD' END AS input_error FROM t)
+SELECT track_id, input_error, CASE WHEN input_error IS NULL THEN 'EVALUATED' ELSE 'BLOCKED' END AS tracking_status FROM e""")
+def input_errors(t):
+    """Follow-up windows a day late, a baseline a day short, one in another zone, checkpoints that are none, and pins whose evidence has moved."""
+    key, done = C("o_orderkey"), F.to_date("o_orderdate")
+    case = key % 8
+    tracks = t.orders.select(key.alias("track_id"), F.when(case == 0, "45D").when(case == 4, "60d").otherwise("30D").alias("checkpoint"), done.alias("completed_day"), F.lit("IMPLEMENTED").alias("event_type"), F.lit("OK").alias("lineage_state"))
+    zone = F.when(case == 3, "UTC").otherwise("Asia/Taipei")
+    sides = F.array(F.struct(F.lit("baseline").alias("side"), F.date_sub(done, 28).alias("period_start"), F.date_sub(done, F.when(case == 2, 2).otherwise(1)).alias("period_end")),
+                    F.struct(F.lit("follow_up").alias("side"), F.date_add(done, F.when(case == 4, 33).otherwise(3)).alias("period_start"), F.date_add(done, F.when(case == 4, 60).when(case == 1, 31).otherwise(30)).alias("period_end")))
+    windows = t.orders.select(key.alias("track_id"), zone.alias("timezone"), F.inline(sides))
+    pins = t.orders.select(key.alias("track_id"), key.alias("evidence_id"), F.lit(1).alias("revision"), F.md5(key.cast("string")).alias("content_hash"))
+    log = t.orders.where(key % 5 != 2).select(key.alias("evidence_id"), F.lit(1).alias("revision"), F.when(key % 5 == 1, "moved").otherwise(F.md5(key.cast("string"))).alias("content_hash"))
+    checked = outcomes.input_errors(tracks, windows, pins, log)
+    compared = t.orders.select(key.alias("track_id"), F.lit("primary").alias("role"), none().alias("obstacle"), F.lit(0.2).alias("delta"), F.lit(0.05).alias("tolerance"), F.lit(True).alias("met"), F.lit(None).cast("boolean").alias("breached"), F.lit("INCREASE").alias("direction"))
+    return outcomes.outcomes(checked, compared).select("track_id", "input_error", "tracking_status")
+
+
 # --- Review and release -----------------------------------------------------------------------------------
 
 def review_tables(t):
@@ -353,6 +393,20 @@ def bridge_gates(t):
     return review.bridge_gates(reviews, stored).select("review_id", "gate")
 
 
+@query("K23_bridge_texts", f"""
+SELECT o_orderkey AS review_id, COALESCE({GATE_SQL}, CASE o_orderkey % 12 WHEN 1 THEN 'CAPABILITY_GAP_BLOCKED' WHEN 2 THEN 'INVALID_BRIDGE_REVISION' WHEN 3 THEN 'INVALID_BRIDGE_ID' WHEN 4 THEN 'INVALID_RECOMMENDATION_TEXT'
+  WHEN 5 THEN 'INVALID_TEXT_PROVENANCE' WHEN 6 THEN 'MISSING_HUMAN_TEXT' END) AS gate FROM orders WHERE o_orderkey % 12 <> 1 OR o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0
+UNION ALL SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' OR o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderpriority = '5-LOW' THEN {GATE_SQL} ELSE 'CAPABILITY_GAP_BLOCKED' END FROM orders WHERE o_orderkey % 12 = 1 AND (o_orderkey % 13 = 0 OR o_orderkey % 11 = 0)""")
+def bridge_texts(t):
+    stored, reviews = review_tables(t)
+    case, of = C("review_id") % 12, C("candidate_id") % 12
+    stored = stored.withColumn("capability_gaps", F.when(of == 1, F.array(F.lit("LIVE_INTENT"))).otherwise(empty()))
+    reviews = reviews.withColumns({
+        "bridge_revision": F.when(case == 2, 0).when(case != 7, 1), "bridge_id": F.when(case == 3, "not opaque").when(case != 7, "BRIDGE_1"),
+        "human_text": F.when(case == 4, F.repeat(F.lit("x"), 4001)).when(case == 8, "Write the answer first."), "text_provenance": F.when(case == 5, "MODEL_WRITTEN").when(case == 6, "HUMAN_AUTHORED")})
+    return review.bridge_gates(reviews, stored).select("review_id", "gate")
+
+
 @query("K24_review_status", f"""
 SELECT o_orderkey AS candidate_id, CASE WHEN o_orderkey % 3 = 0 THEN 'NOT_REVIEWED' WHEN o_orderstatus = 'F' THEN 'REJECTED' ELSE 'APPROVED' END AS review_status,
   CASE WHEN o_orderkey % 3 = 0 THEN 'NOT_REVIEWED' WHEN {GATE_SQL} IS NULL THEN 'BRIDGE_READY' ELSE 'BLOCKED' END AS recommendation_bridge_status FROM orders""")

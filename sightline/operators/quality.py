@@ -14,6 +14,11 @@ def codes(*rules: tuple[Column, str]) -> Column:
     return F.array_compact(F.array(*[F.when(condition, code) for condition, code in rules]))
 
 
+def optional(df, name: str, kind: str) -> Column:
+    """A column of ``df`` where it has one of that name, else null of the given kind."""
+    return F.col(name) if name in df.columns else F.lit(None).cast(kind)
+
+
 def first_code(*rules: tuple[Column, str]) -> Column:
     """Code of the first rule that fires, or null."""
     return F.coalesce(*[F.when(condition, code) for condition, code in rules])

@@ -10,7 +10,7 @@ from sightline.functions.labels import intent, page_type
 from sightline.operators.facts import dominant_kind
 from sightline.operators.joins import join_spread
 from sightline.operators.periods import trend_signal
-from sightline.operators.quality import codes, is_fresh
+from sightline.operators.quality import codes, is_fresh, optional
 from sightline.schemas import SOURCE_CLASS
 
 # Metrics a behaviour diagnostic understands, and features that crowd a result page.
@@ -27,7 +27,9 @@ def behaviour(targets: DataFrame, evidence: DataFrame) -> DataFrame:
 
     ``targets``: ``candidate_id, url_id, expected_channel, quality_scope, decision_day, gsc_current, gsc_previous``.
     ``evidence``: ``candidate_id, source, source_class, url_id, normalized_url, channel, metric, value, period_end,
-    as_of, freshness_state, collection_status, event_classification``.
+    as_of, freshness_state, collection_status, event_classification``.  Targets may carry ``external_figures``: whether
+    figures of other populations (assistant sessions, leads, revenue) were handed in, which are never divided by sessions.
+    ``types`` holds the status and each signal that is one of the named kinds.
     """
     c = F.col
     asked = targets.select("candidate_id", c("url_id").alias("_url"), "expected_channel", "quality_scope", "decision_day")
@@ -69,6 +71,7 @@ def behaviour(targets: DataFrame, evidence: DataFrame) -> DataFrame:
             *[(c(n) | ((c("quality_scope") == "SITE_WIDE_CONTEXT") & (c("accepted") > 0)) if n == "SITE_WIDE_CONTEXT_ONLY" else c(n), n) for n in names],
             (c("unmapped_event"), "CTA_EVENT_MAPPING_UNRESOLVED"),
             ((c("traffic_signal") == "CONFLICT") | (c("engagement_signal") == "CONFLICT"), "CONFLICTING_GA4_EVIDENCE"),
+            (optional(targets, "external_figures", "boolean"), "AI_ASSISTANT_ATTRIBUTION_UNRESOLVED"),
             (c("traffic_signal").isin("INCREASING", "DECLINING", "STABLE") & (search != c("traffic_signal")), "GSC_GA4_ACQUISITION_BEHAVIOR_CONFLICT"))),
         "missing": F.array_sort(codes(
             (c("accepted") == 0, "page_level_organic_ga4_evidence"), (c("some_stale"), "fresh_current_ga4_evidence"),
@@ -79,7 +82,9 @@ def behaviour(targets: DataFrame, evidence: DataFrame) -> DataFrame:
               .when(traffic & engagement, "QUALITY_WEAK").when(traffic | engagement, "QUALITY_MIXED").otherwise("QUALITY_HEALTHY"))
     return decided.withColumn("status", status).select(
         "candidate_id", "status", F.when(c("status").startswith("QUALITY"), "MEDIUM").otherwise("LOW").alias("diagnostic_confidence"),
-        "traffic_signal", "engagement_signal", "cta_signal", "conflicts", "missing")
+        "traffic_signal", "engagement_signal", "cta_signal", "conflicts", "missing",
+        F.array_sort(F.array_append(codes((traffic, "TRAFFIC_DECLINING"), (engagement, "ENGAGEMENT_DECLINING"), (c("engagement_signal") == "STABLE", "ENGAGEMENT_STABLE"),
+                                          (c("cta_signal") == "CTA_SIGNAL_PRESENT", "CTA_SIGNAL_PRESENT"), (c("cta_signal") == "CTA_SIGNAL_WEAK", "CTA_SIGNAL_WEAK")), c("status"))).alias("types"))
 
 
 def result_page(validations: DataFrame, snapshots: DataFrame, results: DataFrame) -> DataFrame:
@@ -133,9 +138,16 @@ def visibility(targets: DataFrame, observations: DataFrame) -> DataFrame:
 
     ``targets``: ``candidate_id, decision_day, serp_status``; ``observations``: ``candidate_id, mapping_state,
     scope_state, sample_version, mention_state, citation_state, owned_url_id, competitor_id, unknown_domain,
-    freshness_state, collection_status, as_of``.
+    freshness_state, collection_status, as_of``.  Observations may carry ``source``, ``source_class`` and ``metric``; one that
+    is no observation of the monitored sample is a conflict and counts for nothing else.
     """
     c = F.col
+    foreign = F.lit(False)
+    for name, wanted in (("source", "WORKDUO"), ("source_class", SOURCE_CLASS["WORKDUO"]), ("metric", "geo_observation")):
+        if name in observations.columns:
+            foreign = foreign | ~c(name).eqNullSafe(F.lit(wanted))
+    wrong = observations.where(foreign).select("candidate_id").distinct().withColumn("_wrong", F.lit(True))
+    observations = observations.where(~foreign)
     rows = join_spread(observations, targets.select("candidate_id", "decision_day"), "candidate_id", ["as_of", "mention_state", "owned_url_id", "competitor_id"])
     usable = (c("mapping_state") == "MAPPED") & (c("scope_state") == "OK")
     fresh = is_fresh(F.lit("WORKDUO"), c("freshness_state"), c("collection_status"), c("as_of"), c("decision_day"))
@@ -159,7 +171,7 @@ def visibility(targets: DataFrame, observations: DataFrame) -> DataFrame:
          | F.coalesce(F.min(F.when(mapped, c("sample_version"))) != F.max(F.when(mapped, c("sample_version"))), F.lit(False))).alias("gap"),
         any_true(now & ((c("mention_state") == "NOT_AVAILABLE") | (c("citation_state") == "NOT_AVAILABLE"))).alias("capability_gap"),
         any_true(now & c("unknown_domain")).alias("unknown_domain"), capability("mention_state").alias("mention_state"), capability("citation_state").alias("citation_state"))
-    joined = targets.join(folded, "candidate_id", "left").withColumns({
+    joined = targets.join(folded, "candidate_id", "left").join(wrong, "candidate_id", "left").withColumns({
         **{n: F.coalesce(n, F.lit(0)) for n in ("current_rows", "stale_rows", "owned", "rivals")},
         **{n: F.coalesce(n, F.lit(False)) for n in ("failed", "unmapped_prompt", "unmapped_topic", "gap", "capability_gap", "unknown_domain")},
         **{n: F.coalesce(n, F.lit("UNKNOWN")) for n in ("mention_state", "citation_state")}})
@@ -171,7 +183,7 @@ def visibility(targets: DataFrame, observations: DataFrame) -> DataFrame:
     return joined.withColumn("base", base).select(
         "candidate_id", F.when(c("gap"), "GEO_CONFLICT").otherwise(c("base")).alias("status"), "mention_state", "citation_state",
         F.when(c("owned") > 0, "PRESENT").when(c("current_rows") > 0, "ABSENT").otherwise("NOT_AVAILABLE").alias("owned_visibility"),
-        F.array_sort(codes((c("failed"), "PROVIDER_FAILURE"), (c("unmapped_prompt"), "UNMAPPED_PROMPT"), (c("unmapped_topic"), "UNMAPPED_TOPIC"),
+        F.array_sort(codes((c("_wrong"), "GEO_SOURCE_CLASS_MISMATCH"), (c("failed"), "PROVIDER_FAILURE"), (c("unmapped_prompt"), "UNMAPPED_PROMPT"), (c("unmapped_topic"), "UNMAPPED_TOPIC"),
                            (c("gap"), "COMPARABILITY_GAP"), (c("stale_rows") > 0, "STALE_GEO_EVIDENCE"), (c("capability_gap"), "CAPABILITY_GAP"),
                            (c("unknown_domain"), "UNKNOWN_COMPETITOR_DOMAIN"), (crossed, "CROSS_CHANNEL_CONFLICT"),
                            (crossed & (c("serp_status") == "SERP_VALIDATED"), "MIXED_SIGNAL"))).alias("conflicts"))

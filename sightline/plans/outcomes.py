@@ -8,7 +8,9 @@ attribution_contract`` per metric, and ``tracks`` holds ``track_id, checkpoint,
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sightline.operators.joins import compare_sides
-from sightline.operators.quality import first_code
+from sightline.operators.periods import CHECKPOINTS, checkpoint_windows
+from sightline.operators.quality import first_code, optional
+from sightline.schemas import REPORTING_ZONE
 
 # States of an observation that carry no value, and behaviour metrics that are no outcome.
 UNUSABLE = ["MISSING", "FAILED", "NOT_AVAILABLE", "STALE", "NOT_COMPARABLE"]
@@ -64,8 +66,29 @@ def comparisons(plans: DataFrame, observations: DataFrame) -> DataFrame:
         "breached": F.when((c("role") == "guardrail") & c("obstacle").isNull(), guardrail_breached(c("delta"), c("guard_direction"), c("max_delta")))})
 
 
+def input_errors(tracks: DataFrame, windows: DataFrame, pins: DataFrame, evidence: DataFrame) -> DataFrame:
+    """``tracks`` with ``input_error``: the first reason for which a track's inputs cannot be compared at all, or null.
+
+    ``tracks``: ``track_id, checkpoint, completed_day``; ``windows``: ``track_id, side, period_start, period_end, timezone``;
+    ``pins``: ``track_id, evidence_id, revision, content_hash`` of its observations; ``evidence``: the log they pin.  A pin
+    that the log resolves to another hash is drift; one that it does not know is left to the other gates.  Windows must be
+    the exact 28 whole days before completion and up to the checkpoint, in the reporting time zone.
+    """
+    c = F.col
+    held = evidence.select("evidence_id", "revision", c("content_hash").alias("_stored"))
+    drift = pins.join(held, ["evidence_id", "revision"]).where(c("_stored") != c("content_hash")).select("track_id").distinct().withColumn("_drift", F.lit(True))
+    known = F.upper("checkpoint").isin([n for n in CHECKPOINTS if n != "BASELINE"])
+    exact = checkpoint_windows(tracks.where(known).select("track_id", F.upper("checkpoint").alias("_asked"), "completed_day")).where(c("checkpoint").isin("BASELINE") | (c("checkpoint") == c("_asked")))
+    due = exact.select("track_id", F.when(c("checkpoint") == "BASELINE", "baseline").otherwise("follow_up").alias("side"), c("period_start").alias("_start"), c("period_end").alias("_end"))
+    met = windows.join(due, ["track_id", "side"])
+    off = met.where(~c("period_start").eqNullSafe(c("_start")) | ~c("period_end").eqNullSafe(c("_end")) | (c("timezone") != REPORTING_ZONE)).select("track_id").distinct().withColumn("_off", F.lit(True))
+    joined = tracks.join(drift, "track_id", "left").join(off, "track_id", "left")
+    return joined.withColumn("input_error", first_code(
+        (~F.coalesce(known, F.lit(False)), "INVALID_CHECKPOINT"), (c("_drift"), "BASELINE_EVIDENCE_HASH_MISMATCH"), (c("_off"), "INCOMPLETE_PERIOD"))).drop("_drift", "_off")
+
+
 def outcomes(tracks: DataFrame, compared: DataFrame) -> DataFrame:
-    """State of each track from its compared metrics."""
+    """State of each track from its compared metrics; one with an ``input_error`` is blocked and has no state."""
     c = F.col
     missing = c("obstacle").isin("MISSING", "INSUFFICIENT_DATA", "INSUFFICIENT_SAMPLE")
     primary, support = c("role") == "primary", c("role") == "support"
@@ -84,7 +107,8 @@ def outcomes(tracks: DataFrame, compared: DataFrame) -> DataFrame:
     state = (F.when((c("event_type") != "IMPLEMENTED") | open_question, "INSUFFICIENT_DATA").when(c("breached"), "LOST").when(c("steady"), "NO_CHANGE")
              .when(~c("primary_met") & (c("direction") != "STABLE"), "LOST").when(c("primary_met") & (c("supports_met") == c("supports")), "WON")
              .when(c("primary_met") | (c("supports_met") > 0), "PARTIAL_WIN").otherwise("NO_CHANGE"))
+    sound = (c("lineage_state") == "OK") & optional(tracks, "input_error", "string").isNull()
     status = (F.when(c("event_type") == "MONITORING_ONLY", "OBSERVATION_ONLY").when(c("event_type") != "IMPLEMENTED", "NOT_ELIGIBLE")
-              .when(c("lineage_state") != "OK", "BLOCKED").otherwise("EVALUATED"))
-    return joined.select(*tracks.columns, status.alias("tracking_status"), F.when(c("lineage_state") == "OK", state).alias("outcome_state"),
+              .when(~sound, "BLOCKED").otherwise("EVALUATED"))
+    return joined.select(*tracks.columns, status.alias("tracking_status"), F.when(sound, state).alias("outcome_state"),
                          "primary_delta", "primary_met", F.coalesce("breached", F.lit(False)).alias("guardrail_breached"))

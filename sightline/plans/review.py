@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from sightline.functions.hashing import is_hash, is_reference
-from sightline.operators.quality import codes, first_code
+from sightline.functions.hashing import REFERENCE_FORMAT, is_hash, is_reference
+from sightline.operators.quality import codes, first_code, optional
 from sightline.operators.revisions import idempotency
 
 # Review decisions and the status they give.
@@ -23,18 +23,29 @@ def review_errors(reviews: DataFrame) -> DataFrame:
         (c("conflict_adjudication_ref").isNotNull() & ~is_reference(c("conflict_adjudication_ref")), "INVALID_ADJUDICATION_REF")))
 
 
+# Length of a recommendation's text, and where it may come from.
+TEXT_LIMIT = 4000
+PROVENANCES = ["HUMAN_AUTHORED", "DRAFT_ONLY", "NOT_PROVIDED"]
+
+
 def bridge_gates(reviews: DataFrame, candidates: DataFrame) -> DataFrame:
     """First gate each review fails on its way to a recommendation; null means the bridge is ready.
 
-    Only the newest review of a candidate counts, and it must pin the candidate's exact revision and hash.
+    Only the newest review of a candidate counts, and it must pin the candidate's exact revision and hash.  Candidates may
+    carry ``capability_gaps``; reviews may carry ``bridge_id``, ``bridge_revision``, ``human_text`` and ``text_provenance``.
+    Without a bridge id or revision those of the candidate and review stand; a text without provenance counts as
+    human-authored, and no text as a draft.
     """
     c = F.col
     tips = reviews.groupBy("review_id").agg(F.max("revision").alias("_tip"))
     known = candidates.select(
         "candidate_id", c("revision").alias("candidate_revision"), c("content_hash").alias("_hash"), "score", "confidence", "validation_state",
-        F.size("missing_roles").alias("_missing"), F.size("policy_gaps").alias("_gaps"), F.size("conflicts").alias("_conflicts"), "freshness_state",
+        F.size("missing_roles").alias("_missing"), F.size("policy_gaps").alias("_gaps"), F.size(optional(candidates, "capability_gaps", "array<string>")).alias("_capabilities"), F.size("conflicts").alias("_conflicts"), "freshness_state",
         "serp_status", "evidence_signature")
     joined = reviews.join(tips, "review_id").join(known, ["candidate_id", "candidate_revision"], "left")
+    human = optional(reviews, "human_text", "string")
+    given = F.nullif(optional(reviews, "text_provenance", "string"), F.lit(""))
+    provenance = F.coalesce(given, F.when(F.coalesce(human, F.lit("")) != "", "HUMAN_AUTHORED").otherwise("DRAFT_ONLY"))
     gate = first_code(
         (c("decision") != "APPROVE", "HUMAN_APPROVAL_REQUIRED"),
         (c("_hash").isNull() | (c("_hash") != c("candidate_hash")), "CANDIDATE_REVISION_MISMATCH"),
@@ -43,10 +54,14 @@ def bridge_gates(reviews: DataFrame, candidates: DataFrame) -> DataFrame:
         (~F.upper("destination_id").rlike("^(UAT_|PREVIEW_)"), "DESTINATION_NOT_ALLOWLISTED"),
         (c("score").isNull(), "MISSING_SCORE"), (~F.coalesce(c("confidence").isin("MEDIUM", "HIGH"), F.lit(False)), "INSUFFICIENT_CONFIDENCE"),
         (F.coalesce("validation_state", F.lit("")) != "PASS", "VALIDATION_GATE_BLOCKED"), (c("_missing") > 0, "MISSING_REQUIRED_EVIDENCE"),
-        (c("_gaps") > 0, "POLICY_GAP_BLOCKED"), (c("freshness_state").isin("STALE", "FAILED", "NOT_AVAILABLE"), "STALE_EVIDENCE_BLOCKED"),
+        (c("_gaps") > 0, "POLICY_GAP_BLOCKED"), (c("_capabilities") > 0, "CAPABILITY_GAP_BLOCKED"), (c("freshness_state").isin("STALE", "FAILED", "NOT_AVAILABLE"), "STALE_EVIDENCE_BLOCKED"),
         (c("serp_status") == "SERP_NOT_CHECKED", "SERP_VALIDATION_REQUIRED"),
         ((c("_conflicts") > 0) & c("conflict_adjudication_ref").isNull(), "CONFLICT_ADJUDICATION_REQUIRED"),
-        (c("reviewed_signature") != c("evidence_signature"), "EVIDENCE_PIN_MISMATCH"))
+        (c("reviewed_signature") != c("evidence_signature"), "EVIDENCE_PIN_MISMATCH"),
+        (optional(reviews, "bridge_revision", "int") < 1, "INVALID_BRIDGE_REVISION"),
+        (~optional(reviews, "bridge_id", "string").rlike(REFERENCE_FORMAT), "INVALID_BRIDGE_ID"),
+        (F.length(human) > TEXT_LIMIT, "INVALID_RECOMMENDATION_TEXT"), (~provenance.isin(PROVENANCES), "INVALID_TEXT_PROVENANCE"),
+        ((provenance == "HUMAN_AUTHORED") & (F.coalesce(human, F.lit("")) == ""), "MISSING_HUMAN_TEXT"))
     return joined.withColumn("gate", gate).withColumn("bridge_status", F.when(c("gate").isNull(), "BRIDGE_READY").otherwise("BLOCKED")).select(
         *reviews.columns, "gate", "bridge_status")
 

@@ -194,3 +194,30 @@ def test_dictionaries_with_very_many_patterns(spark):
     for x in texts:
         fits = sorted((t, c) for t, rule, c, status in terms if status == "Approved" and re.search(t, x.lower()))
         assert got[x] == (fits[0][1] if fits else "Non-brand"), x
+
+
+def test_observations_of_another_source_are_no_sample(spark):
+    """A row that is no observation of the monitored sample is a conflict and counts for nothing."""
+    from sightline.plans import diagnostics
+    from sightline.schemas import SOURCE_CLASS
+    day = __import__("datetime").date(2024, 1, 31)
+    schema = ("candidate_id int, mapping_state string, scope_state string, sample_version string, mention_state string, citation_state string, owned_url_id string, competitor_id string, "
+              "unknown_domain boolean, freshness_state string, collection_status string, as_of date, source string, source_class string, metric string")
+    good = ("MAPPED", "OK", "v1", "OBSERVED", "OBSERVED", "U", "C", False, "READY", "SUCCESS", day)
+    kind = ("WORKDUO", SOURCE_CLASS["WORKDUO"], "geo_observation")
+    rows = [(1, *good, *kind), (2, *good, "GSC", *kind[1:]), (3, *good, *kind), (3, *good, *kind[:2], "clicks"), (4, *good, kind[0], None, kind[2])]
+    targets = spark.createDataFrame([(k, day, "SERP_VALIDATED") for k in (1, 2, 3, 4)], "candidate_id int, decision_day date, serp_status string")
+    got = {r.candidate_id: (r.status, r.conflicts) for r in diagnostics.visibility(targets, spark.createDataFrame(rows, schema)).collect()}
+    wrong = ["GEO_SOURCE_CLASS_MISMATCH"]
+    assert got == {1: ("GEO_STRONG", []), 2: ("GEO_NOT_CHECKED", wrong), 3: ("GEO_STRONG", wrong), 4: ("GEO_NOT_CHECKED", wrong)}
+
+
+def test_planning_time_of_decisions(spark):
+    """Conditions inferred from joins must not carry whole records: plans of a handful of rows are made in seconds."""
+    import time
+
+    import __spark_entry__ as entry
+    df = entry.queries()["K6_decisions"](spark, "/root/testdata/sf0.001")
+    start = time.perf_counter()
+    df._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - start < 6
