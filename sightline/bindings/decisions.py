@@ -343,6 +343,17 @@ def tracked(t):
     return out.select("track_id", "tracking_status", "outcome_state")
 
 
+@query("K14_outcome_shares", f"""
+WITH {OUTCOME_SQL}, z AS (SELECT CASE WHEN p % 9 = 1 THEN NULL WHEN p % 9 = 0 OR lost OR d1 IS NULL OR d2 IS NULL THEN 'INSUFFICIENT_DATA' WHEN d3 IS NULL OR d3 > 0.5 THEN 'LOST' WHEN abs(d1) <= 0.05 AND abs(d2) <= 0.05 THEN 'NO_CHANGE'
+    WHEN d1 < 0.1 THEN 'LOST' WHEN d2 >= 0.1 THEN 'WON' ELSE 'PARTIAL_WIN' END AS outcome_state FROM d)
+SELECT '30D' AS checkpoint, outcome_state, COUNT(*) AS outcomes, round(COUNT(*) / (SUM(COUNT(*)) OVER ()), 9) AS share FROM z GROUP BY 2""")
+def outcome_shares(t):
+    key = C("p_partkey")
+    tracks = t.part.select(key.alias("track_id"), F.lit("30D").alias("checkpoint"), F.when(key % 9 == 0, "MONITORING_ONLY").otherwise("IMPLEMENTED").alias("event_type"), F.when(key % 9 == 1, "REVIEW_DRIFT").otherwise("OK").alias("lineage_state"))
+    judged = outcomes.outcomes(tracks, outcomes.comparisons(planned_metrics(t), observed_sides(t)))
+    return reports.outcome_shares(judged).withColumn("share", F.round("share", 9))
+
+
 @query("K14_input_errors", """
 WITH t AS (SELECT o_orderkey AS track_id, o_orderkey % 8 AS k, o_orderkey % 5 AS m FROM orders),
 e AS (SELECT *, CASE WHEN k = 0 THEN 'INVALID_CHECKPOINT' WHEN m = 1 THEN 'BASELINE_EVIDENCE_HASH_MISMATCH' WHEN k IN (1, 2, 3) THEN 'INCOMPLETE_PERIOD' END AS input_error FROM t)

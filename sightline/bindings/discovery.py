@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sightline.bindings.core import query
 from sightline.bindings.crawl import LINKS
-from sightline.operators import audit, graph
+from sightline.operators import audit, graph, joins
 from sightline.plans import discovery
 
 C = F.col
@@ -155,6 +155,15 @@ def below_cohort(t):
     return out.select("site", "page", F.round("ctr", 9).alias("ctr"), F.round("expected", 9).alias("expected"), "state")
 
 
+@query("K2_window_pairs", """
+WITH m AS (SELECT page, SUBSTR(CAST(day AS VARCHAR), 1, 7) AS month, SUM(clicks) AS clicks FROM search_daily GROUP BY 1, 2),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY page ORDER BY month DESC) AS rn FROM m)
+SELECT page, CAST(MAX(clicks) FILTER (rn = 1) AS BIGINT) AS current, CAST(MAX(clicks) FILTER (rn = 2) AS BIGINT) AS previous FROM r GROUP BY 1""")
+def window_pairs(t):
+    months = t.search_daily.groupBy("page", F.substring(C("day").cast("string"), 1, 7).alias("month")).agg(F.sum("clicks").alias("clicks"))
+    return joins.latest_window_pairs(months, "page", "month", "clicks")
+
+
 # --- Content gap ------------------------------------------------------------------------------------------
 
 def content_gap_inputs(t):

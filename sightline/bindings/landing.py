@@ -307,6 +307,14 @@ def tsv_lines(t):
     return sinks.tsv_lines(t.part.select("p_partkey", "p_name", "p_brand"))
 
 
+@query("A23_tsv_files", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand FROM part")
+def tsv_files(t):
+    """Written as tab-separated files and read back as text."""
+    path = sinks.shared_folder(t.spark, "tsv")
+    sinks.write_tsv(t.part.select("p_partkey", "p_name", "p_brand"), path)
+    return t.spark.read.csv(path, sep="\t", header=True, schema="p_partkey string, p_name string, p_brand string")
+
+
 @query("A23_json_lines", """SELECT '{"p_brand":"' || p_brand || '","p_name":"' || p_name || '","p_size":' || p_size || '}' AS line FROM part""")
 def json_lines(t):
     return sinks.json_lines(t.part.select("p_name", "p_brand", "p_size"))

@@ -23,7 +23,8 @@ def recent_window(rows: DataFrame, as_of: str, source: str, day: str = "day") ->
 
 def common_end(day_columns: list[DataFrame]) -> Column:
     """Earliest of the latest days of several one-column frames, as a scalar subquery."""
-    return F.least(*[df.select(F.max(df.columns[0])).scalar() for df in day_columns])
+    ends = [df.select(F.max(df.columns[0])).scalar() for df in day_columns]
+    return F.least(*ends) if len(ends) > 1 else ends[0]
 
 
 # --- Reviewed rows ----------------------------------------------------------------------------------------

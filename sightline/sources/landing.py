@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from sightline import schemas
 from sightline.functions import dates
-from sightline.functions.numbers import change, finite, lenient_number
+from sightline.functions.numbers import finite, lenient_number
 from sightline.functions.labels import densities, vital_rating
 from sightline.functions.urls import search_property
 from sightline.operators.quality import first_code
@@ -193,10 +193,6 @@ def vitals_missing(results: DataFrame) -> DataFrame:
     return results.where("metrics IS NULL").select("origin", "form_factor", F.coalesce("error", F.lit("NOT_ENOUGH_SAMPLES")).alias("reason"))
 
 
-def with_change(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("change", change(F.col("p75"), F.col("previous_p75")))
-
-
 # --- Sheets -----------------------------------------------------------------------------------------------
 
 def sheet_table(values: DataFrame, header: list[str], columns: list[str], nullable: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sightline.operators.periods import common_end
 from sightline.operators.quality import is_fresh
 from sightline.operators.revisions import append_plan, latest
 from sightline.sources.sinks import replace_days, shared_folder
@@ -106,9 +107,8 @@ def first_operations(stream: DataFrame, instant: str, keys: list[str], delay: st
 
 def complete_until(sources: list[DataFrame], day: str) -> DataFrame:
     """Start and end of the seven days that end on the last day all sources have reached."""
-    ends = [df.agg(F.max(F.to_date(day)).alias("d")).scalar() for df in sources]
+    last = common_end([df.select(F.to_date(day).alias("day")) for df in sources])
     one = sources[0].sparkSession.range(1)
-    last = F.least(*ends) if len(ends) > 1 else ends[0]
     return one.select(last.alias("last_day")).select(F.date_sub("last_day", 6).alias("first_day"), "last_day")
 
 
