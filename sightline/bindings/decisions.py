@@ -193,6 +193,11 @@ def citations(t):
     return cites, context
 
 
+EXPLAINED_SQL = """
+g AS (SELECT l_orderkey AS k, bool_or(l_linenumber % 4 <> 0 AND ref) AS supported, bool_or(l_linenumber % 4 <> 0 AND ref AND l_linenumber IN (5, 7)) AS astray
+  FROM (SELECT *, l_linenumber <> 1 OR l_orderkey % 3 <> 0 AS ref FROM lineitem WHERE l_linenumber NOT IN (2, 6)) GROUP BY 1)"""
+
+
 @query("K10_validate", f"""
 WITH {VALID_SQL}, o AS (SELECT o_orderkey AS k, o_orderkey % 4 = 0 AS settled, o_orderkey % 5 = 0 AS wrong, coalesce(cites, 0) AS cites, coalesce(resolved, 0) AS resolved, coalesce(families, 0) AS families,
   coalesce(stale, FALSE) AS stale, coalesce(conflict, FALSE) AS conflict, coalesce(demand, FALSE) AS demand, coalesce(traction, FALSE) AS traction FROM orders LEFT JOIN x ON x.k = o_orderkey)
@@ -202,6 +207,24 @@ SELECT k AS candidate, array_to_string(list_filter([CASE WHEN cites > resolved T
   CASE WHEN settled THEN 'INVALID_VALIDATION_STATE' END, CASE WHEN settled THEN 'CONFIDENCE_EVIDENCE_MISMATCH:settled' END, CASE WHEN conflict THEN 'EVIDENCE_CONFLICT:state' END], lambda e: e IS NOT NULL), ',') AS errors,
   stale AND NOT settled AS warned FROM o""")
 def validated(t):
+    return validated_with(t).select("candidate", F.array_join("errors", ",").alias("errors"), (F.size("warnings") > 0).alias("warned"))
+
+
+@query("K10_score_evidence", f"""
+WITH {EXPLAINED_SQL} SELECT o_orderkey AS candidate, array_to_string(list_filter([CASE WHEN NOT coalesce(supported, FALSE) THEN 'MISSING_SCORE_EVIDENCE:demand' END, CASE WHEN astray THEN 'EVIDENCE_REF_MISSING:demand' END], lambda e: e IS NOT NULL), ',') AS errors
+FROM orders LEFT JOIN g ON g.k = o_orderkey""")
+def score_evidence(t):
+    """Each order's first lines explain its demand band; every fourth line says nothing, the seventh is no evidence."""
+    line = C("l_linenumber")
+    said = t.lineitem.where("l_linenumber <> 2").select(
+        C("l_orderkey").cast("string").alias("candidate_id"), F.lit(1).alias("revision"), F.when(line == 6, "traction").otherwise("demand").alias("dimension"),
+        F.when(line % 4 == 0, " ").otherwise("because").alias("rationale"),
+        F.when(line == 5, F.concat_ws("-", F.lit("other"), "l_orderkey")).when((line != 1) | (C("l_orderkey") % 3 != 0), F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("evidence_id"))
+    out = validated_with(t, said).withColumn("errors", F.filter("errors", lambda e: e.rlike("^(MISSING_SCORE_EVIDENCE|EVIDENCE_REF_MISSING):")))
+    return out.select("candidate", F.array_join("errors", ",").alias("errors"))
+
+
+def validated_with(t, explanations=None):
     cites, context = citations(t)
     key, absent = C("o_orderkey"), F.lit(None).cast("int")
     proposals = t.orders.select(
@@ -212,8 +235,7 @@ def validated(t):
         F.when(key % 5 == 0, 11).otherwise(10).alias("score_lower_bound"), F.lit(90).alias("score_upper_bound"), absent.alias("opportunity_score"), F.lit("LOW").alias("confidence"), F.lit("INSUFFICIENT_EVIDENCE").alias("validation_state"),
         F.lit("2002-01-28").alias("review_at"), none().alias("measurement_plan_ref"), F.lit(True).alias("mapping_confirmed"), F.lit(True).alias("alternatives_addressed"), F.lit(False).alias("business_overlay_approved"),
         F.lit(False).alias("review_authenticated"), none().alias("review_decision"), absent.alias("reviewed_revision"), none().alias("reviewed_hash"), F.lit(False).alias("scope_approved"))
-    out = validate.validate(proposals, cites, context, "2001-12-31")
-    return out.select("candidate", F.array_join("errors", ",").alias("errors"), (F.size("warnings") > 0).alias("warned"))
+    return validate.validate(proposals, cites, context, "2001-12-31", explanations)
 
 
 # --- Diagnostics ------------------------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F, types as T
 from sightline import schemas
 from sightline.bindings.core import query
 from sightline.bindings.scalars import URL_SQL
+from sightline.functions.text import norm_text
 from sightline.operators import joins, registry
 from sightline.operators.charts import rounded
 from sightline.sources import landing, normalise, sinks
@@ -391,13 +392,36 @@ def landed_pages(t):
 SELECT l_orderkey AS snapshot_id, l_linenumber AS rank, CASE WHEN l_suppkey % 2 = 0 THEN 'https://www.d' ELSE 'http://d' END || l_suppkey || '.example/p' AS normalized_url, CASE WHEN l_linenumber % 2 = 0 THEN 'article' ELSE 'unknown' END AS result_type,
   CASE WHEN l_suppkey % 4 = 1 THEN 'OWNED' WHEN l_suppkey % 4 = 3 THEN 'COMPETITOR' ELSE 'UNMAPPED_DOMAIN' END AS match_state FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")
 def result_rows(t):
+    return landed_results(t).select("snapshot_id", "rank", "normalized_url", "result_type", "match_state")
+
+
+@query("K20_url_match", """
+SELECT l_orderkey AS snapshot_id, l_linenumber AS rank, CASE WHEN l_suppkey % 2 = 1 THEN 'CANONICAL' ELSE 'UNMAPPED_URL' END AS url_match_state, CASE WHEN l_suppkey % 2 = 1 THEN l_suppkey END AS url_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")
+def url_match(t):
+    return landed_results(t).select("snapshot_id", "rank", "url_match_state", "url_id")
+
+
+@query("K20_feature_states", """
+WITH f AS (SELECT o_orderkey, o_orderkey % 5 = 0 AS twice, CASE o_orderstatus WHEN 'F' THEN 'OBSERVED' WHEN 'O' THEN 'NOT_OBSERVED' END AS state, CASE WHEN o_orderkey % 11 = 0 THEN 'INVALID_FIELD' WHEN o_orderstatus = 'P' THEN 'INVALID_FEATURE_STATE' END AS problem FROM orders)
+SELECT o_orderkey AS snapshot_id, problem, CASE WHEN problem IS NOT NULL THEN '' WHEN twice THEN 'ai_overview=NOT_AVAILABLE,people_also_ask=OBSERVED' ELSE 'ai_overview=NOT_AVAILABLE,block' || o_orderkey % 4 || '=OBSERVED,people_also_ask=' || state END AS features FROM f""")
+def feature_states(t):
+    key, status = C("o_orderkey"), C("o_orderstatus")
+    asked = F.when(status == "F", "observed").when(status == "O", "Not_observed").otherwise("odd")
+    other = F.when(key % 5 == 0, "PEOPLE_ALSO_ASK").when(key % 11 == 0, " ").otherwise(F.concat(F.lit("Block"), key % 4))
+    blank_name = F.when(key % 11 == 0, F.lit("")).otherwise("AI_Overview")
+    seen = F.create_map(F.lit(" People_Also_Ask "), asked, blank_name, F.lit("NOT_AVAILABLE"), other, F.lit("OBSERVED"))
+    rows = normalise.feature_states(t.orders.select(key.alias("snapshot_id"), seen.alias("serp_features")))
+    pairs = F.transform(F.map_entries("features"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return rows.select("snapshot_id", C("feature_problem").alias("problem"), F.array_join(pairs, ",").alias("features"))
+
+
+def landed_results(t):
     def name(c):
         return F.concat(F.lit("d"), c, F.lit(".example"))
     owned = t.supplier.where("s_suppkey % 4 = 1").select(name("s_suppkey").alias("domain"))
     rivals = t.supplier.where("s_suppkey % 4 = 3").select(name("s_suppkey").alias("domain"), F.concat(F.lit("C"), "s_suppkey").alias("competitor_id"))
     known = t.supplier.select(F.concat(F.lit("http://d"), "s_suppkey", F.lit(".example/p")).alias("normalized_url"), C("s_suppkey").alias("url_id"))
-    rows = normalise.result_rows(landed_pages(t).where("organic_results IS NOT NULL"), owned, rivals, known)
-    return rows.select("snapshot_id", "rank", "normalized_url", "result_type", "match_state")
+    return normalise.result_rows(landed_pages(t).where("organic_results IS NOT NULL"), owned, rivals, known)
 
 
 @query("K20_page_states", """
@@ -421,6 +445,44 @@ def sample_errors(t):
 SELECT event_id, CASE WHEN user_id % 10 = 0 THEN 'UNMAPPED' WHEN event_id % 20 = 0 THEN 'SAMPLE_SCOPE_MISMATCH' END AS problem, CASE WHEN event_type = 'view' THEN 'OBSERVED' ELSE 'UNKNOWN' END AS citation_state, CASE WHEN event_type <> 'error' THEN round(value, 6) END AS visibility_value,
   event_type = 'click' AND user_id % 2 = 1 AS unknown_domain FROM events""")
 def prompt_observations(t):
+    return rounded(observations_of(t).select("event_id", "problem", "citation_state", "visibility_value", "unknown_domain"), "visibility_value")
+
+
+@query("K21_capabilities", """
+SELECT event_id, CASE WHEN user_id % 10 = 0 THEN 'UNMAPPED' WHEN event_id % 20 = 0 THEN 'SAMPLE_SCOPE_MISMATCH' WHEN event_type = 'click' THEN 'INVALID_CAPABILITY_STATE' WHEN event_type = 'view' AND user_id % 3 = 1 THEN 'INVALID_URL_IDENTITY' END AS problem,
+  CASE event_type WHEN 'click' THEN 'SEEN' WHEN 'purchase' THEN 'NOT_OBSERVED' ELSE 'UNKNOWN' END AS mention_state, CASE WHEN event_type <> 'view' THEN 'NOT_AVAILABLE' WHEN user_id % 3 = 0 THEN 'CANONICAL' ELSE 'UNMAPPED_URL' END AS citation_url_match_state FROM events""")
+def capabilities(t):
+    kind, user = C("event_type"), C("user_id")
+    cited = F.when(user % 3 == 0, "https://own.example/").when(user % 3 == 1, "ftp://own.example/").otherwise("https://cite.example/")
+    out = observations_of(t, mention_state=F.when(kind == "click", "seen").when(kind == "purchase", "not_observed"), citation_url=F.when(kind == "view", cited))
+    return out.select("event_id", "problem", "mention_state", "citation_url_match_state")
+
+
+@query("K21_prompt_identity", """
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 9 = 0 THEN 'UNMAPPED_PROMPT' WHEN l_linenumber = 1 THEN 'PROMPT_IDENTITY_MISMATCH' WHEN l_linenumber = 3 THEN 'PROMPT_VERSION_MISMATCH' END AS prompt_problem FROM lineitem JOIN part ON p_partkey = l_partkey""")
+def prompt_identity(t):
+    line = C("l_linenumber")
+    asked = F.when(line == 1, F.concat("p_name", F.lit(" x"))).when(line != 2, F.concat(F.lit("  "), F.upper("p_name")))
+    rows = t.lineitem.join(t.part, C("p_partkey") == C("l_partkey")).select(
+        "l_orderkey", "l_linenumber", "l_partkey", C("l_partkey").alias("prompt_id"), asked.alias("prompt_text"), F.when(line == 3, "v2").when(line != 2, "v1").alias("prompt_version"))
+    return normalise.prompt_identity(rows, registered_prompts(t)).select("l_orderkey", "l_linenumber", "l_partkey", "prompt_problem")
+
+
+def registered_prompts(t):
+    return t.part.where("p_partkey % 9 <> 0").select(C("p_partkey").alias("prompt_id"), norm_text(C("p_name")).alias("normalized_text"), F.lit("v1").alias("prompt_version"))
+
+
+@query("K21_named_samples", """
+SELECT p_partkey // 4 AS sample_id, COUNT(*) AS population, CASE WHEN bool_or(p_partkey % 9 = 0) THEN 'UNMAPPED_PROMPT' WHEN bool_or(p_partkey % 7 = 0) THEN 'PROMPT_IDENTITY_MISMATCH' WHEN bool_or(p_partkey % 5 = 0) THEN 'PROMPT_VERSION_MISMATCH' END AS problem FROM part GROUP BY 1""")
+def named_samples(t):
+    key = C("p_partkey")
+    member = F.struct(key.alias("prompt_id"), F.when(key % 7 == 0, "another").when(key % 2 == 0, F.upper("p_name")).alias("prompt_text"), F.when(key % 5 == 0, "v2").alias("prompt_version"))
+    samples = t.part.groupBy(F.floor(key / 4).alias("sample_id")).agg(F.collect_list(member).alias("prompt_ids")).withColumns({
+        "sample_version": F.lit("v1"), "status": F.lit("ACTIVE"), "effective_from": F.lit("2001-01-01").cast("date"), "effective_to": F.lit(None).cast("date")})
+    return normalise.sample_errors(samples, registered_prompts(t)).select("sample_id", "population", "problem")
+
+
+def observations_of(t, **more):
     kind, user = C("event_type"), C("user_id")
     fields = {f: F.lit("x") for f in joins.SAMPLE_SCOPE}
     rows = t.events.select(
@@ -433,8 +495,9 @@ def prompt_observations(t):
     samples = t.events.select((user % 4).alias("sample_id")).distinct().select("sample_id", F.lit("v1").alias("sample_version"), F.lit(1).alias("revision"), *[v.alias(f) for f, v in fields.items()])
     known = users.agg(F.max(F.lit("https://own.example/")).alias("normalized_url")).withColumn("url_id", F.lit("URL_1"))
     rivals = users.agg(F.max(F.lit("d0.example")).alias("domain")).withColumn("competitor_id", F.lit("C0"))
-    out = normalise.prompt_observations(rows, prompts, samples, known, rivals).select("event_id", "problem", "citation_state", "visibility_value", "unknown_domain")
-    return rounded(out, "visibility_value")
+    shaped = rows.join(t.events.select("event_id", *[v.alias(f"new_{n}") for n, v in more.items()]), "event_id").withColumns(
+        {n: C(f"new_{n}") for n in more}) if more else rows
+    return normalise.prompt_observations(shaped, prompts, samples, known, rivals)
 
 
 @query("K22_behaviour_evidence", f"""

@@ -537,6 +537,23 @@ def relation_errors(t):
     return flags(registry.relation_errors(relations, entities)).select("o_orderkey", "errors")
 
 
+@query("B18_reference_errors", """
+WITH topics AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 <> 0), x AS (
+SELECT 'TOPIC' AS entity_type, 'T' || c_custkey AS entity_id, 'business_theme_refs' AS field, 'B' || c_nationkey AS ref FROM customer WHERE c_custkey % 3 <> 0 AND c_nationkey % 4 = 0
+UNION ALL SELECT 'KEYWORD', 'K' || o_orderkey, 'canonical_topic_refs', 'T' || k FROM (SELECT o_orderkey, o_custkey AS k FROM orders UNION ALL SELECT o_orderkey, o_custkey + 1 FROM orders) o WHERE k NOT IN (SELECT k FROM topics)
+UNION ALL SELECT 'COMPETITOR', 'C' || s_suppkey, 'parent_competitor_ref', 'C' || s_suppkey * 2 FROM supplier WHERE s_suppkey % 2 = 0 AND s_suppkey * 2 NOT IN (SELECT s_suppkey FROM supplier))
+SELECT *, 'DANGLING_REFERENCE' AS code FROM x""")
+def reference_errors(t):
+    def name(letter, key):
+        return F.concat(F.lit(letter), key)
+    topic = C("o_custkey")
+    return registry.reference_errors({
+        "TOPIC": t.customer.where("c_custkey % 3 <> 0").select(name("T", "c_custkey").alias("entity_id"), F.array(name("B", "c_nationkey"), F.lit(None)).alias("business_theme_refs")),
+        "BUSINESS_THEME": t.nation.where("n_nationkey % 4 <> 0").select(name("B", "n_nationkey").alias("entity_id")),
+        "KEYWORD": t.orders.select(name("K", "o_orderkey").alias("entity_id"), F.array(name("T", topic), name("T", topic), name("T", topic + 1)).alias("canonical_topic_refs")),
+        "COMPETITOR": t.supplier.select(name("C", "s_suppkey").alias("entity_id"), F.when(C("s_suppkey") % 2 == 0, name("C", C("s_suppkey") * 2)).alias("parent_competitor_ref"))})
+
+
 # --- Joins ------------------------------------------------------------------------------------------------
 
 @query("C1_resolve_exactly_one", f"""

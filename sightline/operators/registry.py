@@ -1,5 +1,7 @@
 """Entity registry: typed ids, normal forms, semantic hash and validation, one dimension table per entity type."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sightline.functions import hashing
@@ -16,6 +18,11 @@ RELATION_ENDPOINTS = {
     "TOPIC_HAS_BUSINESS_THEME": ("TOPIC", "BUSINESS_THEME"), "URL_CANONICALIZES_TO": ("URL", "URL"),
     "KEYWORD_ALIASES_KEYWORD": ("KEYWORD", "KEYWORD"),
 }
+REFERENCE_FIELDS = {
+    "TOPIC": {"primary_keyword_ref": "KEYWORD", "business_theme_refs": "BUSINESS_THEME"}, "KEYWORD": {"canonical_topic_refs": "TOPIC"},
+    "QUERY": {"canonical_topic_refs": "TOPIC"}, "PROMPT": {"canonical_topic_refs": "TOPIC"}, "URL": {"canonical_topic_refs": "TOPIC"},
+    "COMPETITOR": {"canonical_topic_refs": "TOPIC", "parent_competitor_ref": "COMPETITOR"},
+}
 PROVENANCE_METHODS = ["MANUAL", "CURATED", "RULE_BASED", "IMPORTED"]
 REVIEW_STATES = ["CANDIDATE", "APPROVED", "REJECTED"]
 BUSINESS_THEMES = ["ONLINE_STORE", "POS", "OMO", "CRM", "PAYMENTS", "LOGISTICS", "SOCIAL_COMMERCE", "GROUP_BUYING",
@@ -130,3 +137,27 @@ def relation_errors(relations: DataFrame, entities: DataFrame) -> DataFrame:
          | ((c("review_state") == "APPROVED") & (c("mapping_method") == "RULE_BASED")), "UNAPPROVED_RELATION"),
         (F.size(F.array_distinct("evidence_refs")) != F.size("evidence_refs"), "DUPLICATE_EVIDENCE_REF"),
         (c("valid_from") > c("valid_to"), "REVERSED_VALIDITY"))).drop("_source", "_target", "_copies")
+
+
+def reference_errors(tables: dict[str, DataFrame]) -> DataFrame:
+    """References between entities that lead nowhere, as ``entity_type, entity_id, field, ref, code``.
+
+    ``tables``: entity type to its entities, each with ``entity_id`` and the reference columns it has (one id or a list).
+    Each distinct target is looked up once, however many entities name it; only missing ones meet the entities again.
+    Null references and null entries of a list are no references; an entity that names one target twice is reported once.
+    """
+    c = F.col
+    ids = reduce(DataFrame.unionByName, [df.select(F.lit(kind).alias("target_type"), c("entity_id").cast("string").alias("ref")) for kind, df in tables.items()])
+    parts = []
+    for kind, fields in REFERENCE_FIELDS.items():
+        for field, target in fields.items():
+            if kind in tables and field in tables[kind].columns:
+                held = c(field) if dict(tables[kind].dtypes)[field].startswith("array") else F.array(field)
+                parts.append(tables[kind].select(F.lit(kind).alias("entity_type"), c("entity_id").cast("string").alias("entity_id"), F.lit(field).alias("field"),
+                                                 F.lit(target).alias("target_type"), F.explode(F.array_distinct(held.cast("array<string>"))).alias("ref")))
+    if not parts:
+        raise ValueError(f"no reference columns in {sorted(tables)}")
+    named = reduce(DataFrame.unionByName, parts).where("ref IS NOT NULL")
+    missing = named.select("target_type", "ref").distinct().join(ids.distinct(), ["target_type", "ref"], "left_anti")
+    return named.join(missing, ["target_type", "ref"], "left_semi").select(
+        "entity_type", "entity_id", "field", "ref", F.lit("DANGLING_REFERENCE").alias("code"))

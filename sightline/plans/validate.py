@@ -2,14 +2,15 @@
 
 ``candidates`` carries the proposal columns; ``citations`` one row per (candidate_id, revision, evidence_id);
 ``evidence`` the immutable context: ``evidence_id, source, source_class, roles, freshness_state,
-collection_status, as_of, conflict``.
+collection_status, as_of, conflict``; ``explanations``, where given, what each score band rests on: ``candidate_id,
+revision, dimension, rationale, evidence_id``, one row per reference (a null ``evidence_id`` where a band has none).
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sightline.functions.hashing import is_reference
 from sightline.functions.labels import lookup
-from sightline.operators.quality import codes
+from sightline.operators.quality import blank, codes
 from sightline.schemas import DIMENSIONS, MAX_AGE_DAYS, SCORE_WEIGHTS, SOURCE_CLASS
 
 # Dimension -> the evidence role behind it, and the profile of an action.
@@ -48,6 +49,35 @@ def cited(citations: DataFrame, evidence: DataFrame, decision_day: str) -> DataF
         F.coalesce(F.bool_or(~is_reference(c("evidence_id"))), F.lit(False)).alias("_unsafe"))
 
 
+def explained(explanations: DataFrame, citations: DataFrame, evidence: DataFrame) -> DataFrame:
+    """Dimensions of each candidate with a rationale and a reference, and with one that resolves to nothing it cites.
+
+    References meet the citations on the evidence id as well, so a candidate with very many of both is dealt out.
+    """
+    c = F.col
+    held = citations.select("candidate_id", "revision", "evidence_id").distinct().join(
+        evidence.select("evidence_id").distinct(), "evidence_id", "left_semi").withColumn("_held", F.lit(True))
+    rows = explanations.join(held, ["candidate_id", "revision", "evidence_id"], "left")
+    said = ~blank("rationale")
+
+    def dimensions(condition):
+        return F.array_compact(F.array(*[F.when(F.coalesce(F.bool_or((c("dimension") == d) & condition), F.lit(False)), d) for d in DIMENSIONS])).cast(EMPTY)
+
+    return rows.groupBy("candidate_id", "revision").agg(
+        dimensions(said & c("evidence_id").isNotNull()).alias("_supported"),
+        dimensions(said & c("evidence_id").isNotNull() & c("_held").isNull()).alias("_astray"))
+
+
+def explanation_rules() -> list[tuple[Column, str]]:
+    """An active band needs a rationale and references, each of which must be one of the candidate's own."""
+    rules = []
+    for d in DIMENSIONS:
+        scored = (lookup(F.col("score_profile"), {p: w[d] for p, w in SCORE_WEIGHTS.items()}) > 0) & F.col(f"{d}_score").isNotNull()
+        rules += [(scored & ~F.array_contains("_supported", d), f"MISSING_SCORE_EVIDENCE:{d}"),
+                  (scored & F.array_contains("_astray", d), f"EVIDENCE_REF_MISSING:{d}")]
+    return rules
+
+
 def score_rules() -> list[tuple[Column, str]]:
     """Score rules: known profile, bands in range, inactive bands empty, bounds and score as the weights give them."""
     c = F.col
@@ -70,14 +100,20 @@ def score_rules() -> list[tuple[Column, str]]:
                     (~c("opportunity_score").eqNullSafe(wanted), "SCORE_MISMATCH:score")]
 
 
-def validate(candidates: DataFrame, citations: DataFrame, evidence: DataFrame, decision_day: str) -> DataFrame:
-    """Add ``errors``: every rule a candidate breaks, and ``warnings`` for stale evidence before validation."""
+def validate(candidates: DataFrame, citations: DataFrame, evidence: DataFrame, decision_day: str, explanations: DataFrame | None = None) -> DataFrame:
+    """Add ``errors``: every rule a candidate breaks, and ``warnings`` for stale evidence before validation.
+
+    The rules on what score bands rest on apply where ``explanations`` are given.
+    """
     c = F.col
     resolved = cited(citations, evidence, decision_day)
     joined = candidates.join(resolved, ["candidate_id", "revision"], "left").withColumns({
         **{n: F.coalesce(n, F.lit(0)) for n in ("_unresolved", "_resolved", "_families", "_misclassed")},
         **{n: F.coalesce(n, F.lit(False)) for n in ("_duplicate", "_conflict", "_stale", "_unsafe")},
         "_covered": F.coalesce("_covered", F.array().cast(EMPTY))})
+    if explanations is not None:
+        joined = joined.join(explained(explanations, citations, evidence), ["candidate_id", "revision"], "left").withColumns(
+            {n: F.coalesce(n, F.array().cast(EMPTY)) for n in ("_supported", "_astray")})
     settled = c("status").isin("VALIDATED", "APPROVED")
     action, profile = c("recommended_action"), F.coalesce(lookup(c("recommended_action"), ACTION_PROFILE), F.lit("existing"))
     idle = action.isin("MONITOR", "DO_NOTHING")
@@ -100,7 +136,7 @@ def validate(candidates: DataFrame, citations: DataFrame, evidence: DataFrame, d
         (c("evidence_count") != c("_resolved"), "EVIDENCE_COUNT_MISMATCH"),
         (c("independent_family_count") != c("_families"), "EVIDENCE_FAMILY_COUNT_MISMATCH"),
         (uncovered, "MISSING_REQUIRED_EVIDENCE:role"), (F.arrays_overlap("missing_roles", "_covered"), "EVIDENCE_STATE_CONFLICT"),
-        (c("_misclassed") > 0, "SOURCE_CLASS_CONFLICT"), *score_rules(),
+        (c("_misclassed") > 0, "SOURCE_CLASS_CONFLICT"), *score_rules(), *(explanation_rules() if explanations is not None else []),
         (~idle & (c("score_profile") != profile), "INVALID_ACTION_FOR_OPPORTUNITY:profile"),
         ((action == "CREATE_NEW") & (urls > 0), "CREATE_NEW_EXISTING_URL_CONFLICT"),
         (action.isin(NEEDS_URL) & settled & (urls == 0), "INVALID_ACTION_FOR_OPPORTUNITY:url"),

@@ -6,6 +6,8 @@ from pyspark.sql import types as T
 
 FRESHNESS_STATES = ["READY", "PARTIAL", "STALE", "FAILED", "NOT_AVAILABLE"]
 COLLECTION_STATES = ["SUCCESS", "PARTIAL", "FAILED", "NOT_AVAILABLE"]
+FEATURE_STATES = ["OBSERVED", "NOT_OBSERVED", "NOT_AVAILABLE"]
+CAPABILITY_STATES = ["OBSERVED", "NOT_OBSERVED", "NOT_AVAILABLE", "UNKNOWN"]
 SNAPSHOT_STATES = ["Ready", "Partial", "Stale", "Failed"]
 
 # Days a source stays current.

@@ -1,13 +1,13 @@
 """Provider rows as evidence: business actuals, keyword database, result pages, AI prompts, behaviour."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sightline import schemas
 from sightline.functions import dates, hashing, labels, numbers
-from sightline.functions.text import norm_domain
+from sightline.functions.text import norm_domain, norm_text
 from sightline.functions.urls import host_of, landing_url, norm_url
 from sightline.operators import joins
-from sightline.operators.quality import blank, codes, first_by_key, first_code
+from sightline.operators.quality import blank, codes, first_by_key, first_code, optional
 
 
 # --- Business actuals -------------------------------------------------------------------------------------
@@ -119,7 +119,32 @@ def result_rows(snapshots: DataFrame, owned: DataFrame, competitors: DataFrame,
     named = kept.withColumns({"normalized_url": norm_url(F.col("url")), "domain": F.rtrim(host_of(F.col("url")), F.lit(".")),
                               "result_type": F.when(known, F.lower("result_type")).otherwise("unknown")})
     matched = joins.resolve_exactly_one(named, "normalized_url", registry, "normalized_url", "url_id")
-    return joins.domain_owner(matched.drop("match_state"), "domain", owned, competitors)
+    return joins.domain_owner(matched.drop("match_state").withColumn("url_match_state", url_match("url_id")), "domain", owned, competitors)
+
+
+def url_match(url_id: str) -> Column:
+    """CANONICAL for a URL that is exactly one of the registry, else UNMAPPED_URL."""
+    return F.when(F.col(url_id).isNotNull(), "CANONICAL").otherwise("UNMAPPED_URL")
+
+
+def feature_states(snapshots: DataFrame, column: str = "serp_features") -> DataFrame:
+    """Features of result pages as ``features map<string, string>`` with ``feature_problem``, the first thing wrong with them.
+
+    ``column`` is a map of feature to state or a list of features that were seen.  Names are trimmed and in lower case,
+    states in upper case; the last of several entries with one name stands.  A row with a problem keeps no features,
+    one whose column is null has none.
+    """
+    kind = dict(snapshots.dtypes)[column]
+    given = F.map_entries(column) if kind.startswith("map") else F.transform(column, lambda n: F.struct(n.alias("key"), F.lit("OBSERVED").alias("value")))
+    clean = F.transform(given, lambda e: F.struct(F.lower(F.trim(e["key"])).alias("key"), F.upper(e["value"]).alias("value")))
+    rows = snapshots.withColumn("_features", F.coalesce(clean, F.array().cast("array<struct<key:string,value:string>>")))
+    problem = first_code(
+        (F.exists("_features", lambda e: F.coalesce(e["key"] == "", F.lit(True))), "INVALID_FIELD"),
+        (F.exists("_features", lambda e: ~F.coalesce(e["value"].isin(schemas.FEATURE_STATES), F.lit(False))), "INVALID_FEATURE_STATE"))
+    last = F.filter("_features", lambda e, i: ~F.exists(F.slice("_features", i + 2, F.size("_features")), lambda later: later["key"] == e["key"]))
+    ordered = F.map_from_entries(F.array_sort(last))
+    return rows.withColumn("feature_problem", problem).withColumn(
+        "features", F.when(F.col("feature_problem").isNull(), ordered).otherwise(F.create_map().cast("map<string,string>"))).drop("_features")
 
 
 def result_page_states(snapshots: DataFrame) -> DataFrame:
@@ -149,26 +174,51 @@ def norm_url_shape(url):
 
 # --- AI prompts -------------------------------------------------------------------------------------------
 
+def prompt_identity(rows: DataFrame, prompts: DataFrame) -> DataFrame:
+    """Add ``prompt_problem`` to rows with a ``prompt_id``: UNMAPPED_PROMPT, PROMPT_IDENTITY_MISMATCH or PROMPT_VERSION_MISMATCH.
+
+    A row may name the text and version it was asked with (``prompt_text``, ``prompt_version``); what it leaves out, and
+    what ``prompts`` (``prompt_id, normalized_text, prompt_version``) do not hold as a column, is not compared.
+    """
+    known = prompts.groupBy("prompt_id").agg(
+        F.max(optional(prompts, "normalized_text", "string")).alias("_text"), F.max(optional(prompts, "prompt_version", "string").cast("string")).alias("_version"))
+    joined = rows.join(known.withColumn("_known", F.lit(True)), "prompt_id", "left")
+    text, version = optional(rows, "prompt_text", "string"), optional(rows, "prompt_version", "string").cast("string")
+    problem = [(F.col("_known").isNull(), "UNMAPPED_PROMPT")]
+    if "normalized_text" in prompts.columns:
+        problem += [(text.isNotNull() & ~norm_text(text).eqNullSafe(F.col("_text")), "PROMPT_IDENTITY_MISMATCH")]
+    if "prompt_version" in prompts.columns:
+        problem += [(version.isNotNull() & ~version.eqNullSafe(F.col("_version")), "PROMPT_VERSION_MISMATCH")]
+    return joined.withColumn("prompt_problem", first_code(*problem)).drop("_known", "_text", "_version")
+
+
 def sample_errors(samples: DataFrame, prompts: DataFrame) -> DataFrame:
     """Population size of each fixed prompt sample with the first reason it cannot be used.
 
-    ``samples``: ``sample_id, sample_version, status, prompt_ids, effective_from, effective_to``.
+    ``samples``: ``sample_id, sample_version, status, prompt_ids, effective_from, effective_to``; in place of ids,
+    ``prompt_ids`` may hold structs ``prompt_id, prompt_text, prompt_version``, which are compared with the prompts.
     """
     listed = samples.select("sample_id", "sample_version", F.explode("prompt_ids").alias("prompt_id"))
-    known = prompts.select("prompt_id").distinct().withColumn("_known", F.lit(True))
-    counted = listed.join(known, "prompt_id", "left").groupBy("sample_id", "sample_version").agg(
-        F.count_if(F.col("_known").isNull()).alias("_unknown"), F.count_distinct("prompt_id").alias("population"))
+    if dict(listed.dtypes)["prompt_id"].startswith("struct"):
+        listed = listed.select("sample_id", "sample_version", "prompt_id.*")
+    found = F.col("prompt_problem")
+    counted = prompt_identity(listed, prompts).groupBy("sample_id", "sample_version").agg(
+        F.count_if(found == "UNMAPPED_PROMPT").alias("_unknown"), F.count_if(found == "PROMPT_IDENTITY_MISMATCH").alias("_renamed"),
+        F.count_if(found == "PROMPT_VERSION_MISMATCH").alias("_reissued"), F.count_distinct("prompt_id").alias("population"))
     joined = samples.join(counted, ["sample_id", "sample_version"], "left")
     return joined.withColumn("problem", first_code(
-        (~F.col("status").isin("ACTIVE", "RETIRED", "DRAFT"), "INVALID_SAMPLE_STATUS"), (F.size(F.coalesce("prompt_ids", F.array().cast("array<string>"))) == 0, "EMPTY_SAMPLE"),
-        (F.col("_unknown") > 0, "UNMAPPED_PROMPT"), (F.col("population") != F.size("prompt_ids"), "DUPLICATE_PROMPT"),
-        (F.col("effective_to") < F.col("effective_from"), "INVALID_DATE_ORDER"))).drop("_unknown")
+        (~F.col("status").isin("ACTIVE", "RETIRED", "DRAFT"), "INVALID_SAMPLE_STATUS"), (F.coalesce(F.size("prompt_ids") < 1, F.lit(True)), "EMPTY_SAMPLE"),
+        (F.col("_unknown") > 0, "UNMAPPED_PROMPT"), (F.col("_renamed") > 0, "PROMPT_IDENTITY_MISMATCH"), (F.col("_reissued") > 0, "PROMPT_VERSION_MISMATCH"), (F.col("population") != F.size("prompt_ids"), "DUPLICATE_PROMPT"),
+        (F.col("effective_to") < F.col("effective_from"), "INVALID_DATE_ORDER"))).drop("_unknown", "_renamed", "_reissued")
 
 
 def prompt_observations(rows: DataFrame, prompts: DataFrame, samples: DataFrame, registry: DataFrame, competitors: DataFrame) -> DataFrame:
-    """Observations with prompt topic, sample scope, owned page, competitor and citation; failed ones keep no value."""
+    """Observations with prompt topic, sample scope, owned page, competitor and citation; failed ones keep no value.
+
+    Where observations name the prompt's text or version, these must be the registered ones (see ``prompt_identity``).
+    """
     c = F.col
-    mapped = joins.sample_scope(joins.prompt_topics(rows, prompts), samples)
+    mapped = joins.sample_scope(joins.prompt_topics(prompt_identity(rows, prompts), prompts), samples)
     named = mapped.withColumns({"owned_normalized": norm_url(c("owned_url")), "citation_normalized": norm_url(c("citation_url")), "domain": norm_domain(c("competitor_domain"))})
     pages = registry.groupBy("normalized_url").agg(F.min("url_id").alias("_id"))
 
@@ -178,13 +228,17 @@ def prompt_observations(rows: DataFrame, prompts: DataFrame, samples: DataFrame,
     rivals = competitors.groupBy("domain").agg(F.min("competitor_id").alias("competitor_id"))
     joined = page(page(named, "owned_normalized", "owned_url_id"), "citation_normalized", "citation_url_id").join(rivals, "domain", "left")
     failed = c("freshness_state").isin("FAILED", "NOT_AVAILABLE") | c("collection_status").isin("FAILED", "NOT_AVAILABLE")
-    return joined.withColumns({
+    unsupported = hashing.any_of([~F.upper(n).isin(schemas.CAPABILITY_STATES) & c(n).isNotNull() for n in ("mention_state", "citation_state")])
+    return joined.withColumn("_unsupported", unsupported).withColumns({
+        "citation_url_match_state": F.when(c("citation_url").isNull(), "NOT_AVAILABLE").otherwise(url_match("citation_url_id")),
         "citation_state": F.when(c("citation_url").isNotNull(), "OBSERVED").otherwise(F.coalesce(F.upper("citation_state"), F.lit("UNKNOWN"))),
         "mention_state": F.coalesce(F.upper("mention_state"), F.lit("UNKNOWN")), "unknown_domain": c("domain").isNotNull() & c("competitor_id").isNull(),
         "visibility_value": F.when(~failed, c("visibility_value")),
-        "problem": first_code((c("mapping_state") != "MAPPED", "UNMAPPED"), (c("scope_state") != "OK", "SAMPLE_SCOPE_MISMATCH"),
+        "problem": first_code((c("mapping_state") != "MAPPED", "UNMAPPED"), (c("scope_state") != "OK", "SAMPLE_SCOPE_MISMATCH"), (c("prompt_problem").isNotNull(), c("prompt_problem")),
                               ((c("period_start") > c("period_end")) | (c("period_end") > c("as_of")), "INVALID_DATE_ORDER"),
-                              (c("owned_url").isNotNull() & c("owned_normalized").isNull(), "INVALID_URL_IDENTITY"))})
+                              (c("_unsupported"), "INVALID_CAPABILITY_STATE"),
+                              (hashing.any_of([c(u).isNotNull() & c(n).isNull() for u, n in (("citation_url", "citation_normalized"), ("owned_url", "owned_normalized"))]), "INVALID_URL_IDENTITY"))}).drop(
+        "_unsupported", "prompt_problem")
 
 
 # --- Behaviour --------------------------------------------------------------------------------------------

@@ -221,3 +221,19 @@ def test_planning_time_of_decisions(spark):
     start = time.perf_counter()
     df._jdf.queryExecution().executedPlan()
     assert time.perf_counter() - start < 6
+
+
+def test_score_bands_rest_on_evidence_of_the_candidate(spark):
+    from sightline.plans import validate
+    cites = spark.createDataFrame([("c", 1, e) for e in ("e1", "e1", "gone")] + [("d", 1, "e2")], "candidate_id string, revision int, evidence_id string")
+    evidence = spark.createDataFrame([("e1",), ("e2",)], "evidence_id string")
+    said = [("demand", "why", "e1"), ("traction", "why", "e2"), ("business", " ", "e1"), ("geo", "why", None), ("execution", "why", "gone"), ("execution", "why", "e1")]
+    rows = spark.createDataFrame([("c", 1, *r) for r in said], "candidate_id string, revision int, dimension string, rationale string, evidence_id string")
+    got = validate.explained(rows, cites, evidence).first()
+    assert (got["_supported"], got["_astray"]) == (["demand", "traction", "execution"], ["traction", "execution"])
+    bands = [f"{d}_score" for d in ("demand", "traction", "business", "attainability", "geo", "execution")]
+    scored = spark.createDataFrame([("c", "existing", 1, 1, 1, None, 2, 3), ("x", "none", 1, 1, 1, 1, 1, 1)], f"candidate_id string, score_profile string, {', '.join(f'{b} int' for b in bands)}")
+    joined = scored.withColumns({n: F.array(*[F.lit(d) for d in got[n]]) for n in ("_supported", "_astray")})
+    from sightline.operators.quality import codes
+    errors = {r.candidate_id: r.errors for r in joined.withColumn("errors", codes(*validate.explanation_rules())).collect()}
+    assert errors == {"c": ["EVIDENCE_REF_MISSING:traction", "MISSING_SCORE_EVIDENCE:business", "EVIDENCE_REF_MISSING:execution"], "x": []}

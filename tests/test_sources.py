@@ -188,3 +188,37 @@ def test_a_micro_batch_reads_only_the_parts_of_its_keys(spark):
     got = spark.read.parquet(log)
     assert got.count() == 403 and sorted(r.revision for r in got.where("id = 'k7'").collect()) == [1, 2, 3]
     assert got.where("id = 'new'").count() == 1
+
+
+# --- Gates of provider rows -------------------------------------------------------------------------------
+
+def test_feature_states(spark):
+    rows = spark.createDataFrame([(1, {"AI ": "observed", "b": "NOT_AVAILABLE"}), (2, {"a": "seen"}), (3, {" ": "OBSERVED"}), (4, None), (5, {}), (6, {"a": None})], "id int, serp_features map<string,string>").union(spark.sql("SELECT 7, map('A', 'OBSERVED', 'a', 'NOT_OBSERVED')"))
+    got = {r.id: (r.feature_problem, r.features) for r in normalise.feature_states(rows).collect()}
+    assert got == {1: (None, {"ai": "OBSERVED", "b": "NOT_AVAILABLE"}), 2: ("INVALID_FEATURE_STATE", {}), 3: ("INVALID_FIELD", {}), 4: (None, {}), 5: (None, {}),
+                   6: ("INVALID_FEATURE_STATE", {}), 7: (None, {"a": "NOT_OBSERVED"})}
+    listed = spark.createDataFrame([(1, ["Images", "images"]), (2, [None]), (3, None)], "id int, serp_features array<string>")
+    assert {r.id: (r.feature_problem, r.features) for r in normalise.feature_states(listed).collect()} == {1: (None, {"images": "OBSERVED"}), 2: ("INVALID_FIELD", {}), 3: (None, {})}
+
+
+def test_prompt_identity(spark):
+    prompts = spark.createDataFrame([("P", "best shop", "1"), ("P", "best shop", "1"), ("Q", None, None)], "prompt_id string, normalized_text string, prompt_version string")
+    rows = spark.createDataFrame([(1, "P", " Best  SHOP ", "1"), (2, "P", "best shops", "2"), (3, "P", None, "2"), (4, "P", None, None), (5, "X", "best shop", "1"), (6, None, None, None), (7, "Q", "a", None), (8, "P", "", None)],
+                                 "id int, prompt_id string, prompt_text string, prompt_version string")
+    want = {1: None, 2: "PROMPT_IDENTITY_MISMATCH", 3: "PROMPT_VERSION_MISMATCH", 4: None, 5: "UNMAPPED_PROMPT", 6: "UNMAPPED_PROMPT", 7: "PROMPT_IDENTITY_MISMATCH", 8: "PROMPT_IDENTITY_MISMATCH"}
+    assert {r.id: r.prompt_problem for r in normalise.prompt_identity(rows, prompts).collect()} == want
+    bare = normalise.prompt_identity(rows, prompts.select("prompt_id")).collect()
+    assert {r.id for r in bare if r.prompt_problem} == {5, 6}
+    assert normalise.prompt_identity(rows.where("false"), prompts).count() == 0
+
+
+def test_references_between_entities(spark):
+    from sightline.operators import registry
+    hot = spark.range(3000).selectExpr("concat('K', id) AS entity_id", "CASE WHEN id % 1000 = 7 THEN array('T1', 'T9', 'T9') WHEN id % 1000 = 8 THEN NULL ELSE array('T1') END AS canonical_topic_refs")
+    topics = spark.createDataFrame([("T1", "K5", [None, "B"]), ("T2", "K9999", []), ("T3", None, None)], "entity_id string, primary_keyword_ref string, business_theme_refs array<string>")
+    got = sorted(tuple(r) for r in registry.reference_errors({"KEYWORD": hot, "TOPIC": topics}).collect())
+    code = "DANGLING_REFERENCE"
+    assert got == [("KEYWORD", f"K{i}", "canonical_topic_refs", "T9", code) for i in (1007, 2007, 7)] + [
+        ("TOPIC", "T1", "business_theme_refs", "B", code), ("TOPIC", "T2", "primary_keyword_ref", "K9999", code)]
+    with pytest.raises(ValueError, match="no reference columns"):
+        registry.reference_errors({"URL": topics.select("entity_id")})
