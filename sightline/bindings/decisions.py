@@ -526,6 +526,50 @@ def monthly_model(t):
     return table_counts(reports.monthly_model(t.search_daily, t.behaviour_daily, t.visibility_daily, t.business_monthly, "view"))
 
 
+def report(t):
+    return reports.monthly_model(t.search_daily, t.behaviour_daily, t.visibility_daily, t.business_monthly, "view")
+
+
+@query("K28_search_pages", """
+SELECT * FROM (SELECT site, page, CAST(SUM(clicks) AS BIGINT) AS clicks, CAST(SUM(impressions) AS BIGINT) AS impressions, ROW_NUMBER() OVER (PARTITION BY site ORDER BY SUM(clicks) DESC, page) AS rank FROM search_daily GROUP BY site, page) WHERE rank <= 20""")
+def report_pages(t):
+    return report(t)["search_pages"].select("site", "page", "clicks", "impressions", "rank")
+
+
+@query("K28_search_delta", """
+WITH m AS (SELECT site, SUBSTR(CAST(day AS VARCHAR), 1, 7) AS month, CAST(SUM(clicks) AS BIGINT) AS clicks, SUM(clicks)::DOUBLE / SUM(impressions) AS ctr FROM search_daily GROUP BY 1, 2),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY site ORDER BY month DESC) AS rn FROM m)
+SELECT a.site, a.month AS month_current, b.month AS month_previous, a.clicks AS clicks_current, b.clicks AS clicks_previous, round(a.clicks::DOUBLE / b.clicks - 1, 6) AS clicks_change, round((a.ctr - b.ctr) * 100, 6) AS ctr_change_pp
+FROM r a JOIN r b ON b.site = a.site AND a.rn = 1 AND b.rn = 2""")
+def report_delta(t):
+    return rounded(report(t)["search_delta"].select("site", "month_current", "month_previous", "clicks_current", "clicks_previous", "clicks_change", "ctr_change_pp"), "clicks_change", "ctr_change_pp")
+
+
+@query("K28_channels", """
+WITH m AS (SELECT site, SUBSTR(CAST(day AS VARCHAR), 1, 7) AS month, channel, CAST(SUM(sessions) AS BIGINT) AS sessions FROM behaviour_daily GROUP BY 1, 2, 3)
+SELECT m.site, m.month, m.channel, m.sessions, CASE WHEN m.channel <> 'view' THEN round(m.sessions::DOUBLE / b.sessions, 6) END AS share_of_base FROM m LEFT JOIN m b ON b.site = m.site AND b.month = m.month AND b.channel = 'view'""")
+def report_channels(t):
+    return rounded(report(t)["channels_monthly"], "share_of_base")
+
+
+@query("K28_business", """
+SELECT b.month, CAST(b.leads AS BIGINT) AS actual, CAST(b.target_leads AS BIGINT) AS target, CASE WHEN b.target_leads <> 0 THEN round(b.leads::DOUBLE / b.target_leads, 6) END AS reach, CASE WHEN p.leads <> 0 THEN round(b.leads::DOUBLE / p.leads - 1, 6) END AS mom_change,
+  CAST(b.target_leads - b.leads AS BIGINT) AS gap FROM business_monthly b LEFT JOIN business_monthly p ON CAST(p.month || '-01' AS DATE) + INTERVAL 1 MONTH = CAST(b.month || '-01' AS DATE)""")
+def report_business(t):
+    return rounded(report(t)["business"], "reach", "mom_change")
+
+
+@query("K29_weekly_sessions", """
+WITH s AS (SELECT CAST(SUM(sessions) FILTER (day BETWEEN DATE '2024-01-14' AND DATE '2024-01-20') AS BIGINT) AS cur, CAST(SUM(sessions) FILTER (day BETWEEN DATE '2024-01-07' AND DATE '2024-01-13') AS BIGINT) AS prev FROM behaviour_daily),
+q AS (SELECT CAST(SUM(clicks) FILTER (d BETWEEN DATE '2024-01-14' AND DATE '2024-01-20') AS BIGINT) AS cur, CAST(SUM(clicks) FILTER (d BETWEEN DATE '2024-01-07' AND DATE '2024-01-13') AS BIGINT) AS prev FROM (SELECT clicks, day + 8604 AS d FROM search_daily))
+SELECT s.cur AS sessions_current, s.prev AS sessions_previous, round(s.cur::DOUBLE / s.prev - 1, 6) AS sessions_change, q.cur AS clicks_current, q.prev AS clicks_previous, round(q.cur::DOUBLE / q.prev - 1, 6) AS clicks_change FROM s, q""")
+def weekly_sessions(t):
+    """Search days are moved to the days on which there are sessions, so that both sides of the row are filled."""
+    search = t.search_daily.withColumn("day", F.date_add("day", 8604))
+    out = reports.weekly_changes(search, t.behaviour_daily, "2024-01-20")
+    return rounded(out.select(*[f"{c}_{n}" for c in ("sessions", "clicks") for n in ("current", "previous", "change")]), "sessions_change", "clicks_change")
+
+
 @query("K29_weekly_changes", """
 WITH s AS (SELECT CAST(SUM(clicks) FILTER (day BETWEEN DATE '2000-06-24' AND DATE '2000-06-30') AS BIGINT) AS cc, CAST(SUM(clicks) FILTER (day BETWEEN DATE '2000-06-17' AND DATE '2000-06-23') AS BIGINT) AS cp,
   CAST(SUM(impressions) FILTER (day BETWEEN DATE '2000-06-24' AND DATE '2000-06-30') AS BIGINT) AS ic, CAST(SUM(impressions) FILTER (day BETWEEN DATE '2000-06-17' AND DATE '2000-06-23') AS BIGINT) AS ip FROM search_daily)

@@ -58,6 +58,19 @@ def url_edges(t):
     return t.orders.select("o_orderkey", urls.norm_url(url).alias("url"))
 
 
+@query("H2_url_forms", f"""
+WITH {URL_SQL} SELECT page_id, CASE WHEN page_id % 7 IN (1, 2, 5) THEN NULL WHEN page_id % 7 = 6 THEN regexp_replace(normalized_url, '^([a-z]+://[^/?]*)', '\\1:8443') ELSE normalized_url END AS url FROM norm""")
+def url_forms(t):
+    """Every page's own URL with its host written another way: spare ports, user parts, dots."""
+    scheme, host = F.regexp_extract("url", "^([a-z]+)://", 1), F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1)
+    form, end = F.col("page_id") % 7, F.lit(".")
+    written = (F.when(form == 0, F.concat(host, F.when(scheme == "https", ":0443").otherwise(":080"))).when(form == 1, F.concat(F.lit("user@"), host))
+               .when(form == 2, F.concat(host, F.lit(":99999"))).when(form == 3, F.concat(F.lit("@"), F.upper(host))).when(form == 4, F.concat(host, end))
+               .when(form == 5, F.concat(F.lit("x.."), host)).otherwise(F.concat(host, F.lit(":8443"))))
+    rest = F.regexp_replace("url", "^[a-z]+://[^/?#]*", "")
+    return t.pages.select("page_id", urls.norm_url(F.concat(scheme, F.lit("://"), written, rest)).alias("url"))
+
+
 @query("H3_without_tracking", f"WITH {URL_SQL} SELECT page_id, kept, personal FROM n")
 def without_tracking(t):
     part = urls.url_part(F.col("url"), 4)
