@@ -262,6 +262,16 @@ def publish(t):
     return t.spark.read.parquet(f"{folder}/_schema")
 
 
+@query("A16_published_rows", """
+WITH d AS (SELECT day, page, SUM(clicks) AS c FROM search_daily GROUP BY 1, 2)
+SELECT strftime(day, '%Y-%m') AS month, COUNT(*) AS rows, CAST(SUM(c) AS BIGINT) AS clicks FROM d GROUP BY 1""")
+def published_rows(t):
+    """The rows of a published table as a reader of the folder finds them."""
+    folder = sinks.shared_folder(t.spark, "publish")
+    sinks.publish({"monthly": by_month(daily_search(t))}, folder)
+    return t.spark.read.parquet(f"{folder}/monthly")
+
+
 @query("A17_protected_table", "SELECT o_orderstatus AS text, o_orderpriority AS owner, COUNT(*) AS n FROM orders GROUP BY 1, 2")
 def protected_table(t):
     folder = sinks.shared_folder(t.spark, "protected")
