@@ -163,11 +163,12 @@ def join_spread(rows: DataFrame, groups: DataFrame, key: str, by: list[str]) ->
 
     ``by`` names the plain columns that tell a key's rows apart; the salt is made of them alone, since it is copied into
     every condition that the optimizer infers from the join.  A fold by ``key`` that follows has to exchange its partial
-    results, so a key that holds a third of all rows is never folded row by row in one task.
+    results, so a key that holds a third of all rows is never folded row by row in one task.  The copies are merged with the
+    rows, never broadcast: Spark's size estimate of a generator's output knows nothing of the ``SPREAD`` rows it makes of one.
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("int"))
     copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    return salted.join(copies, [key, "_salt"]).drop("_salt")
+    return salted.join(copies.hint("merge"), [key, "_salt"]).drop("_salt")
 
 
 def issue_demand(issues: DataFrame, demand: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

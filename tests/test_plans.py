@@ -170,6 +170,16 @@ def test_a_hot_key_is_folded_in_parts(spark):
     assert "partial_count" in plan and plan.index("HashAggregate") < plan.index("partial_count") < plan.index("SortMergeJoin")
 
 
+def test_copies_for_a_hot_key_are_never_broadcast(spark):
+    """Spark estimates a generator's output without the rows it adds, so small-looking groups must not be sent to the driver."""
+    from sightline.operators.joins import join_spread
+    rows, groups = spark.range(100).selectExpr("id % 9 AS bundle_id", "id AS v"), spark.range(9).selectExpr("id AS bundle_id", "id AS target")
+    joined = join_spread(rows, groups, "bundle_id", ["v"])
+    assert joined.count() == 100
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
 def test_samples_snapshots_and_populations(spark):
     """Sample revisions count for AI-answer sources only; snapshots of two days are no period."""
     from sightline.operators.joins import compare_sides
