@@ -14,9 +14,10 @@ it is missed by all with chance below 2e-13, which is the only way a link can be
 Within a block's group no pairs are listed.  Each set is compared with the nearest of its groups' leaders first; what
 that joins is one class.  Sets outside of a group's largest class are compared with the nearest of other leaders, drawn
 from those classes, ``STARS`` times.  Only then are members of different classes compared with one another.  A linked
-pair agrees in at least 0.35 of a band's blocks on average, hence in no more than ``SPARE`` of them with chance below
-1e-9.  So in each band a set leaves the ``SPARE`` commonest of its groups, where they have more than ``COMMON`` members:
-by one order of all groups, the rarest that a linked pair shares is left by neither.
+pair differs in a bounded number of shingles, so of the blocks in which a set has bits all but as many are the same in
+both; that number of groups, summed over a band's partitions, the pair shares for ``sure``.  A set leaves at most one
+group less than that, and at most ``SPARE``: the commonest of its groups that have more than ``COMMON`` members.  By one
+order of all groups, the rarest that a linked pair shares is then left by neither, whatever the hashes.
 """
 
 from collections.abc import Iterator
@@ -32,7 +33,7 @@ BLOCKS, COMMON, SPARE, STARS = 64, 48, 2, 1
 #: Least similarity, as a ratio of whole numbers.
 AT_LEAST = (75, 100)
 SKETCH_WORDS = 16
-_PROFILE = "row long, doc_id long, n_shingles long, node long, keys array<long>, lower int, " + ", ".join(f"s{k} long" for k in range(SKETCH_WORDS))
+_PROFILE = "row long, doc_id long, n_shingles long, node long, keys array<long>, lower int, sure array<int>, " + ", ".join(f"s{k} long" for k in range(SKETCH_WORDS))
 
 
 def blocks_of(band: int, at_least: tuple[int, int]) -> int:
@@ -51,8 +52,15 @@ def bands_of(size: int, at_least: tuple[int, int]) -> list[int]:
 
 def band_keys(found: np.ndarray, band: int, at_least: tuple[int, int]) -> np.ndarray:
     """The keys of a set in a band: one for each block in which the sketch has a bit."""
+    return keys_and_sure(found, band, at_least)[0]
+
+
+def keys_and_sure(found: np.ndarray, band: int, at_least: tuple[int, int]) -> tuple[np.ndarray, int]:
+    """``band_keys``, and how many of them every set of the band that is linked with this one has as well."""
     count = blocks_of(band, at_least)
-    keys = []
+    low, high = at_least
+    differ = min((len(found) + len(found) * high // low) * (high - low) // (high + low), count - 1)
+    keys, sure = [], 0
     for part in range(-(-BLOCKS // count)):
         seed = np.uint64(((band << 32 | part) * 0x9E3779B97F4A7C15) & (2 ** 64 - 1))
         place = shingles.mix(found ^ seed)
@@ -65,7 +73,8 @@ def band_keys(found: np.ndarray, band: int, at_least: tuple[int, int]) -> np.nda
         block, content = block[order], content[order]
         first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
         keys.append(shingles.mix(np.bitwise_xor.reduceat(content, first) + shingles.mix(seed + block[first])))
-    return np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
+        sure += max(0, len(first) - differ)
+    return (np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)), sure
 
 
 def sketch_of(found: np.ndarray) -> np.ndarray:
@@ -74,29 +83,30 @@ def sketch_of(found: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, at_least: tuple[int, int]) -> DataFrame:
-    """Per row: size of its set, ``node`` (a hash of the set), band keys, how many of them are of its own band, and a
-    short sketch."""
+    """Per row: size of its set, ``node`` (a hash of the set), band keys, how many of them are of its own band, how many
+    of each band are ``sure``, and a short sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, end in shingles.chunks(batch.column("text")):
                 part = batch.slice(start, end - start)
                 found, first = shingles.shingles(part.column("text"))
-                sizes, nodes, keys, lower, sketches = [], [], [], [], []
+                sizes, nodes, keys, lower, sure, sketches = [], [], [], [], [], []
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
                     own = np.unique(found[a:b])
                     sizes.append(len(own))
                     nodes.append(set_hash(own))
-                    banded = [band_keys(own, band, at_least) for band in bands_of(len(own), at_least)]
-                    keys.append(np.concatenate([np.zeros(0, np.uint64), *banded]))
-                    lower.append(len(banded[0]) if banded else 0)
+                    banded = [keys_and_sure(own, band, at_least) for band in bands_of(len(own), at_least)]
+                    keys.append(np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in banded)]))
+                    lower.append(len(banded[0][0]) if banded else 0)
+                    sure.append([n for _, n in banded])
                     sketches.append(sketch_of(own))
                 sketch = np.array(sketches, np.int64)
                 offsets = pa.array(np.cumsum([0, *map(len, keys)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64))), pa.array(lower, pa.int32()),
+                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64))), pa.array(lower, pa.int32()), pa.array(sure, pa.list_(pa.int32())),
                      *(pa.array(np.ascontiguousarray(sketch[:, k])) for k in range(SKETCH_WORDS))],
-                    ["row", "doc_id", "n_shingles", "node", "keys", "lower", *(f"s{k}" for k in range(SKETCH_WORDS))])
+                    ["row", "doc_id", "n_shingles", "node", "keys", "lower", "sure", *(f"s{k}" for k in range(SKETCH_WORDS))])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
@@ -195,7 +205,9 @@ def near_groups(docs: DataFrame, at_least: tuple[int, int] = AT_LEAST) -> DataFr
     first = own.groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("first"))
     nodes = settle(own.join(first.select(F.col("first.row").alias("row")), "row", "left_semi").drop("row"))
 
-    keys = nodes.select("node", "lower", F.posexplode("keys").alias("at", "key")).select("key", "node", (F.col("at") >= F.col("lower")).alias("upper"))
+    upper = F.col("at") >= F.col("lower")
+    spare = F.greatest(F.least(F.get("sure", upper.cast("int")) - 1, F.lit(SPARE)), F.lit(0))
+    keys = nodes.select("node", "lower", "sure", F.posexplode("keys").alias("at", "key")).select("key", "node", upper.alias("upper"), spare.cast("byte").alias("spare"))
     groups = settle(keys.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("leader")).where("members > 1"))
     met = settle(keys.join(groups, "key"))
 
@@ -204,13 +216,13 @@ def near_groups(docs: DataFrame, at_least: tuple[int, int] = AT_LEAST) -> DataFr
     texts = settle(texts.join(shared, "_id", "left_semi"))
     links = settle(verified(nearest(met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")), nodes, at_least), texts, at_least))
     commonest = Window.partitionBy("node", "upper").orderBy(F.desc("members"), F.desc("key"))
-    common = met.where(F.col("members") > COMMON).withColumn("nth", F.row_number().over(commonest)).where(F.col("nth") > SPARE)
+    common = met.where(F.col("members") > COMMON).withColumn("nth", F.row_number().over(commonest)).where(F.col("nth") > F.col("spare"))
     met = settle(met.where(F.col("members") <= COMMON).select("key", "node").unionByName(common.select("key", "node")))
 
     # sets that are still in different classes, wherever they share a group
     for step in range(STARS + 1):
         labels = components(links)
-        classes = settle(nodes.drop("keys", "lower").join(labels, "node", "left").withColumn("label", F.coalesce("label", "doc_id")))
+        classes = settle(nodes.drop("keys", "lower", "sure").join(labels, "node", "left").withColumn("label", F.coalesce("label", "doc_id")))
         left = met.join(classes.select("node", "label"), "node")
         sizes = left.groupBy("key", "label").agg(F.count("*").alias("n"), F.max_by("node", F.xxhash64("node", "key", F.lit(step))).alias("one"))
         mixed = settle(sizes.groupBy("key").agg(F.max(F.struct("n", "label", "one")).alias("top"), F.count("*").alias("labels"))

@@ -102,3 +102,32 @@ def test_repeated_rows_and_empty_table(spark):
     assert sorted((r.doc_id, r.n_shingles) for r in rows) == [(5, 1), (5, 2), (5, 2), (6, 2)] and {r.component_id for r in rows} == {5}
     assert parity_join.near_groups(documents(spark, [])).count() == 0
     assert words("A\x0bB") == ["a", "b"]
+
+
+def test_no_group_that_a_linked_pair_needs_is_left():
+    """Linked pairs share at least as many groups as either of them counts on, and none leaves as many as that."""
+    rng = np.random.default_rng(5)
+    counted = 0
+    for size in (1, 2, 3, 5, 8, 13, 21, 40, 60, 63, 64, 100, 127, 200, 400):
+        for _ in range(40):
+            base = np.unique(rng.integers(0, 2 ** 63, size).astype(np.uint64))
+            # the largest difference at which a set made of part of the other, or of part and as much new, is still linked
+            gone = rng.integers(0, len(base) // 4 + 1)
+            new = rng.integers(0, 2 ** 63, max(0, (len(base) - gone) * 100 // 75 - len(base))).astype(np.uint64)
+            other = np.unique(np.concatenate([base[gone:], new]))
+            if not set(parity_join.bands_of(len(base), (75, 100))) & set(parity_join.bands_of(len(other), (75, 100))):
+                continue
+            band = max(len(base).bit_length(), len(other).bit_length()) - 1
+            (a, x), (b, y) = (parity_join.keys_and_sure(s, band, (75, 100)) for s in (base, other))
+            assert len(np.intersect1d(a, b)) >= max(x, y)
+            counted += max(x, y) > parity_join.SPARE
+    assert counted > 100
+
+
+def test_long_sets_leave_no_group_without_a_sure_other(spark):
+    """Sets of more than 64 blocks can share few groups with a linked one: they count on none and so leave none."""
+    rng = np.random.default_rng(6)
+    sure = [parity_join.keys_and_sure(np.unique(rng.integers(0, 2 ** 63, 250).astype(np.uint64)), 7, (75, 100))[1] for _ in range(50)]
+    assert max(sure) == 0
+    rows = parity_join.profiles(documents(spark, [" ".join(f"w{k}" for k in range(254)), "one two"]), (75, 100)).collect()
+    assert sorted(tuple(r.sure) for r in rows)[0][0] == 0 and all(len(r.sure) in (1, 2) for r in rows)
