@@ -77,6 +77,14 @@ def test_looser_forms_are_added_and_prose_is_not(spark):
     assert not any(added[k] for k in range(150)) and sum(bool(added[k]) for k in range(150, 300)) <= 3
 
 
+def test_all_spans_are_learned_from(spark):
+    """Every base span, its looser forms and every proposal count, however many there are."""
+    base = personal_data.placed(personal_data.found(documents(spark, [f"x a{k}@b.example y" for k in range(2000)] + ["at 1 . 2 . 3 . 4"] * 1800)).where("kind IS NOT NULL"))
+    spans = personal_data.described(base).selectExpr("*", "wide AND kind = 'email' AS touched").where("wide OR valid")
+    sums = {r.label: r.n for r in personal_data.counted(spans).groupBy("label").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect()}
+    assert sums[1.0] == 2000 * 4 and sums[0.0] >= 1800
+
+
 def test_repeats_nulls_and_empty(spark):
     docs = documents(spark, ["a@b.c"] * 2 + [None, "x"], [1, 1, None, None])
     rows = personal_data.summary(personal_data.personal_spans(docs)).collect()
