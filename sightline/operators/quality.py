@@ -285,14 +285,15 @@ def same_set(left: Column, right: Column) -> Column:
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows one side holds more often than the other, with both counts; empty when the sides agree.
 
-    Both sides are counted per distinct row before they meet, so equal rows do not travel.
+    Both sides meet in one aggregation, combined in every task first, so equal rows do not travel and a task holds each
+    distinct row once.
     """
     columns = left.columns
 
-    def counted(rows, mine, other):
-        return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(mine)).withColumn(other, F.lit(0).cast("long"))
+    def marked(rows, mine, other):
+        return rows.select(*columns, F.lit(mine).cast("long").alias("_left"), F.lit(other).cast("long").alias("_right"))
 
-    both = counted(left, "_left", "_right").unionByName(counted(right.select(*columns), "_right", "_left"))
+    both = marked(left, 1, 0).unionByName(marked(right, 0, 1))
     sums = both.groupBy(*columns).agg(F.sum("_left").alias("left_rows"), F.sum("_right").alias("right_rows"))
     return sums.where("left_rows <> right_rows")
 

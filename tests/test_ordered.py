@@ -91,3 +91,13 @@ def test_long_tail_is_spread_over_slices(spark):
     assert max(sizes) < 400
     got = [r.id for r in ordered.row_numbers(df, "v", "id").orderBy("row_number").collect()]
     assert got == [r.id for r in df.orderBy("v", "id").collect()]
+
+
+def test_multiset_difference_folds_once(spark):
+    """Both sides share one exchange and one pair of aggregations; a second fold would hold every distinct row again."""
+    from sightline.operators.quality import multiset_difference
+    left, right = spark.range(100).selectExpr("id % 10 AS k"), spark.range(90).selectExpr("CASE WHEN id < 3 THEN NULL ELSE id % 9 END AS k")
+    out = multiset_difference(left, right)
+    got = {r.k: (r.left_rows, r.right_rows) for r in out.collect()}
+    assert got == {None: (0, 3), 0: (10, 9), 1: (10, 9), 2: (10, 9), 9: (10, 0)}
+    assert out._jdf.queryExecution().sparkPlan().toString().count("HashAggregate") == 2
