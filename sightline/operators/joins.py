@@ -242,16 +242,14 @@ def brand_class(queries: DataFrame, text: str, dictionary: DataFrame) -> DataFra
 
 def lineage(anchors: DataFrame, candidates: DataFrame, reviews: DataFrame, bridges: DataFrame) -> DataFrame:
     """State of each anchor's chain: the first of candidate, review, bridge whose id, revision and hash do not all agree."""
-    joined = anchors
+    joined, state = anchors, F.lit(None).cast("string")
     for frame, name in ((candidates, "candidate"), (reviews, "review"), (bridges, "bridge")):
-        pins = frame.select(F.col(f"{name}_id"), F.col("revision").alias(f"{name}_revision"), F.col("content_hash").alias(f"_{name}_hash"))
-        joined = joined.join(pins, [f"{name}_id", f"{name}_revision"], "left")
-    checks = []
-    for name in ("candidate", "review", "bridge"):
-        checks += [(F.col(f"_{name}_hash").isNull(), f"MISSING_{name.upper()}"),
-                   (F.col(f"_{name}_hash") != F.col(f"{name}_hash"), f"{name.upper()}_DRIFT")]
-    return joined.withColumn("lineage_state", F.coalesce(first_code(*checks), F.lit("OK"))).drop(
-        "_candidate_hash", "_review_hash", "_bridge_hash")
+        pins = frame.select(F.col(f"{name}_id"), F.col("revision").alias(f"{name}_revision"), F.col("content_hash").alias("_hash"))
+        code = first_code((F.col("_hash").isNull(), f"MISSING_{name.upper()}"), (F.col("_hash") != F.col(f"{name}_hash"), f"{name.upper()}_DRIFT"))
+        # a hash goes no further than the join that it is compared in
+        joined = joined.join(pins, [f"{name}_id", f"{name}_revision"], "left").withColumn("_state", F.coalesce(state, code)).drop("_hash")
+        state = F.col("_state")
+    return joined.withColumn("lineage_state", F.coalesce(state, F.lit("OK"))).drop("_state")
 
 
 def query_entities(snapshots: DataFrame, entities: DataFrame) -> DataFrame:
