@@ -111,15 +111,18 @@ FIRST_RESULTS = 30
 def result_rows(snapshots: DataFrame, owned: DataFrame, competitors: DataFrame, registry: DataFrame) -> DataFrame:
     """Organic results of every snapshot as rows with page identity, owner and type; ``beyond_cap`` marks late ranks.
 
-    ``snapshots``: ``snapshot_id, organic_results array<{rank, url, title, snippet, result_type}>``.
+    ``snapshots``: ``snapshot_id, organic_results array<{rank, url, title, snippet, result_type}>``.  What depends on the URL
+    alone is found once for each distinct URL, since the same pages come up on very many result pages.
     """
     flat = snapshots.select("snapshot_id", F.inline("organic_results"))
     kept = flat.withColumn("beyond_cap", F.coalesce(F.col("rank") > FIRST_RESULTS, F.lit(False)))
     known = F.lower("result_type").isin(list(labels.PAGE_TYPES))
-    named = kept.withColumns({"normalized_url": norm_url(F.col("url")), "domain": F.rtrim(host_of(F.col("url")), F.lit(".")),
-                              "result_type": F.when(known, F.lower("result_type")).otherwise("unknown")})
+    typed = kept.withColumn("result_type", F.when(known, F.lower("result_type")).otherwise("unknown"))
+    named = flat.select(F.col("url").alias("_url")).distinct().withColumns({
+        "normalized_url": norm_url(F.col("_url")), "domain": F.rtrim(host_of(F.col("_url")), F.lit("."))})
     matched = joins.resolve_exactly_one(named, "normalized_url", registry, "normalized_url", "url_id")
-    return joins.domain_owner(matched.drop("match_state").withColumn("url_match_state", url_match("url_id")), "domain", owned, competitors)
+    pages = joins.domain_owner(matched.drop("match_state").withColumn("url_match_state", url_match("url_id")), "domain", owned, competitors)
+    return typed.join(pages, F.col("url").eqNullSafe(F.col("_url"))).drop("_url")
 
 
 def url_match(url_id: str) -> Column:

@@ -38,3 +38,16 @@ def test_lineage_drops_hashes(spark):
     out = joins.lineage(anchors, *stored).select("id", "lineage_state")
     assert not [n for n in names(first_join(out).children().apply(0)) if n in ("candidate_hash", "review_hash", "_hash")]
     assert dict(out.collect()) == {0: "BRIDGE_DRIFT", 1: "MISSING_CANDIDATE", 2: "MISSING_REVIEW", 3: "BRIDGE_DRIFT"}
+
+
+def test_result_rows_by_distinct_url(spark):
+    row = "array<struct<rank:int,url:string,title:string,snippet:string,result_type:string>>"
+    urls = ["http://A.example/p", "http://A.example/p", "http://b.example/q", None, "ftp://c.example/"]
+    pages = spark.createDataFrame([(k, [(i, u, "t", "s", "Article") for i, u in enumerate(urls)]) for k in (1, 2)], f"snapshot_id int, organic_results {row}")
+    owned, rivals = spark.createDataFrame([("a.example",)], "domain string"), spark.createDataFrame([("b.example", "B")], "domain string, competitor_id string")
+    known = spark.createDataFrame([("http://a.example/p", 7)], "normalized_url string, url_id int")
+    out = normalise.result_rows(pages, owned, rivals, known)
+    assert "regexp_extract" not in first_join(out).children().apply(0).toString()
+    got = sorted(map(tuple, out.select("snapshot_id", "rank", "url", "url_id", "url_match_state", "match_state", "beyond_cap", "result_type").collect()))
+    want = [(7, "CANONICAL", "OWNED"), (7, "CANONICAL", "OWNED"), (None, "UNMAPPED_URL", "COMPETITOR"), (None, "UNMAPPED_URL", "UNMAPPED_DOMAIN"), (None, "UNMAPPED_URL", "UNMAPPED_DOMAIN")]
+    assert got == [(k, i, urls[i], *want[i], False, "article") for k in (1, 2) for i in range(5)]
