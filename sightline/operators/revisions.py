@@ -54,8 +54,9 @@ def append_plan(log: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
 
     IDEMPOTENT: the same revision with the same hash; REVISION_CONFLICT: another hash; REVISION_GAP: not one past
     the tip; INVALID_SUPERSEDES: the predecessor is not named, or one is named by a first revision; APPEND.
-    Revisions of one batch may follow one another.  Log and batch are folded once to (key, revision); everything else is
-    decided by joins with that table and one minimum per key, the first revision that cannot be appended.
+    Revisions of one batch may follow one another.  Log and batch are folded once to (key, revision); what follows what is
+    found among these alone, so whole rows are exchanged only for their own slot and for one minimum per key, the first
+    revision that cannot be appended.
     """
     rows = batch.dropDuplicates([*keys, "revision", "content_hash"])
     both = log.select(*keys, "revision", F.col("content_hash").alias("_stored"), F.lit(None).cast("string").alias("_new")).unionByName(
@@ -67,8 +68,8 @@ def append_plan(log: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
         F.coalesce(F.col("supersedes_revision") == F.col("revision") - 1, F.lit(False)))
     linked = (F.col("revision") == F.coalesce("_tip", F.lit(0)) + 1) | (
         F.col("_below").isNotNull() & (F.col("revision") > F.coalesce("_tip", F.lit(0))))
-    marked = settled(rows.join(slots, [*keys, "revision"]).join(tips, keys).join(below, [*keys, "revision"], "left")
-                     .withColumns({"_named": named, "_linked": linked}))
+    follows = slots.select(*keys, "revision").join(tips, keys).join(below, [*keys, "revision"], "left").select(*keys, "revision", linked.alias("_linked"))
+    marked = settled(rows.join(slots, [*keys, "revision"]).join(follows, [*keys, "revision"]).withColumn("_named", named))
     unfit = F.col("_stored").isNull() & ~(F.col("_named") & F.col("_linked") & (F.col("_twins") == 1))
     breaks = marked.groupBy(*keys).agg(F.min(F.when(unfit, F.col("revision"))).alias("_break"))
     decision = (F.when(F.col("_stored") == F.col("content_hash"), "IDEMPOTENT")

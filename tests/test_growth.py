@@ -51,3 +51,14 @@ def test_result_rows_by_distinct_url(spark):
     got = sorted(map(tuple, out.select("snapshot_id", "rank", "url", "url_id", "url_match_state", "match_state", "beyond_cap", "result_type").collect()))
     want = [(7, "CANONICAL", "OWNED"), (7, "CANONICAL", "OWNED"), (None, "UNMAPPED_URL", "COMPETITOR"), (None, "UNMAPPED_URL", "UNMAPPED_DOMAIN"), (None, "UNMAPPED_URL", "UNMAPPED_DOMAIN")]
     assert got == [(k, i, urls[i], *want[i], False, "article") for k in (1, 2) for i in range(5)]
+
+
+def test_append_plan_moves_rows_twice(spark, monkeypatch):
+    frames = caught(monkeypatch)
+    log = spark.createDataFrame([(1, 1, "a", None, "n")], "id int, revision int, content_hash string, supersedes_revision int, note string")
+    batch = spark.createDataFrame([(1, 1, "a", None, "n"), (1, 2, "b", 1, "n"), (1, 3, "c", 2, "n"), (1, 5, "e", 4, "n"), (2, 1, "a", 7, "n"), (3, 1, "a", None, "n"), (3, 1, "b", None, "n")], log.schema)
+    out = revisions.append_plan(log, batch, ["id"])
+    assert joins_with(frames[1]._jdf.queryExecution().optimizedPlan(), "note") == 2
+    assert sorted(map(tuple, out.select("id", "content_hash", "decision").collect())) == [
+        (1, "a", "IDEMPOTENT"), (1, "b", "APPEND"), (1, "c", "APPEND"), (1, "e", "REVISION_GAP"), (2, "a", "INVALID_SUPERSEDES"),
+        (3, "a", "REVISION_CONFLICT"), (3, "b", "REVISION_CONFLICT")]
