@@ -106,14 +106,14 @@ def snapshot_plan(history: DataFrame, candidates: DataFrame, order: list[str] =
     passes, after which it is numbered last.
     """
     names, needed = candidates.columns, ["logical_key", "content_hash", "supersedes_snapshot_id", "as_of_date"]
-    rows = settled(candidates.withColumn("_entry", F.sha2(F.to_json(F.struct(*names)), 256)))
+    rows = settled(candidates.withColumn("_entry", F.unhex(F.sha2(F.to_json(F.struct(*names)), 256))))
     place = F.struct(*order, *needed[1:], "_entry").alias("_order")
-    entries = settled(rows.groupBy("_entry", *dict.fromkeys([*needed, *order])).agg(F.count(F.lit(1)).alias("_copies")).select("_entry", "_copies", *needed, place))
+    entries = settled(rows.groupBy("_entry", *dict.fromkeys([*needed, *order])).agg(F.count(F.lit(1)).alias("_copies")))
     stored = settled(latest(history, ["logical_key"]).select(
         "logical_key", F.col("snapshot_id").alias("_tip"), F.col("content_hash").alias("_hash"), F.col("as_of_date").alias("_as_of"), F.col("revision").cast("long").alias("_revision")))
-    tips, accepted = stored.withColumn("_at", F.lit(None).cast(entries.schema["_order"].dataType)), []
+    tips, accepted = stored.withColumn("_at", F.lit(None).cast(entries.select(place).schema["_order"].dataType)), []
     while True:
-        step = accepted_links(entries, tips, first=not accepted)
+        step = accepted_links(entries, tips, place, first=not accepted)
         if step.isEmpty():
             break
         accepted.append(step)
@@ -142,26 +142,29 @@ def snapshot_plan(history: DataFrame, candidates: DataFrame, order: list[str] =
     return single.unionByName(several.select(*names, F.when(repeated, "SKIP").otherwise(c("decision")).alias("decision"), F.when(~repeated, c("revision")).alias("revision")))
 
 
-def accepted_links(entries: DataFrame, tips: DataFrame, first: bool) -> DataFrame:
+def accepted_links(entries: DataFrame, tips: DataFrame, place: Column, first: bool) -> DataFrame:
     """The candidates accepted on top of ``tips`` as far as guessed revisions hold: ``logical_key, _entry`` and what makes
-    them tips.  A key without a tip can only begin in the ``first`` pass."""
+    them tips.  A key without a tip can only begin in the ``first`` pass.  ``place`` repeats columns of an entry, so it is made
+    where it is compared and neither exchanged nor written with every entry."""
     c = F.col
     link = ["logical_key", "_link"]
     rows = entries.join(tips, "logical_key", "left" if first else "inner").withColumns({
         "_link": F.coalesce("supersedes_snapshot_id", F.lit("")), "_root": c("supersedes_snapshot_id").eqNullSafe(c("_tip"))})
-    links = rows.groupBy(*link).agg(F.min("_order").alias("_order"), F.max("_root").alias("_root"), F.max(c("_order") < c("_at")).alias("_passed"))
+    links = rows.withColumn("_order", place).groupBy(*link).agg(F.min("_order").alias("_order"), F.max("_root").alias("_root"), F.max(c("_order") < c("_at")).alias("_passed"))
     active = links.where("_root").select("logical_key")
     # those who name nothing can only begin a key
     numbered = links.where("_root OR _link <> ''").join(active, "logical_key", "left_semi").withColumn("_place", F.row_number().over(
         Window.partitionBy("logical_key").orderBy(F.desc("_root"), "_passed", "_order"))).select(*link, "_place")
     guess = F.coalesce("_revision", F.lit(0)) + c("_place")
     placed = settled(rows.join(numbered, link).withColumn("_guess", guess).withColumn(
-        "_id", snapshot_id(c("logical_key"), c("content_hash"), c("_guess"), c("supersedes_snapshot_id"))))
+        "_id", snapshot_id(c("logical_key"), c("content_hash"), c("_guess"), c("supersedes_snapshot_id"))).drop("_tip", "_revision", "_at", "_place", "_copies"))
     # what each link follows: the stored tip, or a candidate to which the guess gives the id that it names
-    ids = placed.groupBy("logical_key", "_id").agg(F.min_by(F.struct(c("_link").alias("_parent"), c("content_hash").alias("_hash"), c("as_of_date").alias("_as_of"), (c("_guess") + 1).alias("_next")), "_order").alias("_p"))
-    named = placed.where("NOT _root").select(*link).distinct().join(ids.select("logical_key", c("_id").alias("_link"), "_p.*"), link)
+    ids = placed.groupBy("logical_key", "_id").agg(F.min(F.struct(place, "_guess")).alias("_p")).select(
+        "logical_key", "_id", F.coalesce("_p._order.supersedes_snapshot_id", F.lit("")).alias("_parent"), c("_p._order.content_hash").alias("_hash"),
+        c("_p._order.as_of_date").alias("_as_of"), (c("_p._guess") + 1).alias("_next"))
+    named = placed.where("NOT _root").select(*link).distinct().join(ids.withColumnRenamed("_id", "_link"), link)
     below = named.unionByName(placed.where("_root").select(*link, F.lit(None).cast("string").alias("_parent"), "_hash", "_as_of", c("_guess").alias("_next")).distinct())
-    fits = placed.select(*link, "_entry", "_order", "_id", "content_hash", "as_of_date", "_guess").join(below, link).where(
+    fits = placed.drop("_hash", "_as_of").join(below, link).withColumn("_order", place).where(
         (c("_guess") == c("_next")) & (c("_hash").isNull() | ((c("content_hash") != c("_hash")) & (c("as_of_date") >= c("_as_of")))))
     best = settled(fits.groupBy(*link).agg(F.min_by(F.struct("_entry", "_id", "content_hash", "as_of_date", "_guess", "_parent", "_order"), "_order").alias("_b")).select(*link, "_b.*"))
     node = lambda name: F.concat_ws("|", "logical_key", name)

@@ -62,3 +62,15 @@ def test_append_plan_moves_rows_twice(spark, monkeypatch):
     assert sorted(map(tuple, out.select("id", "content_hash", "decision").collect())) == [
         (1, "a", "IDEMPOTENT"), (1, "b", "APPEND"), (1, "c", "APPEND"), (1, "e", "REVISION_GAP"), (2, "a", "INVALID_SUPERSEDES"),
         (3, "a", "REVISION_CONFLICT"), (3, "b", "REVISION_CONFLICT")]
+
+
+def test_snapshot_plan_writes_no_places(spark, monkeypatch):
+    frames = caught(monkeypatch)
+    schema = "logical_key string, snapshot_id string, content_hash string, as_of_date string, revision int, supersedes_snapshot_id string, n int"
+    stored = spark.createDataFrame([("k", "s1", "a", "2001-01-01", 1, None, 0)], schema)
+    batch = spark.createDataFrame([("k", None, "b", "2001-01-02", None, "s1", 1), ("k", None, "c", "2001-01-02", None, "s1", 2), ("k", None, "a", "2001-01-02", None, None, 3), ("m", None, "a", "2001-01-02", None, None, 4)], schema)
+    out = revisions.snapshot_plan(stored, batch.drop("revision"), ["n"])
+    got = sorted(map(tuple, out.select("n", "decision", "revision").collect()))
+    assert got == [(1, "REVISE", 2), (2, "REJECT_NEEDS_SUPERSEDES", None), (3, "SKIP", None), (4, "NEW", 1)]
+    assert not [f.columns for f in frames if "_order" in f.columns and "_parent" not in f.columns]
+    assert {dict(f.dtypes)["_entry"] for f in frames if "_entry" in f.columns} == {"binary"}
