@@ -180,6 +180,19 @@ def test_copies_for_a_hot_key_are_never_broadcast(spark):
     assert "Broadcast" not in plan and "SortMergeJoin" in plan
 
 
+@pytest.mark.parametrize("name", ["K1_technical_unlock", "K4_quick_win", "K5_content_gap", "K6_decisions", "K7_score"])
+def test_rule_queries_never_broadcast_copies(spark, name):
+    """The copies of a bundle grow with the parts; no query may broadcast them."""
+    import __spark_entry__ as entry
+    plan = entry.queries()[name](spark, entry.SMOKE_DIR)._jdf.queryExecution().sparkPlan()
+
+    def nodes(node):
+        return [node.toString().split("\n")[0]] + [x for i in range(node.children().size()) for x in nodes(node.children().apply(i))]
+
+    joins = [x for x in nodes(plan) if "Join" in x and "_salt" in x]
+    assert joins and all(x.startswith("SortMergeJoin") for x in joins)
+
+
 def test_samples_snapshots_and_populations(spark):
     """Sample revisions count for AI-answer sources only; snapshots of two days are no period."""
     from sightline.operators.joins import compare_sides
