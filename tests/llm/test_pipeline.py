@@ -46,3 +46,25 @@ def test_registered_and_whole(spark):
     queries = entry.queries()
     assert {f"op{n}" for n in range(1, 11)} == {re.match(r"op\d+", q)[0] for q in queries if re.match(r"op\d+_", q)}
     assert 0 < queries["pipeline"](spark, FOLDER).count() < 200
+
+
+def test_python_stages_take_bounded_batches(spark):
+    """A Python worker is handed a few MB at once, however long the documents are."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    def batch_sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["size"])
+
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    small = corpus_pipeline.table(spark, FOLDER, "documents").limit(5)
+    long = spark.range(0, 64, 1, 1).select("id", F.repeat(F.lit("long text "), 40_000).alias("text"))
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "exact_dedup":
+            continue
+        spark.conf.unset(bound)
+        stage(spark, small, FOLDER)
+        sizes = long.mapInArrow(batch_sizes, "size long").collect()
+        assert sum(r.size for r in sizes) >= 64 * 400_000 and max(r.size for r in sizes) < 4 << 20, name
+    spark.conf.unset(bound)
