@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+#: Spark removes a query's shuffle files when the query ends; without it they stay until the driver collects its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A run of the six ASCII white-space characters that is not already one plain space.
 LOOSE_SPACE = r"[\t-\x0D][\x20\t-\x0D]*|\x20[\x20\t-\x0D]+"
 
@@ -24,10 +26,14 @@ def work_folder(spark: SparkSession) -> str:
 
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again: its lineage ends there, so a lost executor
-    costs no more than a re-read."""
+    costs no more than a re-read.  Its shuffle files go once it is written, since nothing runs the same query again."""
     spark = df.sparkSession
-    path = work_folder(spark)
-    df.write.parquet(path)
+    path, before = work_folder(spark), spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, True)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
