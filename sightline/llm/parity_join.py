@@ -18,6 +18,10 @@ pair differs in a bounded number of shingles, so of the blocks in which a set ha
 both; that number of groups, summed over a band's partitions, the pair shares for ``sure``.  A set leaves at most one
 group less than that, and at most ``SPARE``: the commonest of its groups that have more than ``COMMON`` members.  By one
 order of all groups, the rarest that a linked pair shares is then left by neither, whatever the hashes.
+
+A short sketch of ``SKETCH_WORDS`` words bounds the distance of two sets wherever they meet.  In sets of more shingles
+than it has bits most of it is chance, so these have a wide sketch as well, with at least a bit for each shingle; a pair of
+them is held against it before its texts are fetched.  Unlike long texts that share a passage end there.
 """
 
 from collections.abc import Iterator
@@ -33,7 +37,7 @@ BLOCKS, COMMON, SPARE, STARS = 64, 48, 2, 1
 #: Least similarity, as a ratio of whole numbers.
 AT_LEAST = (75, 100)
 SKETCH_WORDS = 16
-_PROFILE = "row long, doc_id long, n_shingles long, node long, keys array<long>, lower int, sure array<int>, " + ", ".join(f"s{k} long" for k in range(SKETCH_WORDS))
+_PROFILE = "row long, doc_id long, n_shingles long, node long, keys array<long>, lower int, sure array<int>, " + ", ".join(f"s{k} long" for k in range(SKETCH_WORDS)) + ", wide array<long>"
 
 
 def blocks_of(band: int, at_least: tuple[int, int]) -> int:
@@ -77,20 +81,26 @@ def keys_and_sure(found: np.ndarray, band: int, at_least: tuple[int, int]) -> tu
     return (np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)), sure
 
 
-def sketch_of(found: np.ndarray) -> np.ndarray:
-    bits = np.bincount((found >> np.uint64(20) & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+def sketch_of(found: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
+    """A parity sketch of 64 bits a word; ``words`` is a power of two, and the halves of a sketch XORed are that of half as many."""
+    bits = np.bincount((found >> np.uint64(20) & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(found: np.ndarray) -> np.ndarray | None:
+    """A sketch of one to two bits a shingle; none for a set that the short one has a bit for each shingle of."""
+    return sketch_of(found, 2 ** len(found).bit_length() // 64) if len(found) >= 64 * SKETCH_WORDS else None
+
+
 def profiles(docs: DataFrame, at_least: tuple[int, int]) -> DataFrame:
     """Per row: size of its set, ``node`` (a hash of the set), band keys, how many of them are of its own band, how many
-    of each band are ``sure``, and a short sketch."""
+    of each band are ``sure``, a short sketch, and a wide one if the set is large."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, end in shingles.chunks(batch.column("text")):
                 part = batch.slice(start, end - start)
                 found, first = shingles.shingles(part.column("text"))
-                sizes, nodes, keys, lower, sure, sketches = [], [], [], [], [], []
+                sizes, nodes, keys, lower, sure, sketches, wide = [], [], [], [], [], [], []
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
                     own = np.unique(found[a:b])
                     sizes.append(len(own))
@@ -100,13 +110,14 @@ def profiles(docs: DataFrame, at_least: tuple[int, int]) -> DataFrame:
                     lower.append(len(banded[0][0]) if banded else 0)
                     sure.append([n for _, n in banded])
                     sketches.append(sketch_of(own))
+                    wide.append(wide_sketch(own))
                 sketch = np.array(sketches, np.int64)
                 offsets = pa.array(np.cumsum([0, *map(len, keys)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                      pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64))), pa.array(lower, pa.int32()), pa.array(sure, pa.list_(pa.int32())),
-                     *(pa.array(np.ascontiguousarray(sketch[:, k])) for k in range(SKETCH_WORDS))],
-                    ["row", "doc_id", "n_shingles", "node", "keys", "lower", "sure", *(f"s{k}" for k in range(SKETCH_WORDS))])
+                     *(pa.array(np.ascontiguousarray(sketch[:, k])) for k in range(SKETCH_WORDS)), pa.array(wide, pa.list_(pa.int64()))],
+                    ["row", "doc_id", "n_shingles", "node", "keys", "lower", "sure", *(f"s{k}" for k in range(SKETCH_WORDS)), "wide"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
@@ -145,6 +156,25 @@ def nearest(stars: DataFrame, nodes: DataFrame, at_least: tuple[int, int]) -> Da
     return best.select("b", "best.a", "best.a_doc", "best.b_doc")
 
 
+def folded(sketch: Column, words: Column) -> Column:
+    """A sketch of ``words`` words, or of twice as many, as one of ``words``."""
+    halves = F.zip_with(F.slice(sketch, F.lit(1), words), F.slice(sketch, words + 1, words), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(sketch) > words, halves).otherwise(sketch)
+
+
+def likely(pairs: DataFrame, nodes: DataFrame, at_least: tuple[int, int]) -> DataFrame:
+    """The ``pairs`` (a, a_doc, b, b_doc) that their wide sketches allow, and those without two: never without a linked one."""
+    low, high = at_least
+    wide = nodes.where("wide IS NOT NULL")
+    both = (pairs.select("a", "a_doc", "b", "b_doc")
+            .join(wide.select(F.col("node").alias("a"), F.col("n_shingles").alias("a_n"), F.col("wide").alias("a_wide")), "a", "left")
+            .join(wide.select(F.col("node").alias("b"), F.col("n_shingles").alias("b_n"), F.col("wide").alias("b_wide")), "b", "left"))
+    words = F.least(F.size("a_wide"), F.size("b_wide"))
+    differ = F.zip_with(folded(F.col("a_wide"), words), folded(F.col("b_wide"), words), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    near = F.aggregate(differ, F.lit(0), lambda total, n: total + n) * (high + low) <= (F.col("a_n") + F.col("b_n")) * (high - low)
+    return both.where(F.when(F.col("a_wide").isNotNull() & F.col("b_wide").isNotNull(), near).otherwise(True)).select("a", "a_doc", "b", "b_doc")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, at_least: tuple[int, int]) -> DataFrame:
     """The ``pairs`` (a, a_doc, b, b_doc) whose sets are similar enough, by their ``texts`` (_id, _text).  Where rows
     of different texts share an id, only the text that has the pair's set counts."""
@@ -214,7 +244,8 @@ def near_groups(docs: DataFrame, at_least: tuple[int, int] = AT_LEAST) -> DataFr
     shared = met.select("node").distinct().join(nodes.select("node", F.col("doc_id").alias("_id")), "node").select("_id").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
     texts = settle(texts.join(shared, "_id", "left_semi"))
-    links = settle(verified(nearest(met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")), nodes, at_least), texts, at_least))
+    stars = met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    links = settle(verified(likely(nearest(stars, nodes, at_least), nodes, at_least), texts, at_least))
     commonest = Window.partitionBy("node", "upper").orderBy(F.desc("members"), F.desc("key"))
     common = met.where(F.col("members") > COMMON).withColumn("nth", F.row_number().over(commonest)).where(F.col("nth") > F.col("spare"))
     met = settle(met.where(F.col("members") <= COMMON).select("key", "node").unionByName(common.select("key", "node")))
@@ -222,7 +253,7 @@ def near_groups(docs: DataFrame, at_least: tuple[int, int] = AT_LEAST) -> DataFr
     # sets that are still in different classes, wherever they share a group
     for step in range(STARS + 1):
         labels = components(links)
-        classes = settle(nodes.drop("keys", "lower", "sure").join(labels, "node", "left").withColumn("label", F.coalesce("label", "doc_id")))
+        classes = settle(nodes.drop("keys", "lower", "sure", "wide").join(labels, "node", "left").withColumn("label", F.coalesce("label", "doc_id")))
         left = met.join(classes.select("node", "label"), "node")
         sizes = left.groupBy("key", "label").agg(F.count("*").alias("n"), F.max_by("node", F.xxhash64("node", "key", F.lit(step))).alias("one"))
         mixed = settle(sizes.groupBy("key").agg(F.max(F.struct("n", "label", "one")).alias("top"), F.count("*").alias("labels"))
@@ -231,7 +262,7 @@ def near_groups(docs: DataFrame, at_least: tuple[int, int] = AT_LEAST) -> DataFr
         if step == STARS:
             break
         stars = left.where("label <> major").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        more = settle(verified(nearest(stars, nodes, at_least), texts, at_least))
+        more = settle(verified(likely(nearest(stars, nodes, at_least), nodes, at_least), texts, at_least))
         if more.isEmpty():
             break
         links = settle(links.union(more))
@@ -239,7 +270,7 @@ def near_groups(docs: DataFrame, at_least: tuple[int, int] = AT_LEAST) -> DataFr
     b = side(classes, "b", "label").join(left.select("key", F.col("node").alias("b"), (F.col("label") == F.col("major")).alias("b_major")), "b")
     rest = (a.join(b, (a["key"] == b["key"]) & (F.col("a_label") != F.col("b_label")) & (F.col("b_major") | (F.col("a") < F.col("b"))) & may_link(at_least))
             .select("a", "a_doc", "b", "b_doc").distinct())
-    more = settle(verified(rest, texts, at_least))
+    more = settle(verified(likely(rest, nodes, at_least), texts, at_least))
     if not more.isEmpty():
         labels = components(links.union(more))
     final = settle(nodes.select("node", "doc_id").join(labels, "node", "left").select("node", F.coalesce("label", "doc_id").alias("label")))

@@ -3,6 +3,8 @@ import random
 import numpy as np
 import pyarrow as pa
 from helpers import classes, documents, shingle_set, words
+from pyspark.sql import functions as F
+
 from sightline.llm import parity_join, shingles
 
 FOLDER = "/root/testdata/sf0.001"
@@ -131,3 +133,35 @@ def test_long_sets_leave_no_group_without_a_sure_other(spark):
     assert max(sure) == 0
     rows = parity_join.profiles(documents(spark, [" ".join(f"w{k}" for k in range(254)), "one two"]), (75, 100)).collect()
     assert sorted(tuple(r.sure) for r in rows)[0][0] == 0 and all(len(r.sure) in (1, 2) for r in rows)
+
+
+def test_unlike_long_texts_that_share_a_passage_are_not_fetched(spark):
+    """Of pairs of long sets the wide sketch lets every linked one pass, across bands too, and no unlike one."""
+    rng = random.Random(7)
+    fresh = lambda n: [f"f{rng.randrange(10 ** 9)}" for _ in range(n)]
+    passage, texts, linked = fresh(80), [], []
+    for size in (1030, 1500, 1900, 2040, 2600, 4090, 7000):
+        base = fresh(size)
+        texts += [base, base[:-size // 50] + fresh(size // 50), base + fresh(size // 4), fresh(size // 2) + passage + fresh(size // 2), fresh(size // 2) + passage + fresh(size // 2)]
+        linked += [(len(texts) - 5, len(texts) - 4), (len(texts) - 5, len(texts) - 3), (len(texts) - 4, len(texts) - 3)]
+    texts = [" ".join(t) for t in texts]
+    sets = [shingle_set(t) for t in texts]
+    nodes = parity_join.profiles(documents(spark, texts), (75, 100)).localCheckpoint()
+    side = lambda x: parity_join.side(nodes, x)
+    pairs = side("a").join(side("b"), F.expr("a_doc < b_doc")).where(parity_join.may_link((75, 100)))
+    some = {(r.a_doc, r.b_doc) for r in pairs.collect()}
+    left = {(r.a_doc, r.b_doc) for r in parity_join.likely(pairs, nodes, (75, 100)).collect()}
+    near = {(i, j) for i, j in some if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert near == set(linked) and near <= left
+    assert len(some - near) > 10 and all(len(sets[i] & sets[j]) >= 0.6 * len(sets[i] | sets[j]) for i, j in left)
+    assert result(parity_join.near_groups(documents(spark, texts))) == classes(dict(enumerate(texts)))
+
+
+def test_a_wide_sketch_folds_to_narrower_ones():
+    found = np.random.default_rng(8).integers(0, 2 ** 63, 3000).astype(np.uint64)
+    wide = parity_join.wide_sketch(found)
+    assert len(wide) == 64 and parity_join.wide_sketch(found[:1023]) is None
+    while len(wide) > parity_join.SKETCH_WORDS:
+        half = len(wide) // 2
+        wide = wide[:half] ^ wide[half:]
+        assert (wide == parity_join.sketch_of(found, half)).all()
